@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,7 +17,6 @@ from pyspark.sql.window import Window
 from tidecast.functions.coerce import column_or, null_as_zero
 from tidecast.functions.dates import local_date
 from tidecast.functions.units import fahrenheit, inches
-from tidecast.operators.forecast import latest_at_or_before
 
 STATION = ("station_id",)
 
@@ -156,9 +156,15 @@ def scoring_frame(
 
     Forecast columns are always there and null where a source has no row.
     """
-    known = feature_frame(obs, keys).select(*keys, "date", *FEATURES, *RAW)
-    out = latest_at_or_before(known.dropna(), "date", today, keys).drop("date")
-    out = out.withColumn("target_date", F.date_add(today, 1))
+    known = feature_frame(obs.where(F.col("date") <= today), keys).select(*keys, "date", *FEATURES, *RAW)
+    # The newest complete row is picked by a window of the same partitioning: no second exchange.
+    usable = F.when(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in FEATURES]), F.col("date"))
+    newest = F.max(usable).over(Window.partitionBy(*keys))
+    out = (
+        known.withColumn("_newest", newest)
+        .where(F.col("date") == F.col("_newest"))
+        .select(*keys, F.date_add(today, 1).alias("target_date"), *FEATURES, *RAW)
+    )
     for source, columns in ((hourly_days, NWS_COLUMNS), (daily_days, OM_COLUMNS)):
         if source is None:
             out = out.select("*", *[F.lit(None).cast("double").alias(c) for c in columns])

@@ -1,7 +1,8 @@
 """Registered queries: every operator run over the whole given tables.
 
 Amounts are summed as whole cents, so totals do not depend on the order in which
-a shuffle delivers rows. Results are rounded for display only at the end.
+a shuffle delivers rows. Results are put on a
+decimal grid only at the end, for comparison.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 DIGITS = 4
+OFFSET = 0.381966
 RUN_TIME = "2024-02-01 12:00:00"
 TODAY = "2024-01-29"
 PAGE = 100
@@ -46,8 +48,14 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def grid(column: str | Column, digits: int) -> Column:
+    """The value on a decimal grid. The odd offset keeps halves, common in money, off the grid's edges."""
+    value = F.col(column) if isinstance(column, str) else column
+    return F.floor(value * 10.0**digits + OFFSET) / 10.0**digits
+
+
 def shown(df: DataFrame, *columns: str) -> DataFrame:
-    return df.withColumns({c: F.round(c, DIGITS) for c in columns})
+    return df.withColumns({c: grid(c, DIGITS) for c in columns})
 
 
 def cents(amount: Column) -> Column:
@@ -320,7 +328,7 @@ def scaled_target(spark, sf):
     rows = filled.join(bounds, "series_id").select(
         "series_id", "date", small.alias("y_scaled"), models.unscaled(small, lo, hi).alias("y_back")
     )
-    return rows.select("series_id", "date", F.round("y_scaled", 6).alias("y_scaled"), F.round("y_back", 3).alias("y_back"))
+    return rows.select("series_id", "date", grid("y_scaled", 6).alias("y_scaled"), grid("y_back", 3).alias("y_back"))
 
 
 @query
@@ -382,7 +390,7 @@ def backtest_cutoffs(spark, sf):
 @query
 def backtest_detail(spark, sf):
     return shown(detail(spark, sf), "predicted", "actual", "error", "abs_error").withColumn(
-        "squared_error", F.round("squared_error", 1)
+        "squared_error", grid("squared_error", 1)
     )
 
 
@@ -416,9 +424,9 @@ METRICS = ("MAE", "MSE", "MeanError")
 
 def metric_digits(df: DataFrame) -> DataFrame:
     """Squared errors are of size 1e10, so they are shown in millions."""
-    out = df.withColumn("MSE", F.round(F.col("MSE") / 1e6, 3)).withColumn("MAE", F.round("MAE", 3))
+    out = df.withColumn("MSE", grid(F.col("MSE") / 1e6, 3)).withColumn("MAE", grid("MAE", 3))
     for c in {"MeanError", "MSAE"} & set(df.columns):
-        out = out.withColumn(c, F.round(c, 3))
+        out = out.withColumn(c, grid(c, 3))
     return out
 
 
@@ -466,22 +474,22 @@ def global_bias(spark, sf):
     """Bias of the first table that can give one."""
     rows = detail(spark, sf)
     usable = tables.first_usable([None, rows.drop("actual"), rows], ("mode", "predicted", "actual"))
-    return ev.global_bias_of_detail(usable, ("series_id",)).withColumn("bias", F.round("bias", 3))
+    return ev.global_bias_of_detail(usable, ("series_id",)).withColumn("bias", grid("bias", 3))
 
 
 @query
 def bias_by_weekday(spark, sf):
-    return ev.weekday_bias(detail(spark, sf)).withColumn("bias", F.round("bias", 3))
+    return ev.weekday_bias(detail(spark, sf)).withColumn("bias", grid("bias", 3))
 
 
 @query
 def bias_by_weekday_series(spark, sf):
-    return ev.weekday_bias(detail(spark, sf), ("series_id",)).withColumn("bias", F.round("bias", 3))
+    return ev.weekday_bias(detail(spark, sf), ("series_id",)).withColumn("bias", grid("bias", 3))
 
 
 @query
 def bias_before_cutoff(spark, sf):
-    return ev.weekday_bias_before(detail(spark, sf), ("series_id",)).withColumn("bias", F.round("bias", 3))
+    return ev.weekday_bias_before(detail(spark, sf), ("series_id",)).withColumn("bias", grid("bias", 3))
 
 
 @query
@@ -489,13 +497,13 @@ def apply_bias(spark, sf):
     keys = ("series_id",)
     rows = detail(spark, sf)
     calibrated = ev.apply_bias(rows, ev.weekday_bias(rows, keys), keys)
-    return calibrated.select("series_id", "train_end", "mode", "target_date", "step", F.round("predicted", 3).alias("predicted"))
+    return calibrated.select("series_id", "train_end", "mode", "target_date", "step", grid("predicted", 3).alias("predicted"))
 
 
 @query
 def apply_bias_override(spark, sf):
     rows = ev.apply_bias(detail(spark, sf), override=125.5)
-    return rows.select("series_id", "train_end", "mode", "target_date", F.round("predicted", 3).alias("predicted"))
+    return rows.select("series_id", "train_end", "mode", "target_date", grid("predicted", 3).alias("predicted"))
 
 
 @query
@@ -534,7 +542,7 @@ def compose_hybrid_fallback(spark, sf):
 @query
 def error_box(spark, sf):
     boxes = ev.error_distribution(detail(spark, sf))
-    return boxes.withColumns({c: F.round(c, 3) for c in ("q1", "median", "q3", "whisker_low", "whisker_high")})
+    return boxes.withColumns({c: grid(c, 3) for c in ("q1", "median", "q3", "whisker_low", "whisker_high")})
 
 
 @query
@@ -777,8 +785,7 @@ def event_json(spark, sf):
 
 
 def event_stream(spark, sf):
-    path = f"{sf}/events.parquet"
-    return messages.file_stream(spark, path, spark.read.parquet(path).schema)
+    return messages.file_stream(spark, sf, table(spark, sf, "events").schema, files="events.parquet")
 
 
 def finish(started) -> None:
@@ -791,7 +798,7 @@ def stream_messages(spark, sf):
     path = fresh_folder(spark, "messages")
     parsed = messages.parse_messages(_texts(event_stream(spark, sf)), "text", "k INT", ["event_id"])
     finish(messages.store_messages(parsed, f"{path}/table", f"{path}/state"))
-    return _message_columns(spark.read.parquet(f"{path}/table"))
+    return _message_columns(spark.read.parquet(f"{path}/table")).withColumn("is_bad", F.col("is_bad").cast("boolean"))
 
 
 @query
@@ -829,7 +836,7 @@ def weekly_forecast(spark, sf):
 def weekly_forecast_log(spark, sf):
     """The predictions the weekly job logs."""
     out = weekly_run(spark, order_days(spark, sf), fresh_folder(spark, "weekly"), RUN_TIME, MODELS, skip=("rollup",))
-    return out["predictions"].select("series_id", "target_date", F.round("predicted", 3).alias("predicted"))
+    return out["predictions"].select("series_id", "target_date", grid("predicted", 3).alias("predicted"))
 
 
 @query

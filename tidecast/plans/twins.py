@@ -7,6 +7,9 @@ value with the Spark results.
 from __future__ import annotations
 
 D = 4
+
+# Results go on a decimal grid (floor of the value plus a fixed part of a unit), as
+# the Spark side does, so that the last bits of a floating sum do not decide a match.
 LAGS = (1, 2, 3, 4, 5, 6, 7, 14, 21)
 
 CENTS = "CAST(round({}*100) AS BIGINT)"
@@ -120,11 +123,11 @@ origin AS (SELECT h.* EXCLUDE (date, is_filled, n), h.date AS origin, {HORIZON.f
 
 
 def r(col: str, digits: int = D, name: str | None = None) -> str:
-    return f"round({col}, {digits}) AS {name or col.split('.')[-1]}"
+    return f"floor(({col}) * 1e{digits} + 0.381966e0) / 1e{digits} AS {name or col.split('.')[-1]}"
 
 
-METRICS = """count(error) AS count, round(avg(abs_error), 3) AS "MAE", round(avg(squared_error) / 1e6, 3) AS "MSE",
-  round(avg(error), 3) AS "MeanError" """
+METRICS = """count(error) AS count, floor((avg(abs_error)) * 1e3 + 0.381966e0) / 1e3 AS "MAE", floor((avg(squared_error) / 1e6) * 1e3 + 0.381966e0) / 1e3 AS "MSE",
+  floor((avg(error)) * 1e3 + 0.381966e0) / 1e3 AS "MeanError" """
 
 
 def overall(keys: str = "") -> str:
@@ -134,7 +137,7 @@ def overall(keys: str = "") -> str:
     using = f"USING ({keys}, mode)" if keys else "USING (mode)"
     return f"""WITH {DETAIL},
 m AS (SELECT * FROM {from_keys}(SELECT unnest(['single', 'multi', 'iterative']) AS mode))
-SELECT {lead}mode, {METRICS}, round(avg(error), 3) AS "MSAE" FROM m LEFT JOIN detail {using} GROUP BY {lead}mode"""
+SELECT {lead}mode, {METRICS}, floor((avg(error)) * 1e3 + 0.381966e0) / 1e3 AS "MSAE" FROM m LEFT JOIN detail {using} GROUP BY {lead}mode"""
 
 
 def sweep(keys: str = "", bias: str | None = None) -> str:
@@ -146,7 +149,7 @@ def sweep(keys: str = "", bias: str | None = None) -> str:
 x AS (SELECT {('pv.' if bias and not keys else '') + 'series_id'}, s.step AS switch,
    CASE WHEN t.step <= s.step THEN iterative_predicted{add} ELSE multi_predicted END - actual AS e
   FROM (SELECT * FROM {src}) t, steps s)
-SELECT {lead}switch, round(avg(abs(e)), 3) AS "MAE", round(avg(e * e) / 1e6, 3) AS "MSE", round(avg(e), 3) AS "MeanError"
+SELECT {lead}switch, floor((avg(abs(e))) * 1e3 + 0.381966e0) / 1e3 AS "MAE", floor((avg(e * e) / 1e6) * 1e3 + 0.381966e0) / 1e3 AS "MSE", floor((avg(e)) * 1e3 + 0.381966e0) / 1e3 AS "MeanError"
 FROM x GROUP BY {lead}switch""".replace("pv.series_id", "series_id")
 
 
@@ -298,7 +301,7 @@ def not_null(cols: list[str]) -> str:
 EVENT_STATIONS = """st AS (SELECT event_type AS station_id, ts::DATE AS date, max(value) AS tmax, min(value) AS tmin,
   max(value) FILTER (value > 100) AS prcp FROM events GROUP BY 1, 2)"""
 LOCAL = "(({0} AT TIME ZONE 'UTC') AT TIME ZONE 'America/New_York')"
-HOURLY = f"""hr AS (SELECT event_type AS station_id, {LOCAL.format("date_trunc('second', ts) + to_hours(o)")}::DATE AS date,
+HOURLY = f"""hr AS (SELECT event_type AS station_id, {LOCAL.format("(date_trunc('second', ts) + to_hours(o))")}::DATE AS date,
     value AS temp, (props::JSON->>'k')::DOUBLE AS pop, CASE WHEN event_type <> 'click' THEN value + o END AS gust
   FROM events, (SELECT unnest([0, 1])::INT AS o) WHERE event_type <> 'error'),
 hd AS (SELECT station_id, date, max(temp) AS nws_tmax_f, min(temp) AS nws_tmin_f, max(pop) AS nws_pop_max, max(gust) AS nws_windgust_max
@@ -357,14 +360,14 @@ def build() -> dict[str, str]:
         "daily_series": lines("SELECT * FROM so", SO),
         "gap_fill": lines(f"SELECT series_id, date, {r('y')}, is_filled FROM filled", FILLED),
         "gap_fill_customers": lines(
-            "SELECT series_id, count(*) AS n_days, count(*) FILTER (is_filled) AS n_filled, round(sum(y) / 1000.0, 4) AS total FROM filled GROUP BY 1", FILLED_C),
+            "SELECT series_id, count(*) AS n_days, count(*) FILTER (is_filled) AS n_filled, floor((sum(y) / 1000.0) * 1e4 + 0.381966e0) / 1e4 AS total FROM filled GROUP BY 1", FILLED_C),
         "gap_fill_ends": lines(
             f"SELECT series_id, date, {r('y')}, is_filled FROM filled", SO,
             "masked AS (SELECT series_id, date, CASE WHEN month(date) NOT IN (1, 8) THEN y END AS y FROM so)", fill("masked")),
         "series_span": lines("SELECT series_id, min(date) AS first_date, max(date) AS last_date, count(*) AS n_rows FROM so GROUP BY 1", SO),
         "series_cut": lines("SELECT * FROM so WHERE date BETWEEN '1998-01-01' AND '1999-12-31'", SO),
         "trailing_avg7": lines(
-            """SELECT series_id, date, y, CASE WHEN count(y) OVER w = 7 THEN round(avg(y) OVER w, 4) END AS avg7 FROM so
+            """SELECT series_id, date, y, CASE WHEN count(y) OVER w = 7 THEN floor((avg(y) OVER w) * 1e4 + 0.381966e0) / 1e4 END AS avg7 FROM so
   WINDOW w AS (PARTITION BY series_id ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)""", SO),
         "lag_features": lines(f"SELECT series_id, date, {r('y')}, {lag_cols} FROM lg", FILLED, lagged),
         "calendar_features": lines(f"SELECT series_id, date, {CALENDAR} FROM so", SO, HOLIDAYS),
@@ -375,7 +378,7 @@ def build() -> dict[str, str]:
             "sp AS (SELECT series_id, CAST(unnest(generate_series(min(date)::TIMESTAMP, max(date)::TIMESTAMP + INTERVAL 7 DAY, INTERVAL 1 DAY)) AS DATE) AS date FROM so GROUP BY series_id)"),
         "horizon_sunday": lines(f"SELECT series_id, max(date) AS origin, {HORIZON.format('max(date)')} AS horizon FROM so GROUP BY 1", SO),
         "scaled_target": lines(
-            """SELECT series_id, date, round((y - lo) / (hi - lo), 6) AS y_scaled, round(y, 3) AS y_back FROM filled
+            """SELECT series_id, date, floor(((y - lo) / (hi - lo)) * 1e6 + 0.381966e0) / 1e6 AS y_scaled, floor((y) * 1e3 + 0.381966e0) / 1e3 AS y_back FROM filled
   JOIN (SELECT series_id, min(y) AS lo, max(y) AS hi FROM filled GROUP BY 1) USING (series_id)""", FILLED),
         "supervised_frame": lines(f"SELECT series_id, date, {r('y')}, {lag_cols}, {CALENDAR} FROM lg WHERE lag_21 IS NOT NULL", FILLED, lagged, HOLIDAYS),
         "fc_next_day": lines(f"SELECT series_id, origin, 1 AS step, origin + 1 AS target_date, {r('h6', D, 'predicted')} FROM origin", ORIGIN),
@@ -384,15 +387,15 @@ def build() -> dict[str, str]:
         "fc_lag_mean_iterative": lines(f"SELECT series_id, origin, step, origin + step AS target_date, {r('predicted')} FROM it", ORIGIN, FORECASTS),
         "fc_lag_mean_direct": lines(f"SELECT series_id, origin, step, origin + step AS target_date, {r('predicted')} FROM mu", ORIGIN, FORECASTS),
         "fc_trend": lines(
-            f"""SELECT series_id, origin, step, origin + step AS target_date, round(b + a * (origin + step - DATE '2000-01-01'), 4) AS predicted
+            f"""SELECT series_id, origin, step, origin + step AS target_date, floor((b + a * (origin + step - DATE '2000-01-01')) * 1e4 + 0.381966e0) / 1e4 AS predicted
   FROM (SELECT series_id, max(date) AS origin, regr_slope(y, date - DATE '2000-01-01') AS a, regr_intercept(y, date - DATE '2000-01-01') AS b FROM filled GROUP BY 1), steps
   WHERE step <= {HORIZON.format('origin')}""", FILLED, STEPS),
         "trend_line": lines(
-            """SELECT series_id, date, round(a, 4) AS slope, round(b + a * (date - DATE '2000-01-01'), 4) AS level FROM (
+            """SELECT series_id, date, floor((a) * 1e4 + 0.381966e0) / 1e4 AS slope, floor((b + a * (date - DATE '2000-01-01')) * 1e4 + 0.381966e0) / 1e4 AS level FROM (
   SELECT series_id, date, regr_slope(y, date - DATE '2000-01-01') OVER w AS a, regr_intercept(y, date - DATE '2000-01-01') OVER w AS b, count(*) OVER w AS n FROM filled
   WINDOW w AS (PARTITION BY series_id ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) WHERE n > 1""", FILLED),
         "holdout_last_day": lines(
-            """SELECT series_id, date AS target_date, round(p, 4) AS predicted, round(y, 4) AS actual, round(abs(p - y), 4) AS abs_error, round(abs(p - y) / y * 100.0, 4) AS pct_error
+            """SELECT series_id, date AS target_date, floor((p) * 1e4 + 0.381966e0) / 1e4 AS predicted, floor((y) * 1e4 + 0.381966e0) / 1e4 AS actual, floor((abs(p - y)) * 1e4 + 0.381966e0) / 1e4 AS abs_error, floor((abs(p - y) / y * 100.0) * 1e4 + 0.381966e0) / 1e4 AS pct_error
   FROM (SELECT *, (lag_1 + lag_2 + lag_3 + lag_4 + lag_5 + lag_6 + lag_7 + lag_14 + lag_21) / 9 AS p FROM lg)
   JOIN (SELECT series_id, max(date) AS date FROM filled GROUP BY 1) USING (series_id, date)""", FILLED, lagged),
         "backtest_cutoffs": lines("SELECT series_id, train_end, cutoff_rank, horizon FROM cuts", FILLED, CUTS),
@@ -416,28 +419,28 @@ def build() -> dict[str, str]:
         "hybrid_sweep": sweep(),
         "hybrid_sweep_calibrated": sweep(bias="global"),
         "hybrid_sweep_by_series": sweep("series_id", bias="own"),
-        "global_bias": lines("SELECT series_id, round(-avg(error), 3) AS bias FROM detail WHERE mode = 'iterative' GROUP BY 1", DETAIL),
+        "global_bias": lines("SELECT series_id, floor((-avg(error)) * 1e3 + 0.381966e0) / 1e3 AS bias FROM detail WHERE mode = 'iterative' GROUP BY 1", DETAIL),
         "bias_by_weekday": lines(
-            """SELECT d::INT AS weekday, coalesce(round(-avg(error), 3), 0) AS bias FROM (SELECT unnest(generate_series(0, 6)) AS d)
+            """SELECT d::INT AS weekday, coalesce(floor((-avg(error)) * 1e3 + 0.381966e0) / 1e3, 0) AS bias FROM (SELECT unnest(generate_series(0, 6)) AS d)
   LEFT JOIN (SELECT * FROM detail WHERE mode = 'iterative') ON isodow(target_date) - 1 = d GROUP BY 1""", DETAIL),
         "bias_by_weekday_series": lines(
-            """SELECT k.series_id, d::INT AS weekday, coalesce(round(-avg(error), 3), 0) AS bias
+            """SELECT k.series_id, d::INT AS weekday, coalesce(floor((-avg(error)) * 1e3 + 0.381966e0) / 1e3, 0) AS bias
   FROM (SELECT DISTINCT series_id FROM detail) k, (SELECT unnest(generate_series(0, 6)) AS d)
   LEFT JOIN (SELECT * FROM detail WHERE mode = 'iterative') t ON isodow(t.target_date) - 1 = d AND t.series_id = k.series_id GROUP BY 1, 2""".replace(
                 "FROM (SELECT DISTINCT series_id FROM detail) k, (SELECT unnest(generate_series(0, 6)) AS d)",
                 "FROM (SELECT series_id, d FROM (SELECT DISTINCT series_id FROM detail), (SELECT unnest(generate_series(0, 6)) AS d)) k"), DETAIL),
         "bias_before_cutoff": lines(
-            """SELECT c.series_id, c.train_end, d::INT AS weekday, coalesce(round(-avg(t.error), 3), 0) AS bias
+            """SELECT c.series_id, c.train_end, d::INT AS weekday, coalesce(floor((-avg(t.error)) * 1e3 + 0.381966e0) / 1e3, 0) AS bias
   FROM (SELECT * FROM (SELECT DISTINCT series_id, train_end FROM detail WHERE mode = 'iterative'), (SELECT unnest(generate_series(0, 6)) AS d)) c
   LEFT JOIN (SELECT * FROM detail WHERE mode = 'iterative') t
     ON t.series_id = c.series_id AND t.target_date <= c.train_end AND isodow(t.target_date) - 1 = d GROUP BY 1, 2, 3""", DETAIL),
         "apply_bias": lines(
             """SELECT t.series_id, t.train_end, t.mode, t.target_date, t.step,
-  round(t.predicted + CASE WHEN t.mode = 'iterative' THEN coalesce(wb.bias, 0) ELSE 0 END, 3) AS predicted FROM detail t
+  floor((t.predicted + CASE WHEN t.mode = 'iterative' THEN coalesce(wb.bias, 0) ELSE 0 END) * 1e3 + 0.381966e0) / 1e3 AS predicted FROM detail t
   LEFT JOIN (SELECT series_id, isodow(target_date) AS wd, -avg(error) AS bias FROM detail WHERE mode = 'iterative' GROUP BY 1, 2) wb
   ON wb.series_id = t.series_id AND wb.wd = isodow(t.target_date)""", DETAIL),
         "apply_bias_override": lines(
-            """SELECT series_id, train_end, mode, target_date, round(predicted + CASE WHEN mode = 'iterative' THEN 125.5 ELSE 0 END, 3) AS predicted FROM detail""", DETAIL),
+            """SELECT series_id, train_end, mode, target_date, floor((predicted + CASE WHEN mode = 'iterative' THEN 125.5 ELSE 0 END) * 1e3 + 0.381966e0) / 1e3 AS predicted FROM detail""", DETAIL),
         "best_switch": lines("SELECT switch FROM bs", DETAIL, best_sql()),
         "best_switch_by_series": lines("SELECT series_id, switch FROM bs", DETAIL, best_sql("series_id", "own")),
         "compose_hybrid": lines(
@@ -454,13 +457,13 @@ def build() -> dict[str, str]:
             f"SELECT series_id, origin, step, target_date, switch, {r('predicted')} FROM hybrid", ORIGIN, FORECASTS,
             hybrid(f"greatest(1, {HORIZON.format('it.origin')} // 2)")),
         "error_box": lines(
-            """SELECT mode, step, count(error) AS count, round(any_value(q1), 3) AS q1, round(any_value(median), 3) AS median, round(any_value(q3), 3) AS q3,
-  round(min(error) FILTER (error BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)), 3) AS whisker_low,
-  round(max(error) FILTER (error BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)), 3) AS whisker_high
+            """SELECT mode, step, count(error) AS count, floor((any_value(q1)) * 1e3 + 0.381966e0) / 1e3 AS q1, floor((any_value(median)) * 1e3 + 0.381966e0) / 1e3 AS median, floor((any_value(q3)) * 1e3 + 0.381966e0) / 1e3 AS q3,
+  floor((min(error) FILTER (error BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1))) * 1e3 + 0.381966e0) / 1e3 AS whisker_low,
+  floor((max(error) FILTER (error BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1))) * 1e3 + 0.381966e0) / 1e3 AS whisker_high
   FROM detail JOIN (SELECT mode, step, quantile_cont(error, 0.25) AS q1, quantile_cont(error, 0.5) AS median, quantile_cont(error, 0.75) AS q3 FROM detail GROUP BY 1, 2)
   USING (mode, step) GROUP BY 1, 2""", DETAIL),
         "residuals": lines(
-            """SELECT series_id, mode, train_end, target_date, step, round(predicted - actual, 4) AS residual FROM detail WHERE mode IN ('iterative', 'multi')""", DETAIL),
+            """SELECT series_id, mode, train_end, target_date, step, floor((predicted - actual) * 1e4 + 0.381966e0) / 1e4 AS residual FROM detail WHERE mode IN ('iterative', 'multi')""", DETAIL),
         "latest_prediction": lines("SELECT * FROM latest", LOG, LATEST),
         "week_build": lines("SELECT * FROM wk", WEEKLY),
         "week_missing_days": lines(
@@ -497,7 +500,7 @@ def build() -> dict[str, str]:
             """SELECT series_id, strftime(min(date), '%Y-%m-%d') || ' to ' || strftime(max(date), '%Y-%m-%d') AS period,
   CASE WHEN count(*) = 7 THEN 'complete_week' ELSE 'partial_period' END AS period_type,
   CASE WHEN bool_or(has_mixed_data) THEN 'mixed' ELSE 'predictions_only' END AS data_mix, count(*)::INT AS num_days,
-  round_even(avg(ridership), 0)::BIGINT AS daily_average_ridership, round_even(sum(ridership), 0)::BIGINT AS total_period_ridership, calculation_date
+  round_even(round(avg(ridership), 6), 0)::BIGINT AS daily_average_ridership, round_even(round(sum(ridership), 6), 0)::BIGINT AS total_period_ridership, calculation_date
   FROM wr, (SELECT unnest([DATE '2024-02-01', DATE '2024-02-02']) AS calculation_date) GROUP BY series_id, calculation_date""", WEEKLY, WEEK_ROWS),
         "weather_observations": lines(
             f"SELECT station_id, date, {shown(['tmax_f', 'tmin_f', 'prcp_in', 'snow_in'])} FROM obs WHERE date BETWEEN '1996-01-01' AND '2000-12-31'", STATIONS, observed()),
@@ -541,12 +544,12 @@ def build() -> dict[str, str]:
         "weekly_forecast": lines(
             f"""SELECT series_id, strftime(min(date), '%Y-%m-%d') || ' to ' || strftime(max(date), '%Y-%m-%d') AS period, 'complete_week' AS period_type,
   CASE WHEN bool_or(tag = 'actual') THEN 'mixed' ELSE 'predictions_only' END AS data_mix, 7 AS num_days,
-  round_even(avg(v), 0)::BIGINT AS daily_average_ridership, round_even(sum(v), 0)::BIGINT AS total_period_ridership, DATE '2024-02-01' AS calculation_date
+  round_even(round(avg(v), 6), 0)::BIGINT AS daily_average_ridership, round_even(round(sum(v), 6), 0)::BIGINT AS total_period_ridership, DATE '2024-02-01' AS calculation_date
   FROM days7 WHERE v IS NOT NULL GROUP BY series_id HAVING count(*) = 7""", WEEKLY_JOB,
             """sp7 AS (SELECT series_id, date_trunc('week', max(target_date))::DATE + k::INT AS date FROM hybrid, (SELECT unnest(generate_series(0, 6)) AS k) GROUP BY series_id, k),
 days7 AS (SELECT p.series_id, p.date, coalesce(h.predicted, s.y) AS v, CASE WHEN h.predicted IS NULL THEN 'actual' ELSE 'predicted' END AS tag
   FROM sp7 p LEFT JOIN hybrid h ON h.series_id = p.series_id AND h.target_date = p.date LEFT JOIN so s ON s.series_id = p.series_id AND s.date = p.date)"""),
-        "weekly_forecast_log": lines("SELECT series_id, target_date, round(predicted, 3) AS predicted FROM hybrid", WEEKLY_JOB),
+        "weekly_forecast_log": lines("SELECT series_id, target_date, floor((predicted) * 1e3 + 0.381966e0) / 1e3 AS predicted FROM hybrid", WEEKLY_JOB),
         "log_append": lines(
             f"""SELECT series_id, origin + step AS target_date, {r('predicted')}, predicted_at FROM it,
   (SELECT unnest([TIMESTAMP '2024-01-01 08:00:00', TIMESTAMP '2024-02-01 12:00:00']) AS predicted_at)""", ORIGIN, FORECASTS),

@@ -9,12 +9,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 
-def file_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet", per_trigger: int | None = None) -> DataFrame:
-    """Files of a folder (or one path) as a stream; the schema is declared."""
+def file_stream(
+    spark: SparkSession, folder: str, schema, fmt: str = "parquet", files: str | None = None, per_trigger: int | None = None
+) -> DataFrame:
+    """Files of a folder as a stream, ``files`` a name pattern; the schema is declared."""
     reader = spark.readStream.format(fmt).schema(schema)
+    if files:
+        reader = reader.option("pathGlobFilter", files)
     if per_trigger:
         reader = reader.option("maxFilesPerTrigger", per_trigger)
-    return reader.load(path)
+    return reader.load(folder)
 
 
 def parse_messages(messages: DataFrame, column: str, schema: str, keep: Sequence[str] = ()) -> DataFrame:
