@@ -2,21 +2,22 @@
 
 Everything a cutoff needs (its rank, history, horizon and the values observed in
 the days after it) is a window over the same series partition, so a backtest is
-one exchange of daily rows: no join of cutoffs to history, no join to actuals.
+one exchange and one sort of the known days: no join of cutoffs to history, none
+to actuals, and no filling of whole series.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+from pyspark.sql.window import Window, WindowSpec
 
 from tidecast.functions.dates import days_to_sunday
 from tidecast.operators.forecast import HISTORY, mode_path
 from tidecast.operators.models import HistoryModel
-from tidecast.operators.series import KEYS
+from tidecast.operators.series import KEYS, daily_values
 
 MAX_STEPS = 7
 
@@ -33,58 +34,81 @@ DETAIL_COLUMNS = (
 )
 
 
-def mark_cutoffs(filled: DataFrame, keys: Sequence[str] = KEYS, warmup: int = 30, newest: int = 10) -> DataFrame:
+def _newest_first(keys: Sequence[str]) -> WindowSpec:
+    return Window.partitionBy(*keys).orderBy(F.col("date").desc())
+
+
+def _everything(keys: Sequence[str]) -> WindowSpec:
+    """The whole series, in the order of the other windows so that one sort serves all."""
+    return _newest_first(keys).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+
+
+def mark_cutoffs(
+    daily: DataFrame,
+    keys: Sequence[str] = KEYS,
+    warmup: int = 30,
+    newest: int = 10,
+    observed: Column | None = None,
+) -> DataFrame:
     """Add ``cutoff_rank`` (1 = newest) to the rows that are backtest cutoffs, null elsewhere.
 
     A cutoff is an observed date at least ``warmup`` days after the first one
-    whose coming Sunday is not past the last one.
+    whose coming Sunday is not past the last one. ``observed`` tells observed rows
+    from filled ones where ``daily`` has both.
     """
-    whole = Window.partitionBy(*keys)
-    newest_first = whole.orderBy(F.col("date").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    first, last = F.min("date").over(whole), F.max("date").over(whole)
-    candidate = (
-        ~F.col("is_filled")
-        & (F.col("date") >= F.date_add(first, warmup))
-        & (F.date_add("date", days_to_sunday(F.col("date"))) <= last)
+    first, last = F.min("date").over(_everything(keys)), F.max("date").over(_everything(keys))
+    candidate = (F.col("date") >= F.date_add(first, warmup)) & (
+        F.date_add("date", days_to_sunday(F.col("date"))) <= last
     )
-    rank = F.sum(F.col("_candidate").cast("int")).over(newest_first)
+    if observed is not None:
+        candidate = candidate & observed
+    running = _newest_first(keys).rowsBetween(Window.unboundedPreceding, 0)
     return (
-        filled.withColumn("_candidate", candidate)
-        .withColumn("_rank", rank)
+        daily.withColumn("_candidate", candidate)
+        .withColumn("_rank", F.count_if("_candidate").over(running))
         .withColumn("cutoff_rank", F.when(F.col("_candidate") & (F.col("_rank") <= newest), F.col("_rank").cast("int")))
         .drop("_candidate", "_rank")
     )
 
 
-def cutoffs(filled: DataFrame, keys: Sequence[str] = KEYS, warmup: int = 30, newest: int = 10) -> DataFrame:
-    marked = mark_cutoffs(filled, keys, warmup, newest)
+def cutoffs(daily: DataFrame, keys: Sequence[str] = KEYS, warmup: int = 30, newest: int = 10) -> DataFrame:
+    marked = mark_cutoffs(daily, keys, warmup, newest)
     return marked.where(F.col("cutoff_rank").isNotNull()).select(
         *keys, F.col("date").alias("train_end"), "cutoff_rank", days_to_sunday(F.col("date")).alias("horizon")
     )
 
 
-def cutoff_rows(filled: DataFrame, keys: Sequence[str] = KEYS, warmup: int = 30, newest: int = 10) -> DataFrame:
-    """One row per cutoff: ``origin``, ``horizon``, ``hist`` and ``ahead`` (observed values after it, null on filled days).
+def cutoff_rows(daily: DataFrame, keys: Sequence[str] = KEYS, warmup: int = 30, newest: int = 10) -> DataFrame:
+    """One row per cutoff: ``origin``, ``horizon``, ``hist`` and ``ahead``, the known (date, y) right after it.
 
-    Rows older than the history of the oldest cutoff are dropped before the
-    history windows run.
+    Works on known days; gaps are interpolated only inside each cutoff's own
+    history. As a cutoff is a known day, that equals filling the series cut there.
+    Rows that no cutoff looks at are dropped before histories are collected.
+    ``hist`` is empty where the series is too short.
     """
-    whole = Window.partitionBy(*keys)
-    order = whole.orderBy("date")
-    marked = mark_cutoffs(filled, keys, warmup, newest)
-    oldest = F.min(F.when(F.col("cutoff_rank").isNotNull(), F.col("date"))).over(whole)
-    near = marked.withColumn("_oldest", oldest).where(F.col("date") > F.date_sub("_oldest", HISTORY))
-    seen = F.when(~F.col("is_filled"), F.col("y"))
+    order = _newest_first(keys)
+    row = F.row_number().over(order)
+    marked = mark_cutoffs(daily.where(F.col("y").isNotNull()), keys, warmup, newest).withColumn("_row", row)
+    oldest = F.max(F.when(F.col("cutoff_rank").isNotNull(), F.col("_row"))).over(_everything(keys))
+    near = marked.withColumn("_oldest", oldest).where(F.col("_row") < F.col("_oldest") + HISTORY)
+    known = F.struct("date", "y")
     return (
         near.select(
             *keys,
             F.col("date").alias("origin"),
             "cutoff_rank",
-            F.collect_list("y").over(order.rowsBetween(-(HISTORY - 1), 0)).alias("hist"),
-            F.array(*[F.lead(seen, k).over(order) for k in range(1, MAX_STEPS + 1)]).alias("ahead"),
+            F.collect_list(known).over(order.rowsBetween(0, HISTORY - 1)).alias("_past"),
+            F.array(*[F.lag(known, k).over(order) for k in range(1, MAX_STEPS + 1)]).alias("ahead"),
+        )
+        .where(F.col("cutoff_rank").isNotNull())
+        .select(
+            *keys,
+            "origin",
+            "cutoff_rank",
+            days_to_sunday(F.col("origin")).alias("horizon"),
+            daily_values(F.reverse("_past"), HISTORY).alias("hist"),
+            "ahead",
         )
-        .where(F.col("cutoff_rank").isNotNull() & (F.size("hist") == HISTORY))
-        .withColumn("horizon", days_to_sunday(F.col("origin")))
     )
 
 
@@ -105,7 +129,7 @@ def score_predictions(predictions: DataFrame, actuals: DataFrame, keys: Sequence
 
 
 def run(
-    filled: DataFrame,
+    daily: DataFrame,
     models: dict[str, HistoryModel],
     keys: Sequence[str] = KEYS,
     warmup: int = 30,
@@ -116,18 +140,20 @@ def run(
     runs = F.array(
         *[F.struct(F.lit(mode).alias("mode"), mode_path(mode, m, steps).alias("path")) for mode, m in models.items()]
     )
+    target = F.date_add("train_end", F.col("_pos") + 1)
     rows = (
-        cutoff_rows(filled, keys, warmup, newest)
+        cutoff_rows(daily, keys, warmup, newest)
+        .where(F.size("hist") == HISTORY)
         .select(*keys, F.col("origin").alias("train_end"), "ahead", F.explode(runs).alias("_run"))
         .select(*keys, "train_end", "_run.mode", "ahead", F.posexplode("_run.path").alias("_pos", "predicted"))
         .select(
             *keys,
             "train_end",
             "mode",
-            F.date_add("train_end", F.col("_pos") + 1).alias("target_date"),
+            target.alias("target_date"),
             (F.col("_pos") + 1).alias("step"),
             "predicted",
-            F.get("ahead", F.col("_pos")).alias("actual"),
+            F.get(F.filter("ahead", lambda known: known["date"] == target), F.lit(0))["y"].alias("actual"),
         )
         .where(F.col("actual").isNotNull())
     )
@@ -135,21 +161,20 @@ def run(
 
 
 def skipped(
-    filled: DataFrame,
+    daily: DataFrame,
     modes: Sequence[str] = ("single", "multi", "iterative"),
     keys: Sequence[str] = KEYS,
     warmup: int = 30,
     newest: int = 10,
 ) -> DataFrame:
     """(cutoff, mode) pairs that cannot be run, with the reason; the others are unaffected."""
-    order = Window.partitionBy(*keys).orderBy("date")
-    numbered = filled.withColumn("_n", F.row_number().over(order))
-    short = mark_cutoffs(numbered, keys, warmup, newest).where(
-        F.col("cutoff_rank").isNotNull() & (F.col("_n") < HISTORY)
-    )
-    return short.select(
-        *keys,
-        F.col("date").alias("train_end"),
-        F.explode(F.array(*[F.lit(m) for m in modes])).alias("mode"),
-        F.lit(f"fewer than {HISTORY} days of history").alias("reason"),
+    return (
+        cutoff_rows(daily, keys, warmup, newest)
+        .where(F.size("hist") < HISTORY)
+        .select(
+            *keys,
+            F.col("origin").alias("train_end"),
+            F.explode(F.array(*[F.lit(m) for m in modes])).alias("mode"),
+            F.lit(f"fewer than {HISTORY} days of history").alias("reason"),
+        )
     )

@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tidecast.functions.dates import days_to_sunday
 from tidecast.operators.models import HistoryModel, direct_path, iterated_path, trend_fit, trend_value
@@ -20,10 +19,13 @@ def horizons(daily: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     return daily.groupBy(*keys).agg(F.max("date").alias("origin")).withColumn("horizon", days_to_sunday(F.col("origin")))
 
 
-def origins(filled: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
-    """One row per series with ``origin``, ``hist`` and ``horizon``; short series are left out."""
+def origins(daily: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+    """One row per series with ``origin``, ``hist`` and ``horizon``; short series are left out.
+
+    ``daily`` holds the known days; filled ones may be there too.
+    """
     return (
-        newest_history(filled, HISTORY, keys)
+        newest_history(daily, HISTORY, keys)
         .where(F.size("hist") == HISTORY)
         .withColumn("horizon", days_to_sunday(F.col("origin")))
     )
@@ -72,9 +74,9 @@ def forecast_trend(filled: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     return steps.select(*keys, "origin", "step", target.alias("target_date"), trend_value(target).alias("predicted"))
 
 
-def holdout_last_day(filled: DataFrame, model: HistoryModel, keys: Sequence[str] = KEYS) -> DataFrame:
+def holdout_last_day(daily: DataFrame, model: HistoryModel, keys: Sequence[str] = KEYS) -> DataFrame:
     """Hide each series' last day, forecast it from the rest, and score it."""
-    newest = newest_history(filled, HISTORY + 1, keys).where(F.size("hist") == HISTORY + 1)
+    newest = newest_history(daily, HISTORY + 1, keys).where(F.size("hist") == HISTORY + 1)
     actual = F.element_at("hist", -1)
     return newest.select(
         *keys,
@@ -137,8 +139,3 @@ def latest_at_or_before(frame: DataFrame, date: str, day: Column, keys: Sequence
         .select(*keys, "_row.*")
     )
 
-
-def with_series_window_cut(filled: DataFrame, n: int, keys: Sequence[str] = KEYS) -> DataFrame:
-    """Newest ``n`` rows of each series."""
-    newest_first = Window.partitionBy(*keys).orderBy(F.col("date").desc())
-    return filled.withColumn("_r", F.row_number().over(newest_first)).where(F.col("_r") <= n).drop("_r")

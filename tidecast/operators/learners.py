@@ -72,7 +72,7 @@ def learner_frame(filled: DataFrame, keys: Sequence[str] = KEYS, warmup: int = 3
     order = whole.orderBy("date")
     upto = order.rowsBetween(Window.unboundedPreceding, 0)
     seen = F.when(~F.col("is_filled"), F.col("y"))
-    frame = mark_cutoffs(filled, keys, warmup, newest).select(
+    frame = mark_cutoffs(filled, keys, warmup, newest, ~F.col("is_filled")).select(
         *keys,
         "date",
         "y",

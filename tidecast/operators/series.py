@@ -123,23 +123,47 @@ def with_lags(
     return daily.select("*", *[F.lag("y", k).over(order).alias(f"{prefix}{k}") for k in lags])
 
 
-def newest_history(
-    daily: DataFrame, length: int = max(TARGET_LAGS), keys: Sequence[str] = KEYS, extra: Sequence[str] = ()
-) -> DataFrame:
-    """One row per series: ``origin`` (newest date) and ``hist``, its newest values, oldest first.
+def daily_values(past: Column, length: int) -> Column:
+    """The newest ``length`` daily values of an array of known (date, y), oldest first, gaps interpolated.
 
-    The rank filter keeps ``length`` rows per series before anything is
-    collected, so the array never exceeds ``length``. ``extra`` columns are taken
-    from the newest row.
+    The array ends at the day wanted last. Each neighbouring pair gives the days
+    from its first to just before its second; pairs older than needed are left
+    out and long gaps give only their newest days. A history that does not reach
+    back far enough gives an empty array.
+    """
+    end = F.element_at(past, -1)
+    pairs = F.zip_with(
+        F.slice(past, 1, F.size(past) - 1),
+        F.slice(past, 2, F.size(past) - 1),
+        lambda a, b: F.struct(a.alias("a"), b.alias("b")),
+    )
+    near = F.filter(pairs, lambda p: p["b"]["date"] > F.date_sub(end["date"], length - 1))
+
+    def between(p: Column) -> Column:
+        gap = F.date_diff(p["b"]["date"], p["a"]["date"])
+        first = F.greatest(F.lit(0), gap - length)
+        return F.transform(
+            F.sequence(first, gap - 1),
+            lambda j: F.when(j == 0, p["a"]["y"]).otherwise(p["a"]["y"] + (p["b"]["y"] - p["a"]["y"]) * j / gap),
+        )
+
+    days = F.concat(F.flatten(F.transform(near, between)), F.array(end["y"]))
+    return F.slice(days, -length, length)
+
+
+def newest_history(daily: DataFrame, length: int = max(TARGET_LAGS), keys: Sequence[str] = KEYS) -> DataFrame:
+    """One row per series: ``origin`` (newest date) and ``hist``, its newest ``length`` daily values, oldest first.
+
+    Works on known days only: ``length`` known days always reach back ``length``
+    days, so older rows are cut by rank before anything is collected and no
+    series is filled in full. A series that is too short has an empty ``hist``.
     """
     newest_first = Window.partitionBy(*keys).orderBy(F.col("date").desc())
     return (
-        daily.withColumn("_rank", F.row_number().over(newest_first))
+        daily.where(F.col("y").isNotNull())
+        .withColumn("_rank", F.row_number().over(newest_first))
         .where(F.col("_rank") <= length)
         .groupBy(*keys)
-        .agg(
-            F.max("date").alias("origin"),
-            F.transform(F.array_sort(F.collect_list(F.struct("date", "y"))), lambda p: p["y"]).alias("hist"),
-            *[F.max_by(c, "date").alias(c) for c in extra],
-        )
+        .agg(F.array_sort(F.collect_list(F.struct("date", "y"))).alias("_past"))
+        .select(*keys, F.element_at("_past", -1)["date"].alias("origin"), daily_values(F.col("_past"), length).alias("hist"))
     )

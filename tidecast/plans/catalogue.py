@@ -119,7 +119,7 @@ def event_trades(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def detail(spark: SparkSession, sf: str) -> DataFrame:
-    return bt.run(filled_orders(spark, sf), MODELS)
+    return bt.run(order_days(spark, sf), MODELS)
 
 
 # ---- cleaning and scalar functions -----------------------------------------
@@ -221,7 +221,7 @@ def actuals_on_days(spark, sf):
 def log_append(spark, sf):
     """Two appends to a CSV prediction log, read back."""
     path = fresh_folder(spark, "log")
-    rows = fc.forecast(fc.origins(filled_orders(spark, sf)), {"iterative": ITERATIVE})
+    rows = fc.forecast(fc.origins(order_days(spark, sf)), {"iterative": ITERATIVE})
     for as_of in ("2024-01-01 08:00:00", RUN_TIME):
         sinks.append_predictions(rows, path, F.lit(as_of), fmt="csv")
     return shown(tables.prediction_log(spark, path, "csv"), "predicted").withColumn(
@@ -338,7 +338,7 @@ def supervised_frame(spark, sf):
 
 
 def _forecast(spark, sf, mode, model):
-    rows = fc.forecast(fc.origins(filled_orders(spark, sf)), {mode: model})
+    rows = fc.forecast(fc.origins(order_days(spark, sf)), {mode: model})
     return shown(rows.drop("mode"), "predicted")
 
 
@@ -376,7 +376,7 @@ def trend_line(spark, sf):
 
 @query
 def holdout_last_day(spark, sf):
-    return shown(fc.holdout_last_day(filled_orders(spark, sf), ITERATIVE), "predicted", "actual", "abs_error", "pct_error")
+    return shown(fc.holdout_last_day(order_days(spark, sf), ITERATIVE), "predicted", "actual", "abs_error", "pct_error")
 
 
 # ---- backtest and calibration ----------------------------------------------
@@ -384,7 +384,7 @@ def holdout_last_day(spark, sf):
 
 @query
 def backtest_cutoffs(spark, sf):
-    return bt.cutoffs(filled_orders(spark, sf))
+    return bt.cutoffs(order_days(spark, sf))
 
 
 @query
@@ -401,14 +401,14 @@ def backtest_customers(spark, sf):
         F.col("o_custkey").alias("series_id"), F.to_date("o_orderdate").alias("date"), cents(F.col("o_totalprice")).alias("c")
     )
     daily = series.daily_totals(rows, F.col("c")).withColumn("y", F.col("y") / 100.0)
-    run = bt.run(series.fill_gaps(daily), MODELS)
+    run = bt.run(daily, MODELS)
     return shown(run.drop("squared_error"), "predicted", "actual", "error", "abs_error")
 
 
 @query
 def backtest_skipped(spark, sf):
     """Cutoffs without enough history when the warm-up is short."""
-    return bt.skipped(filled_orders(spark, sf), warmup=0, newest=5000)
+    return bt.skipped(order_days(spark, sf), warmup=0, newest=5000)
 
 
 @query
@@ -518,7 +518,7 @@ def best_switch_by_series(spark, sf):
 
 
 def _hybrid(spark, sf, switch):
-    rows = fc.forecast(fc.origins(filled_orders(spark, sf)), {"iterative": ITERATIVE, "multi": MULTI})
+    rows = fc.forecast(fc.origins(order_days(spark, sf)), {"iterative": ITERATIVE, "multi": MULTI})
     both = fc.compose_hybrid(rows.where("mode = 'iterative'"), rows.where("mode = 'multi'"), switch)
     return shown(both, "predicted")
 
@@ -842,7 +842,7 @@ def weekly_forecast_log(spark, sf):
 @query
 def output_checks(spark, sf):
     daily = order_days(spark, sf)
-    predictions = fc.forecast(fc.origins(series.fill_gaps(daily)), {"iterative": ITERATIVE})
+    predictions = fc.forecast(fc.origins(daily), {"iterative": ITERATIVE})
     return quality_checks(daily, predictions, "2001-08-05")
 
 

@@ -56,20 +56,21 @@ def weekly_run(
     pooled = _uses_learners(models)
     path = {name: f"{base}/{name}" for name in ("series", "backtest", "bias", "switch", "predictions", "weekly", "summary")}
 
-    overwrite_table(fill_gaps(daily, keys), path["series"])
-    filled = spark.read.parquet(path["series"])
+    # Pooled learners train on every day; expression models look at known days only.
+    overwrite_table(fill_gaps(daily, keys) if pooled else daily.select(*keys, "date", "y").dropna(), path["series"])
+    days = spark.read.parquet(path["series"])
 
     if "backtest" not in skip:
         run = learners.backtest if pooled else bt.run
-        overwrite_table(run(filled, models, keys, warmup, newest), path["backtest"])
+        overwrite_table(run(days, models, keys, warmup, newest), path["backtest"])
     if "calibrate" not in skip:
         detail = spark.read.parquet(path["backtest"])
         overwrite_table(weekday_bias(detail, keys), path["bias"])
-        horizon = filled.groupBy(*keys).agg(days_to_sunday(F.max("date")).alias("horizon"))
+        horizon = days.groupBy(*keys).agg(days_to_sunday(F.max("date")).alias("horizon"))
         overwrite_table(best_switch(detail.join(horizon, [*keys]), keys, "horizon"), path["switch"])
     if "forecast" not in skip:
         wanted = {m: models[m] for m in ("iterative", "multi")}
-        rows = learners.forecast(filled, wanted, keys) if pooled else forecast(origins(filled, keys), wanted, keys)
+        rows = learners.forecast(days, wanted, keys) if pooled else forecast(origins(days, keys), wanted, keys)
         biases = None if bias is not None else spark.read.parquet(path["bias"])
         # The two sides of the composition read one written table, not two runs of the model plans.
         overwrite_table(apply_bias(rows, biases, keys, bias), f"{base}/steps")
@@ -81,7 +82,7 @@ def weekly_run(
         append_predictions(hybrid, path["predictions"], run_time, keys)
     if "rollup" not in skip:
         log = spark.read.parquet(path["predictions"])
-        actuals = filled.where(~F.col("is_filled")).select(*keys, "date", "y")
+        actuals = (days.where(~F.col("is_filled")) if pooled else days).select(*keys, "date", "y")
         numbers = weekly_numbers(week_days(log, actuals, keys), keys, allow_partial, log)
         overwrite_table(numbers, path["weekly"])
         numbers = spark.read.parquet(path["weekly"])
