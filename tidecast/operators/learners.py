@@ -14,7 +14,7 @@ from pyspark import inheritable_thread_target
 from pyspark.ml import Model
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressor, LinearRegression
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -80,6 +80,7 @@ def learner_frame(filled: DataFrame, keys: Sequence[str] = KEYS, warmup: int = 3
         F.max("date").over(whole).alias("last_date"),
         F.min("y").over(upto).alias("lo"),
         F.max("y").over(upto).alias("hi"),
+        calendar_array(F.col("date")).alias("calendar"),
         *[F.lag("y", k).over(order).alias(f"lag_{k}") for k in range(1, HISTORY + MAX_STEPS)],
         F.array(*[F.lead(seen, k).over(order) for k in range(1, MAX_STEPS + 1)]).alias("ahead"),
     )
@@ -94,9 +95,12 @@ def learner_frame(filled: DataFrame, keys: Sequence[str] = KEYS, warmup: int = 3
     )
 
 
-def _vector(lags: Sequence[Column], day: Column) -> Column:
-    calendar = [c.cast("double") for c in calendar_values(day)]
-    return array_to_vector(F.array(*lags, *calendar))
+def calendar_array(day: Column) -> Column:
+    return F.array(*[c.cast("double") for c in calendar_values(day)])
+
+
+def _vector(lags: Sequence[Column], calendar: Column) -> Column:
+    return array_to_vector(F.concat(F.array(*lags), calendar))
 
 
 def training_rows(frame: DataFrame, rank: int, step: int, keys: Sequence[str] = KEYS) -> DataFrame:
@@ -107,12 +111,12 @@ def training_rows(frame: DataFrame, rank: int, step: int, keys: Sequence[str] =
     deepest = F.col(f"lag_{HISTORY + step - 1}")
     lags = [scaled(F.col(f"lag_{k + step - 1}"), lo, hi) for k in TARGET_LAGS]
     return rows.where(deepest.isNotNull()).select(
-        scaled(F.col("y"), lo, hi).alias("label"), _vector(lags, F.col("date")).alias("features")
+        scaled(F.col("y"), lo, hi).alias("label"), _vector(lags, F.col("calendar")).alias("features")
     )
 
 
 def origin_rows(frame: DataFrame, rank: int, keys: Sequence[str] = KEYS) -> DataFrame:
-    """One row per series at the cutoff of a rank, with its scaled history."""
+    """One row per series at the cutoff of a rank, with its scaled history and the calendar of the days ahead."""
     here = F.col("date") == F.col("last_date") if rank == 0 else F.col("cutoff_rank") == rank
     past = [F.col(f"lag_{k}") for k in range(HISTORY - 1, 0, -1)] + [F.col("y")]
     return frame.where(here & F.col(f"lag_{HISTORY - 1}").isNotNull()).select(
@@ -122,6 +126,9 @@ def origin_rows(frame: DataFrame, rank: int, keys: Sequence[str] = KEYS) -> Data
         "lo",
         "hi",
         "ahead",
+        F.transform(
+            F.sequence(F.lit(1), F.lit(MAX_STEPS)), lambda step: calendar_array(F.date_add("date", step))
+        ).alias("calendars"),
         F.array(*[scaled(p, F.col("lo"), F.col("hi")) for p in past]).alias("hist"),
     )
 
@@ -130,17 +137,18 @@ def fit(frame: DataFrame, learner: Learner, rank: int = 0, step: int = 1, keys:
     return learner.estimator().fit(training_rows(frame, rank, step, keys))
 
 
-def _side_by_side(tasks: Sequence[Callable[[], Model]], parallelism: int) -> list[Model]:
+def _side_by_side(spark: SparkSession, tasks: Sequence[Callable[[], Model]], parallelism: int) -> list[Model]:
     """Run independent fits from a few driver threads, so that their stages overlap on the cluster."""
     if parallelism <= 1 or len(tasks) == 1:
         return [t() for t in tasks]
+    inherit = inheritable_thread_target(spark)
     with ThreadPool(min(parallelism, len(tasks))) as pool:
-        return pool.map(lambda t: inheritable_thread_target(t)(), tasks)
+        return pool.map(lambda run: run(), [inherit(t) for t in tasks])
 
 
 def _score(rows: DataFrame, model: Model, step: int) -> DataFrame:
     lags = [F.element_at("hist", -k) for k in TARGET_LAGS]
-    features = _vector(lags, F.date_add("origin", step))
+    features = _vector(lags, F.get("calendars", F.lit(step - 1)))
     return model.transform(rows.withColumn("features", features)).drop("features")
 
 
@@ -177,7 +185,7 @@ def _runs(
             tasks.append(lambda learner=learner, step=step: fit(frame, learner, rank, step, keys))
             owners.append(mode)
     models: dict[str, list[Model]] = {}
-    for mode, model in zip(owners, _side_by_side(tasks, parallelism)):
+    for mode, model in zip(owners, _side_by_side(frame.sparkSession, tasks, parallelism)):
         models.setdefault(mode, []).append(model)
     origin = origin_rows(frame, rank, keys)
     out = []
