@@ -128,3 +128,14 @@ def test_scale_of_a_constant_series(frame):
     rows = frame("y double, lo double, hi double", [(3, 3, 3), (4, 2, 6), (None, 2, 6)])
     got = [r[0] for r in rows.select(models.scaled(F.col("y"), F.col("lo"), F.col("hi"))).collect()]
     assert got == [0.0, 0.5, None]
+
+
+def test_duplicate_days_fail_a_history_too(daily):
+    twice = daily(30).unionByName(daily(1, "2024-01-28"))
+    with pytest.raises(PySparkException, match="duplicate day"):
+        series.newest_history(twice, 21).collect()
+
+
+def test_fill_sorts_once(daily):
+    plan = series.fill_gaps(daily(10))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Sort [") == 1

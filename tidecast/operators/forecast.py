@@ -99,7 +99,6 @@ def compose_hybrid(
     direct: DataFrame,
     switch: int | DataFrame | None,
     keys: Sequence[str] = KEYS,
-    fallback: Column | None = None,
 ) -> DataFrame:
     """Iterative prediction up to the switch step, direct after it.
 
@@ -112,7 +111,7 @@ def compose_hybrid(
     mu = direct.select(*on, F.col("predicted").alias("_mu"))
     both = it.join(mu, on, "left")
     horizon = days_to_sunday(F.col("origin"))
-    middle = F.greatest(F.lit(1), F.floor(horizon / 2).cast("int")) if fallback is None else fallback
+    middle = F.greatest(F.lit(1), F.floor(horizon / 2).cast("int"))
     if isinstance(switch, DataFrame):
         both = both.join(switch.select(*keys, F.col("switch").alias("_s")), [*keys], "left")
         chosen = F.coalesce(F.col("_s"), middle)

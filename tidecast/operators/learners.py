@@ -7,7 +7,7 @@ Values differ from any other tree learner's; rows, steps and dates do not.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
@@ -24,7 +24,7 @@ from tidecast.operators.calendar import calendar_values
 from tidecast.operators.forecast import HISTORY, path_rows
 from tidecast.operators.models import scaled, unscaled
 from tidecast.operators.series import KEYS, TARGET_LAGS
-from tidecast.session import shared_folder
+from tidecast.session import fresh_folder
 
 
 @dataclass(frozen=True)
@@ -53,13 +53,18 @@ class Learner:
             seed=self.seed,
         )
 
-    def with_rounds(self, rounds: int) -> Learner:
-        return replace(self, rounds=rounds)
 
-
-# Boosting rounds of the three modes in a backtest and in a forecast.
-BACKTEST_ROUNDS = {"single": 100, "iterative": 300, "multi": 300}
-FORECAST_ROUNDS = {"single": 300, "iterative": 300, "multi": 400}
+# Settings of the three modes in a backtest and in a forecast.
+BACKTEST_LEARNERS = {
+    "single": Learner(rounds=100, min_rows=20, feature_share=1.0),
+    "multi": Learner(rounds=300),
+    "iterative": Learner(rounds=300),
+}
+FORECAST_LEARNERS = {
+    "single": Learner(rounds=300),
+    "multi": Learner(rounds=400),
+    "iterative": Learner(rounds=300),
+}
 
 
 def learner_frame(filled: DataFrame, keys: Sequence[str] = KEYS, warmup: int = 30, newest: int = 10) -> DataFrame:
@@ -203,9 +208,15 @@ def _to_horizon(path: str = "path") -> Column:
 
 
 def _prepared(filled: DataFrame, keys: Sequence[str], warmup: int, newest: int) -> DataFrame:
-    """The frame is read by every fit, so it is written once to the checkpoint folder."""
-    shared_folder(filled.sparkSession)
-    return learner_frame(filled, keys, warmup, newest).checkpoint()
+    """The frame is read by every fit, so it is written once to the shared folder.
+
+    As a columnar table each fit reads just the lags of its step, and a lost
+    executor costs a re-read instead of the windows.
+    """
+    spark = filled.sparkSession
+    path = fresh_folder(spark, "learner-frame")
+    learner_frame(filled, keys, warmup, newest).write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def forecast(

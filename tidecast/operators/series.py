@@ -40,6 +40,11 @@ def between_dates(df: DataFrame, start: str | None = None, end: str | None = Non
     return df
 
 
+def duplicate_day(date: Column) -> Column:
+    """Fails the job that meets it."""
+    return F.raise_error(F.concat(F.lit("duplicate day in series: "), date.cast("string"))).cast("double")
+
+
 def fill_gaps(
     daily: DataFrame, keys: Sequence[str] = KEYS, on_duplicate: str = "error"
 ) -> DataFrame:
@@ -56,17 +61,15 @@ def fill_gaps(
     if on_duplicate == "sum":
         daily = daily_totals(daily, F.col("y"), "date", keys)
     order, whole = by_date(keys), Window.partitionBy(*keys)
-    day = F.col("date")
+    value = F.col("y").cast("double")
     if on_duplicate == "error":
-        day = F.when(
-            F.lead("date").over(order) == F.col("date"),
-            F.raise_error(F.concat(F.lit("duplicate day in series: "), F.col("date").cast("string"))).cast("date"),
-        ).otherwise(F.col("date"))
+        # The check sits on the value, so the date column keeps its sort order for the later windows.
+        value = F.when(F.lead("date").over(order) == F.col("date"), duplicate_day(F.col("date"))).otherwise(value)
     known = (
         daily.select(
             *keys,
-            day.alias("date"),
-            F.col("y").cast("double").alias("y"),
+            "date",
+            value.alias("y"),
             F.min("date").over(whole).alias("_first"),
             F.max("date").over(whole).alias("_last"),
         )
@@ -140,7 +143,8 @@ def daily_values(past: Column, length: int) -> Column:
     near = F.filter(pairs, lambda p: p["b"]["date"] > F.date_sub(end["date"], length - 1))
 
     def between(p: Column) -> Column:
-        gap = F.date_diff(p["b"]["date"], p["a"]["date"])
+        days_apart = F.date_diff(p["b"]["date"], p["a"]["date"])
+        gap = F.when(days_apart > 0, days_apart).otherwise(duplicate_day(p["a"]["date"]).cast("int"))
         first = F.greatest(F.lit(0), gap - length)
         return F.transform(
             F.sequence(first, gap - 1),

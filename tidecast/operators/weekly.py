@@ -120,8 +120,8 @@ def weekly_numbers(
         *keys, "date", "ridership", "data_type", "has_mixed_data", F.lit(True).alias("_in_week")
     )
     if allow_partial and log is not None:
-        empty = days.groupBy(*keys).agg(F.count("ridership").alias("_n")).where(F.col("_n") == 0).select(*keys)
-        rest = latest_predictions(log, keys).where(F.col("predicted").isNotNull()).join(empty, [*keys], "left_semi")
+        # Every newest prediction joins in as a fallback row; a series with week rows keeps only those.
+        rest = latest_predictions(log, keys).where(F.col("predicted").isNotNull())
         rows = rows.unionByName(
             rest.select(
                 *keys,
@@ -132,6 +132,8 @@ def weekly_numbers(
                 F.lit(False).alias("_in_week"),
             )
         )
+        has_week = F.max("_in_week").over(Window.partitionBy(*keys))
+        rows = rows.withColumn("_has_week", has_week).where(F.col("_in_week") == F.col("_has_week")).drop("_has_week")
     numbers = rows.groupBy(*keys).agg(
         F.avg("ridership").alias("daily_average"),
         F.min("date").alias("start_date"),

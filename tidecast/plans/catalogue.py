@@ -472,7 +472,9 @@ def hybrid_sweep_by_series(spark, sf):
 @query
 def global_bias(spark, sf):
     """Bias of the first table that can give one."""
-    rows = detail(spark, sf)
+    path = fresh_folder(spark, "detail")
+    sinks.overwrite_table(detail(spark, sf), path)
+    rows = tables.backtest_detail(spark, path)
     usable = tables.first_usable([None, rows.drop("actual"), rows], ("mode", "predicted", "actual"))
     return ev.global_bias_of_detail(usable, ("series_id",)).withColumn("bias", grid("bias", 3))
 

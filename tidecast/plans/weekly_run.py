@@ -33,8 +33,9 @@ def weekly_run(
     daily: DataFrame,
     base: str,
     as_of: str,
-    models: dict[str, HistoryModel] | dict[str, learners.Learner],
+    models: dict[str, HistoryModel] | dict[str, learners.Learner] = learners.FORECAST_LEARNERS,
     *,
+    backtest_models: dict[str, HistoryModel] | dict[str, learners.Learner] | None = None,
     keys: Sequence[str] = KEYS,
     skip: Sequence[str] = (),
     switch: int | None = None,
@@ -46,12 +47,15 @@ def weekly_run(
     """Run the stages over daily rows (keys, date, y) and return the tables written under ``base``.
 
     ``models`` maps single, multi and iterative to expression models or pooled
-    learners. ``switch`` and ``bias`` override the calibration. The first failing
+    learners, by default the documented learners with their own backtest settings.
+    ``backtest_models`` may differ from ``models``. ``switch`` and ``bias`` override the calibration. The first failing
     stage stops the run.
     """
     unknown = set(skip) - set(STAGES)
     if unknown:
         raise ValueError(f"unknown stages: {sorted(unknown)}")
+    if backtest_models is None:
+        backtest_models = learners.BACKTEST_LEARNERS if models is learners.FORECAST_LEARNERS else models
     run_time = F.lit(as_of).cast("timestamp")
     pooled = _uses_learners(models)
     path = {name: f"{base}/{name}" for name in ("series", "backtest", "bias", "switch", "predictions", "weekly", "summary")}
@@ -62,7 +66,7 @@ def weekly_run(
 
     if "backtest" not in skip:
         run = learners.backtest if pooled else bt.run
-        overwrite_table(run(days, models, keys, warmup, newest), path["backtest"])
+        overwrite_table(run(days, backtest_models, keys, warmup, newest), path["backtest"])
     if "calibrate" not in skip:
         detail = spark.read.parquet(path["backtest"])
         overwrite_table(weekday_bias(detail, keys), path["bias"])
