@@ -9,6 +9,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,6 +36,7 @@ WINDOW_FEATURES = tuple(
     for suffix in (*[f"l{k}" for k in LAGS], *[f"{s}{n}" for n in WINDOWS for s in ("ma", "std")])
 )
 FEATURES = (*WINDOW_FEATURES, *SEASON, *STREAKS)
+REACH = max(*LAGS, *[n - 1 for n in WINDOWS])  # the oldest row a feature reads
 
 
 def observations(raw: DataFrame, start: str | None = None, end: str | None = None, keys: Sequence[str] = STATION) -> DataFrame:
@@ -62,18 +64,34 @@ def season_columns(day: Column) -> list[Column]:
     return [F.sin(angle).alias("doy_sin"), F.cos(angle).alias("doy_cos"), F.month(day).alias("month")]
 
 
-def lag_and_rolling_columns(keys: Sequence[str] = STATION) -> list[Column]:
-    """Row lags, and mean and sample deviation over full windows that include the current row."""
+def with_lags_and_rolling(df: DataFrame, keys: Sequence[str] = STATION) -> DataFrame:
+    """Row lags, and mean and sample deviation over full windows that include the current row.
+
+    A rolling value is arithmetic over lags, so a missing or null row makes it
+    null, and each window is one pass of offset reads. The sums run over
+    differences to the current row, shared by the growing windows: the row is in
+    every window, so that loses no precision. One measure at a time keeps the
+    generated code of a stage small enough to be compiled to machine code.
+    """
     order = Window.partitionBy(*keys).orderBy("date")
-    out = []
     for m in MEASURES:
-        out += [F.lag(m, k).over(order).alias(f"{m}_l{k}") for k in LAGS]
-        for n in WINDOWS:
-            frame = order.rowsBetween(-(n - 1), 0)
-            full = F.count(m).over(frame) == n
-            out.append(F.when(full, F.avg(m).over(frame)).alias(f"{m}_ma{n}"))
-            out.append(F.when(full, F.stddev_samp(m).over(frame)).alias(f"{m}_std{n}"))
-    return out
+        apart = df.select("*", *[(F.lag(m, k).over(order) - F.col(m)).alias(f"_{k}") for k in range(1, REACH + 1)])
+        sums = []
+        for before, n in zip((1, *WINDOWS), WINDOWS):
+            added = [F.col(f"_{k}") for k in range(before, n)]
+            sums.append(reduce(add, added).alias(f"_e{n}"))
+            sums.append(reduce(add, [d * d for d in added]).alias(f"_q{n}"))
+        lags = [F.lag(m, k).over(order).alias(f"{m}_l{k}") for k in LAGS]
+        out = []
+        for i, n in enumerate(WINDOWS):
+            e = reduce(add, [F.col(f"_e{w}") for w in WINDOWS[: i + 1]])
+            q = reduce(add, [F.col(f"_q{w}") for w in WINDOWS[: i + 1]])
+            spread = F.greatest(q - e * e / n, F.lit(0.0))
+            out.append((F.col(m) + e / n).alias(f"{m}_ma{n}"))
+            out.append(F.when(e.isNotNull(), F.sqrt(spread / (n - 1))).alias(f"{m}_std{n}"))
+        named = [f"{m}_l{k}" for k in LAGS]
+        df = apart.select(*df.columns, *lags, *sums).select(*df.columns, *named, *out)
+    return df
 
 
 def streak(holds: Column, keys: Sequence[str] = STATION) -> Column:
@@ -102,29 +120,46 @@ def streaks(df: DataFrame, rain: str = "prcp_in", keys: Sequence[str] = STATION)
     )
 
 
-def target_columns(keys: Sequence[str] = STATION) -> list[Column]:
+def next_row(keys: Sequence[str] = STATION) -> Column:
+    return F.lead(F.struct(*MEASURES)).over(Window.partitionBy(*keys).orderBy("date"))
+
+
+def target_columns(following: str = "_next") -> list[Column]:
     """Values of the next row; unknown rain counts as no rain."""
-    order = Window.partitionBy(*keys).orderBy("date")
-    rain = F.coalesce(F.lead("prcp_in").over(order) > 0, F.lit(False)).cast("int")
+    rain = F.coalesce(F.col(f"{following}.prcp_in") > 0, F.lit(False)).cast("int")
     return [
         F.date_add("date", 1).alias("target_date"),
-        F.lead("tmax_f").over(order).alias("y_tmax_f"),
-        F.lead("tmin_f").over(order).alias("y_tmin_f"),
+        F.col(f"{following}.tmax_f").alias("y_tmax_f"),
+        F.col(f"{following}.tmin_f").alias("y_tmin_f"),
         rain.alias("y_rain_yn"),
     ]
 
 
 def feature_frame(obs: DataFrame, keys: Sequence[str] = STATION) -> DataFrame:
     """All features and targets for every observed day, nulls kept."""
-    return streaks(obs, "prcp_in", keys).select(
-        "*", *lag_and_rolling_columns(keys), *season_columns(F.col("date")), *target_columns(keys)
-    )
+    return with_features(obs, keys).drop("_next", "_known")
+
+
+def has_all_features() -> Column:
+    """True where no feature is null: the row and all rows the longest lag reaches have every measure."""
+    return (F.col("_known") == REACH + 1) & F.col("snow_in").isNotNull()
+
+
+def with_features(obs: DataFrame, keys: Sequence[str] = STATION) -> DataFrame:
+    """Features and targets, with ``_known``, the complete rows among the current and the ones a lag reaches."""
+    order = Window.partitionBy(*keys).orderBy("date")
+    complete = reduce(lambda a, b: a & b, [F.col(m).isNotNull() for m in MEASURES])
+    known = F.count_if(complete).over(order.rowsBetween(-REACH, 0))
+    rows = streaks(obs, "prcp_in", keys).select("*", next_row(keys).alias("_next"), known.alias("_known"))
+    return with_lags_and_rolling(rows, keys).select("*", *season_columns(F.col("date")), *target_columns())
 
 
 def training_frame(obs: DataFrame, keys: Sequence[str] = STATION) -> DataFrame:
     """38 features, 3 targets and the raw measures per (station, target date); rows with a null drop out."""
-    kept = [*keys, "target_date", *FEATURES, *TARGETS, *RAW]
-    return feature_frame(obs, keys).select(*kept).dropna()
+    known_next = F.col("_next.tmax_f").isNotNull() & F.col("_next.tmin_f").isNotNull()
+    return with_features(obs, keys).where(has_all_features() & known_next).select(
+        *keys, "target_date", *FEATURES, *TARGETS, *RAW
+    )
 
 
 def hourly_to_day(hourly: DataFrame, zone: str, keys: Sequence[str] = STATION) -> DataFrame:
@@ -156,15 +191,11 @@ def scoring_frame(
 
     Forecast columns are always there and null where a source has no row.
     """
-    known = feature_frame(obs.where(F.col("date") <= today), keys).select(*keys, "date", *FEATURES, *RAW)
+    rows = with_features(obs.where(F.col("date") <= today), keys)
     # The newest complete row is picked by a window of the same partitioning: no second exchange.
-    usable = F.when(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in FEATURES]), F.col("date"))
-    newest = F.max(usable).over(Window.partitionBy(*keys))
-    out = (
-        known.withColumn("_newest", newest)
-        .where(F.col("date") == F.col("_newest"))
-        .select(*keys, F.date_add(today, 1).alias("target_date"), *FEATURES, *RAW)
-    )
+    newest = F.max(F.when(has_all_features(), F.col("date"))).over(Window.partitionBy(*keys))
+    picked = rows.withColumn("_newest", newest).where(F.col("date") == F.col("_newest"))
+    out = picked.select(*keys, F.date_add(today, 1).alias("target_date"), *FEATURES, *RAW)
     for source, columns in ((hourly_days, NWS_COLUMNS), (daily_days, OM_COLUMNS)):
         if source is None:
             out = out.select("*", *[F.lit(None).cast("double").alias(c) for c in columns])
