@@ -171,3 +171,11 @@ def test_metrics_of_an_empty_backtest(frame):
     assert [(r["mode"], r["count"], r["MAE"]) for r in rows] == [(m, 0, None) for m in fc.MODES]
     assert [r["bias"] for r in ev.weekday_bias(empty).collect()] == [0.0] * 7
     assert ev.global_bias_of_detail(empty).first()["bias"] == 0.0
+
+
+def test_trend_backtest_follows_a_line(daily):
+    seen = series.fill_gaps(daily(80, value=lambda i: 4.0 * i, missing={71, 74}))
+    rows = bt.run_trend(seen).collect()
+    assert rows and all(abs(r["error"]) < 1e-6 for r in rows)
+    plain = bt.run(seen.where("not is_filled").select("series_id", "date", "y"), {"multi": models.seasonal_naive()}).collect()
+    assert {(r["train_end"], r["target_date"]) for r in rows} == {(r["train_end"], r["target_date"]) for r in plain}

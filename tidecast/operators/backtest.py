@@ -16,7 +16,7 @@ from pyspark.sql.window import Window, WindowSpec
 
 from tidecast.functions.dates import days_to_sunday
 from tidecast.operators.forecast import HISTORY, mode_path
-from tidecast.operators.models import HistoryModel
+from tidecast.operators.models import HistoryModel, trend_value, with_running_trend
 from tidecast.operators.series import KEYS, daily_values
 
 MAX_STEPS = 7
@@ -160,6 +160,36 @@ def run(
     return with_errors(rows).select(*keys, *DETAIL_COLUMNS)
 
 
+def run_trend(
+    filled: DataFrame, keys: Sequence[str] = KEYS, warmup: int = 30, newest: int = 10, mode: str = "trend"
+) -> DataFrame:
+    """Backtest detail rows of the trend line fitted to all days up to each cutoff.
+
+    The line is a running aggregate over the filled series, read off at the
+    cutoffs, so the fits cost one pass however many cutoffs there are.
+    """
+    order = Window.partitionBy(*keys).orderBy("date")
+    seen = F.when(~F.col("is_filled"), F.col("y"))
+    marked = with_running_trend(mark_cutoffs(filled, keys, warmup, newest, ~F.col("is_filled")), keys)
+    steps = (
+        marked.select("*", F.array(*[F.lead(seen, k).over(order) for k in range(1, MAX_STEPS + 1)]).alias("_ahead"))
+        .where(F.col("cutoff_rank").isNotNull())
+        .withColumnRenamed("date", "train_end")
+        .select("*", F.explode(F.sequence(F.lit(1), days_to_sunday(F.col("train_end")))).alias("step"))
+    )
+    target = F.date_add("train_end", F.col("step"))
+    rows = steps.select(
+        *keys,
+        "train_end",
+        F.lit(mode).alias("mode"),
+        target.alias("target_date"),
+        "step",
+        trend_value(target).alias("predicted"),
+        F.get("_ahead", F.col("step") - 1).alias("actual"),
+    ).where(F.col("actual").isNotNull())
+    return with_errors(rows).select(*keys, *DETAIL_COLUMNS)
+
+
 def skipped(
     daily: DataFrame,
     modes: Sequence[str] = ("single", "multi", "iterative"),

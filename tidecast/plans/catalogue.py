@@ -405,6 +405,12 @@ def backtest_customers(spark, sf):
     return shown(run.drop("squared_error"), "predicted", "actual", "error", "abs_error")
 
 
+@query
+def backtest_trend(spark, sf):
+    rows = bt.run_trend(filled_orders(spark, sf))
+    return shown(rows.drop("squared_error"), "predicted", "actual", "error", "abs_error")
+
+
 @query
 def backtest_skipped(spark, sf):
     """Cutoffs without enough history when the warm-up is short."""

@@ -405,6 +405,14 @@ def build() -> dict[str, str]:
             f"SELECT series_id, train_end, mode, target_date, step, {shown(['predicted', 'actual', 'error', 'abs_error', 'squared_error'])} FROM detail", DETAIL),
         "backtest_customers": lines(
             f"SELECT series_id, train_end, mode, target_date, step, {shown(['predicted', 'actual', 'error', 'abs_error'])} FROM detail", detail_from(FILLED_C)),
+        "backtest_trend": lines(
+            f"SELECT series_id, train_end, 'trend' AS mode, target_date, step, {shown(['predicted', 'actual'])}, {r('predicted - actual', D, 'error')}, {r('abs(predicted - actual)', D, 'abs_error')} FROM scored",
+            FILLED, STEPS, CUTS,
+            """fits AS (SELECT c.series_id, c.train_end, c.horizon, regr_slope(f.y, f.date - DATE '2000-01-01') AS a, regr_intercept(f.y, f.date - DATE '2000-01-01') AS b
+  FROM cuts c JOIN filled f ON f.series_id = c.series_id AND f.date <= c.train_end GROUP BY 1, 2, 3)""",
+            """scored AS (SELECT t.series_id, t.train_end, t.train_end + s.step AS target_date, s.step,
+  b + a * (t.train_end + s.step - DATE '2000-01-01') AS predicted, so.y AS actual
+  FROM fits t JOIN steps s ON s.step <= t.horizon JOIN so ON so.series_id = t.series_id AND so.date = t.train_end + s.step)"""),
         "backtest_skipped": lines(
             f"""SELECT series_id, date AS train_end, mode, 'fewer than 21 days of history' AS reason FROM hist JOIN (SELECT series_id, max(date) AS b FROM filled GROUP BY 1) USING (series_id),
   (SELECT unnest(['single', 'multi', 'iterative']) AS mode) WHERE NOT is_filled AND n < 21 AND date + {HORIZON.format('date')} <= b""", FILLED, history()),
