@@ -139,3 +139,11 @@ def test_duplicate_days_fail_a_history_too(daily):
 def test_fill_sorts_once(daily):
     plan = series.fill_gaps(daily(10))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Sort [") == 1
+
+
+def test_holiday_flag_and_name_agree(spark):
+    days = spark.range(1).select(
+        F.explode(F.sequence(F.lit("1960-01-01").cast("date"), F.lit("2040-12-31").cast("date"))).alias("d")
+    )
+    odd = days.where(cal.is_holiday(F.col("d")) != cal.holiday_name(F.col("d")).isNotNull())
+    assert odd.count() == 0

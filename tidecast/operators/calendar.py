@@ -77,10 +77,36 @@ def holiday_name(day: Column) -> Column:
     return F.coalesce(*named, *shifted)
 
 
+def _first_year(years: dict[int, int], key: Column) -> Column:
+    """First year of the rule with the key, null without one: a lookup in a small constant map."""
+    entries = [F.lit(v) for pair in years.items() for v in pair]
+    return F.try_element_at(F.create_map(*entries), key)
+
+
 def is_holiday(day: Column) -> Column:
-    tests = [_on_rule_day(day, r) for r in HOLIDAY_RULES]
-    tests += [_observed(day, r) for r in HOLIDAY_RULES if r.observed]
-    return reduce(lambda a, b: a | b, tests)
+    """True on a holiday or its observed day.
+
+    Rules are looked up by month and day, or by month, weekday and week of the
+    month, instead of being tried one by one: a few integer operations per row.
+    """
+
+    def month_day(d: Column) -> Column:
+        return F.month(d) * 100 + F.dayofmonth(d)
+
+    fixed = {r.month * 100 + r.a: r.since for r in HOLIDAY_RULES if r.kind == "day"}
+    kept = {r.month * 100 + r.a: r.since for r in HOLIDAY_RULES if r.kind == "day" and r.observed}
+    nth = {r.month * 100 + r.a * 10 + r.b: r.since for r in HOLIDAY_RULES if r.kind == "nth"}
+    week = F.floor((F.dayofmonth(day) + 6) / 7).cast("int")
+    on = weekday(day)
+    tests = [
+        _first_year(fixed, month_day(day)) <= F.year(day),
+        _first_year(nth, F.month(day) * 100 + on * 10 + week) <= F.year(day),
+        *[_on_rule_day(day, r) for r in HOLIDAY_RULES if r.kind in ("last", "range")],
+    ]
+    for shift, falls in ((1, 4), (-1, 0)):
+        other = F.date_add(day, shift)
+        tests.append((on == falls) & (_first_year(kept, month_day(other)) <= F.year(other)))
+    return F.coalesce(reduce(lambda a, b: a | b, tests), F.lit(False))
 
 
 def is_weekend(day: Column) -> Column:

@@ -85,9 +85,11 @@ def learner_frame(filled: DataFrame, keys: Sequence[str] = KEYS, warmup: int = 3
         F.max("date").over(whole).alias("last_date"),
         F.min("y").over(upto).alias("lo"),
         F.max("y").over(upto).alias("hi"),
-        calendar_array(F.col("date")).alias("calendar"),
         *[F.lag("y", k).over(order).alias(f"lag_{k}") for k in range(1, HISTORY + MAX_STEPS)],
-        F.array(*[F.lead(seen, k).over(order) for k in range(1, MAX_STEPS + 1)]).alias("ahead"),
+        F.when(
+            F.col("cutoff_rank").isNotNull(),
+            F.array(*[F.lead(seen, k).over(order) for k in range(1, MAX_STEPS + 1)]),
+        ).alias("ahead"),
     )
     # At most ``newest`` entries per series.
     entry = F.when(F.col("cutoff_rank").isNotNull(), F.struct("cutoff_rank", "date", "lo", "hi"))
@@ -116,7 +118,7 @@ def training_rows(frame: DataFrame, rank: int, step: int, keys: Sequence[str] =
     deepest = F.col(f"lag_{HISTORY + step - 1}")
     lags = [scaled(F.col(f"lag_{k + step - 1}"), lo, hi) for k in TARGET_LAGS]
     return rows.where(deepest.isNotNull()).select(
-        scaled(F.col("y"), lo, hi).alias("label"), _vector(lags, F.col("calendar")).alias("features")
+        scaled(F.col("y"), lo, hi).alias("label"), _vector(lags, calendar_array(F.col("date"))).alias("features")
     )
 
 
