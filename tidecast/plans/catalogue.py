@@ -680,7 +680,7 @@ def order_streaks(spark, sf):
 @query
 def weather_frame(spark, sf):
     frame = weather.training_frame(weather.observations(station_rows(spark, sf)))
-    floats = [c for c in frame.columns if dict(frame.dtypes)[c] == "double"]
+    floats = [c for c, kind in frame.dtypes if kind == "double"]
     return shown(frame, *floats)
 
 
@@ -755,7 +755,7 @@ def score_frame(spark, sf):
     obs = weather.observations(event_stations(spark, sf))
     hourly = weather.hourly_to_day(feeds.hourly_forecast(hourly_docs(spark, sf)), dates.LOCAL_ZONE)
     frame = weather.scoring_frame(obs, hourly, feeds.daily_forecast(daily_docs(spark, sf)), F.lit(TODAY).cast("date"))
-    floats = [c for c in frame.columns if dict(frame.dtypes)[c] == "double"]
+    floats = [c for c, kind in frame.dtypes if kind == "double"]
     return shown(frame, *floats)
 
 
