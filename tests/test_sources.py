@@ -107,5 +107,5 @@ def test_detail_columns_order():
 
 
 def test_shared_folder_is_the_session_setting(spark):
-    assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+    assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir", spark.sparkContext.getCheckpointDir())
     assert spark.sparkContext.getCheckpointDir() is not None

@@ -24,21 +24,23 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8) -> SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach, taken from ``spark.checkpoint.dir``.
+    """Folder every executor can reach: ``spark.checkpoint.dir``, else the context's checkpoint folder.
 
     Only a local master may fall back to a temporary folder; on a cluster a
     missing setting is an error, because a machine-local folder is lost with
     its machine.
     """
+    context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+    if folder:
+        if context.getCheckpointDir() is None:
+            context.setCheckpointDir(folder)
+        return folder
+    if context.getCheckpointDir() is None:
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        folder = tempfile.mkdtemp(prefix="tidecast-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tidecast-"))
+    return context.getCheckpointDir()
 
 
 def fresh_folder(spark: SparkSession, name: str) -> str:
