@@ -4,9 +4,10 @@ import pytest
 from compare import differences, sql_engine
 
 from __spark_entry__ import entry, oracle_sql, queries
+from tidecast.plans import twins
+from tidecast.plans.catalogue import QUERIES
 
-SQL = oracle_sql()
-QUERIES = queries()
+SQL = twins.build()
 LEARNED = sorted(set(QUERIES) - set(SQL))
 
 
@@ -21,6 +22,8 @@ def test_matches_sql(spark, sf_dir, engine, name):
 
 
 def test_every_twin_has_a_query():
+    assert set(QUERIES) <= set(queries())
+    assert set(oracle_sql()) <= set(queries())
     assert set(SQL) <= set(QUERIES)
     assert LEARNED == ["backtest_gbt", "backtest_linear", "fc_gbt", "fc_linear"]
 
