@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import secret_scan, sharding, url_rules
+from . import language, packing, secret_scan, sharding, url_rules
 from .common import table
 
 RULES = (
@@ -23,6 +23,22 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_spans(table(spark, sf_dir, "documents"))
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"), tokenizer="byte_bpe_50k", window=1024)
+
+
+def id_remainder(divisor: int) -> Column:
+    """The crc32 of the id as text, modulo ``divisor``."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % divisor
+
+
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = id_remainder(5) == 0
+    filters = language.learned_filters(docs.where(~held_out))
+    return language.identified(docs, filters).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sharding.interleaved_shards(table(spark, sf_dir, "documents"), shards=8)
     return rows.select(
@@ -36,6 +52,8 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
+    "op5_packing": op5_packing,
+    "op6_language": op6_language,
     "op8_sharding": op8_sharding,
     "op10_urls": op10_urls,
 }
