@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, packing, secret_scan, sharding, url_rules
+from . import decontamination, language, packing, secret_scan, sharding, url_rules
 from .common import table
 
 RULES = (
@@ -23,6 +23,19 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_spans(table(spark, sf_dir, "documents"))
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
+    hit = F.aggregate("spans", F.lit(0), lambda n, s: n + s["end"] - s["start"]).cast("long")
+    return found.select(
+        "doc_id",
+        "n_words",
+        hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
+        (hit > 0).alias("contaminated"),
+    )
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), tokenizer="byte_bpe_50k", window=1024)
 
@@ -52,6 +65,7 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
+    "op3_decontamination": op3_decontamination,
     "op5_packing": op5_packing,
     "op6_language": op6_language,
     "op8_sharding": op8_sharding,
