@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import string
+import sys
+import types
+from collections.abc import Iterator, Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,3 +46,28 @@ def root_buckets(rows: int) -> int:
     neither a bucket nor the list outgrows the square root of the table.
     """
     return 1 << max(0, (max(rows, 1).bit_length()) // 2)
+
+
+def kept_in_process() -> dict:
+    """What a Python worker keeps from one task to the next."""
+    return sys.modules.setdefault("_tidecast_kept", types.ModuleType("_tidecast_kept")).__dict__
+
+
+def letters() -> np.ndarray:
+    """For each code point whether it is a letter; one table per worker process."""
+    kept = kept_in_process()
+    if "letters" not in kept:
+        kept["letters"] = np.fromiter((chr(c).isalpha() for c in range(sys.maxunicode + 1)), bool, sys.maxunicode + 1)
+    return kept["letters"]
+
+
+def chunks(texts: Sequence[str], chars: int = 1 << 20) -> Iterator[tuple[int, Sequence[str]]]:
+    """(number of the first, texts) in runs of about ``chars`` code points, so that arrays over them stay small."""
+    first, held = 0, 0
+    for i, text in enumerate(texts):
+        held += len(text)
+        if held >= chars:
+            yield first, texts[first : i + 1]
+            first, held = i + 1, 0
+    if first < len(texts):
+        yield first, texts[first:]

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import base64
-import sys
-import types
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -15,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import root_buckets, saved
+from .common import kept_in_process, root_buckets, saved
 
 END_ID = 0
 SPECIAL = "<|endoftext|>"
@@ -42,7 +40,7 @@ class Encoder:
 
 def encoder(name: str) -> Encoder:
     """One encoder per worker process, however many tasks it runs."""
-    kept = sys.modules.setdefault("_tidecast_kept", types.ModuleType("_tidecast_kept")).__dict__
+    kept = kept_in_process()
     if name not in kept:
         kept[name] = Encoder(name)
     return kept[name]

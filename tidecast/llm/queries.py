@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, language, packing, secret_scan, sharding, url_rules
+from . import decontamination, language, packing, secret_scan, sharding, toxicity, url_rules
 from .common import table
 
 RULES = (
@@ -59,6 +59,17 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def toxic_model(spark: SparkSession, sf_dir: str) -> toxicity.Model | None:
+    """Learned from the labels that may be learned from."""
+    labels = table(spark, sf_dir, "labels").where(id_remainder(3) != 1)
+    return toxicity.learned_model(table(spark, sf_dir, "documents"), labels)
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.toxicity(table(spark, sf_dir, "documents"), toxic_model(spark, sf_dir))
+    return scored.select("doc_id", (id_remainder(3) == 1).alias("held_out"), "score", "predicted")
+
+
 def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judged_urls(table(spark, sf_dir, "pages"), RULES).drop("by")
 
@@ -69,5 +80,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_packing": op5_packing,
     "op6_language": op6_language,
     "op8_sharding": op8_sharding,
+    "op9_toxicity": op9_toxicity,
     "op10_urls": op10_urls,
 }
