@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, language, packing, secret_scan, sharding, toxicity, url_rules
+from . import decontamination, jaccard, language, packing, secret_scan, sharding, toxicity, url_rules
 from .common import table
+from .signature_tree import Threshold
 
 RULES = (
     ("allow", "com", "/"),
@@ -52,6 +53,10 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identified(docs, filters).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"), words=3, threshold=Threshold(90, 100))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sharding.interleaved_shards(table(spark, sf_dir, "documents"), shards=8)
     return rows.select(
@@ -79,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontamination": op3_decontamination,
     "op5_packing": op5_packing,
     "op6_language": op6_language,
+    "op7_jaccard": op7_jaccard,
     "op8_sharding": op8_sharding,
     "op9_toxicity": op9_toxicity,
     "op10_urls": op10_urls,
