@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, jaccard, language, packing, secret_scan, sharding, toxicity, url_rules
+from . import decontamination, fingerprints, jaccard, language, packing, secret_scan, sharding, toxicity, url_rules
 from .common import table
 from .signature_tree import Threshold
 
@@ -24,6 +24,10 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_spans(table(spark, sf_dir, "documents"))
 
 
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents")).drop("lost", "won")
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
     hit = F.aggregate("spans", F.lit(0), lambda n, s: n + s["end"] - s["start"]).cast("long")
@@ -81,6 +85,7 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
+    "op2_fingerprints": op2_fingerprints,
     "op3_decontamination": op3_decontamination,
     "op5_packing": op5_packing,
     "op6_language": op6_language,
