@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, fingerprints, jaccard, language, packing, secret_scan, sharding, toxicity, url_rules
+from . import decontamination, fingerprints, jaccard, language, packing, secret_scan, sharding, toxicity, url_rules, warc
 from .common import table
 from .signature_tree import Threshold
 
@@ -41,6 +41,10 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived_pages(table(spark, sf_dir, "pages"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), tokenizer="byte_bpe_50k", window=1024)
 
@@ -87,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_fingerprints": op2_fingerprints,
     "op3_decontamination": op3_decontamination,
+    "op4_warc": op4_warc,
     "op5_packing": op5_packing,
     "op6_language": op6_language,
     "op7_jaccard": op7_jaccard,
