@@ -17,7 +17,7 @@ Rule = tuple[str, str, str]
 #: Up to this many rules are one expression; a longer list is joined by host.
 INLINE_RULES = 200
 
-TRACKING = r"(?<=[?&])(?:utm_[^&#]*|ref=[^&#]*|gclid=[^&#]*|fbclid=[^&#]*)(?:&|$)"
+TRACKING = r"^(utm_|ref=|gclid=|fbclid=)"
 LINK_TAG = r"(?i)(<link\b[^>]*>)"
 META_TAG = r"(?i)(<meta\b[^>]*>)"
 CANONICAL = r"(?i)\brel\s*=\s*[\"']?canonical\b"
@@ -44,8 +44,10 @@ def url_path(url: Column) -> Column:
 
 def url_node(url: Column) -> Column:
     """What urls of one resource share: no scheme, fragment, tracking parameter or closing slash."""
-    query = F.regexp_replace(F.regexp_extract(url_rest(url), r"^[^?#]*(\?[^#]*)?", 1), TRACKING, "")
-    node = F.concat(url_host(url), F.regexp_replace(url_path(url), "/+$", ""), F.regexp_replace(query, "[?&]+$", ""))
+    given = F.split(F.regexp_extract(url_rest(url), r"^[^?#]*\?([^#]*)", 1), "&")
+    query = F.array_join(F.filter(given, lambda p: (p != "") & ~p.rlike(TRACKING)), "&")
+    query = F.when(query == "", "").otherwise(F.concat(F.lit("?"), query))
+    node = F.concat(url_host(url), F.regexp_replace(url_path(url), "/+$", ""), query)
     return F.when(url_rest(url).isNotNull(), node)
 
 
