@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import sys
-import types
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -13,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import saved
+from .common import chunks, letters, saved
 
 UNKNOWN = "und"
 #: A trigram is in a language's filter if it makes up this share of the language's trigrams;
@@ -26,14 +24,6 @@ MOST_HELD = 2_000_000
 ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
 
 
-def letters() -> np.ndarray:
-    """For each code point whether it is a letter; one table per worker process."""
-    kept = sys.modules.setdefault("_tidecast_kept", types.ModuleType("_tidecast_kept")).__dict__
-    if "letters" not in kept:
-        kept["letters"] = np.fromiter((chr(c).isalpha() for c in range(sys.maxunicode + 1)), bool, sys.maxunicode + 1)
-    return kept["letters"]
-
-
 def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(codes, text numbers): for each letter of each lower-cased text, it and its neighbours.
 
@@ -53,7 +43,7 @@ def gram_counts(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
     """(lang, gram, n) over all rows with a language, counted in the tasks before the exchange."""
     schema = "lang string, gram long, n long"
 
-    def emit(held: dict[str, list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    def emit(held: dict[str, tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
         for lang, (grams, n) in held.items():
             arrays = [pa.array([lang] * len(grams), pa.string()), pa.array(grams.view(np.int64)), pa.array(n, pa.int64())]
             yield pa.RecordBatch.from_arrays(arrays, names=["lang", "gram", "n"])
@@ -64,13 +54,14 @@ def gram_counts(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
             texts = [t or "" for t in batch.column(0).to_pylist()]
             langs = batch.column(1).to_pylist()
             for lang in sorted(set(langs)):
-                grams, n = np.unique(trigrams([t for t, g in zip(texts, langs) if g == lang])[0], return_counts=True)
-                if lang in held:
-                    both = np.concatenate([held[lang][0], grams])
-                    weight = np.concatenate([held[lang][1], n])
-                    grams, at = np.unique(both, return_inverse=True)
-                    n = np.bincount(at, weights=weight, minlength=len(grams)).astype(np.int64)
-                held[lang] = (grams, n)
+                for _, some in chunks([t for t, g in zip(texts, langs) if g == lang]):
+                    grams, n = np.unique(trigrams(some)[0], return_counts=True)
+                    if lang in held:
+                        both = np.concatenate([held[lang][0], grams])
+                        weight = np.concatenate([held[lang][1], n])
+                        grams, at = np.unique(both, return_inverse=True)
+                        n = np.bincount(at, weights=weight, minlength=len(grams)).astype(np.int64)
+                    held[lang] = (grams, n)
             if sum(len(g) for g, _ in held.values()) > MOST_HELD:
                 yield from emit(held)
                 held = {}
@@ -154,10 +145,13 @@ def identified(docs: DataFrame, filters: Filters, id_col: str = "doc_id", text_c
         rates = own.false_rates()
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            grams, of = trigrams(texts)
-            n = np.bincount(of, minlength=len(texts))
+            n, hits = np.zeros(len(texts), np.int64), np.zeros((len(texts), len(own.langs)))
+            for first, some in chunks(texts):
+                grams, of = trigrams(some)
+                n[first : first + len(some)] = np.bincount(of, minlength=len(some))
+                hits[first : first + len(some)] = own.hits(grams, of, len(some))
             if own.langs:
-                corrected = np.maximum(0, (own.hits(grams, of, len(texts)) - n[:, None] * rates) / (1 - np.minimum(rates, 0.999)))
+                corrected = np.maximum(0, (hits - n[:, None] * rates) / (1 - np.minimum(rates, 0.999)))
                 best = corrected.argmax(1)
                 score = corrected.max(1) / np.maximum(corrected.sum(1), 1e-9)
                 langs = [own.langs[k] if some else UNKNOWN for k, some in zip(best, n > 0)]
