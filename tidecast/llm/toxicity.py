@@ -72,46 +72,62 @@ def levels_of(found: np.ndarray) -> list[np.ndarray]:
     return [found if n == 1 else (found * 2654435761 * (2 * n + 1) >> 7) & top for n in LEVELS]
 
 
-def present(texts: Sequence[str], places: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+class Chosen:
+    """The features of a model: each one's place, and the n-grams that lead to any."""
+
+    def __init__(self, features: np.ndarray):
+        self.features = features
+        self.places = np.full(1 << HASH_BITS, -1, np.int32)
+        self.places[features] = np.arange(len(features))
+        self.wanted = np.any([self.places[x] >= 0 for x in levels_of(np.arange(1 << HASH_BITS))], 0)
+
+
+def present(texts: Sequence[str], chosen: Chosen | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(text numbers, features), each pair once: an n-gram counts by how often it stands in the text.
 
-    With ``places`` only the features that have one, as that.
+    With ``chosen`` only its features, as their places.
     """
     parts: list[np.ndarray] = []
-    wanted = None if places is None else np.any([places[x] >= 0 for x in levels_of(np.arange(1 << HASH_BITS))], 0)
     for first, some in chunks(texts):
         found, of = features(some)
-        if wanted is not None:
-            of, found = of[wanted[found]], found[wanted[found]]
+        if chosen is not None:
+            of, found = of[chosen.wanted[found]], found[chosen.wanted[found]]
         pairs, times = np.unique((of.astype(np.int64) + first) << HASH_BITS | found, return_counts=True)
         for least, level in zip(LEVELS, levels_of(pairs & ((1 << HASH_BITS) - 1))):
             own, text = level[times >= least], pairs[times >= least] >> HASH_BITS
-            if places is not None:
-                own = places[own]
+            if chosen is not None:
+                own = chosen.places[own]
                 text, own = text[own >= 0], own[own >= 0]
             parts.append(text << HASH_BITS | own)
-    pairs = np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.int64)
+    pairs = np.sort(np.concatenate(parts)) if parts else np.zeros(0, np.int64)
+    pairs = pairs[np.append(np.ones(min(1, len(pairs)), bool), pairs[1:] != pairs[:-1])]
     return pairs >> HASH_BITS, pairs & ((1 << HASH_BITS) - 1)
 
 
-def swapped(text: str, groups: Sequence[Sequence[str]] = GROUPS) -> list[str]:
-    """Counterfactual texts: identity terms swapped in their group, and taken out. None without a term."""
-    following = {t: g[(i + 1) % len(g)] for g in groups for i, t in enumerate(g)}
-    term = re.compile(r"\b(" + "|".join(sorted(map(re.escape, following), key=len, reverse=True)) + r")\b", re.IGNORECASE)
-    if not term.search(text):
-        return []
-    once = term.sub(lambda m: following[m[0].lower()], text)
-    return [once, term.sub("", text)]
+class Swaps:
+    """Counterfactual texts: identity terms swapped in their group, and taken out."""
+
+    def __init__(self, groups: Sequence[Sequence[str]] = GROUPS):
+        self.following = {t: g[(i + 1) % len(g)] for g in groups for i, t in enumerate(g)}
+        terms = sorted(map(re.escape, self.following), key=len, reverse=True)
+        self.term = re.compile(r"\b(?:" + "|".join(terms) + r")\b") if terms else None
+
+    def of(self, text: str) -> list[str]:
+        """No text without a term. Features are in lower case, and so are these texts."""
+        text = text.lower()
+        if self.term is None or not self.term.search(text):
+            return []
+        return [self.term.sub(lambda m: self.following[m[0]], text), self.term.sub("", text)]
 
 
 @dataclass
 class Model:
-    places: np.ndarray  # hashed feature -> number of the weight, or -1
+    chosen: Chosen
     weights: np.ndarray
     bias: float
 
     def scores(self, texts: Sequence[str]) -> np.ndarray:
-        of, found = present(texts, self.places)
+        of, found = present(texts, self.chosen)
         logit = np.bincount(of, weights=self.weights[found], minlength=len(texts)) + self.bias
         return 1 / (1 + np.exp(-np.clip(logit, -40, 40)))
 
@@ -196,13 +212,10 @@ def learned_model(
     chi = lean * lean / spread * (total / (float(positive) * negative or 1.0))
     best = counts.where((spread > 0) & (chi >= LEAST_CHI)).orderBy(chi.desc(), "feature").limit(FEATURES)
     chosen = np.array(sorted(r["feature"] for r in best.select("feature").collect()), np.int64)
-    places = np.full(1 << HASH_BITS, -1, np.int32)
-    places[chosen] = np.arange(len(chosen))
     shared = docs.sparkSession.sparkContext.broadcast(chosen)
 
     def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = np.full(1 << HASH_BITS, -1, np.int32)
-        own[shared.value] = np.arange(len(shared.value))
+        own, swaps = Chosen(shared.value), Swaps(groups)
 
         def sets(some: list[str]) -> list[set[int]]:
             out: list[set[int]] = [set() for _ in some]
@@ -213,11 +226,13 @@ def learned_model(
         for batch in batches:
             given = batch.column(1).to_pylist()
             base = sets(given)
-            lost, won = [], []
-            for text, x in zip(given, base):
-                others = sets(swapped(text, groups))
-                lost.append([sorted(x - y) for y in others if x != y])
-                won.append([sorted(y - x) for y in others if x != y])
+            variants = [(i, v) for i, text in enumerate(given) for v in swaps.of(text)]
+            lost: list[list[list[int]]] = [[] for _ in given]
+            won: list[list[list[int]]] = [[] for _ in given]
+            for (i, _), other in zip(variants, sets([v for _, v in variants])):
+                if other != base[i]:
+                    lost[i].append(sorted(base[i] - other))
+                    won[i].append(sorted(other - base[i]))
             kind = pa.list_(pa.list_(pa.int32()))
             arrays = [batch.column(0), pa.array([sorted(x) for x in base], pa.list_(pa.int32())), pa.array(lost, kind), pa.array(won, kind)]
             yield pa.RecordBatch.from_arrays(arrays, names=["label", "features", "lost", "won"])
@@ -225,20 +240,16 @@ def learned_model(
     fit = sample.mapInArrow(reduce, "label int, features array<int>, lost array<array<int>>, won array<array<int>>").collect()
     deltas = [pair for r in fit for pair in zip(r["lost"], r["won"])]
     weights, bias = fit_weights([(r["label"], r["features"]) for r in fit], deltas, len(chosen))
-    return Model(places, weights, bias)
+    return Model(Chosen(chosen), weights, bias)
 
 
 def _shared(docs: DataFrame, model: Model | None):
-    parts = None if model is None else (np.flatnonzero(model.places >= 0), model.weights, model.bias)
+    parts = None if model is None else (model.chosen.features, model.weights, model.bias)
     return docs.sparkSession.sparkContext.broadcast(parts)
 
 
 def _model(parts: tuple | None) -> Model | None:
-    if parts is None:
-        return None
-    places = np.full(1 << HASH_BITS, -1, np.int32)
-    places[parts[0]] = np.arange(len(parts[0]))
-    return Model(places, *parts[1:])
+    return None if parts is None else Model(Chosen(parts[0]), *parts[1:])
 
 
 def toxicity(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text", limit: float = LIMIT) -> DataFrame:
