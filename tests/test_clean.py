@@ -76,3 +76,9 @@ def test_local_date_crosses_midnight_and_dst(frame):
     rows = frame("ts timestamp_ntz", [("2024-03-10T04:30:00",), ("2024-03-11T04:30:00",), ("2024-07-01T03:59:00",)])
     got = [r[0] for r in rows.select(dates.local_date(F.col("ts"))).collect()]
     assert got == [dt.date(2024, 3, 9), dt.date(2024, 3, 11), dt.date(2024, 6, 30)]
+
+
+@pytest.mark.parametrize("text", ["202401", "2024", "2024-01", "10:30:00", "12024-01-01", "1066-10-14", "2262-01-01", "99999-01-01"])
+def test_texts_that_are_no_full_date(frame, text):
+    df = frame("t string", [(text,)])
+    assert df.select(coerce.date_or_null(F.col("t"))).first()[0] is None

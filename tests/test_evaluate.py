@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidecast.operators import evaluate as ev
+from tidecast.operators.ranking import counted_values
 from tidecast.operators import forecast as fc
 from tidecast.operators import models
 from tidecast.operators import backtest as bt
@@ -142,3 +143,33 @@ def test_modes_over_real_backtest_add_up(daily):
     overall = {r["mode"]: r["count"] for r in ev.overall_metrics(detail).collect()}
     for mode in fc.MODES:
         assert sum(r["count"] for r in per_step if r["mode"] == mode) == overall[mode]
+
+
+def test_best_switch_beyond_a_week(frame):
+    it = {k: (1 if k <= 10 else 9) for k in range(1, 13)}
+    mu = dict.fromkeys(range(1, 13), 5)
+    tagged = step_rows(frame, it, mu).withColumn("series_id", F.lit("a"))
+    assert ev.best_switch(tagged, ("series_id",), 12).first()["switch"] == 10
+    assert ev.best_switch(tagged.withColumn("h", F.lit(12)), ("series_id",), "h").first()["switch"] == 10
+    horizons = frame("series_id string, horizon int", [("a", 9), ("b", 3)])
+    assert [tuple(r) for r in ev.best_switch(tagged, ("series_id",), horizons).collect()] == [("a", 9)]
+
+
+def test_own_modes_are_measured_too(frame):
+    detail = frame("mode string, error double, abs_error double, squared_error double", [("trend", -2, 2, 4), ("multi", 1, 1, 1)])
+    got = {r["mode"]: (r["count"], r["MeanError"]) for r in ev.overall_metrics(detail).collect()}
+    assert got == {"trend": (1, -2.0), "multi": (1, 1.0), "single": (0, None), "iterative": (0, None)}
+
+
+def test_ties_do_not_fill_one_partition(spark):
+    """Nine of ten rows hold one value: they are one row before anything is sorted."""
+    rows = spark.range(100_000).select(F.lit("g").alias("g"), F.when(F.col("id") % 10 > 0, 0.0).otherwise(F.col("id") * 1.0).alias("v"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        counted = counted_values(rows, ["g"], "v")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    sizes = [r["count"] for r in counted.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 10_000 and max(sizes) <= 0.6 * sum(sizes)
+    assert counted.agg(F.sum("n")).first()[0] == 100_000
+    assert ev.error_distribution(rows.select(F.lit("m").alias("mode"), F.lit(1).alias("step"), F.col("v").alias("error"))).first()["median"] == 0.0

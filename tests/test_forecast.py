@@ -1,8 +1,10 @@
 import datetime as dt
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tidecast.operators.boosting import Trees
 from tidecast.operators import backtest as bt
 from tidecast.operators import evaluate as ev
 from tidecast.operators import forecast as fc
@@ -112,14 +114,15 @@ def test_score_predictions_drops_unobserved(frame):
 
 
 def test_compose_hybrid_switch_clamp_and_fallback(frame):
-    schema = "series_id string, origin date, step int, target_date date, predicted double"
+    schema = "series_id string, origin date, mode string, step int, target_date date, predicted double"
     days = [(s, f"2024-01-0{1 + s}") for s in range(1, 6)]  # origin Monday 2024-01-01, horizon 6
-    it = frame(schema, [(k, "2024-01-01", s, d, 100 + s) for k in "ab" for s, d in days])
-    mu = frame(schema, [("a", "2024-01-01", s, d, 200 + s) for s, d in days])
+    it = [(k, "2024-01-01", "iterative", s, d, 100 + s) for k in "ab" for s, d in days]
+    mu = [("a", "2024-01-01", "multi", s, d, 200 + s) for s, d in days]
+    rows = frame(schema, it + mu + [("c", "2024-01-01", "single", 1, "2024-01-02", 5)])
 
     def run(switch):
         out = {}
-        for r in fc.compose_hybrid(it, mu, switch).collect():
+        for r in fc.compose_hybrid(rows, switch).collect():
             out.setdefault(r["series_id"], {})[r["step"]] = r["predicted"]
         return {k: [v[s] for s in sorted(v)] for k, v in out.items()}
 
@@ -131,6 +134,24 @@ def test_compose_hybrid_switch_clamp_and_fallback(frame):
     assert run(own)["a"] == [101, 202, 203, 204, 205]
 
 
+def test_hybrid_reads_its_rows_once(frame):
+    schema = "series_id string, origin date, mode string, step int, target_date date, predicted double"
+    plan = fc.compose_hybrid(frame(schema, [("a", "2024-01-01", "multi", 1, "2024-01-02", 1)]), 2)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in text and text.count("Exchange hashpartitioning") == 1
+
+
+def test_doubled_actuals_count_once_or_fail(frame):
+    predictions = frame(
+        "series_id string, train_end date, mode string, target_date date, predicted double",
+        [("a", "2024-01-01", "multi", "2024-01-03", 10)],
+    )
+    actuals = frame("series_id string, date date, y double, at int", [("a", "2024-01-03", 12, 2), ("a", "2024-01-03", 99, 1)])
+    assert [r["actual"] for r in bt.score_predictions(predictions, actuals, order="at").collect()] == [12]
+    with pytest.raises(Exception, match="duplicate day"):
+        bt.score_predictions(predictions, actuals).collect()
+
+
 def test_latest_at_or_before(frame):
     rows = frame("series_id string, date date, v int", [("a", "2024-01-01", 1), ("a", "2024-01-05", 2), ("b", "2024-01-09", 3)])
     got = fc.latest_at_or_before(rows, "date", F.lit("2024-01-06").cast("date")).collect()
@@ -155,13 +176,14 @@ def test_linear_learner_finds_the_weekly_pattern(two_series):
 
 def test_learner_training_rows_stop_at_the_cutoff(two_series):
     frame = learners.learner_frame(two_series, newest=3)
-    per_rank = [learners.training_rows(frame, r, 1).count() for r in (0, 1, 2, 3)]
+    per_rank = [learners.training_rows(frame).where(F.col("rank") == r).count() for r in (0, 1, 2, 3)]
     assert per_rank[0] == 2 * (80 - 21)
     assert per_rank[0] > per_rank[1] > per_rank[2] > per_rank[3]
-    assert learners.training_rows(frame, 0, 7).count() == 2 * (80 - 27)
+    by_step = learners.training_rows(frame, 7).where("rank = 0").groupBy("step").count().collect()
+    assert {r["step"]: r["count"] for r in by_step} == {s: 2 * (80 - 20 - s) for s in range(1, 8)}
     longer = learners.learner_frame(two_series, newest=1)
     cutoff = longer.where("cutoff_rank = 1").select("date").first()[0]
-    labels = learners.training_rows(longer, 1, 1).count()
+    labels = learners.training_rows(longer).where("rank = 1").count()
     assert labels == 2 * ((cutoff - dt.date(2024, 1, 1)).days + 1 - 21)
 
 
@@ -179,3 +201,27 @@ def test_trend_backtest_follows_a_line(daily):
     assert rows and all(abs(r["error"]) < 1e-6 for r in rows)
     plain = bt.run(seen.where("not is_filled").select("series_id", "date", "y"), {"multi": models.seasonal_naive()}).collect()
     assert {(r["train_end"], r["target_date"]) for r in rows} == {(r["train_end"], r["target_date"]) for r in plain}
+
+
+def test_documented_learners_in_all_modes(two_series):
+    got = paths(learners.forecast(two_series, learners.FORECAST_LEARNERS))
+    for mode in ("iterative", "multi", "single"):
+        for s, (_, value) in got[("a", mode)].items():
+            assert value == pytest.approx(1000 + 50 * ((79 + s) % 7), rel=0.05)
+
+
+def test_fit_sample_is_bounded_and_repeatable(two_series):
+    small = {"multi": learners.Learner(rounds=5, fit_rows=40)}
+    frame = learners.learner_frame(two_series, newest=2)
+    one, two = (learners.fitted_models(f, small) for f in (frame, frame.repartition(7)))
+    assert one == two and set(one) == {(0, "multi"), (1, "multi"), (2, "multi")}
+
+
+def test_trees_follow_a_step_and_a_product():
+    rng = np.random.default_rng(0)
+    x = rng.random((2000, 4))
+    y = np.where(x[:, 0] > 0.4, 2.0, 0.0) + x[:, 1] * x[:, 2]
+    model = Trees(200, 0.05, 4, 5, 1.0, 1).fit(x, y)
+    assert np.abs(model.predict(x[:500]) - y[:500]).mean() < 0.1
+    flat = Trees(10, 0.1, 3, 5, 1.0, 1).fit(np.ones((20, 2)), np.arange(20.0))
+    assert np.allclose(flat.predict(np.ones((3, 2))), 9.5)

@@ -147,3 +147,37 @@ def test_holiday_flag_and_name_agree(spark):
     )
     odd = days.where(cal.is_holiday(F.col("d")) != cal.holiday_name(F.col("d")).isNotNull())
     assert odd.count() == 0
+
+
+def test_long_gap_fails_and_span_cuts(frame):
+    rows = frame("series_id string, date date, y double", [("a", "2024-01-01", 1), ("a", "2024-01-03", 3), ("a", "2199-01-01", 9)])
+    with pytest.raises(Exception, match="gap of more than 3660 days after 2024-01-03"):
+        series.fill_gaps(rows).collect()
+    assert series.fill_gaps(rows, span=(None, "2030-01-01")).count() == 3
+    assert series.fill_gaps(rows, longest_gap=100_000).count() > 60_000
+
+
+def test_one_per_day(frame):
+    rows = frame("series_id string, date date, y double, at int", [("a", "2024-01-01", 1, 1), ("a", "2024-01-01", 7, 2), ("a", "2024-01-02", 3, 1)])
+    assert sorted(r["y"] for r in series.one_per_day(rows, order="at").collect()) == [3, 7]
+    with pytest.raises(Exception, match="duplicate day"):
+        series.one_per_day(rows).collect()
+
+
+# Known dates, typed from a wall calendar and not from the rules.
+TYPED = {
+    2024: "01-01 01-15 02-12 02-15 02-19 05-27 06-19 07-04 09-02 10-14 11-05 11-11 11-28 12-25",
+    2023: "01-01 01-02 01-16 02-12 02-13 02-15 02-20 05-29 06-19 07-04 09-04 10-09 11-07 11-10 11-11 11-23 12-25",
+}
+
+
+@pytest.mark.parametrize("year", sorted(TYPED))
+def test_holidays_of_known_years(spark, year):
+    days = spark.sql(f"SELECT explode(sequence(DATE '{year}-01-01', DATE '{year}-12-31')) AS date")
+    got = {r["date"].strftime("%m-%d") for r in days.where(cal.is_holiday(F.col("date")).cast("boolean")).collect()}
+    assert got == set(TYPED[year].split())
+
+
+def test_holidays_are_unknown_before_the_rules(spark):
+    rows = spark.sql("SELECT explode(array(DATE '1970-12-25', DATE '1971-12-25', DATE '1971-12-26')) AS date")
+    assert [r[0] for r in rows.select(cal.is_holiday(F.col("date"))).collect()] == [None, True, False]

@@ -41,7 +41,7 @@ def test_latest_per_key_over_restarts(spark, tmp_path):
     def once():
         stream = messages.file_stream(spark, str(source), EVENTS, "json", files="*.json")
         run(messages.store_latest(messages.latest_changes(stream, ["key"], ["ts"], ["n"]), out, state))
-        return {r["key"]: r["n"] for r in messages.read_latest(spark, out, ["key"]).collect()}
+        return {r["key"]: r["n"] for r in messages.read_latest(spark, out, ["key"], ["ts"]).collect()}
 
     write(source, "1.json", [event("a", "2024-01-01T10:00:00Z", 1), event("b", "2024-01-01T10:00:00Z", 2)])
     assert once() == {"a": 1, "b": 2}
@@ -74,3 +74,45 @@ def test_daily_counts_come_out_when_the_day_is_closed(spark, tmp_path):
 def test_parse_messages_on_a_table(frame, text, bad):
     row = messages.parse_messages(frame("t string", [(text,)]), "t", "k INT").first()
     assert row["is_bad"] is bad and row["message"] == text
+
+
+def test_latest_survives_a_lost_checkpoint_and_compaction(spark, tmp_path):
+    source, out = tmp_path / "in", str(tmp_path / "out")
+
+    def once(state):
+        stream = messages.file_stream(spark, str(source), EVENTS, "json", files="*.json", per_trigger=1)
+        run(messages.store_latest(messages.latest_changes(stream, ["key"], ["ts"], ["n"]), out, str(tmp_path / state)))
+
+    def current():
+        return {r["key"]: r["n"] for r in messages.read_latest(spark, out, ["key"], ["ts"]).collect()}
+
+    for k in range(3):
+        write(source, f"{k}.json", [event("a", f"2024-01-0{1 + k}T10:00:00Z", k), event(f"k{k}", "2024-01-01T10:00:00Z", k)])
+        once("state")
+    write(source, "3.json", [event("a", "2024-01-09T10:00:00Z", 9)])
+    once("new-state")  # batch numbers start at 0 again
+    want = {"a": 9, "k0": 0, "k1": 1, "k2": 2}
+    assert current() == want
+    messages.compact_latest(spark, out, ["key"], ["ts"])
+    assert current() == want and len(list((tmp_path / "out").glob("batch=*"))) == 1
+    write(source, "4.json", [event("k1", "2024-01-02T10:00:00Z", 5)])
+    once("new-state")
+    messages.compact_latest(spark, out, ["key"], ["ts"])
+    assert current() == want | {"k1": 5} and len(list((tmp_path / "out").glob("batch=*"))) == 1
+
+
+def test_day_parts_lose_nothing_and_list_late_rows(spark, tmp_path):
+    source, out = tmp_path / "in", str(tmp_path / "out")
+
+    def once():
+        stream = messages.file_stream(spark, str(source), EVENTS, "json", files="*.json")
+        run(messages.store_day_parts(stream, F.col("ts"), ["key"], out, f"{out}/state", "2 hours", F.col("n").cast("double")))
+        return {(r["key"], r["date"].day): (r["n"], r["y"], r["is_open"]) for r in messages.read_days(spark, out, ["key"], "2 hours").collect()}
+
+    write(source, "1.json", [event("a", "2024-01-01T10:00:00Z", 1), event("a", "2024-01-02T01:00:00Z", 2)])
+    assert once() == {("a", 1): (1, 1.0, True), ("a", 2): (1, 2.0, True)}
+    write(source, "2.json", [event("a", "2024-01-01T23:00:00Z", 4), event("b", "2024-01-02T03:00:00Z", 8)])
+    assert once() == {("a", 1): (2, 5.0, False), ("a", 2): (1, 2.0, True), ("b", 2): (1, 8.0, True)}
+    write(source, "3.json", [event("a", "2024-01-01T12:00:00Z", 16)])
+    assert once()["a", 1] == (3, 21.0, False)
+    assert [(r["key"], r["value"]) for r in messages.read_late(spark, out, ["key"]).collect()] == [("a", 16.0)]

@@ -149,3 +149,24 @@ def test_quality_checks(frame, daily):
     row = quality_checks(daily(10).unionByName(daily(4, series="b")), predictions, "2024-01-12").orderBy("series_id").collect()
     assert (row[0]["age_days"], row[0]["is_fresh"], row[0]["in_range"], row[0]["n_predictions"]) == (2, True, False, 2)
     assert (row[1]["age_days"], row[1]["is_fresh"], row[1]["n_predictions"]) == (8, False, 0)
+
+
+def test_versions_kept_and_doubled_keys(spark, frame, tmp_path):
+    path = str(tmp_path / "keyed")
+    schema = "k string, v int, at int"
+    for n in range(6):
+        sinks.upsert_keyed(frame(schema, [("a", n, 1), (f"b{n}", n, 1)]), path, ["k"], keep=2)
+    assert sinks.versions(spark, path) == [5, 6]
+    assert {r["k"]: r["v"] for r in sinks.read_keyed(spark, path).collect()} == {"a": 5, **{f"b{n}": n for n in range(6)}}
+    doubled = frame(schema, [("a", 7, 2), ("a", 8, 1)])
+    with pytest.raises(Exception, match="doubled key"):
+        sinks.upsert_keyed(doubled, path, ["k"])
+    assert sinks.versions(spark, path)[-1] == 6
+    sinks.upsert_keyed(doubled, path, ["k"], order="at")
+    assert {r["k"]: r["v"] for r in sinks.read_keyed(spark, path).collect()}["a"] == 7
+
+
+def test_skipped_weeks_have_a_reason(frame):
+    days = frame("series_id string, week_start date, date date, ridership double", [("a", "2024-01-01", f"2024-01-0{k}", None if k > 3 else 1.0) for k in range(1, 8)] + [("b", "2024-01-01", f"2024-01-0{k}", 1.0) for k in range(1, 8)] + [("c", "2024-01-01", "2024-01-01", None)])
+    got = {r["series_id"]: (r["num_days"], r["reason"]) for r in weekly.skipped_weeks(days).collect()}
+    assert got == {"a": (3, "only 3 of 7 days"), "c": (0, "no value in the week")}

@@ -16,9 +16,20 @@ def number_or_null(value: Column) -> Column:
     return F.when(text.rlike(NUMBER), F.trim(text).try_cast("double"))
 
 
+# A full date with a four-digit year, alone or before a time. The JVM parser alone would
+# also take a bare year, a year and month, a time, and years of up to six digits.
+FULL_DATE = r"^\s*\d{4}-\d{1,2}-\d{1,2}([T ].*)?\s*$"
+FIRST_DATE, LAST_DATE = "1700-01-01", "2261-12-31"
+
+
 def date_or_null(value: Column) -> Column:
-    """Calendar date of an ISO date or timestamp text, independent of the session zone."""
-    return value.cast("string").try_cast("timestamp_ntz").cast("date")
+    """Calendar date of an ISO date or timestamp text, independent of the session zone.
+
+    Null for any other text and for dates outside ``FIRST_DATE`` to ``LAST_DATE``.
+    """
+    text = value.cast("string")
+    day = F.when(text.rlike(FULL_DATE), text.try_cast("timestamp_ntz").cast("date"))
+    return F.when(day.between(F.lit(FIRST_DATE).cast("date"), F.lit(LAST_DATE).cast("date")), day)
 
 
 def instant_or_null(value: Column) -> Column:

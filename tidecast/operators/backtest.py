@@ -17,7 +17,7 @@ from pyspark.sql.window import Window, WindowSpec
 from tidecast.functions.dates import days_to_sunday
 from tidecast.operators.forecast import HISTORY, mode_path
 from tidecast.operators.models import HistoryModel, trend_value, with_running_trend
-from tidecast.operators.series import KEYS, daily_values
+from tidecast.operators.series import KEYS, daily_values, one_per_day
 
 MAX_STEPS = 7
 
@@ -118,12 +118,16 @@ def with_errors(scored: DataFrame) -> DataFrame:
     return scored.select("*", error.alias("error"), F.abs(error).alias("abs_error"), (error * error).alias("squared_error"))
 
 
-def score_predictions(predictions: DataFrame, actuals: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+def score_predictions(
+    predictions: DataFrame, actuals: DataFrame, keys: Sequence[str] = KEYS, order: str | None = None
+) -> DataFrame:
     """Stored predictions joined to observed values; predictions of unobserved days drop out.
 
     ``predictions`` has (keys, train_end, mode, target_date, predicted), ``actuals`` (keys, date, y).
+    Of several actuals of a day the one with the largest ``order`` counts; without an
+    order column a doubled day is an error.
     """
-    seen = actuals.select(*keys, F.col("date").alias("target_date"), F.col("y").alias("actual"))
+    seen = one_per_day(actuals, keys, order).select(*keys, F.col("date").alias("target_date"), F.col("y").alias("actual"))
     joined = predictions.join(seen, [*keys, "target_date"]).withColumn("step", F.date_diff("target_date", "train_end"))
     return with_errors(joined).select(*keys, *DETAIL_COLUMNS)
 

@@ -50,6 +50,11 @@ HOLIDAY_RULES = (
 )
 
 
+#: The rules are those since the act that moved holidays to Mondays; before this year some had
+#: other days, and flag and name are unknown.
+FIRST_YEAR = 1971
+
+
 def _on_rule_day(day: Column, rule: Rule) -> Column:
     dom = F.dayofmonth(day)
     here = (F.month(day) == rule.month) & (F.year(day) >= rule.since)
@@ -71,10 +76,10 @@ def _observed(day: Column, rule: Rule) -> Column:
 
 
 def holiday_name(day: Column) -> Column:
-    """Name of the holiday on a date, null on other days."""
+    """Name of the holiday on a date, null on other days and before ``FIRST_YEAR``."""
     named = [F.when(_on_rule_day(day, r), F.lit(r.name)) for r in HOLIDAY_RULES]
     shifted = [F.when(_observed(day, r), F.lit(f"{r.name} (observed)")) for r in HOLIDAY_RULES if r.observed]
-    return F.coalesce(*named, *shifted)
+    return F.when(F.year(day) >= FIRST_YEAR, F.coalesce(*named, *shifted))
 
 
 def _first_year(years: dict[int, int], key: Column) -> Column:
@@ -84,7 +89,7 @@ def _first_year(years: dict[int, int], key: Column) -> Column:
 
 
 def is_holiday(day: Column) -> Column:
-    """True on a holiday or its observed day.
+    """True on a holiday or its observed day, null before ``FIRST_YEAR``.
 
     Rules are looked up by month and day, or by month, weekday and week of the
     month, instead of being tried one by one: a few integer operations per row.
@@ -106,7 +111,7 @@ def is_holiday(day: Column) -> Column:
     for shift, falls in ((1, 4), (-1, 0)):
         other = F.date_add(day, shift)
         tests.append((on == falls) & (_first_year(kept, month_day(other)) <= F.year(other)))
-    return F.coalesce(reduce(lambda a, b: a | b, tests), F.lit(False))
+    return F.when(F.year(day) >= FIRST_YEAR, F.coalesce(reduce(lambda a, b: a | b, tests), F.lit(False)))
 
 
 def is_weekend(day: Column) -> Column:

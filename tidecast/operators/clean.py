@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidecast.functions.coerce import contains_text, date_or_null, number_or_null
+from tidecast.operators.series import between_dates
 
 
 def require_columns(df: DataFrame, needed: Sequence[str]) -> None:
@@ -31,19 +32,23 @@ def clean_counts(
     mode: str = "mode",
     date: str = "date",
     value: str = "count",
+    start: str | None = None,
+    end: str | None = None,
 ) -> DataFrame:
     """Keep rows whose mode contains ``mode_text``, parse date and value, drop malformed rows.
 
     The mode filter is skipped when the frame has no mode column. Rows come out
-    unordered: a sort belongs to the sink that needs it.
+    unordered: a sort belongs to the sink that needs it. ``start`` and ``end`` are an
+    optional closed span of dates.
     """
     require_columns(df, [date, value])
     if mode_text is not None and mode in df.columns:
         df = df.where(contains_text(F.col(mode), mode_text))
     if series_id is None:
         series_id = F.lit((mode_text or "all").lower())
-    return df.select(
+    rows = df.select(
         series_id.alias("series_id"),
         date_or_null(F.col(date)).alias("date"),
         number_or_null(F.col(value)).alias("y"),
     ).dropna(subset=["date", "y"])
+    return between_dates(rows, start, end)

@@ -15,32 +15,32 @@ from pyspark.sql.window import Window
 
 from tidecast.functions.dates import weekday
 from tidecast.operators.forecast import MODES
-from tidecast.operators.ranking import exact_quantiles
+from tidecast.operators.ranking import counted_values, quantiles_of_counts
 
 PAIR = ("iterative", "multi")
 
 
 def overall_metrics(detail: DataFrame, keys: Sequence[str] = (), modes: Sequence[str] = MODES) -> DataFrame:
-    """count, MAE, MSE, MeanError and MSAE (the mean signed error) of each mode; an absent mode has count 0."""
+    """count, MAE, MSE, MeanError and MSAE (the mean signed error) of each mode found.
 
-    def of(mode: str, value: str) -> Column:
-        return F.when(F.col("mode") == mode, F.col(value))
-
-    summary = detail.groupBy(*keys).agg(
-        *[
-            F.struct(
-                F.lit(m).alias("mode"),
-                F.count(of(m, "error")).alias("count"),
-                F.avg(of(m, "abs_error")).alias("MAE"),
-                F.avg(of(m, "squared_error")).alias("MSE"),
-                F.avg(of(m, "error")).alias("MeanError"),
-            ).alias(f"_{m}")
-            for m in modes
-        ]
+    Each of ``modes`` that is absent has a row with count 0; other modes are measured too.
+    Rows collapse to one per key and mode before the absent ones are added.
+    """
+    sums = detail.groupBy(*keys, "mode").agg(
+        F.count("error").alias("count"),
+        F.avg("abs_error").alias("MAE"),
+        F.avg("squared_error").alias("MSE"),
+        F.avg("error").alias("MeanError"),
     )
-    return summary.select(*keys, F.explode(F.array(*[f"_{m}" for m in modes])).alias("_m")).select(
-        *keys, "_m.*", F.col("_m.MeanError").alias("MSAE")
+    found = F.collect_list(F.struct("mode", "count", "MAE", "MSE", "MeanError"))
+    listed = F.array(*[F.lit(m) for m in modes])
+    none = F.lit(None).cast("double")
+    absent = F.transform(
+        F.array_except(listed, F.transform("_found", lambda r: r["mode"])),
+        lambda m: F.struct(m.alias("mode"), F.lit(0).cast("long").alias("count"), none.alias("MAE"), none.alias("MSE"), none.alias("MeanError")),
     )
+    summary = sums.groupBy(*keys).agg(found.alias("_found")).select(*keys, F.explode(F.concat("_found", absent)).alias("_m"))
+    return summary.select(*keys, "_m.*", F.col("_m.MeanError").alias("MSAE"))
 
 
 def horizon_metrics(detail: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -205,52 +205,57 @@ def apply_bias(
     return predictions.withColumn("predicted", F.col("predicted") + added).drop("_weekday", "_bias")
 
 
-def best_switch(detail: DataFrame, keys: Sequence[str] = (), horizon: int | str = 7) -> DataFrame:
+def best_switch(detail: DataFrame, keys: Sequence[str] = (), horizon: int | str | DataFrame = 7) -> DataFrame:
     """(keys, switch): s minimising iterative MAE of steps <= s plus multi MAE of steps > s.
 
-    ``horizon`` is a number or the name of a per-key column of ``detail``. A step
-    without rows costs infinity and ties go to the smallest s. One aggregate.
+    ``horizon`` is a number, a column of ``detail``, or a frame (keys, horizon); a key absent
+    from that frame is left out. A step without rows costs infinity and ties go to the
+    smallest s. Rows collapse to one per key and step, then to one per key, before a frame
+    of horizons is joined.
     """
-    most = horizon if isinstance(horizon, int) else 7
-    limit = F.lit(horizon) if isinstance(horizon, int) else F.max(horizon)
 
-    def mae(mode: str, step: int) -> Column:
-        return F.avg(F.when((F.lower("mode") == mode) & (F.col("step") == step), F.col("abs_error")))
+    def mae(mode: str) -> Column:
+        return F.avg(F.when(F.lower("mode") == mode, F.col("abs_error")))
 
-    table = detail.groupBy(*keys).agg(
-        limit.alias("_h"),
-        *[mae(m, k).alias(f"_{m}_{k}") for m in PAIR for k in range(1, most + 1)],
+    limit = F.max(horizon) if isinstance(horizon, str) else F.lit(horizon if isinstance(horizon, int) else None).cast("int")
+    costs = detail.groupBy(*keys, "step").agg(limit.alias("_h"), mae(PAIR[0]).alias("it"), mae(PAIR[1]).alias("mu"))
+    table = costs.groupBy(*keys).agg(
+        F.max("_h").alias("_h"), F.map_from_entries(F.collect_list(F.struct("step", F.struct("it", "mu")))).alias("_costs")
     )
-    infinity = F.lit(float("inf"))
-
-    def total(s: int) -> Column:
-        cost = F.lit(0.0)
-        for k in range(1, most + 1):
-            step_cost = F.coalesce(F.col(f"_{PAIR[0] if k <= s else PAIR[1]}_{k}"), infinity)
-            cost = cost + F.when(F.col("_h") >= k, step_cost).otherwise(0.0)
-        return cost
-
-    options = [
-        F.when(F.col("_h") >= s, F.struct(total(s).alias("total"), F.lit(s).alias("s"))) for s in range(1, most + 1)
-    ]
-    return table.select(*keys, F.array_min(F.array(*options))["s"].alias("switch"))
+    if isinstance(horizon, DataFrame):
+        table = table.drop("_h").join(horizon.select(*keys, F.col("horizon").alias("_h")), [*keys])
+    elif isinstance(horizon, int):
+        table = table.withColumn("_h", F.lit(horizon))  # also for a table without rows
+    steps = F.sequence(F.lit(1), F.col("_h"))
+
+    def cost(step: Column, switch: Column) -> Column:
+        own = F.try_element_at("_costs", step)
+        return F.coalesce(F.when(step <= switch, own["it"]).otherwise(own["mu"]), F.lit(float("inf")))
+
+    options = F.transform(
+        steps, lambda s: F.struct(F.aggregate(steps, F.lit(0.0), lambda total, k: total + cost(k, s)).alias("total"), s.alias("s"))
+    )
+    return table.select(*keys, F.array_min(options)["s"].alias("switch"))
 
 
 def error_distribution(detail: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """Box-plot numbers per (mode, step): quartiles, and whiskers at the last rows within 1.5 IQR."""
+    """Box-plot numbers per (mode, step): quartiles, and whiskers at the last rows within 1.5 IQR.
+
+    One pass over the detail: everything comes from its counted distinct errors.
+    """
     groups = [*keys, "mode", "step"]
-    boxes = exact_quantiles(detail, groups, "error", {"q1": 0.25, "median": 0.5, "q3": 0.75})
+    counted = counted_values(detail, groups, "error")
+    boxes = quantiles_of_counts(counted, groups, {"q1": 0.25, "median": 0.5, "q3": 0.75})
     reach = 1.5 * (F.col("q3") - F.col("q1"))
-    inside = F.col("error").between(F.col("q1") - reach, F.col("q3") + reach)
+    inside = F.col("value").between(F.col("q1") - reach, F.col("q3") + reach)
     return (
-        detail.select(*groups, "error")
-        .join(boxes, groups)
+        counted.join(boxes, groups)
         .groupBy(*groups)
         .agg(
-            F.count("error").alias("count"),
+            F.sum("n").alias("count"),
             *[F.first(c).alias(c) for c in ("q1", "median", "q3")],
-            F.min(F.when(inside, F.col("error"))).alias("whisker_low"),
-            F.max(F.when(inside, F.col("error"))).alias("whisker_high"),
+            F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
+            F.max(F.when(inside, F.col("value"))).alias("whisker_high"),
         )
     )
 

@@ -94,22 +94,25 @@ def clamp_switch(switch: Column, horizon: Column) -> Column:
     return F.greatest(F.lit(1), F.least(switch, horizon))
 
 
-def compose_hybrid(
-    iterative: DataFrame,
-    direct: DataFrame,
-    switch: int | DataFrame | None,
-    keys: Sequence[str] = KEYS,
-) -> DataFrame:
-    """Iterative prediction up to the switch step, direct after it.
+def compose_hybrid(rows: DataFrame, switch: int | DataFrame | None, keys: Sequence[str] = KEYS) -> DataFrame:
+    """Iterative prediction up to the switch step, direct after it, from forecast rows of both modes.
 
     A series without direct predictions takes the iterative ones throughout.
     ``switch`` is a number (clamped to 1..horizon), or a frame (keys, switch); a
-    series absent from it, and ``None``, use half the horizon.
+    series absent from it, and ``None``, use half the horizon. The modes meet in one
+    aggregate over the rows, which are read once.
     """
     on = [*keys, "origin", "step"]
-    it = iterative.select(*on, "target_date", F.col("predicted").alias("_it"))
-    mu = direct.select(*on, F.col("predicted").alias("_mu"))
-    both = it.join(mu, on, "left")
+
+    def of(mode: str) -> Column:
+        return F.max(F.when(F.col("mode") == mode, F.col("predicted")))
+
+    both = (
+        rows.where(F.col("mode").isin("iterative", "multi"))
+        .groupBy(*on)
+        .agg(of("iterative").alias("_it"), of("multi").alias("_mu"), F.max("target_date").alias("target_date"))
+        .where(F.col("_it").isNotNull())
+    )
     horizon = days_to_sunday(F.col("origin"))
     middle = F.greatest(F.lit(1), F.floor(horizon / 2).cast("int"))
     if isinstance(switch, DataFrame):

@@ -1,35 +1,45 @@
-"""Pooled MLlib forecasts: one model over all series, each scaled by its own training range.
+"""Pooled learned forecasts: one model a mode and cutoff over all series, each scaled by its own training range.
 
-A pooled fit is a fixed number of Spark jobs however many series there are.
-Values differ from any other tree learner's; rows, steps and dates do not.
+A model is fitted on a bounded sample of the labelled rows, and every fit is a task of its
+own: all cutoffs and modes run side by side, and the driver does nothing a round. Values
+differ from any other tree learner's; rows, steps and dates do not.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import pickle
+import sys
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from multiprocessing.pool import ThreadPool
 
-from pyspark import inheritable_thread_target
-from pyspark.ml import Model
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import GBTRegressor, LinearRegression
-from pyspark.sql import Column, DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tidecast.functions.dates import days_to_sunday
 from tidecast.operators.backtest import DETAIL_COLUMNS, MAX_STEPS, mark_cutoffs, with_errors
-from tidecast.operators.calendar import calendar_values
+from tidecast.operators.boosting import Line, Trees
+from tidecast.operators.calendar import CALENDAR_COLUMNS, calendar_values
 from tidecast.operators.forecast import HISTORY, path_rows
 from tidecast.operators.models import scaled, unscaled
 from tidecast.operators.series import KEYS, TARGET_LAGS
 from tidecast.session import fresh_folder
 
+# Executors need no copy of the package for the functions that run there.
+cloudpickle.register_pickle_by_value(sys.modules[Trees.__module__])
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+#: Labelled rows that a model is fitted on at most: those with the smallest hashes of series, day and step.
+FIT_ROWS = 4096
+
 
 @dataclass(frozen=True)
 class Learner:
-    """Settings of a pooled model; the defaults are the documented ones, tests use fewer rounds."""
+    """Settings of a pooled model; the defaults are the documented ones."""
 
     kind: str = "gbt"
     rounds: int = 300
@@ -38,20 +48,12 @@ class Learner:
     min_rows: int = 5
     feature_share: float = 0.8
     seed: int = 42
+    fit_rows: int = FIT_ROWS
 
-    def estimator(self):
+    def estimator(self) -> Trees | Line:
         if self.kind == "linear":
-            return LinearRegression(featuresCol="features", labelCol="label", regParam=1e-6)
-        return GBTRegressor(
-            featuresCol="features",
-            labelCol="label",
-            maxIter=self.rounds,
-            stepSize=self.step_size,
-            maxDepth=self.depth,
-            minInstancesPerNode=self.min_rows,
-            featureSubsetStrategy=str(self.feature_share),
-            seed=self.seed,
-        )
+            return Line()
+        return Trees(self.rounds, self.step_size, self.depth, self.min_rows, self.feature_share, self.seed)
 
 
 # Settings of the three modes in a backtest and in a forecast.
@@ -106,161 +108,167 @@ def calendar_array(day: Column) -> Column:
     return F.array(*[c.cast("double") for c in calendar_values(day)])
 
 
-def _vector(lags: Sequence[Column], calendar: Column) -> Column:
-    return array_to_vector(F.concat(F.array(*lags), calendar))
+def training_rows(frame: DataFrame, steps: int = 1, keys: Sequence[str] = KEYS) -> DataFrame:
+    """(rank, step, label, features, draw): labelled rows of every cutoff and step, scaled by the cut's range.
 
-
-def training_rows(frame: DataFrame, rank: int, step: int, keys: Sequence[str] = KEYS) -> DataFrame:
-    """(label, features) of a step up to the cutoff of a rank (0 = the series' last day), scaled by that cut's range."""
-    cut = F.filter("cutoffs", lambda c: c["cutoff_rank"] == rank)
-    rows = frame.withColumn("_cut", F.get(cut, F.lit(0))).where(F.col("date") <= F.col("_cut.date"))
+    A row counts for each cutoff (rank 0: the series' last day) that isn't before it. With
+    several steps the step is the last feature.
+    """
+    cut = frame.select("*", F.explode("cutoffs").alias("_cut")).where(F.col("date") <= F.col("_cut.date"))
+    rows = cut.withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(steps))))
     lo, hi = F.col("_cut.lo"), F.col("_cut.hi")
-    deepest = F.col(f"lag_{HISTORY + step - 1}")
-    lags = [scaled(F.col(f"lag_{k + step - 1}"), lo, hi) for k in TARGET_LAGS]
-    return rows.where(deepest.isNotNull()).select(
-        scaled(F.col("y"), lo, hi).alias("label"), _vector(lags, calendar_array(F.col("date"))).alias("features")
+    lags = F.array(*[F.col(f"lag_{k}") for k in range(1, HISTORY + MAX_STEPS)])
+    own = F.array(*[F.lit(k) for k in TARGET_LAGS])
+    seen = F.transform(own, lambda k: scaled(F.get(F.col("_lags"), k + F.col("step") - 2), lo, hi))
+    features = F.concat(seen, calendar_array(F.col("date")), F.array(F.col("step").cast("double")) if steps > 1 else F.array().cast("array<double>"))
+    return (
+        rows.withColumn("_lags", lags)
+        .where(F.get("_lags", F.lit(HISTORY) + F.col("step") - 2).isNotNull())
+        .select(
+            F.col("_cut.cutoff_rank").alias("rank"),
+            "step",
+            scaled(F.col("y"), lo, hi).alias("label"),
+            features.alias("features"),
+            F.xxhash64(*keys, "date", "step").alias("draw"),
+        )
     )
 
 
-def origin_rows(frame: DataFrame, rank: int, keys: Sequence[str] = KEYS) -> DataFrame:
-    """One row per series at the cutoff of a rank, with its scaled history and the calendar of the days ahead."""
-    here = F.col("date") == F.col("last_date") if rank == 0 else F.col("cutoff_rank") == rank
+def origin_rows(frame: DataFrame, forecast: bool, keys: Sequence[str] = KEYS) -> DataFrame:
+    """One row per series and cutoff (``forecast``: the last day), with its scaled history and the calendar of the days ahead."""
+    here = F.col("date") == F.col("last_date") if forecast else F.col("cutoff_rank").isNotNull()
     past = [F.col(f"lag_{k}") for k in range(HISTORY - 1, 0, -1)] + [F.col("y")]
     return frame.where(here & F.col(f"lag_{HISTORY - 1}").isNotNull()).select(
         *keys,
+        (F.lit(0) if forecast else F.col("cutoff_rank")).alias("rank"),
         F.col("date").alias("origin"),
         days_to_sunday(F.col("date")).alias("horizon"),
         "lo",
         "hi",
         "ahead",
-        F.transform(
-            F.sequence(F.lit(1), F.lit(MAX_STEPS)), lambda step: calendar_array(F.date_add("date", step))
-        ).alias("calendars"),
+        F.flatten(F.transform(F.sequence(F.lit(1), F.lit(MAX_STEPS)), lambda step: calendar_array(F.date_add("date", step)))).alias("calendars"),
         F.array(*[scaled(p, F.col("lo"), F.col("hi")) for p in past]).alias("hist"),
     )
 
 
-def fit(frame: DataFrame, learner: Learner, rank: int = 0, step: int = 1, keys: Sequence[str] = KEYS) -> Model:
-    return learner.estimator().fit(training_rows(frame, rank, step, keys))
-
-
-def _side_by_side(spark: SparkSession, tasks: Sequence[Callable[[], Model]], parallelism: int) -> list[Model]:
-    """Run independent fits from a few driver threads, so that their stages overlap on the cluster."""
-    if parallelism <= 1 or len(tasks) == 1:
-        return [t() for t in tasks]
-    inherit = inheritable_thread_target(spark)
-    with ThreadPool(min(parallelism, len(tasks))) as pool:
-        return pool.map(lambda run: run(), [inherit(t) for t in tasks])
-
-
-def _score(rows: DataFrame, model: Model, step: int) -> DataFrame:
-    lags = [F.element_at("hist", -k) for k in TARGET_LAGS]
-    features = _vector(lags, F.get("calendars", F.lit(step - 1)))
-    return model.transform(rows.withColumn("features", features)).drop("features")
+def _sampled(rows: DataFrame, size: int) -> DataFrame:
+    """At most ``size`` rows of each cutoff; tasks keep no more than that before the exchange."""
+    order = Window.partitionBy("rank").orderBy("draw", "step", "label")
+    return rows.withColumn("_k", F.row_number().over(order)).where(F.col("_k") <= size).drop("_k")
 
 
-def iterative_path(origin: DataFrame, model: Model, steps: int = MAX_STEPS) -> DataFrame:
-    """Add ``path``: scaled predictions of steps 1..n, each appended to the history of the next.
+def fitted_models(frame: DataFrame, learners: dict[str, Learner], keys: Sequence[str] = KEYS, parallelism: int = 64) -> dict[tuple[int, str], bytes]:
+    """Pickled models by (rank, mode), one fit a task.
 
-    One row per series, so the steps are narrow projections; nothing shuffles.
+    What reaches the driver is bounded by the number of cutoffs and modes and the settings.
     """
-    rows = origin.withColumn("path", F.array().cast("array<double>"))
-    for step in range(1, steps + 1):
-        rows = (
-            _score(rows, model, step)
-            .withColumn("hist", F.concat(F.slice("hist", 2, HISTORY - 1), F.array("prediction")))
-            .withColumn("path", F.concat("path", F.array("prediction")))
-            .drop("prediction")
-        )
-    return rows
-
-
-def direct_path(origin: DataFrame, models: Sequence[Model]) -> DataFrame:
-    """Add ``path``: step h scored by the h-th model from the same history, with the target day's calendar."""
-    rows = origin.withColumn("path", F.array().cast("array<double>"))
-    for step, model in enumerate(models, start=1):
-        rows = _score(rows, model, step).withColumn("path", F.concat("path", F.array("prediction"))).drop("prediction")
-    return rows
-
-
-def _runs(
-    frame: DataFrame, rank: int, learners: dict[str, Learner], keys: Sequence[str], parallelism: int
-) -> list[tuple[str, DataFrame]]:
-    tasks, owners = [], []
+    parts = None
     for mode, learner in learners.items():
-        for step in range(1, MAX_STEPS + 1) if mode == "multi" else (1,):
-            tasks.append(lambda learner=learner, step=step: fit(frame, learner, rank, step, keys))
-            owners.append(mode)
-    models: dict[str, list[Model]] = {}
-    for mode, model in zip(owners, _side_by_side(frame.sparkSession, tasks, parallelism)):
-        models.setdefault(mode, []).append(model)
-    origin = origin_rows(frame, rank, keys)
-    out = []
-    for mode, fitted in models.items():
-        if mode == "multi":
-            out.append((mode, direct_path(origin, fitted)))
-        else:
-            out.append((mode, iterative_path(origin, fitted[0], 1 if mode == "single" else MAX_STEPS)))
-    return out
-
-
-def _to_horizon(path: str = "path") -> Column:
-    values = F.slice(path, F.lit(1), F.col("horizon"))
-    return F.transform(values, lambda p: unscaled(p, F.col("lo"), F.col("hi")))
+        rows = _sampled(training_rows(frame, MAX_STEPS if mode == "multi" else 1, keys), learner.fit_rows)
+        rows = rows.select("rank", F.lit(mode).alias("mode"), "label", "features")
+        parts = rows if parts is None else parts.unionByName(rows)
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple[int, str], list[tuple[float, list[float]]]] = {}
+        for batch in batches:
+            for rank, mode, label, features in zip(*(c.to_pylist() for c in batch.columns)):
+                held.setdefault((rank, mode), []).append((label, features))
+        for (rank, mode), rows in sorted(held.items()):
+            # the order that a shuffle delivers must not matter
+            table = np.array(sorted([y, *x] for y, x in rows))
+            model = learners[mode].estimator().fit(table[:, 1:], table[:, 0])
+            state = pickle.dumps((isinstance(model, Line), vars(model)))
+            yield pa.RecordBatch.from_arrays([pa.array([rank], pa.int32()), pa.array([mode]), pa.array([state], pa.binary())], names=["rank", "mode", "model"])
+
+    spread = parts.repartitionByRange(parallelism, "rank", "mode")
+    found = spread.mapInArrow(fit, "rank int, mode string, model binary").collect()
+    return {(r["rank"], r["mode"]): bytes(r["model"]) for r in found}
+
+
+def predicted_paths(origins: DataFrame, models: dict[tuple[int, str], bytes]) -> DataFrame:
+    """Add ``runs``, an array of (mode, path): scaled predictions of the steps ahead.
+
+    The iterated path appends each prediction to the history of the next step; the direct
+    one has the step as a feature; the single one has one step.
+    """
+    shared = origins.sparkSession.sparkContext.broadcast(models)
+    kind = T.ArrayType(T.StructType([T.StructField("mode", T.StringType()), T.StructField("path", T.ArrayType(T.DoubleType()))]))
+    arrow = pa.list_(pa.struct([("mode", pa.string()), ("path", pa.list_(pa.float64()))]))
+    at = {c: origins.columns.index(c) for c in ("rank", "calendars", "hist")}
+    lags, days = np.array(TARGET_LAGS), len(CALENDAR_COLUMNS)
+
+    def path(mode: str, model, hist: np.ndarray, calendars: np.ndarray) -> np.ndarray:
+        out = []
+        for step in range(1 if mode == "single" else MAX_STEPS):
+            seen = hist[:, hist.shape[1] - lags]
+            wide = [seen, calendars[:, step]] + ([np.full((len(hist), 1), step + 1.0)] if mode == "multi" else [])
+            out.append(model.predict(np.concatenate(wide, 1)))
+            if mode == "iterative":
+                hist = np.concatenate([hist[:, 1:], out[-1][:, None]], 1)
+        return np.stack(out, 1)
+
+    def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = {}
+        for key, state in shared.value.items():
+            is_line, values = pickle.loads(state)
+            own[key] = Line() if is_line else Trees.__new__(Trees)
+            vars(own[key]).update(values)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rank = np.array(batch.column(at["rank"]).to_pylist())
+            hist = np.array(batch.column(at["hist"]).to_pylist(), float)
+            calendars = np.array(batch.column(at["calendars"]).to_pylist(), float).reshape(len(rank), MAX_STEPS, days)
+            runs: list[list[dict]] = [[] for _ in rank]
+            for (r, mode), model in sorted(own.items()):
+                rows = np.flatnonzero(rank == r)
+                if len(rows):
+                    for i, p in zip(rows.tolist(), path(mode, model, hist[rows], calendars[rows]).tolist()):
+                        runs[i].append({"mode": mode, "path": p})
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(runs, arrow)], names=[*batch.schema.names, "runs"])
+
+    return origins.mapInArrow(predict, T.StructType([*origins.schema.fields, T.StructField("runs", kind)]))
+
+
+def _runs(rows: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """(keep, mode, path): unscaled predictions to the horizon."""
+    flat = rows.select(*keep, "horizon", "lo", "hi", F.explode("runs").alias("_run")).select("*", "_run.mode", F.col("_run.path").alias("_path"))
+    values = F.slice("_path", F.lit(1), F.col("horizon"))
+    return flat.select(*keep, "mode", F.transform(values, lambda p: unscaled(p, F.col("lo"), F.col("hi"))).alias("path"))
 
 
 def _prepared(filled: DataFrame, keys: Sequence[str], warmup: int, newest: int) -> DataFrame:
-    """The frame is read by every fit, so it is written once to the shared folder.
-
-    As a columnar table each fit reads just the lags of its step, and a lost
-    executor costs a re-read instead of the windows.
-    """
+    """The frame is read by every sample and by the origins, so it is written once to the shared folder."""
     spark = filled.sparkSession
     path = fresh_folder(spark, "learner-frame")
     learner_frame(filled, keys, warmup, newest).write.parquet(path)
     return spark.read.parquet(path)
 
 
-def forecast(
-    filled: DataFrame, learners: dict[str, Learner], keys: Sequence[str] = KEYS, parallelism: int = 4
-) -> DataFrame:
+def forecast(filled: DataFrame, learners: dict[str, Learner], keys: Sequence[str] = KEYS) -> DataFrame:
     """(keys, origin, mode, step, target_date, predicted) to each series' coming Sunday."""
     frame = _prepared(filled, keys, 30, 1)
-    out = None
-    for mode, rows in _runs(frame, 0, learners, keys, parallelism):
-        part = path_rows(rows.withColumn("mode", F.lit(mode)), _to_horizon(), [*keys, "origin", "mode"])
-        out = part if out is None else out.unionByName(part)
-    return out
+    cut = F.filter("cutoffs", lambda c: c["cutoff_rank"] == 0)
+    models = fitted_models(frame.withColumn("cutoffs", cut), learners, keys)
+    rows = _runs(predicted_paths(origin_rows(frame, True, keys), models), [*keys, "origin"])
+    return path_rows(rows, F.col("path"), [*keys, "origin", "mode"])
 
 
 def backtest(
-    filled: DataFrame,
-    learners: dict[str, Learner],
-    keys: Sequence[str] = KEYS,
-    warmup: int = 30,
-    newest: int = 10,
-    parallelism: int = 4,
+    filled: DataFrame, learners: dict[str, Learner], keys: Sequence[str] = KEYS, warmup: int = 30, newest: int = 10
 ) -> DataFrame:
     """Backtest detail rows; the r-th fit trains every series on its own rows up to its r-th newest cutoff."""
     frame = _prepared(filled, keys, warmup, newest)
-    out = None
-    for rank in range(1, newest + 1):
-        for mode, rows in _runs(frame, rank, learners, keys, parallelism):
-            flat = rows.select(
-                *keys,
-                F.col("origin").alias("train_end"),
-                F.lit(mode).alias("mode"),
-                "ahead",
-                F.posexplode(_to_horizon()).alias("_pos", "predicted"),
-            )
-            part = flat.select(
-                *keys,
-                "train_end",
-                "mode",
-                F.date_add("train_end", F.col("_pos") + 1).alias("target_date"),
-                (F.col("_pos") + 1).alias("step"),
-                "predicted",
-                F.get("ahead", F.col("_pos")).alias("actual"),
-            ).where(F.col("actual").isNotNull())
-            out = part if out is None else out.unionByName(part)
+    cuts = F.filter("cutoffs", lambda c: c["cutoff_rank"] > 0)
+    models = fitted_models(frame.withColumn("cutoffs", cuts), learners, keys)
+    rows = _runs(predicted_paths(origin_rows(frame, False, keys), models), [*keys, "origin", "ahead"])
+    flat = rows.select(*keys, F.col("origin").alias("train_end"), "mode", "ahead", F.posexplode("path").alias("_pos", "predicted"))
+    out = flat.select(
+        *keys,
+        "train_end",
+        "mode",
+        F.date_add("train_end", F.col("_pos") + 1).alias("target_date"),
+        (F.col("_pos") + 1).alias("step"),
+        "predicted",
+        F.get("ahead", F.col("_pos")).alias("actual"),
+    ).where(F.col("actual").isNotNull())
     return with_errors(out).select(*keys, *DETAIL_COLUMNS)

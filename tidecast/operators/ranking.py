@@ -39,40 +39,47 @@ def global_position(df: DataFrame, order: Sequence[str | Column], out: str = "po
     )
 
 
-def exact_quantiles(df: DataFrame, groups: Sequence[str], value: str, quantiles: dict[str, float]) -> DataFrame:
-    """Exact quantiles with linear interpolation, one row per group, nulls ignored.
+def counted_values(df: DataFrame, groups: Sequence[str], value: str) -> DataFrame:
+    """(groups, value, n, before): distinct non-null values, how often each, and how many rows sort before it over all groups.
 
-    A hot group is spread over the range partitions of the global sort. Only the
-    rows at the wanted positions (two per quantile) are kept and regrouped.
+    Rows collapse to their distinct values first, so a value that most rows hold is one row.
+    Those are sorted by a range exchange, which can split any group, and written; counts are
+    then summed inside the sorted partitions and over the list of partitions.
     """
-    rows = df.select(*groups, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    placed = global_position(rows, [*groups, "_v"], "_pos")
-    bounds = placed.groupBy(*groups).agg(F.min("_pos").alias("_start"), F.count(F.lit(1)).alias("_n"))
-    wanted = bounds.select(
-        "*",
-        F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(name).alias("name"), ((F.col("_n") - 1) * F.lit(float(q))).alias("at"))
-                    for name, q in quantiles.items()
-                ]
-            )
-        ).alias("_q"),
-    ).select(*groups, "_start", "_n", F.col("_q.name").alias("_name"), F.col("_q.at").alias("_at"))
-    sides = wanted.select(
+    counts = df.where(F.col(value).isNotNull()).groupBy(*groups, F.col(value).cast("double").alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    shared_folder(df.sparkSession)
+    placed = counts.orderBy(*groups, "value").checkpoint()
+    placed = placed.withColumn("_part", F.shiftright(F.monotonically_increasing_id(), _ROW_BITS))
+    inside = Window.partitionBy("_part").orderBy(*groups, "value").rowsBetween(Window.unboundedPreceding, -1)
+    parts = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = placed.groupBy("_part").agg(F.sum("n").alias("_size")).select("_part", F.coalesce(F.sum("_size").over(parts), F.lit(0)).alias("_offset"))
+    running = placed.withColumn("_inside", F.coalesce(F.sum("n").over(inside), F.lit(0)))
+    return running.join(F.broadcast(offsets), "_part").select(*groups, "value", "n", (F.col("_inside") + F.col("_offset")).alias("before"))
+
+
+def quantiles_of_counts(counted: DataFrame, groups: Sequence[str], quantiles: dict[str, float]) -> DataFrame:
+    """Exact quantiles with linear interpolation from ``counted_values``, one row per group."""
+    bounds = counted.groupBy(*groups).agg(F.min("before").alias("_start"), F.sum("n").alias("_n"))
+    rows = counted.join(bounds, [*groups])
+    first, last = F.col("before") - F.col("_start"), F.col("before") - F.col("_start") + F.col("n")
+
+    def at(position: Column) -> Column:
+        return F.max(F.when((first <= position) & (position < last), F.col("value")))
+
+    picks = []
+    for name, q in quantiles.items():
+        place = (F.col("_n") - 1) * F.lit(float(q))
+        picks += [at(F.floor(place)).alias(f"_{name}_low"), at(F.ceil(place)).alias(f"_{name}_high")]
+    out = rows.groupBy(*groups, "_n").agg(*picks)
+    return out.select(
         *groups,
-        "_name",
-        "_at",
-        F.explode(
-            F.array_distinct(F.array(F.floor("_at"), F.ceil("_at")))
-        ).alias("_k"),
-        "_start",
-    ).withColumn("_pos", F.col("_start") + F.col("_k"))
-    hits = sides.join(placed.select("_pos", "_v"), "_pos")
-    low = F.max(F.when(F.col("_k") == F.floor("_at"), F.col("_v")))
-    high = F.max(F.when(F.col("_k") == F.ceil("_at"), F.col("_v")))
-    share = F.max(F.col("_at") - F.floor("_at"))
-    picked = hits.groupBy(*groups, "_name").agg((low + (high - low) * share).alias("_value"))
-    return picked.groupBy(*groups).agg(
-        *[F.max(F.when(F.col("_name") == name, F.col("_value"))).alias(name) for name in quantiles]
+        *[
+            (F.col(f"_{name}_low") + (F.col(f"_{name}_high") - F.col(f"_{name}_low")) * ((F.col("_n") - 1) * F.lit(float(q)) % 1)).alias(name)
+            for name, q in quantiles.items()
+        ],
     )
+
+
+def exact_quantiles(df: DataFrame, groups: Sequence[str], value: str, quantiles: dict[str, float]) -> DataFrame:
+    """Exact quantiles with linear interpolation, one row per group, nulls ignored."""
+    return quantiles_of_counts(counted_values(df, groups, value), groups, quantiles)

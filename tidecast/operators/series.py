@@ -19,6 +19,9 @@ KEYS = ("series_id",)
 # The target lags of the forecast features.
 TARGET_LAGS = (1, 2, 3, 4, 5, 6, 7, 14, 21)
 
+#: Days in the longest gap that ``fill_gaps`` builds.
+LONGEST_GAP = 3660
+
 
 def by_date(keys: Sequence[str], date: str = "date") -> WindowSpec:
     return Window.partitionBy(*keys).orderBy(date)
@@ -45,8 +48,31 @@ def duplicate_day(date: Column) -> Column:
     return F.raise_error(F.concat(F.lit("duplicate day in series: "), date.cast("string"))).cast("double")
 
 
+def one_per_day(rows: DataFrame, keys: Sequence[str] = KEYS, order: str | None = None, value: str = "y") -> DataFrame:
+    """One (keys, date, value) row per key and day: the value of the largest ``order``, nulls first.
+
+    Equal orders fall to the larger value. Without an order column a doubled day fails the job.
+    """
+    days = rows.groupBy(*keys, "date")
+    if order is not None:
+        newest = F.max(F.struct(F.col(order).alias("at"), F.col(value).alias("value")))
+        return days.agg(newest.alias("_newest")).select(*keys, "date", F.col("_newest.value").alias(value))
+    one = F.when(F.col("_n") > 1, duplicate_day(F.col("date"))).otherwise(F.col("_v").cast("double"))
+    return days.agg(F.count(F.lit(1)).alias("_n"), F.max(value).alias("_v")).select(*keys, "date", one.alias(value))
+
+
+def long_gap(first: Column, last: Column, most: int) -> Column:
+    """``first``, or a failed job where more than ``most`` days would be built up to ``last``."""
+    text = F.concat(F.lit("gap of more than "), F.lit(most), F.lit(" days after "), first.cast("string"))
+    return F.when(F.date_diff(last, first) > most, F.raise_error(text).cast("date")).otherwise(first)
+
+
 def fill_gaps(
-    daily: DataFrame, keys: Sequence[str] = KEYS, on_duplicate: str = "error"
+    daily: DataFrame,
+    keys: Sequence[str] = KEYS,
+    on_duplicate: str = "error",
+    span: tuple[str | None, str | None] | None = None,
+    longest_gap: int = LONGEST_GAP,
 ) -> DataFrame:
     """Gap-free daily series from the first to the last date of each series.
 
@@ -56,8 +82,12 @@ def fill_gaps(
     series key does the work and no spine is joined.
 
     Two rows of one day are an error raised by the running job, or are summed
-    with ``on_duplicate="sum"``.
+    with ``on_duplicate="sum"``. ``span`` cuts the series to a closed range of dates first.
+    A gap of more than ``longest_gap`` days fails the job instead of being built: it comes
+    from a wrong date, not from a series.
     """
+    if span is not None:
+        daily = between_dates(daily, *span)
     if on_duplicate == "sum":
         daily = daily_totals(daily, F.col("y"), "date", keys)
     order, whole = by_date(keys), Window.partitionBy(*keys)
@@ -90,7 +120,7 @@ def fill_gaps(
     step = F.date_diff("_day", "date")
     gap = F.date_diff("_next_date", "date")
     inside = F.col("_next_date").isNotNull() & (F.col("_day") > F.col("date"))
-    return known.withColumn("_day", F.explode(F.sequence(begin, stop))).select(
+    return known.withColumn("_day", F.explode(F.sequence(long_gap(begin, stop, longest_gap), stop))).select(
         *keys,
         F.col("_day").alias("date"),
         F.when(inside, F.col("y") + (F.col("_next_y") - F.col("y")) * step / gap)

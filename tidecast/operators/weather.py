@@ -121,25 +121,21 @@ def streaks(df: DataFrame, rain: str = "prcp_in", keys: Sequence[str] = STATION)
 
 
 def next_row(keys: Sequence[str] = STATION) -> Column:
-    return F.lead(F.struct(*MEASURES)).over(Window.partitionBy(*keys).orderBy("date"))
+    return F.lead(F.struct("date", *MEASURES)).over(Window.partitionBy(*keys).orderBy("date"))
 
 
 def target_columns(following: str = "_next") -> list[Column]:
-    """Values of the next row; unknown rain counts as no rain."""
+    """Values of the next day; null where the next row is of a later day. Unknown rain counts as no rain."""
+    is_next = F.col(f"{following}.date") == F.date_add("date", 1)
     rain = F.coalesce(F.col(f"{following}.prcp_in") > 0, F.lit(False)).cast("int")
     return [
         F.date_add("date", 1).alias("target_date"),
-        F.col(f"{following}.tmax_f").alias("y_tmax_f"),
-        F.col(f"{following}.tmin_f").alias("y_tmin_f"),
-        rain.alias("y_rain_yn"),
+        F.when(is_next, F.col(f"{following}.tmax_f")).alias("y_tmax_f"),
+        F.when(is_next, F.col(f"{following}.tmin_f")).alias("y_tmin_f"),
+        F.when(is_next, rain).alias("y_rain_yn"),
     ]
 
 
-def feature_frame(obs: DataFrame, keys: Sequence[str] = STATION) -> DataFrame:
-    """All features and targets for every observed day, nulls kept."""
-    return with_features(obs, keys).drop("_next", "_known")
-
-
 def has_all_features() -> Column:
     """True where no feature is null: the row and all rows the longest lag reaches have every measure."""
     return (F.col("_known") == REACH + 1) & F.col("snow_in").isNotNull()
@@ -155,8 +151,11 @@ def with_features(obs: DataFrame, keys: Sequence[str] = STATION) -> DataFrame:
 
 
 def training_frame(obs: DataFrame, keys: Sequence[str] = STATION) -> DataFrame:
-    """38 features, 3 targets and the raw measures per (station, target date); rows with a null drop out."""
-    known_next = F.col("_next.tmax_f").isNotNull() & F.col("_next.tmin_f").isNotNull()
+    """38 features, 3 targets and the raw measures per (station, target date); rows with a null drop out.
+
+    So does the last row before a missing day: the next row's values aren't the target day's.
+    """
+    known_next = F.col("y_tmax_f").isNotNull() & F.col("y_tmin_f").isNotNull()
     return with_features(obs, keys).where(has_all_features() & known_next).select(
         *keys, "target_date", *FEATURES, *TARGETS, *RAW
     )
@@ -180,6 +179,33 @@ NWS_COLUMNS = ("nws_tmax_f", "nws_tmin_f", "nws_pop_max", "nws_windgust_max")
 OM_COLUMNS = ("om_tmax_f", "om_tmin_f", "om_prcp_in", "om_pop_max", "om_windgust_mph")
 
 
+def newest_features(obs: DataFrame, keys: Sequence[str] = STATION) -> DataFrame:
+    """The features of each station's newest complete row.
+
+    Streaks and completeness are windows over the run of days; the other features are
+    computed once a station, from the ``REACH`` + 1 rows that they reach.
+    """
+    order = Window.partitionBy(*keys).orderBy("date")
+    complete = reduce(lambda a, b: a & b, [F.col(m).isNotNull() for m in MEASURES])
+    known = F.count_if(complete).over(order.rowsBetween(-REACH, 0))
+    rows = streaks(obs, "prcp_in", keys).select("*", F.row_number().over(order).alias("_row"), known.alias("_known"))
+    newest = F.max(F.when(has_all_features(), F.col("_row"))).over(Window.partitionBy(*keys))
+    near = rows.withColumn("_newest", newest).where(F.col("_row").between(F.col("_newest") - REACH, F.col("_newest")))
+    fields = ["date", *RAW, *STREAKS]
+    past = near.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("_past"))
+    here = past.select(*keys, "_past", F.element_at("_past", -1).alias("_now")).select(*keys, "_past", "_now.*")
+    features = []
+    for m in MEASURES:
+        apart = [F.element_at("_past", -1 - k)[m] - F.col(m) for k in range(1, REACH + 1)]
+        features += [F.element_at("_past", -1 - k)[m].alias(f"{m}_l{k}") for k in LAGS]
+        for n in WINDOWS:
+            e = reduce(add, apart[: n - 1])
+            q = reduce(add, [d * d for d in apart[: n - 1]])
+            features.append((F.col(m) + e / n).alias(f"{m}_ma{n}"))
+            features.append(F.sqrt(F.greatest(q - e * e / n, F.lit(0.0)) / (n - 1)).alias(f"{m}_std{n}"))
+    return here.select(*keys, *fields, *features, *season_columns(F.col("date")))
+
+
 def scoring_frame(
     obs: DataFrame,
     hourly_days: DataFrame | None,
@@ -191,10 +217,7 @@ def scoring_frame(
 
     Forecast columns are always there and null where a source has no row.
     """
-    rows = with_features(obs.where(F.col("date") <= today), keys)
-    # The newest complete row is picked by a window of the same partitioning: no second exchange.
-    newest = F.max(F.when(has_all_features(), F.col("date"))).over(Window.partitionBy(*keys))
-    picked = rows.withColumn("_newest", newest).where(F.col("date") == F.col("_newest"))
+    picked = newest_features(obs.where(F.col("date") <= today), keys)
     out = picked.select(*keys, F.date_add(today, 1).alias("target_date"), *FEATURES, *RAW)
     for source, columns in ((hourly_days, NWS_COLUMNS), (daily_days, OM_COLUMNS)):
         if source is None:

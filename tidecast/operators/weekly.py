@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidecast.functions.dates import iso_text, week_start, weekday
-from tidecast.operators.series import KEYS
+from tidecast.operators.series import KEYS, one_per_day
 
 # Fixed values.
 PREDICTED, ACTUAL = "predicted", "actual"
@@ -51,11 +51,15 @@ def _newest_week(log: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def week_days(log: DataFrame, actuals: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+def week_days(
+    log: DataFrame, actuals: DataFrame, keys: Sequence[str] = KEYS, order: str | None = None
+) -> DataFrame:
     """Seven rows per series: predictions where the log has the day, else actuals, else null.
 
     ``has_mixed_data`` is true when any day is not in the log, found in the
-    actuals or not. Only days missing from the log are matched with actuals.
+    actuals or not. Only days missing from the log are matched with actuals. Of several
+    actuals of a day the one with the largest ``order`` counts; without an order column a
+    doubled day is an error.
     """
     date = F.date_add("week_start", F.col("_k"))
     spine = _newest_week(log, keys).select(
@@ -68,7 +72,7 @@ def week_days(log: DataFrame, actuals: DataFrame, keys: Sequence[str] = KEYS) ->
         F.try_element_at("_days", date).alias("_predicted"),
         (F.size("_days") < 7).alias("has_mixed_data"),
     )
-    seen = actuals.select(*keys, "date", F.col("y").alias("_actual"))
+    seen = one_per_day(actuals, keys, order).select(*keys, "date", F.col("y").alias("_actual"))
     # A day of the log never meets an actual: its join date is null.
     wanted = F.when(~F.col("_in_log"), F.col("date"))
     joined = spine.withColumn("_want", wanted).join(
@@ -175,6 +179,15 @@ def _newest_of_weekday(k: int) -> Column:
     return F.max_by(F.when(weekday(F.col("date")) == k, day), F.when(weekday(F.col("date")) == k, F.col("date")))
 
 
+def skipped_weeks(days: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+    """(keys, week_start, num_days, reason) of the series whose week ``weekly_numbers`` leaves out."""
+    found = days.groupBy(*keys, "week_start").agg(F.count("ridership").cast("int").alias("num_days"))
+    reason = F.when(F.col("num_days") == 0, "no value in the week").otherwise(
+        F.concat(F.lit("only "), F.col("num_days").cast("string"), F.lit(" of 7 days"))
+    )
+    return found.where(F.col("num_days") < 7).withColumn("reason", reason)
+
+
 def breakdown_rows(numbers: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """The day-name map as rows."""
     return numbers.select(*keys, F.explode("daily_breakdown").alias("day_name", "_d")).select(*keys, "day_name", "_d.*")
@@ -194,8 +207,21 @@ def summary_rows(numbers: DataFrame, calculation_date: Column, keys: Sequence[st
     )
 
 
-def upsert(old: DataFrame, new: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Rows of ``old`` whose key is not in ``new``, plus ``new``."""
+def unique_rows(rows: DataFrame, on: Sequence[str], order: str | None = None) -> DataFrame:
+    """One row per key: that of the largest ``order`` column; without one a doubled key fails the job."""
+    rest = [c for c in rows.columns if c not in on]
+    if order is None:
+        text = F.concat_ws(" ", F.lit("doubled key:"), *[F.col(c).cast("string") for c in on])
+        n = F.when(F.col("_n") > 1, F.raise_error(text).cast("long")).otherwise(F.col("_n"))
+        one = rows.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"), F.first(F.struct(*rest)).alias("_row"))
+        return one.withColumn("_n", n).where("_n = 1").select(*on, "_row.*").select(*rows.columns)
+    newest = F.max_by(F.struct(*rest), F.struct(order, F.xxhash64(*rest)))
+    return rows.groupBy(*on).agg(newest.alias("_row")).select(*on, "_row.*").select(*rows.columns)
+
+
+def upsert(old: DataFrame, new: DataFrame, on: Sequence[str], order: str | None = None) -> DataFrame:
+    """Rows of ``old`` whose key is not in ``new``, plus ``new``, whose keys are made unique by ``unique_rows``."""
+    new = unique_rows(new, on, order)
     return old.join(new.select(*on), [*on], "left_anti").unionByName(new)
 
 

@@ -147,6 +147,25 @@ def clean_daily(spark, sf):
     return days.withColumn("y", F.col("y") / 100.0)
 
 
+@query
+def clean_dates(spark, sf):
+    """Texts that aren't full dates, or far off, give no rows."""
+    day = F.dayofmonth("o_orderdate")
+    text = (
+        F.when(day == 1, F.date_format("o_orderdate", "yyyyMM"))
+        .when(day == 2, F.date_format("o_orderdate", "yyyy"))
+        .when(day == 3, F.date_format("o_orderdate", "HH:mm:ss"))
+        .when(day == 4, F.concat(F.lit("1"), F.date_format("o_orderdate", "yyyy-MM-dd")))
+        .when(day == 5, F.lit("1066-10-14"))
+        .when(day == 6, F.date_format("o_orderdate", "yyyy-MM"))
+        .when(day == 7, F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
+        .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+    )
+    rows = table(spark, sf, "orders").select(text.alias("date"), F.lit("x").alias("mode"), F.col("o_orderkey").alias("count"))
+    clean = clean_counts(rows, start="1996-01-01", end="1999-12-31")
+    return clean.groupBy("date").agg(F.count("*").alias("n"), F.sum("y").cast("long").alias("total"))
+
+
 @query
 def coerce_values(spark, sf):
     return table(spark, sf, "part").select(
@@ -425,6 +444,20 @@ def scored_predictions(spark, sf):
     return shown(scored.drop("squared_error"), "predicted", "actual", "error", "abs_error")
 
 
+def doubled_actuals(rows: DataFrame) -> DataFrame:
+    """Every third actual once more with another value; the later version is the valid one."""
+    first = rows.where(F.dayofmonth("date") % 3 == 0).withColumn("y", F.col("y") * 2).withColumn("version", F.lit(1))
+    return rows.withColumn("version", F.lit(2)).unionByName(first)
+
+
+@query
+def scored_predictions_doubled(spark, sf):
+    """Doubled actuals score a prediction once, by the later one."""
+    stored = detail(spark, sf).select("series_id", "train_end", "mode", "target_date", "predicted")
+    scored = bt.score_predictions(stored, doubled_actuals(order_days(spark, sf)), order="version")
+    return shown(scored.drop("squared_error"), "predicted", "actual", "error", "abs_error")
+
+
 METRICS = ("MAE", "MSE", "MeanError")
 
 
@@ -446,6 +479,12 @@ def overall_metrics_by_series(spark, sf):
     return metric_digits(ev.overall_metrics(detail(spark, sf), ("series_id",)))
 
 
+@query
+def overall_metrics_trend(spark, sf):
+    """A mode of its own is measured beside the documented ones."""
+    return metric_digits(ev.overall_metrics(bt.run_trend(filled_orders(spark, sf))))
+
+
 @query
 def horizon_metrics(spark, sf):
     return metric_digits(ev.horizon_metrics(detail(spark, sf)))
@@ -502,8 +541,11 @@ def bias_before_cutoff(spark, sf):
 
 @query
 def apply_bias(spark, sf):
+    """The backtest is written once; its rows and their bias both read the table."""
     keys = ("series_id",)
-    rows = detail(spark, sf)
+    path = fresh_folder(spark, "detail")
+    sinks.overwrite_table(detail(spark, sf), path)
+    rows = tables.backtest_detail(spark, path)
     calibrated = ev.apply_bias(rows, ev.weekday_bias(rows, keys), keys)
     return calibrated.select("series_id", "train_end", "mode", "target_date", "step", grid("predicted", 3).alias("predicted"))
 
@@ -522,13 +564,22 @@ def best_switch(spark, sf):
 @query
 def best_switch_by_series(spark, sf):
     horizon = fc.horizons(order_days(spark, sf)).select("series_id", "horizon")
-    return ev.best_switch(detail(spark, sf).join(horizon, "series_id"), ("series_id",), "horizon")
+    return ev.best_switch(detail(spark, sf), ("series_id",), horizon)
+
+
+@query
+def best_switch_far(spark, sf):
+    """Switch over the steps of a stored log of predictions that look up to three weeks ahead."""
+    rows = detail(spark, sf)
+    far = rows.withColumn("step", F.date_diff("target_date", F.date_sub("train_end", 14)).cast("int")).withColumn(
+        "horizon", F.lit(21)
+    )
+    return ev.best_switch(rows.withColumn("horizon", F.lit(7)).unionByName(far), ("series_id",), "horizon")
 
 
 def _hybrid(spark, sf, switch):
     rows = fc.forecast(fc.origins(order_days(spark, sf)), {"iterative": ITERATIVE, "multi": MULTI})
-    both = fc.compose_hybrid(rows.where("mode = 'iterative'"), rows.where("mode = 'multi'"), switch)
-    return shown(both, "predicted")
+    return shown(fc.compose_hybrid(rows, switch), "predicted")
 
 
 @query
@@ -541,6 +592,14 @@ def compose_hybrid_override(spark, sf):
     return _hybrid(spark, sf, 30)
 
 
+@query
+def compose_hybrid_partial(spark, sf):
+    """Series without direct predictions take the iterative ones throughout."""
+    rows = fc.forecast(fc.origins(order_days(spark, sf)), {"iterative": ITERATIVE, "multi": MULTI})
+    rows = rows.where(~((F.col("mode") == "multi") & F.col("series_id").isin("1-URGENT", "3-MEDIUM")))
+    return shown(fc.compose_hybrid(rows, 2), "predicted")
+
+
 @query
 def compose_hybrid_fallback(spark, sf):
     """No calibration: half the horizon."""
@@ -575,6 +634,17 @@ def week_build(spark, sf):
     return _week(spark, sf)
 
 
+@query
+def week_build_doubled(spark, sf):
+    return weekly.week_days(event_log(spark, sf), doubled_actuals(event_actuals(spark, sf)), order="version")
+
+
+@query
+def week_skipped(spark, sf):
+    """Weeks that the strict roll-up leaves out, with the reason."""
+    return weekly.skipped_weeks(_week(spark, sf))
+
+
 @query
 def week_missing_days(spark, sf):
     return weekly.missing_days(event_log(spark, sf))
@@ -652,6 +722,19 @@ def summary_upsert(spark, sf):
     return sinks.read_keyed(spark, path)
 
 
+@query
+def summary_upsert_doubled(spark, sf):
+    """New rows with doubled keys: the later one stays."""
+    path = fresh_folder(spark, "summary")
+    numbers = weekly.weekly_numbers(_week(spark, sf), allow_partial=True, log=event_log(spark, sf))
+    rows = weekly.summary_rows(numbers, F.lit("2024-02-01"))
+    first = rows.withColumn("num_days", F.lit(0)).withColumn("version_of_row", F.lit(1))
+    both = rows.withColumn("version_of_row", F.lit(2)).unionByName(first)
+    for _ in range(5):
+        sinks.upsert_keyed(both, path, ["series_id", "calculation_date"], order="version_of_row")
+    return sinks.read_keyed(spark, path).drop("version_of_row")
+
+
 # ---- weather ---------------------------------------------------------------
 
 
@@ -684,6 +767,25 @@ def weather_frame(spark, sf):
     return shown(frame, *floats)
 
 
+@query
+def weather_frame_gaps(spark, sf):
+    """Stations with missing days and missing measures: no target from a later day."""
+    rows = station_rows(spark, sf).where(F.dayofyear("date") % 37 != 0)
+    holes = rows.withColumn("tmax", F.when(F.dayofyear("date") % 41 != 0, F.col("tmax")))
+    frame = weather.training_frame(weather.observations(holes))
+    floats = [c for c, kind in frame.dtypes if kind == "double"]
+    return shown(frame, *floats)
+
+
+@query
+def station_scan(spark, sf):
+    """Station days written as a table and scanned by a closed date range."""
+    path = fresh_folder(spark, "stations")
+    rows = station_rows(spark, sf).withColumn("snow", F.lit(None).cast("double"))
+    sinks.overwrite_table(rows.select("station_id", "date", *[F.col(c).cast("double") for c in ("tmin", "tmax", "prcp", "snow")]), path)
+    return tables.station_days(spark, path, "1996-03-01", "1998-02-28")
+
+
 @query
 def latest_row(spark, sf):
     """Newest station row at or before a day."""
@@ -742,6 +844,37 @@ def daily_arrays(spark, sf):
     return shown(feeds.daily_forecast(daily_docs(spark, sf)), "om_tmax_f", "om_tmin_f", "om_prcp_in", "om_windgust_mph")
 
 
+def damaged_docs(spark, sf):
+    """Daily documents of which some lack the gust array, have a text in a cell, or aren't documents."""
+    third = F.dayofmonth("_day") % 5
+    gone = F.regexp_replace("body", r',"wind_gusts_10m_max":\[[^\]]*\]', "")
+    texts = F.regexp_replace("body", r'"precipitation_sum":\[[^,\]]*', '"precipitation_sum":["x"')
+    day = F.to_date(F.get_json_object("body", "$.daily.time[0]"))
+    docs = daily_docs(spark, sf).withColumn("_day", day)
+    body = (
+        F.when(third == 1, gone).when(third == 2, texts).when(third == 3, F.expr("left(body, 30)")).when(third == 4, F.lit('{"daily": {}}')).otherwise(F.col("body"))
+    )
+    return docs.select("station_id", body.alias("body"))
+
+
+@query
+def daily_arrays_damaged(spark, sf):
+    """A bad cell or an absent array is null; the rest of its document stays."""
+    return shown(feeds.daily_forecast(damaged_docs(spark, sf)), "om_tmax_f", "om_tmin_f", "om_prcp_in", "om_windgust_mph")
+
+
+@query
+def daily_arrays_unreadable(spark, sf):
+    return feeds.unreadable_documents(damaged_docs(spark, sf), "daily").groupBy("station_id", "reason").agg(F.count("*").alias("n"))
+
+
+@query
+def hourly_unreadable(spark, sf):
+    """Hourly documents without readable periods, kept apart."""
+    docs = hourly_docs(spark, sf).withColumn("body", F.when(F.col("station_id") == "error", F.expr("left(body, 12)")).otherwise(F.col("body")))
+    return feeds.unreadable_documents(docs, "hourly").groupBy("station_id", "reason").agg(F.count("*").alias("n"))
+
+
 def event_stations(spark, sf):
     return (
         table(spark, sf, "events")
@@ -814,20 +947,62 @@ def stream_latest(spark, sf):
     path = fresh_folder(spark, "latest")
     changes = messages.latest_changes(event_stream(spark, sf), ["user_id"], ["ts", "event_id"], ["event_type", "value"])
     finish(messages.store_latest(changes, f"{path}/table", f"{path}/state"))
-    return messages.read_latest(spark, f"{path}/table", ["user_id"])
+    return messages.read_latest(spark, f"{path}/table", ["user_id"], ["ts", "event_id"])
+
+
+def _three_files(spark, sf) -> str:
+    """The events as three files, one after the other, each over the whole time."""
+    path = fresh_folder(spark, "event-files")
+    for k in range(3):
+        table(spark, sf, "events").where(F.col("event_id") % 3 == k).coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+@query
+def stream_latest_compacted(spark, sf):
+    """Latest message per user over three batches, compacted, then read."""
+    path = fresh_folder(spark, "latest")
+    events = messages.file_stream(spark, _three_files(spark, sf), table(spark, sf, "events").schema, per_trigger=1)
+    changes = messages.latest_changes(events, ["user_id"], ["ts", "event_id"], ["event_type", "value"])
+    finish(messages.store_latest(changes, f"{path}/table", f"{path}/state"))
+    messages.compact_latest(spark, f"{path}/table", ["user_id"], ["ts", "event_id"])
+    return messages.read_latest(spark, f"{path}/table", ["user_id"], ["ts", "event_id"])
+
+
+def _event_days(spark, sf, folder: str, **options) -> str:
+    path = fresh_folder(spark, "days")
+    events = messages.file_stream(spark, folder, table(spark, sf, "events").schema, **options)
+    events = events.withColumnRenamed("event_type", "series_id")
+    finish(messages.store_day_parts(events, F.col("ts"), ["series_id"], path, f"{path}/state", value=cents(F.col("value"))))
+    return path
 
 
 @query
 def stream_daily(spark, sf):
-    """Closed event days per type, gap-filled like any daily series."""
+    """Event days per type, the open ones too, gap-filled like any daily series."""
+    days = messages.read_days(spark, _event_days(spark, sf, sf, files="events.parquet"), ["series_id"])
+    return series.fill_gaps(days.withColumn("y", F.col("y") / 100.0)).join(
+        days.select("series_id", "date", "n", "is_open"), ["series_id", "date"], "left"
+    )
+
+
+@query
+def stream_closed_days(spark, sf):
+    """Days as the watermark closes them, for readers that want final rows only."""
     path = fresh_folder(spark, "days")
     events = event_stream(spark, sf).withColumnRenamed("event_type", "series_id")
     counts = messages.daily_counts(events, F.col("ts"), ["series_id"], value=cents(F.col("value")))
     finish(messages.store_closed_days(counts, f"{path}/table", f"{path}/state"))
-    closed = spark.read.parquet(f"{path}/table")
-    return series.fill_gaps(closed.withColumn("y", F.col("y") / 100.0)).join(
-        closed.select("series_id", "date", "n"), ["series_id", "date"], "left"
-    )
+    return spark.read.parquet(f"{path}/table").withColumn("y", F.col("y") / 100.0)
+
+
+@query
+def stream_late(spark, sf):
+    """Rows that came after their day was closed, over three batches: counted, and listed."""
+    path = _event_days(spark, sf, _three_files(spark, sf), per_trigger=1)
+    late = messages.read_late(spark, path, ["series_id"]).groupBy("series_id").agg(F.count("*").alias("n_late"))
+    days = messages.read_days(spark, path, ["series_id"]).groupBy("series_id").agg(F.sum("n").alias("n"), F.sum("y").cast("long").alias("cents"))
+    return days.join(late, "series_id", "left")
 
 
 # ---- whole jobs ------------------------------------------------------------
@@ -854,25 +1029,54 @@ def output_checks(spark, sf):
     return quality_checks(daily, predictions, "2001-08-05")
 
 
-SMALL_GBT = {m: learners.Learner(rounds=3, depth=4) for m in ("iterative", "multi")}
 LINEAR = {m: learners.Learner("linear") for m in ("single", "multi", "iterative")}
 
 
+def _plausible(rows: DataFrame, filled: DataFrame) -> DataFrame:
+    """Learned values differ from engine to engine: shown is whether each is there and near the values seen."""
+    spread = filled.groupBy("series_id").agg(F.min("y").alias("_lo"), F.max("y").alias("_hi"))
+    width = F.col("_hi") - F.col("_lo")
+    near = F.col("predicted").between(F.col("_lo") - width / 2, F.col("_hi") + width / 2)
+    joined = rows.join(spread, "series_id")
+    return joined.withColumn("is_predicted", F.col("predicted").isNotNull()).withColumn("is_near", near).drop("predicted", "_lo", "_hi")
+
+
+def _learned_forecast(spark, sf, settings):
+    filled = filled_orders(spark, sf)
+    return _plausible(learners.forecast(filled, settings), filled)
+
+
+def _learned_backtest(spark, sf, settings):
+    """All cutoffs and modes; the calibrated mean error of the iterated mode is 0 on its own rows."""
+    filled = filled_orders(spark, sf)
+    path = fresh_folder(spark, "detail")
+    sinks.overwrite_table(learners.backtest(filled, settings), path)
+    rows = tables.backtest_detail(spark, path)
+    keys = ("series_id",)
+    calibrated = ev.apply_bias(rows, ev.weekday_bias(rows, keys), keys)
+    error = F.when(F.col("mode") == "iterative", F.col("predicted") - F.col("actual"))
+    mean = calibrated.groupBy("series_id").agg((F.abs(F.avg(error)) < 1e-3).alias("is_calibrated"))
+    shown_rows = rows.select("series_id", "train_end", "mode", "target_date", "step", "predicted", "actual")
+    return shown(_plausible(shown_rows, filled).join(mean, "series_id"), "actual")
+
+
 @query
 def fc_gbt(spark, sf):
-    return learners.forecast(filled_orders(spark, sf), SMALL_GBT)
+    """The documented rounds of all three modes."""
+    return _learned_forecast(spark, sf, learners.FORECAST_LEARNERS)
 
 
 @query
 def fc_linear(spark, sf):
-    return learners.forecast(filled_orders(spark, sf), LINEAR)
+    return _learned_forecast(spark, sf, LINEAR)
 
 
 @query
 def backtest_gbt(spark, sf):
-    return learners.backtest(filled_orders(spark, sf), {"iterative": learners.Learner(rounds=3, depth=4)}, newest=2)
+    """The documented rounds, cutoffs and modes."""
+    return _learned_backtest(spark, sf, learners.BACKTEST_LEARNERS)
 
 
 @query
 def backtest_linear(spark, sf):
-    return learners.backtest(filled_orders(spark, sf), LINEAR, newest=2)
+    return _learned_backtest(spark, sf, LINEAR)

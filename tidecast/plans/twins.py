@@ -174,6 +174,12 @@ totals AS (
   SELECT *, row_number() OVER ({'PARTITION BY series_id ' if keys else ''}ORDER BY total, switch) AS rn FROM totals) WHERE rn = 1)"""
 
 
+TREND_FITS = """fits AS (SELECT c.series_id, c.train_end, c.horizon, regr_slope(f.y, f.date - DATE '2000-01-01') AS a, regr_intercept(f.y, f.date - DATE '2000-01-01') AS b
+  FROM cuts c JOIN filled f ON f.series_id = c.series_id AND f.date <= c.train_end GROUP BY 1, 2, 3)"""
+TREND_SCORED = """scored AS (SELECT t.series_id, t.train_end, t.train_end + s.step AS target_date, s.step,
+  b + a * (t.train_end + s.step - DATE '2000-01-01') AS predicted, so.y AS actual
+  FROM fits t JOIN steps s ON s.step <= t.horizon JOIN so ON so.series_id = t.series_id AND so.date = t.train_end + s.step)"""
+
 FORECASTS = f"""
 it AS (SELECT * FROM ({path_sql('origin', 'series_id, origin, horizon')}) WHERE step <= horizon),
 mu AS (SELECT series_id, origin, step, {LAG3} AS predicted FROM origin, steps WHERE step <= horizon)"""
@@ -285,7 +291,8 @@ FRAME = f"""{runs('obs', 'sk')},
 frame AS (SELECT station_id, date, date + 1 AS target_date, {weather_features()},
   sin(2 * pi() * dayofyear(date) / 366.0::DOUBLE) AS doy_sin, cos(2 * pi() * dayofyear(date) / 366.0::DOUBLE) AS doy_cos,
   month(date)::INT AS month, wet_streak, dry_streak,
-  lead(tmax_f) OVER w AS y_tmax_f, lead(tmin_f) OVER w AS y_tmin_f, coalesce(lead(prcp_in) OVER w > 0, false)::INT AS y_rain_yn,
+  CASE WHEN lead(date) OVER w = date + 1 THEN lead(tmax_f) OVER w END AS y_tmax_f, CASE WHEN lead(date) OVER w = date + 1 THEN lead(tmin_f) OVER w END AS y_tmin_f,
+  CASE WHEN lead(date) OVER w = date + 1 THEN coalesce(lead(prcp_in) OVER w > 0, false)::INT END AS y_rain_yn,
   tmax_f, tmin_f, prcp_in, snow_in
   FROM sk WINDOW w AS (PARTITION BY station_id ORDER BY date))"""
 
@@ -344,6 +351,8 @@ def build() -> dict[str, str]:
         "clean_daily": lines(
             f"SELECT mode AS series_id, date, sum({CENTS.format('y')})::BIGINT / 100.0::DOUBLE AS y FROM raw "
             "WHERE date IS NOT NULL AND y IS NOT NULL GROUP BY 1, 2", RAW),
+        "clean_dates": """SELECT o_orderdate::DATE AS date, count(*) AS n, sum(o_orderkey)::BIGINT AS total FROM orders
+  WHERE day(o_orderdate) NOT BETWEEN 1 AND 6 AND o_orderdate::DATE BETWEEN '1996-01-01' AND '1999-12-31' GROUP BY 1""",
         "coerce_values": """SELECT p_partkey, try_cast(p_name AS DOUBLE) AS name_number, try_cast(p_retailprice AS DOUBLE) AS price,
   try_cast(regexp_extract(p_brand, '#(.*)$', 1) AS DOUBLE) AS brand_number, coalesce(try_cast(p_type AS DOUBLE), 0) AS type_number FROM part""",
         "day_parts": f"""SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day_text, (isodow(o_orderdate) - 1)::INT AS weekday,
@@ -408,16 +417,18 @@ def build() -> dict[str, str]:
         "backtest_trend": lines(
             f"SELECT series_id, train_end, 'trend' AS mode, target_date, step, {shown(['predicted', 'actual'])}, {r('predicted - actual', D, 'error')}, {r('abs(predicted - actual)', D, 'abs_error')} FROM scored",
             FILLED, STEPS, CUTS,
-            """fits AS (SELECT c.series_id, c.train_end, c.horizon, regr_slope(f.y, f.date - DATE '2000-01-01') AS a, regr_intercept(f.y, f.date - DATE '2000-01-01') AS b
-  FROM cuts c JOIN filled f ON f.series_id = c.series_id AND f.date <= c.train_end GROUP BY 1, 2, 3)""",
-            """scored AS (SELECT t.series_id, t.train_end, t.train_end + s.step AS target_date, s.step,
-  b + a * (t.train_end + s.step - DATE '2000-01-01') AS predicted, so.y AS actual
-  FROM fits t JOIN steps s ON s.step <= t.horizon JOIN so ON so.series_id = t.series_id AND so.date = t.train_end + s.step)"""),
+            TREND_FITS, TREND_SCORED),
         "backtest_skipped": lines(
             f"""SELECT series_id, date AS train_end, mode, 'fewer than 21 days of history' AS reason FROM hist JOIN (SELECT series_id, max(date) AS b FROM filled GROUP BY 1) USING (series_id),
   (SELECT unnest(['single', 'multi', 'iterative']) AS mode) WHERE NOT is_filled AND n < 21 AND date + {HORIZON.format('date')} <= b""", FILLED, history()),
         "scored_predictions": lines(
             f"SELECT series_id, train_end, mode, target_date, step, {shown(['predicted', 'actual', 'error', 'abs_error'])} FROM detail", DETAIL),
+        "scored_predictions_doubled": lines(
+            f"SELECT series_id, train_end, mode, target_date, step, {shown(['predicted', 'actual', 'error', 'abs_error'])} FROM detail", DETAIL),
+        "overall_metrics_trend": lines(
+            f"""SELECT mode, {METRICS}, floor((avg(error)) * 1e3 + 0.381966e0) / 1e3 AS "MSAE" FROM (SELECT unnest(['trend', 'single', 'multi', 'iterative']) AS mode)
+  LEFT JOIN (SELECT 'trend' AS mode, predicted - actual AS error, abs(predicted - actual) AS abs_error, (predicted - actual) * (predicted - actual) AS squared_error FROM scored) USING (mode) GROUP BY mode""",
+            FILLED, STEPS, CUTS, TREND_FITS, TREND_SCORED),
         "overall_metrics": overall(),
         "overall_metrics_by_series": overall("series_id"),
         "horizon_metrics": lines(f"SELECT mode, step, {METRICS} FROM detail GROUP BY 1, 2", DETAIL),
@@ -458,6 +469,20 @@ def build() -> dict[str, str]:
   JOIN (SELECT series_id, max(date) AS date FROM filled GROUP BY 1) m USING (series_id, date) WHERE n >= 21)""",
             best_sql("series_id"), FORECASTS,
             hybrid(f"coalesce(bs.switch, greatest(1, {HORIZON.format('it.origin')} // 2))", "LEFT JOIN bs USING (series_id)")),
+        "best_switch_far": lines(
+            """SELECT series_id, switch FROM (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY total, switch) AS rn FROM far_totals) WHERE rn = 1""",
+            DETAIL,
+            """far_rows AS (SELECT series_id, mode, step, abs_error FROM detail UNION ALL SELECT series_id, mode, step + 14, abs_error FROM detail),
+far_costs AS (SELECT series_id, mode, step, avg(abs_error) AS mae FROM far_rows WHERE mode IN ('iterative', 'multi') GROUP BY ALL),
+far_steps AS (SELECT unnest(generate_series(1, 21))::INT AS step),
+far_totals AS (SELECT g.series_id, g.switch, sum(coalesce(c.mae, 'infinity'::DOUBLE)) AS total
+  FROM (SELECT s.series_id, a.step AS switch, b.step FROM (SELECT DISTINCT series_id FROM detail) s, far_steps a, far_steps b) g
+  LEFT JOIN far_costs c ON c.series_id = g.series_id AND c.step = g.step AND c.mode = CASE WHEN g.step <= g.switch THEN 'iterative' ELSE 'multi' END GROUP BY ALL)"""),
+        "compose_hybrid_partial": lines(
+            f"SELECT series_id, origin, step, target_date, switch, {r('predicted')} FROM hybrid", ORIGIN, FORECASTS,
+            """hybrid AS (SELECT it.series_id, it.origin, it.step, it.origin + it.step AS target_date, least(2, it.horizon)::INT AS switch,
+  CASE WHEN it.step <= 2 OR it.series_id IN ('1-URGENT', '3-MEDIUM') THEN it.predicted ELSE mu.predicted END AS predicted
+  FROM (SELECT *, {HZ} AS horizon FROM it) it JOIN mu USING (series_id, origin, step))""".replace("{HZ}", HORIZON.format("origin"))),
         "compose_hybrid_override": lines(
             f"SELECT series_id, origin, step, target_date, switch, {r('predicted')} FROM hybrid", ORIGIN, FORECASTS,
             hybrid(f"least(30, {HORIZON.format('it.origin')})")),
@@ -474,6 +499,11 @@ def build() -> dict[str, str]:
             """SELECT series_id, mode, train_end, target_date, step, floor((predicted - actual) * 1e4 + 0.381966e0) / 1e4 AS residual FROM detail WHERE mode IN ('iterative', 'multi')""", DETAIL),
         "latest_prediction": lines("SELECT * FROM latest", LOG, LATEST),
         "week_build": lines("SELECT * FROM wk", WEEKLY),
+        "week_build_doubled": lines("SELECT * FROM wk", WEEKLY),
+        "week_skipped": lines(
+            """SELECT series_id, week_start, count(ridership)::INT AS num_days,
+  CASE count(ridership) WHEN 0 THEN 'no value in the week' ELSE 'only ' || count(ridership) || ' of 7 days' END AS reason
+  FROM wk GROUP BY 1, 2 HAVING count(ridership) < 7""", WEEKLY),
         "week_missing_days": lines(
             "SELECT series_id, date FROM spine s WHERE NOT EXISTS (SELECT 1 FROM log l WHERE l.series_id = s.series_id AND l.target_date = s.date)", WEEKLY),
         "week_missing_actuals": lines(
@@ -510,6 +540,24 @@ def build() -> dict[str, str]:
   CASE WHEN bool_or(has_mixed_data) THEN 'mixed' ELSE 'predictions_only' END AS data_mix, count(*)::INT AS num_days,
   round_even(round(avg(ridership), 6), 0)::BIGINT AS daily_average_ridership, round_even(round(sum(ridership), 6), 0)::BIGINT AS total_period_ridership, calculation_date
   FROM wr, (SELECT unnest([DATE '2024-02-01', DATE '2024-02-02']) AS calculation_date) GROUP BY series_id, calculation_date""", WEEKLY, WEEK_ROWS),
+        "summary_upsert_doubled": lines(
+            """SELECT series_id, strftime(min(date), '%Y-%m-%d') || ' to ' || strftime(max(date), '%Y-%m-%d') AS period,
+  CASE WHEN count(*) = 7 THEN 'complete_week' ELSE 'partial_period' END AS period_type,
+  CASE WHEN bool_or(has_mixed_data) THEN 'mixed' ELSE 'predictions_only' END AS data_mix, count(*)::INT AS num_days,
+  round_even(round(avg(ridership), 6), 0)::BIGINT AS daily_average_ridership, round_even(round(sum(ridership), 6), 0)::BIGINT AS total_period_ridership, DATE '2024-02-01' AS calculation_date
+  FROM wr GROUP BY series_id""", WEEKLY, WEEK_ROWS),
+        "station_scan": lines(
+            "SELECT station_id, date, tmin::DOUBLE AS tmin, tmax::DOUBLE AS tmax, prcp::DOUBLE AS prcp, NULL::DOUBLE AS snow FROM st WHERE date BETWEEN '1996-03-01' AND '1998-02-28'", STATIONS),
+        "weather_frame_gaps": lines(
+            f"""SELECT station_id, target_date, {shown(WINDOW_FEATURES + ['doy_sin', 'doy_cos'])}, month, wet_streak, dry_streak,
+  floor((n_tmax) * 1e4 + 0.381966e0) / 1e4 AS y_tmax_f, floor((n_tmin) * 1e4 + 0.381966e0) / 1e4 AS y_tmin_f, n_rain AS y_rain_yn,
+  {shown(['tmax_f', 'tmin_f', 'prcp_in', 'snow_in'])}
+  FROM (SELECT frame.*, nx.tmax_f AS n_tmax, nx.tmin_f AS n_tmin, coalesce(nx.prcp_in > 0, false)::INT AS n_rain FROM frame
+    JOIN (SELECT station_id AS s, date AS d, tmax_f, tmin_f, prcp_in FROM obs) nx ON nx.s = frame.station_id AND nx.d = frame.date + 1)
+  WHERE {not_null(WINDOW_FEATURES + ['n_tmax', 'n_tmin'])}""",
+            STATIONS,
+            "gaps AS (SELECT station_id, date, CASE WHEN dayofyear(date) % 41 <> 0 THEN tmax END AS tmax, tmin, prcp FROM st WHERE dayofyear(date) % 37 <> 0)",
+            observed("gaps"), FRAME),
         "weather_observations": lines(
             f"SELECT station_id, date, {shown(['tmax_f', 'tmin_f', 'prcp_in', 'snow_in'])} FROM obs WHERE date BETWEEN '1996-01-01' AND '2000-12-31'", STATIONS, observed()),
         "weather_streaks": lines("SELECT station_id, date, wet_streak, dry_streak FROM sk", STATIONS, observed(), runs("obs", "sk")),
@@ -527,6 +575,13 @@ def build() -> dict[str, str]:
         "hourly_to_day": lines("SELECT * FROM hd", HOURLY),
         "daily_arrays": lines(
             f"SELECT station_id, date, {shown(['om_tmax_f', 'om_tmin_f', 'om_prcp_in'])}, om_pop_max, {r('om_windgust_mph')} FROM dd", EVENT_STATIONS, DAILY),
+        "daily_arrays_damaged": lines(
+            f"""SELECT station_id, date, {shown(['om_tmax_f', 'om_tmin_f'])}, CASE WHEN k = 2 AND o = 0 THEN NULL ELSE floor((om_prcp_in) * 1e4 + 0.381966e0) / 1e4 END AS om_prcp_in,
+  om_pop_max, CASE WHEN k <> 1 THEN floor((om_windgust_mph) * 1e4 + 0.381966e0) / 1e4 END AS om_windgust_mph FROM ddk WHERE k IN (0, 1, 2)""",
+            EVENT_STATIONS, DAILY.replace("dd AS (", "ddk AS (").replace("SELECT station_id, date + 100 * o AS date,", "SELECT station_id, date + 100 * o AS date, o, day(date) % 5 AS k,")),
+        "daily_arrays_unreadable": lines(
+            """SELECT station_id, CASE day(date) % 5 WHEN 3 THEN 'not JSON' ELSE 'no time array' END AS reason, count(*) AS n FROM st WHERE day(date) % 5 IN (3, 4) GROUP BY 1, 2""", EVENT_STATIONS),
+        "hourly_unreadable": "SELECT event_type AS station_id, 'not JSON' AS reason, count(*) AS n FROM events WHERE event_type = 'error' GROUP BY 1",
         "score_frame": lines(
             f"""SELECT f.station_id, {shown(['f.' + c for c in WINDOW_FEATURES] + ['f.doy_sin', 'f.doy_cos'])}, f.month, f.wet_streak, f.dry_streak,
   {shown(['f.tmax_f', 'f.tmin_f', 'f.prcp_in', 'f.snow_in'])}, DATE '2024-01-30' AS target_date,
@@ -544,11 +599,18 @@ def build() -> dict[str, str]:
         "event_json": MESSAGES,
         "stream_messages": MESSAGES,
         "stream_latest": "SELECT user_id, ts, event_id, event_type, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1",
+        "stream_latest_compacted": "SELECT user_id, ts, event_id, event_type, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1",
         "stream_daily": lines(
-            "SELECT f.series_id, f.date, f.y, f.is_filled, d.n FROM filled f LEFT JOIN d USING (series_id, date)",
-            f"""d AS (SELECT event_type AS series_id, ts::DATE AS date, count(*) AS n, sum({CENTS.format('value')})::BIGINT / 100.0::DOUBLE AS y FROM events
-  WHERE ts::DATE + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events) GROUP BY 1, 2)""",
+            "SELECT f.series_id, f.date, f.y, f.is_filled, d.n, d.is_open FROM filled f LEFT JOIN d USING (series_id, date)",
+            f"""d AS (SELECT event_type AS series_id, ts::DATE AS date, count(*) AS n, sum({CENTS.format('value')})::BIGINT / 100.0::DOUBLE AS y,
+  ts::DATE + INTERVAL 1 DAY > (SELECT max(ts) - INTERVAL 1 HOUR FROM events) AS is_open FROM events GROUP BY 1, 2)""",
             fill("d")),
+        "stream_closed_days": f"""SELECT event_type AS series_id, ts::DATE AS date, count(*) AS n, sum({CENTS.format('value')})::BIGINT / 100.0::DOUBLE AS y FROM events
+  WHERE ts::DATE + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events) GROUP BY 1, 2""",
+        "stream_late": f"""SELECT series_id, n, cents, CASE WHEN l > 0 THEN l END AS n_late FROM (
+  SELECT event_type AS series_id, count(*) AS n, sum({CENTS.format('value')})::BIGINT AS cents,
+    count(*) FILTER (event_id % 3 > 0 AND ts::DATE + INTERVAL 1 DAY <= (CASE event_id % 3 WHEN 1 THEN a ELSE greatest(a, b) END) - INTERVAL 1 HOUR) AS l
+  FROM events, (SELECT max(ts) FILTER (event_id % 3 = 0) AS a, max(ts) FILTER (event_id % 3 = 1) AS b FROM events) GROUP BY 1)""",
         "weekly_forecast": lines(
             f"""SELECT series_id, strftime(min(date), '%Y-%m-%d') || ' to ' || strftime(max(date), '%Y-%m-%d') AS period, 'complete_week' AS period_type,
   CASE WHEN bool_or(tag = 'actual') THEN 'mixed' ELSE 'predictions_only' END AS data_mix, 7 AS num_days,
@@ -561,6 +623,13 @@ days7 AS (SELECT p.series_id, p.date, coalesce(h.predicted, s.y) AS v, CASE WHEN
         "log_append": lines(
             f"""SELECT series_id, origin + step AS target_date, {r('predicted')}, predicted_at FROM it,
   (SELECT unnest([TIMESTAMP '2024-01-01 08:00:00', TIMESTAMP '2024-02-01 12:00:00']) AS predicted_at)""", ORIGIN, FORECASTS),
+        **{name: lines(
+            """SELECT o.series_id, o.origin, m.mode, s.step, o.origin + s.step AS target_date, true AS is_predicted, true AS is_near
+  FROM origin o, steps s, (SELECT unnest(['single', 'multi', 'iterative']) AS mode) m WHERE s.step <= CASE m.mode WHEN 'single' THEN 1 ELSE horizon END""", ORIGIN)
+            for name in ("fc_gbt", "fc_linear")},
+        **{name: lines(
+            f"SELECT series_id, train_end, mode, target_date, step, {r('actual')}, true AS is_predicted, true AS is_near, true AS is_calibrated FROM detail", DETAIL)
+            for name in ("backtest_gbt", "backtest_linear")},
         "output_checks": lines(
             """SELECT s.series_id, newest_date, (DATE '2001-08-05' - newest_date)::INT AS age_days, DATE '2001-08-05' - newest_date <= 7 AS is_fresh,
   coalesce(n, 0) AS n_predictions, coalesce(a >= lo AND b <= hi, false) AS in_range

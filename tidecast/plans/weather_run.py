@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidecast.operators.weather import STATION, hourly_to_day, observations, scoring_frame, training_frame
-from tidecast.sources.feeds import daily_forecast, hourly_forecast
+from tidecast.sources.feeds import daily_forecast, hourly_forecast, unreadable_documents
 from tidecast.sources.sinks import overwrite_table
 
 
@@ -22,7 +23,10 @@ def weather_run(
     daily_docs: DataFrame | None = None,
     keys: Sequence[str] = STATION,
 ) -> dict[str, DataFrame]:
-    """Write observations, training frame and scoring frame under ``base`` and return them."""
+    """Write observations, training frame and scoring frame under ``base`` and return them.
+
+    Forecast documents that give no rows are kept in the table ``unreadable``.
+    """
     overwrite_table(observations(station_days, keys=keys), f"{base}/observations")
     obs = spark.read.parquet(f"{base}/observations")
     overwrite_table(training_frame(obs, keys), f"{base}/training")
@@ -30,4 +34,10 @@ def weather_run(
     daily = None if daily_docs is None else daily_forecast(daily_docs, keys=keys)
     day = F.lit(today).cast("date")
     overwrite_table(scoring_frame(obs, hourly, daily, day, keys), f"{base}/scoring")
-    return {n: spark.read.parquet(f"{base}/{n}") for n in ("observations", "training", "scoring")}
+    names = ["observations", "training", "scoring"]
+    given = {k: d for k, d in (("hourly", hourly_docs), ("daily", daily_docs)) if d is not None}
+    if given:
+        bad = [unreadable_documents(d, k, keys=keys).withColumn("kind", F.lit(k)) for k, d in given.items()]
+        overwrite_table(reduce(DataFrame.unionByName, bad), f"{base}/unreadable")
+        names.append("unreadable")
+    return {n: spark.read.parquet(f"{base}/{n}") for n in names}

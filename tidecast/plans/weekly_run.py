@@ -17,8 +17,8 @@ from tidecast.operators import learners
 from tidecast.operators.evaluate import apply_bias, best_switch, weekday_bias
 from tidecast.operators.forecast import compose_hybrid, forecast, origins
 from tidecast.operators.models import HistoryModel
-from tidecast.operators.series import KEYS, fill_gaps
-from tidecast.operators.weekly import summary_rows, week_days, weekly_numbers
+from tidecast.operators.series import KEYS, between_dates, fill_gaps, one_per_day
+from tidecast.operators.weekly import skipped_weeks, summary_rows, week_days, weekly_numbers
 from tidecast.sources.sinks import append_predictions, overwrite_table, read_keyed, table_or_none, upsert_keyed, write_weekly_json
 
 STAGES = ("backtest", "calibrate", "forecast", "rollup")
@@ -43,13 +43,18 @@ def weekly_run(
     allow_partial: bool = False,
     warmup: int = 30,
     newest: int = 10,
+    span: tuple[str | None, str | None] | None = None,
+    order: str | None = None,
+    keep_versions: int = 3,
 ) -> dict[str, DataFrame]:
     """Run the stages over daily rows (keys, date, y) and return the tables written under ``base``.
 
     ``models`` maps single, multi and iterative to expression models or pooled
     learners, by default the documented learners with their own backtest settings.
     ``backtest_models`` may differ from ``models``. ``switch`` and ``bias`` override the calibration. The first failing
-    stage stops the run.
+    stage stops the run. ``span`` cuts the series to a closed range of dates; of several rows
+    of a day the one with the largest ``order`` column counts, and without one a doubled day
+    is an error. Weeks that can't be averaged are listed in the table ``weekly_skipped``.
     """
     unknown = set(skip) - set(STAGES)
     if unknown:
@@ -58,10 +63,11 @@ def weekly_run(
         backtest_models = learners.BACKTEST_LEARNERS if models is learners.FORECAST_LEARNERS else models
     run_time = F.lit(as_of).cast("timestamp")
     pooled = _uses_learners(models)
-    path = {name: f"{base}/{name}" for name in ("series", "backtest", "bias", "switch", "predictions", "weekly", "summary")}
+    path = {name: f"{base}/{name}" for name in ("series", "backtest", "bias", "switch", "predictions", "weekly", "weekly_skipped", "summary")}
 
     # Pooled learners train on every day; expression models look at known days only.
-    overwrite_table(fill_gaps(daily, keys) if pooled else daily.select(*keys, "date", "y").dropna(), path["series"])
+    daily = one_per_day(daily.where(F.col("y").isNotNull()), keys, order)
+    overwrite_table(fill_gaps(daily, keys, span=span) if pooled else between_dates(daily, *(span or (None, None))), path["series"])
     days = spark.read.parquet(path["series"])
 
     if "backtest" not in skip:
@@ -71,35 +77,32 @@ def weekly_run(
         detail = spark.read.parquet(path["backtest"])
         overwrite_table(weekday_bias(detail, keys), path["bias"])
         horizon = days.groupBy(*keys).agg(days_to_sunday(F.max("date")).alias("horizon"))
-        overwrite_table(best_switch(detail.join(horizon, [*keys]), keys, "horizon"), path["switch"])
+        overwrite_table(best_switch(detail, keys, horizon), path["switch"])
     if "forecast" not in skip:
         wanted = {m: models[m] for m in ("iterative", "multi")}
         rows = learners.forecast(days, wanted, keys) if pooled else forecast(origins(days, keys), wanted, keys)
         biases = None if bias is not None else spark.read.parquet(path["bias"])
-        # The two sides of the composition read one written table, not two runs of the model plans.
-        overwrite_table(apply_bias(rows, biases, keys, bias), f"{base}/steps")
-        steps = spark.read.parquet(f"{base}/steps")
         chosen = switch if switch is not None else spark.read.parquet(path["switch"])
-        hybrid = compose_hybrid(
-            steps.where(F.col("mode") == "iterative"), steps.where(F.col("mode") == "multi"), chosen, keys
-        )
+        hybrid = compose_hybrid(apply_bias(rows, biases, keys, bias), chosen, keys)
         append_predictions(hybrid, path["predictions"], run_time, keys)
     if "rollup" not in skip:
         log = spark.read.parquet(path["predictions"])
         actuals = (days.where(~F.col("is_filled")) if pooled else days).select(*keys, "date", "y")
-        numbers = weekly_numbers(week_days(log, actuals, keys), keys, allow_partial, log)
+        week = week_days(log, actuals, keys)
+        overwrite_table(skipped_weeks(week, keys), path["weekly_skipped"])
+        numbers = weekly_numbers(week, keys, allow_partial, log)
         overwrite_table(numbers, path["weekly"])
         numbers = spark.read.parquet(path["weekly"])
         write_weekly_json(numbers, f"{base}/weekly_json", run_time)
         upsert_keyed(
-            summary_rows(numbers, run_time, keys), path["summary"], [*keys, "calculation_date"], "calculation_date"
+            summary_rows(numbers, run_time, keys), path["summary"], [*keys, "calculation_date"], "calculation_date", keep=keep_versions
         )
     return read_outputs(spark, base)
 
 
 def read_outputs(spark: SparkSession, base: str) -> dict[str, DataFrame]:
     """The tables a run has left under ``base``; those of skipped stages only if an earlier run wrote them."""
-    names = ("series", "backtest", "bias", "switch", "predictions", "weekly")
+    names = ("series", "backtest", "bias", "switch", "predictions", "weekly", "weekly_skipped")
     found = {n: table_or_none(spark, f"{base}/{n}") for n in names}
     found["summary"] = read_keyed(spark, f"{base}/summary")
     return {n: df for n, df in found.items() if df is not None}

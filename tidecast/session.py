@@ -37,7 +37,8 @@ def shared_folder(spark: SparkSession) -> str:
             context.setCheckpointDir(folder)
         return folder
     if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
+        # local-cluster has executors of its own, as a cluster has
+        if context.master != "local" and not context.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="tidecast-"))
     return context.getCheckpointDir()

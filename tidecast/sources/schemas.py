@@ -20,8 +20,8 @@ HOURLY_FORECAST = (
     "probabilityOfPrecipitation: struct<value: string>, windGust: struct<value: string>>>>>"
 )
 DAILY_FORECAST = (
-    "struct<daily: struct<time: array<string>, temperature_2m_max: array<double>, "
-    "temperature_2m_min: array<double>, precipitation_sum: array<double>, "
-    "precipitation_probability_max: array<double>, wind_gusts_10m_max: array<double>>>"
+    "struct<daily: struct<time: array<string>, temperature_2m_max: array<string>, "
+    "temperature_2m_min: array<string>, precipitation_sum: array<string>, "
+    "precipitation_probability_max: array<string>, wind_gusts_10m_max: array<string>>>"
 )
 TRADES = "trade_id BIGINT, ticker STRING, ts BIGINT"

@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidecast.operators.weekly import upsert
+from tidecast.operators.weekly import unique_rows, upsert
 
 
 def append_predictions(
@@ -52,24 +52,50 @@ def read_keyed(spark: SparkSession, path: str) -> DataFrame | None:
     table = table_or_none(spark, path)
     if table is None:
         return None
-    newest = table.agg(F.max("version")).first()[0]
-    return table.where(F.col("version") == newest).drop("version")
+    return table.where(F.col("version") == versions(spark, path)[-1]).drop("version")
 
 
-def upsert_keyed(new: DataFrame, path: str, on: Sequence[str], newest_first: str | None = None) -> None:
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """Complete versions of a keyed table, oldest first, from its folder names alone."""
+    return sorted(partition_values(spark, path, "version"))
+
+
+def partition_values(spark: SparkSession, path: str, column: str) -> list[int]:
+    """Values of a whole-number partition column that have files."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(folder):
+        return []
+    found = [f.getPath().getName() for f in store.listStatus(folder) if f.isDirectory()]
+    return [int(n.removeprefix(f"{column}=")) for n in found if n.startswith(f"{column}=")]
+
+
+def drop_partitions(spark: SparkSession, path: str, column: str, values: Sequence[int]) -> None:
+    """Remove the folders of some values of a partition column."""
+    for value in values:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={value}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def upsert_keyed(
+    new: DataFrame, path: str, on: Sequence[str], newest_first: str | None = None, order: str | None = None, keep: int = 3
+) -> None:
     """Replace rows with the same key, keep the others, as a new version of the table.
 
     Versions are partition folders. The one being read is never written to, and a
-    failed write leaves no readable version behind.
+    failed write leaves no readable version behind. Of several new rows of a key the one
+    with the largest ``order`` counts; without an order column a doubled key is an error.
+    The newest ``keep`` versions stay, for readers of the one before and for going back.
     """
     spark = new.sparkSession
     table = table_or_none(spark, path)
     version = 1
-    rows = new
+    rows = unique_rows(new, on, order)
     if table is not None:
-        last = table.agg(F.max("version")).first()[0]
+        last = versions(spark, path)[-1]
         version = last + 1
-        rows = upsert(table.where(F.col("version") == last).drop("version"), new, on)
+        rows = upsert(table.where(F.col("version") == last).drop("version"), new, on, order)
     if newest_first:
         rows = rows.orderBy(F.col(newest_first).desc())
     rows.withColumn("version", F.lit(version)).write.mode("append").partitionBy("version").parquet(path)
+    drop_partitions(spark, path, "version", versions(spark, path)[: -max(1, keep)])

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidecast.sources.sinks import drop_partitions, partition_values, table_or_none
+
 
 def file_stream(
     spark: SparkSession, folder: str, schema, fmt: str = "parquet", files: str | None = None, per_trigger: int | None = None
@@ -73,11 +75,26 @@ def store_latest(changes: DataFrame, path: str, checkpoint: str) -> StreamingQue
     )
 
 
-def read_latest(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
-    """Current row of each key of a ``store_latest`` table."""
+def read_latest(spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Current row of each key of a ``store_latest`` table: that of the newest message.
+
+    Messages, not batches, are ordered: batch numbers start again when a checkpoint is lost.
+    """
     log = spark.read.option("basePath", path).parquet(path)
     rest = [c for c in log.columns if c not in keys and c != "batch"]
-    return log.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("_row")).select(*keys, "_row.*")
+    return log.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_row")).select(*keys, "_row.*")
+
+
+def compact_latest(spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str]) -> None:
+    """Replace all batches of a ``store_latest`` table by one with the current rows.
+
+    The rows are written beside the batches first and only then are those removed; whatever
+    stops in between leaves a table that reads the same. No stream may write meanwhile.
+    Numbers of such batches go down from -1, away from those of streams.
+    """
+    old = partition_values(spark, path, "batch")
+    read_latest(spark, path, keys, order).write.mode("overwrite").parquet(f"{path}/batch={min([0, *old]) - 1}")
+    drop_partitions(spark, path, "batch", old)
 
 
 def daily_counts(
@@ -102,3 +119,44 @@ def store_closed_days(counts: DataFrame, path: str, checkpoint: str) -> Streamin
         .trigger(availableNow=True)
         .start()
     )
+
+
+def store_day_parts(
+    events: DataFrame, ts: Column, keys: Sequence[str], path: str, checkpoint: str, delay: str = "1 hour", value: Column | None = None
+) -> StreamingQuery:
+    """Append each micro-batch's counts per (keys, day), so that no row is lost and open days can be read.
+
+    Rows that come later than ``delay`` after their day's end, by the newest event of the
+    batches before, are counted too and also kept in ``late``. A repeated batch overwrites its
+    own folders.
+    """
+    stamped = events.select(*keys, ts.cast("timestamp").alias("ts"), (F.lit(1.0) if value is None else value).alias("value"))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        days = table_or_none(spark, f"{path}/days")
+        newest = None if days is None else days.where(F.col("batch") < batch_id).agg(F.max("newest")).first()[0]
+        day = F.col("ts").cast("date")
+        parts = batch.where("ts is not null").groupBy(*keys, day.alias("date")).agg(
+            F.count(F.lit(1)).alias("n"), F.sum("value").alias("y"), F.max("ts").alias("newest")
+        )
+        parts.write.mode("overwrite").parquet(f"{path}/days/batch={batch_id}")
+        closed = F.date_add(day, 1).cast("timestamp") <= F.lit(newest).cast("timestamp") - F.expr(f"INTERVAL {delay}")
+        batch.where(closed).write.mode("overwrite").parquet(f"{path}/late/batch={batch_id}")
+
+    return (
+        stamped.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(write).start()
+    )
+
+
+def read_days(spark: SparkSession, path: str, keys: Sequence[str], delay: str = "1 hour") -> DataFrame:
+    """(keys, date, n, y, is_open) of a ``store_day_parts`` table, open days included."""
+    parts = spark.read.option("basePath", f"{path}/days").parquet(f"{path}/days")
+    newest = parts.agg(F.max("newest")).first()[0]
+    is_open = F.date_add("date", 1).cast("timestamp") > F.lit(newest).cast("timestamp") - F.expr(f"INTERVAL {delay}")
+    return parts.groupBy(*keys, "date").agg(F.sum("n").alias("n"), F.sum("y").alias("y")).withColumn("is_open", is_open)
+
+
+def read_late(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
+    """(keys, ts, value) rows that came after their day was closed."""
+    return spark.read.option("basePath", f"{path}/late").parquet(f"{path}/late").select(*keys, "ts", "value")
