@@ -26,6 +26,8 @@ LEAST_SHARED = 100
 #: Captures in a compressed index block, and bytes of an archive that one read takes at most.
 BLOCK_CAPTURES = 256
 READ_BYTES = 4 << 20
+#: Unwanted bytes that a read may take along.
+READ_GAP = 16 << 10
 LEVEL = 4
 #: A fixed date keeps archives of the same pages the same.
 DATE = "2024-01-01T00:00:00Z"
@@ -46,6 +48,8 @@ def captures(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> Data
     Of pages with one payload of ``LEAST_SHARED`` bytes or more the one with the smallest id
     is a response (every row of that id is), the others revisit it and carry no payload. A
     null id is larger than all others.
+
+    Which pages revisit is found without their html; only that list is joined to the pages.
     """
     html = F.coalesce(F.col(html_col), F.lit(""))
     rows = pages.select(
@@ -56,17 +60,20 @@ def captures(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> Data
         F.sha2(html.cast("binary"), 256).alias("digest"),
         F.octet_length(html).cast("long").alias("bytes"),
     )
-    first = rows.where(F.col("bytes") >= LEAST_SHARED).groupBy("digest").agg(F.min("id").alias("first"))
-    again = (F.col("bytes") >= LEAST_SHARED) & F.col("first").isNotNull() & ~F.col("first").eqNullSafe(F.col("id"))
-    return rows.join(first, "digest", "left").select(
+    large = saved(rows.where(F.col("bytes") >= LEAST_SHARED).select("id", "digest").distinct(), "page-digests")
+    first = large.groupBy("digest").agg(F.min("id").alias("refers"), F.count("*").alias("pages")).where("pages > 1 and refers is not null")
+    again = large.join(first.select("digest", "refers"), "digest").where(~F.col("id").eqNullSafe(F.col("refers")))
+    again = saved(again.select(F.col("id").alias("other"), F.col("digest").alias("same"), "refers"), "page-revisits")
+    joined = rows.join(again, (F.col("digest") == F.col("same")) & F.col("id").eqNullSafe(F.col("other")), "left")
+    return joined.select(
         "key",
         "id",
         "url",
-        F.when(~again, F.col("html")).alias("html"),
+        F.when(F.col("same").isNull(), F.col("html")).alias("html"),
         "digest",
         "bytes",
-        F.when(again, "revisit").otherwise(F.lit("response")).alias("record"),
-        F.when(again, F.col("first")).alias("refers"),
+        F.when(F.col("same").isNull(), "response").otherwise(F.lit("revisit")).alias("record"),
+        "refers",
     )
 
 
@@ -117,119 +124,146 @@ def _store(folder: str):
 
 
 def write_archives(rows: DataFrame, folder: str, parts: int) -> DataFrame:
-    """Write captures, sorted by key and id, as an archive and an index file per part.
+    """Write captures to an archive per task and index them in ``parts`` sorted parts.
 
-    The index file holds compressed blocks of (key, id, offset, length) lines and, at its
-    end, the sparse directory: first entry, place and length of each block. Returns a table
-    of the parts, one row each: (first, last, archive, index, directory_at, directory_bytes).
-    It is written by Spark, so it names files of tasks that succeeded only.
+    Records stay where their rows are; only their places are sorted by key and id. Returns
+    the table of the parts, see ``write_index``.
     """
-    schema = "first string, last string, archive string, index string, directory_at long, directory_bytes long"
+    kind = rows.schema["id"].dataType
+    schema = T.StructType(
+        [T.StructField("key", T.StringType()), T.StructField("id", kind), T.StructField("archive", T.StringType())]
+        + [T.StructField(c, T.LongType()) for c in ("offset", "length")]
+    )
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = _store(folder)
-        name = uuid.uuid4().hex
-        paths = [f"{root}/{name}.warc.gz", f"{root}/{name}.index"]
-        archive = index = None
-        offset = index_at = 0
+        name = f"{uuid.uuid4().hex}.warc.gz"
+        archive, offset = None, 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if archive is None:
+                store.create_dir(root, recursive=True)
+                archive = store.open_output_stream(f"{root}/{name}", compression=None)
+            lengths = []
+            for row in zip(*(c.to_pylist() for c in batch.columns[1:])):
+                data = record_bytes(*row)
+                archive.write(data)
+                lengths.append(len(data))
+            ends = offset + pa.array(lengths, pa.int64()).to_numpy().cumsum()
+            offsets = pa.array(ends - lengths, pa.int64())
+            offset = int(ends[-1])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array([name] * len(lengths)), offsets, pa.array(lengths, pa.int64())], names=schema.names
+            )
+        if archive is not None:
+            archive.close()
+
+    columns = ("key", "id", "url", "html", "digest", "bytes", "record", "refers")
+    # written by Spark, so only archives of tasks that succeeded are named
+    return write_index(saved(rows.select(*columns).mapInArrow(write, schema), "archive-entries"), folder, parts)
+
+
+def write_index(entries: DataFrame, folder: str, parts: int) -> DataFrame:
+    """Write entries, sorted by key and id, as index files of two levels.
+
+    A file holds compressed blocks of entries and, at its end, the sparse directory: first
+    key and id, place and length of each block, and the names of the archives. Returns a
+    table with a row a file: (first, index, directory_at, directory_bytes).
+    """
+    schema = "first string, index string, directory_at long, directory_bytes long"
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, root = _store(folder)
+        name = f"{uuid.uuid4().hex}.index"
+        index, at = None, 0
         block: list[tuple] = []
         directory: list[tuple] = []
-        last = None
+        archives: dict[str, int] = {}
 
-        def close_block() -> int:
+        def close_block() -> None:
+            nonlocal at
             data = zlib.compress("\n".join(json.dumps(x) for x in block).encode(), LEVEL)
-            directory.append((block[0][0], block[0][1], index_at, len(data)))
+            directory.append((*block[0][:2], at, len(data)))
             block.clear()
             index.write(data)
-            return len(data)
+            at += len(data)
 
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
-                if archive is None:
+            for key, ident, archive, offset, length in zip(*(c.to_pylist() for c in batch.columns)):
+                if index is None:
                     store.create_dir(root, recursive=True)
-                    archive, index = (store.open_output_stream(p, compression=None) for p in paths)
-                data = record_bytes(*row[1:])
-                archive.write(data)
-                block.append((row[0], row[1], offset, len(data)))
-                offset += len(data)
-                last = row[:2]
+                    index = store.open_output_stream(f"{root}/{name}", compression=None)
+                block.append((key, ident, archives.setdefault(archive, len(archives)), offset, length))
                 if len(block) == BLOCK_CAPTURES:
-                    index_at += close_block()
-        if archive is not None:
+                    close_block()
+        if index is not None:
             if block:
-                index_at += close_block()
-            data = zlib.compress(json.dumps(directory).encode(), LEVEL)
+                close_block()
+            data = zlib.compress(json.dumps([directory, list(archives)]).encode(), LEVEL)
             index.write(data)
-            archive.close()
             index.close()
-            row = [json.dumps(directory[0][:2]), json.dumps(last), *paths, index_at, len(data)]
-            yield pa.RecordBatch.from_arrays([pa.array([x]) for x in row], names=["first", "last", "archive", "index", "directory_at", "directory_bytes"])
+            row = [json.dumps(directory[0][:2]), name, at, len(data)]
+            yield pa.RecordBatch.from_arrays([pa.array([x]) for x in row], names=["first", "index", "directory_at", "directory_bytes"])
 
-    spread = rows.repartitionByRange(parts, "key", "id").sortWithinPartitions("key", "id")
-    return saved(spread.select("key", "id", "url", "html", "digest", "bytes", "record", "refers").mapInArrow(write, schema), "archive-parts")
+    spread = entries.repartitionByRange(parts, "key", "id").sortWithinPartitions("key", "id")
+    return saved(spread.mapInArrow(write, schema), "index-parts")
 
 
 class PartReader:
-    """Range reads of one part: its directory once, then blocks and runs of records."""
+    """Range reads of one index part: its directory once, then the blocks that hold wanted keys."""
 
-    def __init__(self, store, archive: str, index: str, at: int, size: int):
-        self.archive, self.index = store.open_input_file(archive), store.open_input_file(index)
-        self.directory = json.loads(zlib.decompress(self.index.read_at(size, at)))
+    def __init__(self, file, at: int, size: int):
+        self.file = file
+        self.directory, self.archives = json.loads(zlib.decompress(file.read_at(size, at)))
         self.firsts = [order_key(k, i) for k, i, _, _ in self.directory]
 
-    def close(self) -> None:
-        self.archive.close()
-        self.index.close()
-
-    def block(self, number: int) -> list[tuple]:
+    def block(self, number: int) -> list[list]:
         _, _, at, size = self.directory[number]
-        return [tuple(json.loads(line)) for line in zlib.decompress(self.index.read_at(size, at)).decode().split("\n")]
+        return [json.loads(line) for line in zlib.decompress(self.file.read_at(size, at)).decode().split("\n")]
 
-    def entries(self, wanted: list[Key]) -> Iterator[list[tuple]]:
-        """Index entries of sorted keys, by block: binary search in the directory, then in the block."""
-        current, entries, keys, out = -1, [], [], []
+    def entries(self, wanted: list[Key]) -> Iterator[tuple[str, int, int]]:
+        """(archive, offset, length) of sorted keys: binary search in the directory, then in the block."""
+        current, entries, keys = -1, [], []
         for key in wanted:
             number = max(0, bisect_left(self.firsts, key) - 1)  # equal keys may begin in the block before
             while number < len(self.firsts) and self.firsts[number] <= key:
                 if number != current:
-                    if out:
-                        yield out
-                    current, entries, out = number, self.block(number), []
-                    keys = [order_key(k, i) for k, i, _, _ in entries]
-                out += entries[bisect_left(keys, key) : bisect_right(keys, key)]
+                    current, entries = number, self.block(number)
+                    keys = [order_key(e[0], e[1]) for e in entries]
+                for e in entries[bisect_left(keys, key) : bisect_right(keys, key)]:
+                    yield self.archives[e[2]], e[3], e[4]
                 number += 1
-        if out:
-            yield out
-
-    def records(self, entries: list[tuple]) -> Iterator[bytes]:
-        """The records of one block's entries, neighbours in one read."""
-        start = 0
-        for i in range(len(entries)):
-            begin, end = entries[start][2], entries[i][2] + entries[i][3]
-            following = entries[i + 1] if i + 1 < len(entries) else None
-            if following is None or following[2] != end or following[2] + following[3] - begin > READ_BYTES:
-                data = memoryview(self.archive.read_at(end - begin, begin))
-                for _, _, at, size in entries[start : i + 1]:
-                    yield bytes(data[at - begin : at - begin + size])
-                start = i + 1
+
+
+def read_runs(file, places: list[tuple[int, int]]) -> Iterator[bytes]:
+    """The records at sorted (offset, length) places, neighbours in one read."""
+    start = 0
+    for i, (offset, length) in enumerate(places):
+        begin, end = places[start][0], offset + length
+        following = places[i + 1] if i + 1 < len(places) else None
+        if following is None or following[0] > end + READ_GAP or following[0] + following[1] - begin > READ_BYTES:
+            data = memoryview(file.read_at(end - begin, begin))
+            for at, size in places[start : i + 1]:
+                yield bytes(data[at - begin : at - begin + size])
+            start = i + 1
 
 
 def looked_up(requests: DataFrame, parts: DataFrame, folder: str, id_type: T.DataType, payload: bool = False) -> DataFrame:
     """The records of (key, id) requests: (id, payload_bytes, payload_digest, record_type, refers_to, payload).
 
-    Every request goes to the part whose range holds it, found by binary search in the
-    table of parts; that table has a row per archive file, as many as the writing job had
-    tasks, and is all that the driver and the executors hold. A task reads the directories
-    and blocks of its parts by ranges and then the records. A request without a record gives
-    no row, equal requests count once. Payloads are null for revisits and unless asked for.
+    Every request goes to the index part whose range holds it, found by binary search in the
+    table of parts; that table has a row per index file, as many as the writing job was asked
+    for, and is all that the driver and the executors hold. A task reads the directories and
+    blocks of its parts by ranges. The places found are sorted by archive and offset, and
+    records are read from there in runs. A request without a record gives no row, equal
+    requests count once. Payloads are null for revisits and unless asked for.
     """
     listed = sorted(
-        ((json.loads(r["first"]), r["archive"], r["index"], r["directory_at"], r["directory_bytes"]) for r in parts.collect()),
-        key=lambda x: order_key(*x[0]),
+        ((json.loads(r["first"]), r["index"], r["directory_at"], r["directory_bytes"]) for r in parts.collect()), key=lambda x: order_key(*x[0])
     )
     firsts = [order_key(*x[0]) for x in listed]
-    context = requests.sparkSession.sparkContext
-    shared = context.broadcast((firsts, listed))
+    shared = requests.sparkSession.sparkContext.broadcast((firsts, listed))
     request = T.StructType([T.StructField("part", T.LongType()), T.StructField("key", T.StringType()), T.StructField("id", id_type)])
     answer = T.StructType(
         [T.StructField("id", T.StringType()), T.StructField("payload_bytes", T.LongType())]
@@ -244,35 +278,42 @@ def looked_up(requests: DataFrame, parts: DataFrame, folder: str, id_type: T.Dat
             part = [max(0, bisect_right(begins, order_key(k, i)) - 1) for k, i in keys]
             yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), batch.column(0), batch.column(1)], names=["part", "key", "id"])
 
+    def locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, root = _store(folder)
+        for part, rows in _runs(batches):
+            _, index, at, size = shared.value[1][part]
+            with store.open_input_file(f"{root}/{index}") as file:
+                found = list(PartReader(file, at, size).entries([order_key(*r) for r in rows]))
+            kinds = [pa.string(), pa.int64(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array([f[j] for f in found], k) for j, k in enumerate(kinds)], names=["archive", "offset", "length"])
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, _ = _store(folder)
-        for part, wanted in _by_part(batches):
-            _, archive, index, at, size = shared.value[1][part]
-            reader = PartReader(store, archive, index, at, size)
-            for entries in reader.entries(wanted):
-                found = [parsed(m) for m in reader.records(entries)]
-                columns = [[r[j] for r in found] for j in range(5)] + [[r[5] if payload else None for r in found]]
-                kinds = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=answer.names)
-            reader.close()
+        store, root = _store(folder)
+        for archive, places in _runs(batches, 2000):
+            with store.open_input_file(f"{root}/{archive}") as file:
+                found = [parsed(m) for m in read_runs(file, places)]
+            columns = [[r[j] for r in found] for j in range(5)] + [[r[5] if payload else None for r in found]]
+            kinds = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=answer.names)
 
     asked = requests.select("key", "id").distinct().mapInArrow(assign, request)
-    found = asked.repartition("part").sortWithinPartitions("part", "key", "id").mapInArrow(read, answer)
+    places = asked.repartition("part").sortWithinPartitions("part", "key", "id").mapInArrow(locate, "archive string, offset long, length long")
+    found = places.repartition("archive").sortWithinPartitions("archive", "offset").mapInArrow(read, answer)
     return found.select(F.col("id").cast(id_type).alias("id"), *answer.names[1:4], F.col("refers_to").cast(id_type).alias("refers_to"), "payload")
 
 
-def _by_part(batches: Iterator[pa.RecordBatch], most: int = 100_000) -> Iterator[tuple[int, list[Key]]]:
-    """(part, keys) from sorted batches, in runs of bounded length."""
-    current, keys = None, []
+def _runs(batches: Iterator[pa.RecordBatch], most: int = 100_000) -> Iterator[tuple[object, list[tuple]]]:
+    """(first column, other columns) of sorted rows, in runs of bounded length."""
+    current, held = None, []
     for batch in batches:
-        for part, key, ident in zip(*(c.to_pylist() for c in batch.columns)):
-            if keys and (part != current or len(keys) >= most):
-                yield current, keys
-                keys = []
-            current = part
-            keys.append(order_key(key, ident))
-    if keys:
-        yield current, keys
+        for first, *rest in zip(*(c.to_pylist() for c in batch.columns)):
+            if held and (first != current or len(held) >= most):
+                yield current, held
+                held = []
+            current = first
+            held.append(tuple(rest))
+    if held:
+        yield current, held
 
 
 def archived_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", parts: int | None = None) -> DataFrame:
