@@ -10,10 +10,7 @@ from tidecast.llm.fingerprints import LONGEST, edited_fingerprints
 
 
 def paragraphs(text):
-    found = set()
-    for p in re.split(r"\n+|(?<=[.!?])\s+", text):
-        found.update(p[i : i + LONGEST] for i in range(0, len(p), LONGEST))
-    return found
+    return {p.lstrip(" ") for p in re.findall(rf"[^.!?\n]{{1,{LONGEST}}}[.!?]*|[.!?]+", text)} - {""}
 
 
 def likeness(a, b):

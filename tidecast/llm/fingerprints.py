@@ -10,20 +10,18 @@ from tidecast.operators.ranking import global_position
 from .common import saved
 
 #: A paragraph ends at a line break or the end of a sentence, and after so many code points.
-LONGEST = 64
-ENDS = r"\n+|(?<=[.!?])\s+"
-#: Cells of each of the three tables of a sketch, and of a sketch built again after a failure.
-CELLS = 16
-CELLS_AGAIN = 64
-#: Digests that a group of a divided sketch is made for.
-GROUP = 12
-ROUNDS = 8
-#: Where the bits of a digest's cells begin, first and when built again; the group takes the top bits.
-SHIFTS = (0, 20, 40)
-SHIFTS_AGAIN = (4, 14, 24)
-GROUP_SHIFT = 44
-MOST_GROUPS = 1 << 20
-#: The null id's place in the order.
+LONGEST = 100
+PARAGRAPH = rf"[^.!?\n]{{1,{LONGEST}}}[.!?]*|[.!?]+"
+#: Cells of each of the three tables of a text's sketch, and where the bits of a digest's cells begin.
+CELLS, SHIFTS = 16, (0, 20, 40)
+#: Divided sketches: digests are dealt by their top bits to parts of about ``PART``, each part
+#: to ``GROUPS`` groups with a sketch each; a group that fails has one more, of other bits.
+PART, PART_SHIFT, MOST_PARTS = 64, 46, 1 << 18
+GROUPS, GROUP_SHIFT = 16, 32
+CELLS_OF_GROUP, SHIFTS_OF_GROUP = 4, (0, 20, 40)
+CELLS_AGAIN, SHIFTS_AGAIN = 16, (4, 14, 24)
+ROUNDS = 12
+#: The null id's place in the order; no other id may be this one.
 NULL_ID = -(1 << 63)
 
 
@@ -33,42 +31,54 @@ def _let(value: str, name: str, body: str) -> str:
 
 
 def digests(text: Column) -> Column:
-    """The distinct 64-bit hashes of a text's paragraphs, as an array."""
-    parts = F.filter(F.split(text, ENDS), lambda p: p != "")
-    cut = F.flatten(F.transform(parts, lambda p: F.when(F.length(p) <= LONGEST, F.array(p)).otherwise(F.regexp_extract_all(p, F.lit(f"(?s).{{1,{LONGEST}}}"), F.lit(0)))))
-    return F.array_distinct(F.transform(cut, lambda p: F.xxhash64(p)))
+    """The distinct 64-bit hashes of a text's paragraphs, as an array; leading spaces don't count."""
+    parts = F.transform(F.regexp_extract_all(text, F.lit(PARAGRAPH), F.lit(0)), lambda p: F.ltrim(p))
+    return F.array_distinct(F.transform(F.filter(parts, lambda p: p != ""), lambda p: F.xxhash64(p)))
+
+
+NONE = "named_struct('n', 0, 'k', 0L, 'c', 0L)"
+TABLES = ("t0", "t1", "t2")
+
+
+def _tables(make) -> str:
+    """SQL of a struct with an array of cells for each table."""
+    return "named_struct(" + ", ".join(f"'{t}', {make(t, j)}" for j, t in enumerate(TABLES)) + ")"
 
 
 def _sketch(items: str, cells: int, shifts: tuple[int, ...]) -> str:
     """SQL of a sketch of an array of digests: for each cell the count, the keys' and the checks' XOR."""
-    none = "named_struct('n', 0, 'k', 0L, 'c', 0L)"
     add = "(a, x) -> named_struct('n', a.n + 1, 'k', a.k ^ x, 'c', a.c ^ xxhash64(x))"
-    tables = [
-        f"transform(sequence(0, {cells - 1}), i -> aggregate(filter({items}, x -> (shiftright(x, {s}) & {cells - 1}L) = i), {none}, {add}))" for s in shifts
-    ]
-    return f"concat({', '.join(tables)})"
+    return _tables(
+        lambda _, j: f"transform(sequence(0, {cells - 1}), i -> aggregate(filter({items}, x -> (shiftright(x, {shifts[j]}) & {cells - 1}L) = i), {NONE}, {add}))"
+    )
 
 
 def _minus(left: str, right: str) -> str:
-    return f"zip_with({left}, {right}, (a, b) -> named_struct('n', a.n - b.n, 'k', a.k ^ b.k, 'c', a.c ^ b.c))"
+    """SQL of one sketch less another, cell by cell."""
+    less = "(a, b) -> named_struct('n', a.n - b.n, 'k', a.k ^ b.k, 'c', a.c ^ b.c)"
+    return _tables(lambda t, _: f"zip_with({left}.{t}, {right}.{t}, {less})")
 
 
 def _peeled(cells: str, size: int, shifts: tuple[int, ...]) -> str:
     """SQL of the differing digests (k, n: +1 left, -1 right) of a subtracted sketch; null if it doesn't peel.
 
     Every round takes the cells with one digest, whose check fits its key, and takes those
-    digests out of all their cells.
+    digests out of all their cells; a round without any is the last.
     """
-    pure = "array_distinct(transform(filter(s.cells, c -> abs(c.n) = 1 and xxhash64(c.k) = c.c), c -> named_struct('k', c.k, 'n', c.n)))"
-    shift = f"element_at(array({', '.join(map(str, shifts))}), cast(1 + j div {size} as int))"
-    taken = (
-        f"transform(s.cells, (c, j) -> aggregate(filter(p, q -> (shiftright(q.k, {shift}) & {size - 1}L) = j % {size}), c, "
-        "(a, q) -> named_struct('n', a.n - q.n, 'k', a.k ^ q.k, 'c', a.c ^ xxhash64(q.k))))"
-    )
-    step = _let(pure, "p", f"if(size(p) = 0, s, named_struct('cells', {taken}, 'found', concat(s.found, p)))")
-    start = f"named_struct('cells', {cells}, 'found', cast(array() as array<struct<k: bigint, n: int>>))"
-    end = "if(exists(s.cells, c -> c.n <> 0 or c.k <> 0 or c.c <> 0), null, s.found)"
-    return f"aggregate(sequence(1, {ROUNDS}), {start}, (s, r) -> {step}, s -> {end})"
+    one = "c -> abs(c.n) = 1 and xxhash64(c.k) = c.c"
+    pure = "array_distinct(transform(concat(" + ", ".join(f"filter(s.{t}, {one})" for t in TABLES) + "), c -> named_struct('k', c.k, 'n', c.n)))"
+
+    def taken(t: str, j: int) -> str:
+        less = "(a, q) -> named_struct('n', a.n - q.n, 'k', a.k ^ q.k, 'c', a.c ^ xxhash64(q.k))"
+        return f"transform(s.{t}, (c, i) -> aggregate(filter(p, q -> (shiftright(q.k, {shifts[j]}) & {size - 1}L) = i), c, {less}))"
+
+    def state(make, found: str, done: str) -> str:
+        return "named_struct(" + ", ".join(f"'{t}', {make(t, j)}" for j, t in enumerate(TABLES)) + f", 'found', {found}, 'done', {done})"
+
+    step = _let(pure, "p", f"if(size(p) = 0, {state(lambda t, _: f's.{t}', 's.found', 'true')}, {state(taken, 'concat(s.found, p)', 'false')})")
+    start = _let(cells, "z", state(lambda t, _: f"z.{t}", "cast(array() as array<struct<k: bigint, n: int>>)", "false"))
+    left = " or ".join(f"exists(s.{t}, c -> c.n <> 0 or c.k <> 0 or c.c <> 0)" for t in TABLES)
+    return f"aggregate(sequence(1, {ROUNDS}), {start}, (s, r) -> if(s.done, s, {step}), s -> if({left}, null, s.found))"
 
 
 def _exact(left: str, right: str) -> str:
@@ -80,18 +90,25 @@ def _exact(left: str, right: str) -> str:
 def _difference(left: str, right: str, left_cells: str, right_cells: str) -> str:
     """SQL of the differing digests of two texts.
 
-    The sketches are subtracted and peeled. On failure the digests are dealt to groups of
-    which each has a sketch of its own, with room for all its digests; a group that fails is
-    built again with more cells and other hash bits, and one that fails even then is
+    The sketches are subtracted and peeled. On failure the digests are dealt to parts and
+    groups of which each has a sketch of its own, so that there is room for all; a group that
+    fails is built again with more cells and other hash bits, and one that fails even then is
     compared digest by digest.
     """
     first = _peeled(_minus(left_cells, right_cells), CELLS, SHIFTS)
-    groups = f"least({MOST_GROUPS}L, shiftleft(1L, cast(ceil(log2(greatest(2, (size({left}) + size({right})) / {GROUP}))) as int)))"
-    of_group = "filter({}, x -> (shiftrightunsigned(x, " + str(GROUP_SHIFT) + ") & (m - 1)) = g)"
-    base = _peeled(_minus(_sketch("l", CELLS, SHIFTS), _sketch("r", CELLS, SHIFTS)), CELLS, SHIFTS)
-    again = _peeled(_minus(_sketch("l", CELLS_AGAIN, SHIFTS_AGAIN), _sketch("r", CELLS_AGAIN, SHIFTS_AGAIN)), CELLS_AGAIN, SHIFTS_AGAIN)
-    group = _let(of_group.format(left), "l", _let(of_group.format(right), "r", f"coalesce({base}, {again}, {_exact('l', 'r')})"))
-    divided = _let(groups, "m", f"flatten(transform(sequence(0L, m - 1), g -> {group}))")
+    parts = f"least({MOST_PARTS}L, shiftleft(1L, cast(ceil(log2(greatest(1, (size({left}) + size({right})) / {PART}))) as int)))"
+    of_part = "filter({}, x -> (shiftrightunsigned(x, " + str(PART_SHIFT) + ") & (m - 1)) = g)"
+    of_group = "filter({}, x -> (shiftright(x, " + str(GROUP_SHIFT) + f") & {GROUPS - 1}L) = h)"
+
+    def sketches(cells: int, shifts: tuple[int, ...]) -> str:
+        less = _let(_sketch("l", cells, shifts), "v", _let(_sketch("r", cells, shifts), "w", _minus("v", "w")))
+        return _peeled(less, cells, shifts)
+
+    nothing = "cast(array() as array<struct<k: bigint, n: int>>)"
+    tried = f"coalesce({sketches(CELLS_OF_GROUP, SHIFTS_OF_GROUP)}, {sketches(CELLS_AGAIN, SHIFTS_AGAIN)}, {_exact('l', 'r')})"
+    group = _let(of_group.format("y"), "l", _let(of_group.format("z"), "r", f"if(size(l) + size(r) = 0, {nothing}, {tried})"))
+    part = _let(of_part.format(left), "y", _let(of_part.format(right), "z", f"flatten(transform(sequence(0, {GROUPS - 1}), h -> {group}))"))
+    divided = _let(parts, "m", f"flatten(transform(sequence(0L, m - 1), g -> {part}))")
     return f"coalesce({first}, {divided})"
 
 
@@ -113,7 +130,8 @@ def sketched(rows: DataFrame, items: str, out: str) -> DataFrame:
 
 def sketch_text(cells: str) -> Column:
     """A sketch as text: count, key and check of each cell; the same for equal texts."""
-    return F.expr(f"array_join(transform({cells}, c -> concat(c.n, '.', lower(hex(c.k)), '.', lower(hex(c.c & 4294967295L)))), ' ')")
+    every = ", ".join(f"{cells}.{t}" for t in TABLES)
+    return F.expr(f"array_join(transform(concat({every}), c -> concat(c.n, '.', lower(hex(c.k)), '.', lower(hex(c.c & 4294967295L)))), ' ')")
 
 
 def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edited_part: int = 4) -> DataFrame:
@@ -133,24 +151,23 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     Ids are ordered without their texts, by a range sort. A text moves once, to its id;
     from there its beginning and its digests go to the id before.
     """
-    rows = docs.select(
-        F.col(id_col).alias("id"), F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("key"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
-    )
+    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("key"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     ids = rows.groupBy("key").agg(F.max(F.length("text")).alias("n"))
     ids = saved(global_position(saved(ids, "id-sizes"), ["key"], "at"), "id-order")
     total = max(1, ids.count())
     needs = ids.select(F.col("key").alias("to"), F.floor(F.col("n") / edited_part).cast("int").alias("most"), ((F.col("at") + 1) % total).alias("at"))
     needs = needs.join(ids.select("key", "at"), "at").select("key", "to", "most")
 
-    of_id = Window.partitionBy("key").orderBy("text")
-    first = rows.withColumn("r", F.row_number().over(of_id)).where("r = 1").select("key", "text")
+    # both sides of the last join read the one exchange of the texts by id
+    before = F.lag("key").over(Window.partitionBy("key").orderBy("text"))
+    first = rows.withColumn("before", before).where("before is null").select("key", "text")
     sent = first.join(needs, "key").select(F.col("to").alias("key"), F.expr("substring(text, 1, most)").alias("begin"), digests(F.col("text")).alias("next_items"))
 
     both = rows.join(sent, "key").withColumn("n", F.length("text"))
     both = both.withColumn("cut", F.floor(F.col("n") / edited_part).cast("int"))
     both = both.withColumn("edited", F.expr("concat(substring(text, 1, n - cut), substring(begin, 1, cut))"))
     both = both.select(
-        "id",
+        F.when(F.col("key") != NULL_ID, F.col("key").cast(docs.schema[id_col].dataType)).alias("id"),
         F.col("n").cast("long").alias("n_chars"),
         F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         digests(F.col("text")).alias("items"),
