@@ -18,15 +18,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to a new folder of the shared checkpoint folder and read it back.
+def saved_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Write ``df`` to a new folder of the shared checkpoint folder; the table read back, and its path.
 
     The table cuts the lineage: what follows reads it again after a lost executor.
     """
     spark = df.sparkSession
     path = fresh_folder(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def saved(df: DataFrame, name: str) -> DataFrame:
+    return saved_at(df, name)[0]
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a folder of ``saved_at`` that nothing reads any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def ascii_lower(column: Column) -> Column:
