@@ -15,11 +15,10 @@ PARAGRAPH = rf"[^.!?\n]{{1,{LONGEST}}}[.!?]*|[.!?]+"
 #: Cells of each of the three tables of a text's sketch, and where the bits of a digest's cells begin.
 CELLS, SHIFTS = 16, (0, 20, 40)
 #: Divided sketches: digests are dealt by their top bits to parts of about ``PART``, each part
-#: to ``GROUPS`` groups with a sketch each; a group that fails has one more, of other bits.
-PART, PART_SHIFT, MOST_PARTS = 64, 46, 1 << 18
+#: to ``GROUPS`` groups with a sketch each.
+PART, PART_SHIFT, MOST_PARTS = 128, 46, 1 << 18
 GROUPS, GROUP_SHIFT = 16, 32
-CELLS_OF_GROUP, SHIFTS_OF_GROUP = 4, (0, 20, 40)
-CELLS_AGAIN, SHIFTS_AGAIN = 16, (4, 14, 24)
+CELLS_OF_GROUP, SHIFTS_OF_GROUP = 8, (0, 20, 40)
 ROUNDS = 12
 #: The null id's place in the order; no other id may be this one.
 NULL_ID = -(1 << 63)
@@ -91,21 +90,19 @@ def _difference(left: str, right: str, left_cells: str, right_cells: str) -> str
     """SQL of the differing digests of two texts.
 
     The sketches are subtracted and peeled. On failure the digests are dealt to parts and
-    groups of which each has a sketch of its own, so that there is room for all; a group that
-    fails is built again with more cells and other hash bits, and one that fails even then is
-    compared digest by digest.
+    groups of which each has a sketch of its own, so that there is room for all, with three
+    cells or more a digest; a group that fails even then is compared digest by digest.
     """
     first = _peeled(_minus(left_cells, right_cells), CELLS, SHIFTS)
     parts = f"least({MOST_PARTS}L, shiftleft(1L, cast(ceil(log2(greatest(1, (size({left}) + size({right})) / {PART}))) as int)))"
     of_part = "filter({}, x -> (shiftrightunsigned(x, " + str(PART_SHIFT) + ") & (m - 1)) = g)"
     of_group = "filter({}, x -> (shiftright(x, " + str(GROUP_SHIFT) + f") & {GROUPS - 1}L) = h)"
 
-    def sketches(cells: int, shifts: tuple[int, ...]) -> str:
-        less = _let(_sketch("l", cells, shifts), "v", _let(_sketch("r", cells, shifts), "w", _minus("v", "w")))
-        return _peeled(less, cells, shifts)
-
+    less = _let(
+        _sketch("l", CELLS_OF_GROUP, SHIFTS_OF_GROUP), "v", _let(_sketch("r", CELLS_OF_GROUP, SHIFTS_OF_GROUP), "w", _minus("v", "w"))
+    )
     nothing = "cast(array() as array<struct<k: bigint, n: int>>)"
-    tried = f"coalesce({sketches(CELLS_OF_GROUP, SHIFTS_OF_GROUP)}, {sketches(CELLS_AGAIN, SHIFTS_AGAIN)}, {_exact('l', 'r')})"
+    tried = f"coalesce({_peeled(less, CELLS_OF_GROUP, SHIFTS_OF_GROUP)}, {_exact('l', 'r')})"
     group = _let(of_group.format("y"), "l", _let(of_group.format("z"), "r", f"if(size(l) + size(r) = 0, {nothing}, {tried})"))
     part = _let(of_part.format(left), "y", _let(of_part.format(right), "z", f"flatten(transform(sequence(0, {GROUPS - 1}), h -> {group}))"))
     divided = _let(parts, "m", f"flatten(transform(sequence(0L, m - 1), g -> {part}))")
