@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .common import saved
@@ -24,27 +24,28 @@ def connected_components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFr
     """
     a, b = F.col(u), F.col(v)
     links = edges.where(a.isNotNull() & b.isNotNull() & (a != b))
-    links = saved(links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "links")
-    state = _state(links)
-    while state[0]:
-        links = saved(_small_star(_large_star(links)), "links")
-        before, state = state, _state(links)
-        if before == state:
-            break
+    links, state = _round(links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct())
+    before = None
+    while state != before and state[0]:
+        before = state
+        links, state = _round(_small_star(_large_star(links)))
     return links.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
         links.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     )
 
 
-def _state(links: DataFrame) -> tuple:
-    row = links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.bit_xor(F.xxhash64("v", "u"))).first()
-    return tuple(row)
+def _round(links: DataFrame) -> tuple[DataFrame, tuple]:
+    """The written links, and their count and hash sum, taken while they are written."""
+    seen = Observation()
+    watched = links.observe(seen, F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("sum"), F.bit_xor(F.xxhash64("v", "u")).alias("xor"))
+    out = saved(watched, "links")
+    return out, (seen.get["n"], seen.get["sum"], seen.get["xor"])
 
 
 def _large_star(links: DataFrame) -> DataFrame:
     both = links.union(links.select("v", "u").toDF("u", "v"))
     least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(links: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import chunks, letters, saved
+from .common import chunks, discard, letters, saved_at
 
 #: Bounds of the fit: labelled rows, and features kept of the hashed ones.
 FIT_ROWS = 20_000
@@ -189,7 +189,7 @@ def learned_model(
     marks = marks.orderBy(F.md5(F.col("id").cast("string")), "id").limit(fit_rows)
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     # the sample's ids are bounded by fit_rows; the sampled rows are one task's output each
-    sample = saved(texts.join(F.broadcast(marks), "id").select("label", "text"), "toxic-sample")
+    sample, path = saved_at(texts.join(F.broadcast(marks), "id").select("label", "text"), "toxic-sample")
     sizes = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
     positive, negative = sizes.get(1, 0), sizes.get(0, 0)
     if not positive + negative:
@@ -238,6 +238,7 @@ def learned_model(
             yield pa.RecordBatch.from_arrays(arrays, names=["label", "features", "lost", "won"])
 
     fit = sample.mapInArrow(reduce, "label int, features array<int>, lost array<array<int>>, won array<array<int>>").collect()
+    discard(docs.sparkSession, path)
     deltas = [pair for r in fit for pair in zip(r["lost"], r["won"])]
     weights, bias = fit_weights([(r["label"], r["features"]) for r in fit], deltas, len(chosen))
     return Model(Chosen(chosen), weights, bias)
