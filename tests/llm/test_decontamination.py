@@ -89,6 +89,24 @@ def test_cut_texts(make_docs, spark):
     assert rows_of(without_benchmark(docs, bench.limit(0))) == rows_of(docs)
 
 
+def test_blocks_are_cut_on_the_given_text(make_docs, spark, corpus, monkeypatch):
+    docs, items = corpus
+    run = [f"p{i}" for i in range(17)]
+    docs = docs + [(100, " ".join(["before", *run, "after"])), (101, "a b c " + " ".join(run[:12]) + " d e f")]
+    items = items + [(30, " ".join(run[:12])), (31, " ".join(run[5:])), (32, "a b c d e f")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    frame = make_docs(docs, clashing=True)
+    whole = rows_of(without_benchmark(frame, bench))
+    spans = {r["doc_id"]: [tuple(s) for s in r["spans"]] for r in benchmark_hits(frame, bench).collect()}
+    assert {r[0]: r[1] for r in whole} == {k: cut_words(t, spans[k]) if spans[k] else t for k, t in docs}
+    assert {r[0]: r[1] for r in whole if r[0] >= 100} == {100: "before \n after", 101: "a b c \n d e f"}
+    monkeypatch.setattr(decontamination, "BLOCK_BYTES", 200)
+    monkeypatch.setattr(decontamination, "SHARD_WORDS", 50)
+    out = without_benchmark(frame, bench)
+    assert out.schema == frame.schema
+    assert rows_of(out) == whole
+
+
 def test_words_and_cuts():
     assert words_of("Ab-9é É_x") == ["ab", "9é".encode(), "É".encode(), "x"] or words_of("Ab-9é É_x") == [w.encode() for w in ("ab", "9é", "É", "x")]
     assert cut_words("a b c d e", [(1, 3)]) == "a \n d e"

@@ -235,23 +235,32 @@ def without_benchmark(
 
     A cut leaves a line break. Rows are all kept, null texts stay null, the column of text
     lengths follows the new text if there is one, other columns pass through whatever
-    their names. A benchmark of several blocks is cut block by block.
+    their names. The word ranges of all blocks of a benchmark are gathered on the text as
+    given; the last block's pass cuts them at once.
     """
     names = docs.columns
     text_at, chars_at = names.index(text_col), names.index(chars_col) if chars_col in names else None
-    for block in blocks_of(benchmark, window, item_col, item_text_col):
-        docs = docs.mapInArrow(_cut(docs, block, text_at, chars_at), docs.schema)
-    return docs
-
-
-def _cut(docs: DataFrame, block: Phrases, text_at: int, chars_at: int | None):
+    held = next(f"spans_{i}" for i in range(len(names) + 1) if f"spans_{i}" not in {n.lower() for n in names})
+    gathered = T.StructType([*docs.schema.fields, T.StructField(held, RANGES)])
+    rows, number, blocks = docs, 0, blocks_of(benchmark, window, item_col, item_text_col)
+    block = next(blocks)
+    while block is not None:
+        after = next(blocks, None)
+        schema = docs.schema if after is None else gathered
+        rows = rows.mapInArrow(_cut(rows, block, text_at, chars_at, held, number > 0, after is None), schema)
+        block, number = after, number + 1
+    return rows
+
+
+def _cut(docs: DataFrame, block: Phrases, text_at: int, chars_at: int | None, held_col: str, again: bool, last: bool):
+    """Adds the block's ranges to those of the blocks before it, the last column; the last block cuts instead."""
     shared = docs.sparkSession.sparkContext.broadcast((block.vocabulary, block.by_length, block.groups, block.pairs, block.least))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Phrases(*shared.value)
         number = own.vocabulary.get
         for batch in batches:
-            columns = list(batch.columns)
+            columns, fields = list(batch.columns), list(batch.schema)
             texts = columns[text_at].to_pylist()
             ids = [np.array([number(w, 0) for w in words_of(t or "")], np.int64) for t in texts]
             spans: list[list[tuple[int, int]]] = []
@@ -261,11 +270,19 @@ def _cut(docs: DataFrame, block: Phrases, text_at: int, chars_at: int | None):
                 if held >= SHARD_WORDS or i == len(ids) - 1:
                     spans += search_shard(own, ids[begin : i + 1])[0]
                     begin, held = i + 1, 0
-            new = [cut_words(t, s) if s else t for t, s in zip(texts, spans)]
-            columns[text_at] = pa.array(new, columns[text_at].type)
-            if chars_at is not None:
-                given = columns[chars_at].to_pylist()
-                columns[chars_at] = pa.array([len(t) if s else g for g, t, s in zip(given, new, spans)], columns[chars_at].type)
-            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
+            if again:
+                before = [[(r["start"], r["end"]) for r in x] for x in columns.pop().to_pylist()]
+                spans = [merged(a + b) for a, b in zip(before, spans)]
+                fields.pop()
+            if last:
+                new = [cut_words(t, s) if s else t for t, s in zip(texts, spans)]
+                columns[text_at] = pa.array(new, columns[text_at].type)
+                if chars_at is not None:
+                    given = columns[chars_at].to_pylist()
+                    columns[chars_at] = pa.array([len(t) if s else g for g, t, s in zip(given, new, spans)], columns[chars_at].type)
+            else:
+                columns.append(pa.array([[{"start": a, "end": b} for a, b in x] for x in spans], PA_RANGES))
+                fields.append(pa.field(held_col, PA_RANGES))
+            yield pa.RecordBatch.from_arrays(columns, schema=pa.schema(fields))
 
     return cut
