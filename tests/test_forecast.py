@@ -1,4 +1,5 @@
 import datetime as dt
+import pickle
 
 import numpy as np
 import pytest
@@ -217,6 +218,25 @@ def test_fit_sample_is_bounded_and_repeatable(two_series):
     assert one == two and set(one) == {(0, "multi"), (1, "multi"), (2, "multi")}
 
 
+def test_lines_are_fitted_on_all_rows(daily):
+    rng = np.random.default_rng(5)
+    noise = rng.random((2, 90))
+    rows = daily(90, value=lambda i: 100 * noise[0][i]).unionByName(daily(90, value=lambda i: noise[1][i], series="b"))
+    frame = learners.learner_frame(series.fill_gaps(rows), newest=2)
+    own = {m: learners.Learner("linear", fit_rows=40) for m in ("single", "multi")}
+    for (rank, mode), state in learners.fitted_models(frame, own).items():
+        table = learners.training_rows(frame, 7 if mode == "multi" else 1).where(F.col("rank") == rank).collect()
+        x = np.array([[*r["features"], 1.0] for r in table])
+        want = np.linalg.solve(x.T @ x + 1e-6 * len(x) * np.eye(x.shape[1]), x.T @ np.array([r["label"] for r in table]))
+        assert np.allclose(pickle.loads(state)[1]["weights"], want, rtol=1e-6, atol=1e-9)
+
+
+def test_fit_sample_is_taken_per_step(two_series):
+    frame = learners.learner_frame(two_series, newest=2)
+    counts = learners._sampled(learners.training_rows(frame, 7), 40).groupBy("rank", "step").count().collect()
+    assert {(r["rank"], r["step"]): r["count"] for r in counts} == {(k, s): 40 for k in range(3) for s in range(1, 8)}
+
+
 def test_trees_follow_a_step_and_a_product():
     rng = np.random.default_rng(0)
     x = rng.random((2000, 4))

@@ -70,12 +70,25 @@ class Trees:
         return out
 
 
+def moments(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Sums of products of the columns of x, ones and y: all that least squares needs, and sums of parts add up."""
+    wide = np.column_stack([x, np.ones(len(x)), y])
+    return wide.T @ wide
+
+
 class Line:
-    """Least squares with a small ridge, the same interface."""
+    """Least squares with a small ridge, the same interface; ``solve`` fits it to the sums of any number of rows."""
 
     def fit(self, x: np.ndarray, y: np.ndarray) -> Line:
-        wide = np.column_stack([x, np.ones(len(x))])
-        self.weights = np.linalg.solve(wide.T @ wide + 1e-6 * len(x) * np.eye(wide.shape[1]), wide.T @ y)
+        return self.solve(moments(x, y))
+
+    def solve(self, sums: np.ndarray) -> Line:
+        if not np.isfinite(sums).all():
+            raise ValueError("a training row has a null or infinite value")
+        width = round(sums.size**0.5)
+        wide = sums.reshape(width, width)
+        rows = wide[-2, -2]
+        self.weights = np.linalg.solve(wide[:-1, :-1] + 1e-6 * rows * np.eye(width - 1), wide[:-1, -1])
         return self
 
     def predict(self, x: np.ndarray) -> np.ndarray:

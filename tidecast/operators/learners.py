@@ -1,8 +1,9 @@
 """Pooled learned forecasts: one model a mode and cutoff over all series, each scaled by its own training range.
 
-A model is fitted on a bounded sample of the labelled rows, and every fit is a task of its
-own: all cutoffs and modes run side by side, and the driver does nothing a round. Values
-differ from any other tree learner's; rows, steps and dates do not.
+Trees are fitted on a bounded sample of the labelled rows of each step, and every fit is a
+task of its own: all cutoffs and modes run side by side, and the driver does nothing a
+round. Lines are fitted on all labelled rows, by sums that each task takes over its own.
+Values differ from any other tree learner's; rows, steps and dates do not.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql.window import Window
 
 from tidecast.functions.dates import days_to_sunday
 from tidecast.operators.backtest import DETAIL_COLUMNS, MAX_STEPS, mark_cutoffs, with_errors
-from tidecast.operators.boosting import Line, Trees
+from tidecast.operators.boosting import Line, Trees, moments
 from tidecast.operators.calendar import CALENDAR_COLUMNS, calendar_values
 from tidecast.operators.forecast import HISTORY, path_rows
 from tidecast.operators.models import scaled, unscaled
@@ -33,13 +34,15 @@ from tidecast.session import fresh_folder
 cloudpickle.register_pickle_by_value(sys.modules[Trees.__module__])
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-#: Labelled rows that a model is fitted on at most: those with the smallest hashes of series, day and step.
+#: Labelled rows a step that trees are fitted on at most: those with the smallest hashes of series, day and step.
 FIT_ROWS = 4096
+#: Rows that a task adds to its sums at a time.
+SUM_ROWS = 65_536
 
 
 @dataclass(frozen=True)
 class Learner:
-    """Settings of a pooled model; the defaults are the documented ones."""
+    """Settings of a pooled model; the defaults are the documented ones. Only trees have use for ``fit_rows``."""
 
     kind: str = "gbt"
     rounds: int = 300
@@ -152,21 +155,62 @@ def origin_rows(frame: DataFrame, forecast: bool, keys: Sequence[str] = KEYS) ->
 
 
 def _sampled(rows: DataFrame, size: int) -> DataFrame:
-    """At most ``size`` rows of each cutoff; tasks keep no more than that before the exchange."""
-    order = Window.partitionBy("rank").orderBy("draw", "step", "label")
+    """At most ``size`` rows of each cutoff and step; tasks keep no more than that before the exchange."""
+    order = Window.partitionBy("rank", "step").orderBy("draw", "label")
     return rows.withColumn("_k", F.row_number().over(order)).where(F.col("_k") <= size).drop("_k")
 
 
+def _steps(mode: str) -> int:
+    return MAX_STEPS if mode == "multi" else 1
+
+
+def _summed_lines(frame: DataFrame, steps: int, keys: Sequence[str]) -> dict[int, Line]:
+    """Least squares by rank over all labelled rows; a task hands on one matrix of sums a rank."""
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for begin in range(0, batch.num_rows, SUM_ROWS):
+                part = batch.slice(begin, SUM_ROWS)
+                rank, y = (part.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+                x = part.column(2).flatten().to_numpy(zero_copy_only=False).reshape(len(y), -1)
+                for r in np.unique(rank).tolist():
+                    own = rank == r
+                    held[r] = held.get(r, 0.0) + moments(x[own], y[own])
+        ranks = sorted(held)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(ranks, pa.int32()), pa.array([held[r].ravel().tolist() for r in ranks], pa.list_(pa.float64()))], names=["rank", "sums"]
+        )
+
+    rows = training_rows(frame, steps, keys).select("rank", "label", "features")
+    cells = rows.mapInArrow(sums, "rank int, sums array<double>").select("rank", F.posexplode("sums").alias("at", "value"))
+    # sorted before they are added: the order that a shuffle delivers must not matter
+    total = F.aggregate(F.array_sort(F.collect_list("value")), F.lit(0.0), lambda a, v: a + v)
+    added = cells.groupBy("rank", "at").agg(total.alias("value")).groupBy("rank").agg(F.array_sort(F.collect_list(F.struct("at", "value")))["value"].alias("sums"))
+    return {r["rank"]: Line().solve(np.array(r["sums"])) for r in added.collect()}
+
+
 def fitted_models(frame: DataFrame, learners: dict[str, Learner], keys: Sequence[str] = KEYS, parallelism: int = 64) -> dict[tuple[int, str], bytes]:
-    """Pickled models by (rank, mode), one fit a task.
+    """Pickled models by (rank, mode), one fit of trees a task, lines from sums over all rows.
 
     What reaches the driver is bounded by the number of cutoffs and modes and the settings.
     """
+    models: dict[tuple[int, str], bytes] = {}
+    modes = [mode for mode, learner in learners.items() if learner.kind == "linear"]
+    for steps in sorted({_steps(mode) for mode in modes}):
+        for rank, line in _summed_lines(frame, steps, keys).items():
+            models |= {(rank, mode): pickle.dumps((True, vars(line))) for mode in modes if _steps(mode) == steps}
+
     parts = None
     for mode, learner in learners.items():
-        rows = _sampled(training_rows(frame, MAX_STEPS if mode == "multi" else 1, keys), learner.fit_rows)
+        if learner.kind == "linear":
+            continue
+        rows = _sampled(training_rows(frame, _steps(mode), keys), learner.fit_rows)
         rows = rows.select("rank", F.lit(mode).alias("mode"), "label", "features")
         parts = rows if parts is None else parts.unionByName(rows)
+    if parts is None:
+        return models
+
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple[int, str], list[tuple[float, list[float]]]] = {}
         for batch in batches:
@@ -181,7 +225,7 @@ def fitted_models(frame: DataFrame, learners: dict[str, Learner], keys: Sequence
 
     spread = parts.repartitionByRange(parallelism, "rank", "mode")
     found = spread.mapInArrow(fit, "rank int, mode string, model binary").collect()
-    return {(r["rank"], r["mode"]): bytes(r["model"]) for r in found}
+    return models | {(r["rank"], r["mode"]): bytes(r["model"]) for r in found}
 
 
 def predicted_paths(origins: DataFrame, models: dict[tuple[int, str], bytes]) -> DataFrame:
