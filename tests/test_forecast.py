@@ -10,6 +10,7 @@ from tidecast.operators import backtest as bt
 from tidecast.operators import evaluate as ev
 from tidecast.operators import forecast as fc
 from tidecast.operators import learners, models, series
+from tidecast.plans import catalogue
 
 MODELS = {"single": models.seasonal_naive(), "multi": models.lag_mean((7, 14, 21)), "iterative": models.lag_mean()}
 
@@ -237,6 +238,30 @@ def test_fit_sample_is_taken_per_step(two_series):
     assert {(r["rank"], r["step"]): r["count"] for r in counts} == {(k, s): 40 for k in range(3) for s in range(1, 8)}
 
 
+def test_near_means_the_values_up_to_the_cutoff(daily, frame):
+    seen = series.fill_gaps(daily(40, value=lambda i: i % 7 if i < 30 else 1000))
+    rows = frame(
+        "series_id string, train_end date, predicted double",
+        [("a", "2024-01-20", 6.0), ("a", "2024-01-20", 500.0), ("a", "2024-01-20", 8.0), ("a", "2024-02-05", 500.0), ("a", "2024-02-05", None)],
+    )
+
+    def near(slack):
+        return sorted(str(r["is_near"]) for r in catalogue._plausible(rows, seen, "train_end", slack).collect())
+
+    assert near(0.0) == ["False", "False", "None", "True", "True"]
+    assert near(0.5) == ["False", "None", "True", "True", "True"]
+
+
+@pytest.mark.parametrize("settings", [catalogue.LINEAR, learners.BACKTEST_LEARNERS], ids=["linear", "gbt"])
+def test_learners_beat_a_constant(two_series, settings):
+    rows = learners.backtest(two_series, settings, newest=3).collect()
+    for name in ("a", "b"):
+        for mode in settings:
+            own = [r for r in rows if (r["series_id"], r["mode"]) == (name, mode)]
+            mean = 1150.0 if name == "a" else 13.0
+            assert own and sum(r["abs_error"] for r in own) < 0.5 * sum(abs(mean - r["actual"]) for r in own)
+
+
 def test_trees_follow_a_step_and_a_product():
     rng = np.random.default_rng(0)
     x = rng.random((2000, 4))

@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tidecast.functions import coerce, dates, units
 from tidecast.operators import backtest as bt
@@ -1032,18 +1033,26 @@ def output_checks(spark, sf):
 LINEAR = {m: learners.Learner("linear") for m in ("single", "multi", "iterative")}
 
 
-def _plausible(rows: DataFrame, filled: DataFrame) -> DataFrame:
-    """Learned values differ from engine to engine: shown is whether each is there and near the values seen."""
-    spread = filled.groupBy("series_id").agg(F.min("y").alias("_lo"), F.max("y").alias("_hi"))
-    width = F.col("_hi") - F.col("_lo")
-    near = F.col("predicted").between(F.col("_lo") - width / 2, F.col("_hi") + width / 2)
-    joined = rows.join(spread, "series_id")
+def _plausible(rows: DataFrame, filled: DataFrame, day: str, slack: float) -> DataFrame:
+    """Learned values differ from engine to engine: shown is whether each is there and near the values up to ``day``.
+
+    ``slack`` widens the range on both sides, as a share of its width: lines leave it, trees get none.
+    """
+    upto = Window.partitionBy("series_id").orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
+    spread = filled.select("series_id", F.col("date").alias(day), F.min("y").over(upto).alias("_lo"), F.max("y").over(upto).alias("_hi"))
+    room = (F.col("_hi") - F.col("_lo")) * slack
+    near = F.col("predicted").between(F.col("_lo") - room, F.col("_hi") + room)
+    joined = rows.join(spread, ["series_id", day])
     return joined.withColumn("is_predicted", F.col("predicted").isNotNull()).withColumn("is_near", near).drop("predicted", "_lo", "_hi")
 
 
+def _slack(settings) -> float:
+    return 0.5 if any(x.kind == "linear" for x in settings.values()) else 0.0
+
+
 def _learned_forecast(spark, sf, settings):
     filled = filled_orders(spark, sf)
-    return _plausible(learners.forecast(filled, settings), filled)
+    return _plausible(learners.forecast(filled, settings), filled, "origin", _slack(settings))
 
 
 def _learned_backtest(spark, sf, settings):
@@ -1057,7 +1066,7 @@ def _learned_backtest(spark, sf, settings):
     error = F.when(F.col("mode") == "iterative", F.col("predicted") - F.col("actual"))
     mean = calibrated.groupBy("series_id").agg((F.abs(F.avg(error)) < 1e-3).alias("is_calibrated"))
     shown_rows = rows.select("series_id", "train_end", "mode", "target_date", "step", "predicted", "actual")
-    return shown(_plausible(shown_rows, filled).join(mean, "series_id"), "actual")
+    return shown(_plausible(shown_rows, filled, "train_end", _slack(settings)).join(mean, "series_id"), "actual")
 
 
 @query
