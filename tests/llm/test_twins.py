@@ -19,4 +19,4 @@ def test_matches_sql(spark, sf_dir, engine, name):
 
 
 def test_one_query_for_each_operator():
-    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{k}" for k in range(1, 11)]
+    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{k}" for k in range(1, 14)]

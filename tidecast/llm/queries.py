@@ -7,8 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, fingerprints, jaccard, language, packing, secret_scan, sharding, toxicity, url_rules, warc
-from .common import table
+from . import (
+    best_fit,
+    decontamination,
+    filter_audit,
+    fingerprints,
+    jaccard,
+    language,
+    merkle,
+    packing,
+    secret_scan,
+    sharding,
+    toxicity,
+    url_rules,
+    warc,
+)
+from .common import ascii_lower, table
 from .signature_tree import Threshold
 
 RULES = (
@@ -87,6 +101,20 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judged_urls(table(spark, sf_dir, "pages"), RULES).drop("by")
 
 
+def op11_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit.best_fit_packed(table(spark, sf_dir, "documents"), tokenizer="byte_bpe_50k", window=2048)
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.col("text")
+    tampered = F.when(id_remainder(5) == 0, ascii_lower(text)).otherwise(text)
+    return merkle.merkle_manifest(table(spark, sf_dir, "documents"), claimed={"text": tampered})
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audited(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_fingerprints": op2_fingerprints,
@@ -98,4 +126,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": op8_sharding,
     "op9_toxicity": op9_toxicity,
     "op10_urls": op10_urls,
+    "op11_best_fit": op11_best_fit,
+    "op12_merkle": op12_merkle,
+    "op13_filter_audit": op13_filter_audit,
 }

@@ -161,6 +161,97 @@ SELECT page_id, host, path, rule, coalesce(own, v, 'allow') AS verdict FROM judg
 """
 
 
+#: Levels that the statement unrolls for a tree: 16 ** 6 leaves.
+MERKLE_LEVELS = 6
+
+
+def merkle() -> str:
+    def leaf(text: str) -> str:
+        values = ["CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text]
+        return "sha256(" + " || ".join(f"coalesce(strlen({v}) || ':' || {v}, '-')" for v in values) + ")"
+
+    def levels(name: str) -> str:
+        return ", ".join(
+            f"""{name}{k + 1} AS MATERIALIZED (
+    SELECT tree, i // 16 AS i, CASE WHEN any_value(m) = 1 THEN min(d) ELSE sha256(string_agg(d, '' ORDER BY i)) END AS d,
+        count(*) OVER (PARTITION BY tree) AS m
+    FROM {name}{k} GROUP BY tree, i // 16
+), {name}_run{k} AS MATERIALIZED (
+    SELECT tree, i // 16 AS i, any_value(m) AS m, list(d ORDER BY i) AS run FROM {name}{k} GROUP BY tree, i // 16
+)"""
+            for k in range(MERKLE_LEVELS)
+        )
+
+    def path(name: str, base: str, tree: str, place: str) -> str:
+        steps, at, source = [], place, base
+        for k in range(MERKLE_LEVELS):
+            others = "array_to_string(list_concat(r.run[:p.i % 16], r.run[p.i % 16 + 2:]), '')"
+            mine = "array_to_string(list_concat(r.run[:p.i % 16], [p.fold], r.run[p.i % 16 + 2:]), '')"
+            steps.append(
+                f"""{name}_path{k + 1} AS MATERIALIZED (
+    SELECT p.* EXCLUDE (i, proof, fold), p.i // 16 AS i, p.proof || CASE WHEN r.m = 1 THEN '' ELSE {others} END AS proof,
+        CASE WHEN r.m = 1 THEN p.fold ELSE sha256({mine}) END AS fold
+    FROM {source} p JOIN {name}_run{k} r ON r.tree = p.{tree} AND r.i = p.i // 16
+)"""
+            )
+            source = f"{name}_path{k + 1}"
+        return ", ".join(steps)
+
+    lower_text = f"CASE WHEN {crc32('CAST(doc_id AS VARCHAR)')} % 5 = 0 THEN {lower('text')} ELSE text END"
+    return f"""
+WITH leaves AS MATERIALIZED (
+    SELECT doc_id, coalesce('=' || source, '-') AS tree, {leaf("text")} AS d, {leaf(lower_text)} AS claim FROM documents
+), placed AS MATERIALIZED (
+    SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, d) - 1 AS i, count(*) OVER (PARTITION BY tree) AS m FROM leaves
+), node0 AS MATERIALIZED (SELECT tree, i, d, m FROM placed), {levels("node")},
+top0 AS MATERIALIZED (
+    SELECT '' AS tree, row_number() OVER (ORDER BY tree) - 1 AS i, d, count(*) OVER () AS m, tree AS name FROM node{MERKLE_LEVELS}
+), {levels("top")},
+start AS (SELECT doc_id, tree, d AS leaf, i, '' AS proof, claim AS fold FROM placed), {path("node", "start", "tree", "i")},
+joined AS (
+    SELECT p.doc_id, p.leaf, t.d AS subroot, '' AS top, t.i, p.proof, p.fold FROM node_path{MERKLE_LEVELS} p JOIN top0 t ON t.name = p.tree
+), {path("top", "joined", "top", "i")}
+SELECT doc_id, leaf, subroot, d AS root, sha256(proof) AS proof_sha256, fold AS folded_root, fold = d AS verified
+FROM top_path{MERKLE_LEVELS}, top{MERKLE_LEVELS}
+"""
+
+
+def filter_audit() -> str:
+    words = "regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+')"
+    return f"""
+WITH RECURSIVE texts AS (
+    SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, {words} AS w,
+        doc_id > min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS later
+    FROM documents
+), marks AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY 1),
+masks AS MATERIALIZED (
+    SELECT part, (len(w) < 200)::INT + 2 * (100 * list_unique(w) < 50 * len(w))::INT
+        + 4 * (100 * len(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t))::INT + 8 * regexp_matches(t, '[#$%&*|]')::INT
+        + 16 * coalesce(later, false)::INT AS f, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic
+    FROM texts LEFT JOIN marks USING (doc_id)
+), counts AS MATERIALIZED (
+    SELECT part, f, count(*) AS n, count(*) FILTER (good) AS g, count(*) FILTER (toxic) AS x FROM masks GROUP BY 1, 2
+), orders AS (
+    SELECT '' AS o UNION ALL
+    SELECT o || chr(65 + k) FROM orders, (SELECT unnest(range(5))::INT AS k) WHERE NOT contains(o, chr(65 + k)) AND length(o) < 5
+), steps AS MATERIALIZED (
+    SELECT o AS filter_order, s AS step, 1 << (ord(o[s]) - 65) AS own,
+        CAST(coalesce(list_sum(list_transform(range(1, s), lambda j: 1 << (ord(o[j]) - 65))), 0) AS INTEGER) AS before
+    FROM orders, (SELECT unnest(range(1, 6)) AS s) WHERE length(o) = 5
+), found AS (
+    SELECT part, filter_order, step, own,
+        sum(n) FILTER (f & (before | own) = 0) AS kept, sum(n) FILTER (f & before = 0 AND f & own > 0) AS removed,
+        sum(n) FILTER (f & before > 0 AND f & own > 0) AS redundant, sum(n) FILTER (f = own) AS unique_fails,
+        sum(g) FILTER (f & before = 0 AND f & own > 0) AS good_lost, sum(x) FILTER (f & before = 0 AND f & own > 0) AS toxic_lost
+    FROM counts, steps GROUP BY 1, 2, 3, 4
+)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step,
+    {", ".join(f"CAST(coalesce({c}, 0) AS BIGINT) AS {c}" for c in ("kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost"))},
+    CAST(sum(coalesce(removed, 0)) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM found
+"""
+
+
 def build() -> dict[str, str]:
     return {
         "op3_decontamination": decontamination(),
@@ -168,4 +259,6 @@ def build() -> dict[str, str]:
         "op7_jaccard": jaccard(),
         "op8_sharding": sharding(),
         "op10_urls": urls(),
+        "op12_merkle": merkle(),
+        "op13_filter_audit": filter_audit(),
     }
