@@ -1,15 +1,16 @@
 import datetime as dt
-import pickle
+import threading
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidecast.operators.boosting import Trees
 from tidecast.operators import backtest as bt
 from tidecast.operators import evaluate as ev
 from tidecast.operators import forecast as fc
 from tidecast.operators import learners, models, series
+from tidecast.operators.boosting import Trees, in_step
+from tidecast.operators.calendar import CALENDAR_COLUMNS, with_calendar
 from tidecast.plans import catalogue
 
 MODELS = {"single": models.seasonal_naive(), "multi": models.lag_mean((7, 14, 21)), "iterative": models.lag_mean()}
@@ -176,17 +177,66 @@ def test_linear_learner_finds_the_weekly_pattern(two_series):
     assert got[("a", "single")][1][1] == pytest.approx(got[("a", "iterative")][1][1])
 
 
-def test_learner_training_rows_stop_at_the_cutoff(two_series):
-    frame = learners.learner_frame(two_series, newest=3)
-    per_rank = [learners.training_rows(frame).where(F.col("rank") == r).count() for r in (0, 1, 2, 3)]
-    assert per_rank[0] == 2 * (80 - 21)
-    assert per_rank[0] > per_rank[1] > per_rank[2] > per_rank[3]
-    by_step = learners.training_rows(frame, 7).where("rank = 0").groupBy("step").count().collect()
-    assert {r["step"]: r["count"] for r in by_step} == {s: 2 * (80 - 20 - s) for s in range(1, 8)}
-    longer = learners.learner_frame(two_series, newest=1)
-    cutoff = longer.where("cutoff_rank = 1").select("date").first()[0]
-    labels = learners.training_rows(longer).where("rank = 1").count()
-    assert labels == 2 * ((cutoff - dt.date(2024, 1, 1)).days + 1 - 21)
+def plain_rows(filled, rank, steps, newest):
+    """(features, labels) of a cutoff, day by day from the filled series."""
+    marks = {(r["series_id"], r["date"]): r["cutoff_rank"] for r in bt.mark_cutoffs(filled, newest=newest, observed=~F.col("is_filled")).collect()}
+    flags = {r["date"]: [float(r[c]) for c in CALENDAR_COLUMNS] for r in with_calendar(filled.select("date").distinct()).collect()}
+    by_series = {}
+    for r in sorted(filled.collect(), key=lambda r: r["date"]):
+        by_series.setdefault(r["series_id"], []).append((r["date"], r["y"]))
+    x, labels = [], []
+    for name, days in by_series.items():
+        end = max((d for d, _ in days if marks[name, d] == rank), default=None) if rank else days[-1][0]
+        seen = [y for d, y in days if end is not None and d <= end]
+        lo, hi = (min(seen), max(seen)) if seen else (0.0, 0.0)
+        scale = [(y - lo) / (hi - lo) if hi > lo else 0.0 for y in seen]
+        for i in range(len(seen)):
+            for step in range(1, steps + 1):
+                if i >= 20 + step:
+                    x.append([scale[i - k - step + 1] for k in series.TARGET_LAGS] + flags[days[i][0]] + ([float(step)] if steps > 1 else []))
+                    labels.append(scale[i])
+    return np.array(x), np.array(labels)
+
+
+@pytest.fixture(scope="module")
+def uneven(daily):
+    """Three series of noise: one with gaps, one constant at first, one too short for the last steps."""
+    noise = np.random.default_rng(5).random((3, 90))
+    return series.fill_gaps(
+        daily(90, value=lambda i: 1e6 + 100 * noise[0][i], missing={40, 41, 80})
+        .unionByName(daily(90, value=lambda i: 5.0 if i < 84 else noise[1][i], series="b"))
+        .unionByName(daily(24, value=lambda i: noise[2][i], series="c"))
+    )
+
+
+def arrow_rows(frame, batch=10_000):
+    table = frame.select(*learners.row_columns(["series_id"])).toArrow()
+    return [learners.Rows.of(b) for b in table.to_batches(max_chunksize=batch)]
+
+
+@pytest.mark.parametrize("steps", [1, 7])
+def test_training_rows_are_those_up_to_the_cutoff(uneven, steps):
+    frame = learners.learner_frame(uneven, newest=3)
+    for rank in range(4):
+        x, y = plain_rows(uneven, rank, steps, 3)
+        got = [learners.labelled(rows, rank, steps) for rows in arrow_rows(frame, 50)]
+        table = sorted(np.column_stack([np.concatenate([g[0] for g in got]), np.concatenate([g[1] for g in got])]).tolist())
+        assert np.allclose(table, sorted(np.column_stack([x, y]).tolist()), atol=1e-12)
+
+
+@pytest.mark.parametrize("batch", [7, 10_000])
+def test_moments_of_segments_add_up(uneven, batch):
+    """Rows multiplied out once give each cutoff's and step's sums, however they are cut into batches."""
+    frame = learners.learner_frame(uneven, newest=4)
+    found = {}
+    for rows in arrow_rows(frame, batch):
+        for k, m in learners.cut_moments(rows, [1, 7]).items():
+            found[k] = found.get(k, 0.0) + m
+    assert set(found) == {(rank, steps) for rank in range(5) for steps in (1, 7)}
+    for (rank, steps), got in found.items():
+        x, y = plain_rows(uneven, rank, steps, 4)
+        wide = np.column_stack([x, np.ones(len(x)), y])
+        assert np.allclose(got, wide.T @ wide, rtol=1e-9, atol=1e-8)
 
 
 def test_metrics_of_an_empty_backtest(frame):
@@ -212,30 +262,123 @@ def test_documented_learners_in_all_modes(two_series):
             assert value == pytest.approx(1000 + 50 * ((79 + s) % 7), rel=0.05)
 
 
-def test_fit_sample_is_bounded_and_repeatable(two_series):
-    small = {"multi": learners.Learner(rounds=5, fit_rows=40)}
-    frame = learners.learner_frame(two_series, newest=2)
-    one, two = (learners.fitted_models(f, small) for f in (frame, frame.repartition(7)))
-    assert one == two and set(one) == {(0, "multi"), (1, "multi"), (2, "multi")}
+def test_lines_are_fitted_on_all_rows(uneven):
+    frame = learners.learner_frame(uneven, newest=2)
+    for (rank, mode), line in learners.fitted_models(frame.repartition(3), catalogue.LINEAR).items():
+        x, y = plain_rows(uneven, rank, 7 if mode == "multi" else 1, 2)
+        x = np.column_stack([x, np.ones(len(x))])
+        want = np.linalg.solve(x.T @ x + 1e-6 * len(x) * np.eye(x.shape[1]), x.T @ y)
+        assert np.allclose(line.weights, want, rtol=1e-6, atol=1e-9) and line.rows == len(x)
+        assert line.training_error == pytest.approx(np.square(y - x @ want).mean(), abs=1e-9)
+        assert line.constant_error == pytest.approx(y.var(), abs=1e-9)
+        assert np.abs(line.residual_products).max() < 1e-4
 
 
-def test_lines_are_fitted_on_all_rows(daily):
-    rng = np.random.default_rng(5)
-    noise = rng.random((2, 90))
-    rows = daily(90, value=lambda i: 100 * noise[0][i]).unionByName(daily(90, value=lambda i: noise[1][i], series="b"))
-    frame = learners.learner_frame(series.fill_gaps(rows), newest=2)
-    own = {m: learners.Learner("linear", fit_rows=40) for m in ("single", "multi")}
-    for (rank, mode), state in learners.fitted_models(frame, own).items():
-        table = learners.training_rows(frame, 7 if mode == "multi" else 1).where(F.col("rank") == rank).collect()
-        x = np.array([[*r["features"], 1.0] for r in table])
-        want = np.linalg.solve(x.T @ x + 1e-6 * len(x) * np.eye(x.shape[1]), x.T @ np.array([r["label"] for r in table]))
-        assert np.allclose(pickle.loads(state)[1]["weights"], want, rtol=1e-6, atol=1e-9)
+def same_trees(a, b):
+    return (
+        a.base == b.base
+        and all(np.array_equal(x, y) for x, y in zip(a.leaves, b.leaves, strict=True))
+        and all(np.array_equal(x, y) for p, q in zip(a.splits, b.splits, strict=True) for s, t in zip(p, q) for x, y in zip(s, t))
+    )
 
 
-def test_fit_sample_is_taken_per_step(two_series):
-    frame = learners.learner_frame(two_series, newest=2)
-    counts = learners._sampled(learners.training_rows(frame, 7), 40).groupBy("rank", "step").count().collect()
-    assert {(r["rank"], r["step"]): r["count"] for r in counts} == {(k, s): 40 for k in range(3) for s in range(1, 8)}
+def test_trees_are_grown_on_all_rows(daily):
+    """More rows than any sample there once was, and the same trees whatever the partitions."""
+    noise = np.random.default_rng(1).random((4, 1500))
+    rows = [daily(1500, "2018-01-01", lambda i, k=k: noise[k][i] + i % 7, f"s{k}") for k in range(4)]
+    filled = series.fill_gaps(rows[0].unionByName(rows[1]).unionByName(rows[2]).unionByName(rows[3]))
+    few = {"iterative": learners.Learner(rounds=5), "multi": learners.Learner(rounds=3)}
+    frame = learners.learner_frame(filled, newest=1)
+    one, two = (learners.fitted_models(f, few) for f in (frame, frame.repartition(7)))
+    assert set(one) == {(0, "iterative"), (1, "iterative"), (0, "multi"), (1, "multi")}
+    assert all(same_trees(one[k], two[k]) for k in one)
+    assert one[0, "iterative"].rows == 4 * (1500 - 21) and one[0, "multi"].rows == 4 * sum(1500 - 20 - s for s in range(1, 8))
+    assert all(m.training_error < m.constant_error for m in one.values())
+
+
+def test_tasks_that_share_a_model_grow_the_same_trees(uneven):
+    """A barrier stage: the rows of each model are in several tasks, which exchange histograms."""
+    frame = learners.learner_frame(uneven, newest=1)
+    few = {"iterative": learners.Learner(rounds=2, depth=2)}
+    alone, shared = learners.fitted_models(frame, few), learners.fitted_models(frame, few, slots=4, task_rows=60)
+    assert set(alone) == set(shared) == {(0, "iterative"), (1, "iterative")}
+    assert all(same_trees(alone[k], shared[k]) for k in alone)
+
+
+@pytest.mark.parametrize("parts", [2, 5])
+def test_fits_in_step(parts):
+    """Threads in place of tasks; one has no rows, one takes part in a single model."""
+    rng = np.random.default_rng(parts)
+    x, y = np.column_stack([rng.random((800, 4)), rng.integers(0, 2, (800, 3))]), rng.random(800)
+    home, met, box, found = rng.integers(0, parts - 1, 800), threading.Barrier(parts), [""] * parts, [{}] * parts
+
+    def task(i):
+        def gather(message):
+            box[i] = message
+            met.wait()
+            said = list(box)
+            met.wait()
+            return said
+
+        fits = {"a": Trees(6, 0.1, 4, 5, 0.8, 1).growing(x[home == i], y[home == i])}
+        if i < parts - 1:
+            fits["b"] = Trees(3, 0.1, 3, 5, 1.0, 2).growing(x[home == i, :2], y[home == i])
+        found[i] = in_step(fits, gather)
+
+    threads = [threading.Thread(target=task, args=(i,)) for i in range(parts)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    whole = {"a": Trees(6, 0.1, 4, 5, 0.8, 1).fit(x, y), "b": Trees(3, 0.1, 3, 5, 1.0, 2).fit(x[:, :2], y)}
+    assert all(same_trees(m, whole[k]) for own in found for k, m in own.items())
+    assert [set(own) for own in found] == [{"a", "b"}] * (parts - 1) + [{"a"}]
+
+
+def test_histograms_of_smaller_children_are_enough():
+    """Each split is the best of its node by plain sums over its rows."""
+    rng = np.random.default_rng(3)
+    x, y = np.column_stack([rng.random((500, 3)), rng.integers(0, 2, (500, 2))]), rng.random(500)
+    m = Trees(2, 0.5, 3, 20, 1.0, 0).fit(x, y)
+    bins, left = m._binned(x), y - y.mean()
+    for levels, value in zip(m.splits, m.leaves):
+        node = np.zeros(500, int)
+        for feature, bound in levels:
+            for k in range(len(feature)):
+                own = node == k
+                best, n = 0.0, own.sum()
+                for j in range(5):
+                    for b in range(bins[j].max()):
+                        low = own & (bins[j] <= b)
+                        if low.sum() >= 20 and n - low.sum() >= 20:
+                            high = own & ~low
+                            best = max(best, left[low].sum() ** 2 / low.sum() + left[high].sum() ** 2 / high.sum() - left[own].sum() ** 2 / n)
+                if best:
+                    low = own & (bins[feature[k]] <= bound[k])
+                    high = own & ~low
+                    assert left[low].sum() ** 2 / low.sum() + left[high].sum() ** 2 / high.sum() - left[own].sum() ** 2 / n == pytest.approx(best)
+                else:
+                    assert bound[k] >= 64 or not n
+            node = node * 2 + (bins[feature[node], np.arange(500)] > bound[node])
+        left = left - value[node]
+        for k in range(8):
+            assert abs(left[node == k].mean() - value[k]) < 1e-6 if (node == k).any() else True
+
+
+def test_shares_of_models():
+    one, two = learners.Learner(rounds=10), learners.Learner(rounds=100)
+    tasks = learners.dealt([(0, 1, one), (0, 7, two), (1, 1, one)], rows=1000, slots=4, task_rows=2500)
+    shares = [s for own in tasks for s in own]
+    assert sorted((s.model, s.part, s.parts) for s in shares) == [(0, 0, 1), (1, 0, 3), (1, 1, 3), (1, 2, 3), (2, 0, 1)]
+    assert all(len({s.model for s in own}) == len(own) for own in tasks) and len(tasks) == 4
+
+
+def test_null_value_in_training_fails(frame, daily):
+    broken = series.fill_gaps(daily(60)).withColumn("y", F.when(F.col("date") == "2024-02-20", F.lit(float("nan"))).otherwise(F.col("y")))
+    with pytest.raises(Exception, match="null or infinite"):
+        learners.forecast(broken, {"iterative": learners.Learner(rounds=2)}).collect()
+    with pytest.raises(Exception, match="null or infinite"):
+        learners.forecast(broken, {"iterative": learners.Learner("linear")}).collect()
 
 
 def test_near_means_the_values_up_to_the_cutoff(daily, frame):

@@ -144,6 +144,18 @@ def test_weekly_run_with_learners(spark, daily, tmp_path):
     assert out["predictions"].where("predicted is null").count() == 0
 
 
+def test_weekly_run_with_its_defaults(spark, daily, tmp_path):
+    """The documented learners, from backtest to summary, over the ten documented cutoffs."""
+    rows = daily(110, value=lambda i: 1000.0 + 50 * (i % 7)).unionByName(daily(110, value=lambda i: 10.0 + i % 7, series="b"))
+    out = weekly_run(spark, rows, str(tmp_path / "run"), "2024-04-20 09:00:00")
+    detail = out["backtest"].groupBy("series_id", "mode").agg(F.countDistinct("train_end").alias("n"), F.avg("abs_error").alias("e")).collect()
+    assert {(r["series_id"], r["mode"], r["n"]) for r in detail} == {(s, m, 10) for s in "ab" for m in MODELS}
+    assert all(r["e"] < (50 if r["series_id"] == "a" else 1) for r in detail)
+    assert out["bias"].count() == 14 and out["switch"].count() == 2
+    assert out["predictions"].where("predicted is null").count() == 0
+    assert {r["series_id"]: r["num_days"] for r in out["summary"].collect()} == {"a": 7, "b": 7}
+
+
 def test_quality_checks(frame, daily):
     predictions = frame("series_id string, predicted double", [("a", 105), ("a", 1e9)])
     row = quality_checks(daily(10).unionByName(daily(4, series="b")), predictions, "2024-01-12").orderBy("series_id").collect()

@@ -1089,3 +1089,44 @@ def backtest_gbt(spark, sf):
 @query
 def backtest_linear(spark, sf):
     return _learned_backtest(spark, sf, LINEAR)
+
+
+def _training(spark, sf, settings, newest, *more):
+    """What each fit says of its rows: how many there are, the error of a constant on them, and whether it does better."""
+    report = learners.training(filled_orders(spark, sf), settings, newest=newest)
+    better = F.col("training_error") < F.col("constant_error")
+    return report.select("rank", "mode", "n_rows", F.round("constant_error", 6).alias("constant_error"), better.alias("beats_constant"), *more)
+
+
+@query
+def fc_gbt_training(spark, sf):
+    """The fits of ``fc_gbt`` on all labelled rows."""
+    return _training(spark, sf, learners.FORECAST_LEARNERS, None)
+
+
+@query
+def backtest_gbt_training(spark, sf):
+    """The fits of ``backtest_gbt``: a model a cutoff and mode, on all labelled rows up to the cutoff."""
+    return _training(spark, sf, learners.BACKTEST_LEARNERS, 10)
+
+
+@query
+def fc_linear_training(spark, sf):
+    """The fits of ``fc_linear``; least squares leaves nothing in the residuals that a feature could explain."""
+    return _training(spark, sf, LINEAR, None, F.round("residual_product", 4).alias("residual_product"))
+
+
+@query
+def backtest_linear_training(spark, sf):
+    """The fits of ``backtest_linear``, one pass over the rows for all cutoffs and steps."""
+    return _training(spark, sf, LINEAR, 10, F.round("residual_product", 4).alias("residual_product"))
+
+
+@query
+def weekly_forecast_learned(spark, sf):
+    """The weekly job with its documented learners: the weeks it reports, and whether their averages are in the series' range."""
+    daily = order_days(spark, sf)
+    summary = weekly_run(spark, daily, fresh_folder(spark, "weekly"), RUN_TIME)["summary"]
+    spread = daily.groupBy("series_id").agg(F.min("y").alias("_lo"), F.max("y").alias("_hi"))
+    joined = summary.join(spread, "series_id").withColumn("is_near", F.col("daily_average_ridership").between(F.col("_lo"), F.col("_hi")))
+    return joined.select("series_id", "period", "period_type", "data_mix", "num_days", "calculation_date", "is_near")

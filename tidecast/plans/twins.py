@@ -117,6 +117,12 @@ pv AS (SELECT series_id, train_end, target_date, step, actual,
   avg(predicted) FILTER (mode = 'iterative') AS iterative_predicted, avg(error) FILTER (mode = 'iterative') AS iterative_error
   FROM detail GROUP BY ALL)"""
 
+#: Scaled values up to each cutoff (rank 0: the last day), numbered from the first day on.
+LABELS = """ends AS (SELECT series_id, cutoff_rank AS rank, train_end AS upto FROM cuts UNION ALL SELECT series_id, 0, b FROM bounds),
+days AS (SELECT series_id, date, y, row_number() OVER (PARTITION BY series_id ORDER BY date) AS n FROM filled),
+ranges AS (SELECT series_id, rank, upto, min(y) AS lo, max(y) AS hi FROM ends JOIN days USING (series_id) WHERE date <= upto GROUP BY ALL),
+labels AS (SELECT rank, n, CASE WHEN hi > lo THEN (y - lo) / (hi - lo) ELSE 0 END AS v FROM days JOIN ranges USING (series_id) WHERE date <= upto)"""
+
 ORIGIN = f"""{FILLED}, {STEPS}, {history()},
 origin AS (SELECT h.* EXCLUDE (date, is_filled, n), h.date AS origin, {HORIZON.format('h.date')} AS horizon FROM hist h
   JOIN (SELECT series_id, max(date) AS date FROM filled GROUP BY 1) m USING (series_id, date) WHERE n >= 21)"""
@@ -630,6 +636,20 @@ days7 AS (SELECT p.series_id, p.date, coalesce(h.predicted, s.y) AS v, CASE WHEN
         **{name: lines(
             f"SELECT series_id, train_end, mode, target_date, step, {r('actual')}, true AS is_predicted, true AS is_near, true AS is_calibrated FROM detail", DETAIL)
             for name in ("backtest_gbt", "backtest_linear")},
+        **{f"{name}_training": lines(
+            f"""SELECT rank, mode, count(*) AS n_rows, round(var_pop(v), 6) AS constant_error, true AS beats_constant{more}
+  FROM labels, (VALUES ('single', 1), ('iterative', 1), ('multi', 7)) m(mode, ahead), steps
+  WHERE step <= ahead AND n > 20 + step AND rank {ranks} GROUP BY 1, 2""", FILLED, STEPS, CUTS, LABELS)
+            for name, ranks, more in (
+                ("fc_gbt", "= 0", ""), ("fc_linear", "= 0", ", 0.0::DOUBLE AS residual_product"),
+                ("backtest_gbt", "> 0", ""), ("backtest_linear", "> 0", ", 0.0::DOUBLE AS residual_product"))},
+        "weekly_forecast_learned": lines(
+            """SELECT series_id, strftime(min(date), '%Y-%m-%d') || ' to ' || strftime(max(date), '%Y-%m-%d') AS period, 'complete_week' AS period_type,
+  CASE WHEN bool_or(tag = 'actual') THEN 'mixed' ELSE 'predictions_only' END AS data_mix, 7 AS num_days, DATE '2024-02-01' AS calculation_date, true AS is_near
+  FROM days7 GROUP BY series_id HAVING count(*) = 7 AND count(v) = 7""", WEEKLY_JOB,
+            """sp7 AS (SELECT series_id, date_trunc('week', max(target_date))::DATE + k::INT AS date FROM hybrid, (SELECT unnest(generate_series(0, 6)) AS k) GROUP BY series_id, k),
+days7 AS (SELECT p.series_id, p.date, coalesce(h.predicted, s.y) AS v, CASE WHEN h.predicted IS NULL THEN 'actual' ELSE 'predicted' END AS tag
+  FROM sp7 p LEFT JOIN hybrid h ON h.series_id = p.series_id AND h.target_date = p.date LEFT JOIN so s ON s.series_id = p.series_id AND s.date = p.date)"""),
         "output_checks": lines(
             """SELECT s.series_id, newest_date, (DATE '2001-08-05' - newest_date)::INT AS age_days, DATE '2001-08-05' - newest_date <= 7 AS is_fresh,
   coalesce(n, 0) AS n_predictions, coalesce(a >= lo AND b <= hi, false) AS in_range
