@@ -1,10 +1,12 @@
 import datetime as dt
 import json
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidecast.streaming import messages
+from tidecast.operators import series
+from tidecast.streaming import filling, messages
 
 EVENTS = "key string, ts timestamp, n int"
 
@@ -116,3 +118,76 @@ def test_day_parts_lose_nothing_and_list_late_rows(spark, tmp_path):
     write(source, "3.json", [event("a", "2024-01-01T12:00:00Z", 16)])
     assert once()["a", 1] == (3, 21.0, False)
     assert [(r["key"], r["value"]) for r in messages.read_late(spark, out, ["key"]).collect()] == [("a", 16.0)]
+
+
+def test_repeated_messages_are_left_out(spark, tmp_path):
+    """Also over a restart and across batches; a message without time or key is kept each time."""
+    source, out, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
+
+    def once():
+        stream = messages.file_stream(spark, str(source), EVENTS, "json", files="*.json")
+        own = messages.once(stream, ["key", "n"], "ts", "2 hours")
+        run(own.writeStream.format("parquet").option("path", out).option("checkpointLocation", state).trigger(availableNow=True).start())
+        return sorted((r["key"] or "", r["n"]) for r in spark.read.parquet(out).collect())
+
+    with messages.state_in_rocksdb(spark):
+        write(source, "1.json", [event("a", "2024-01-01T10:00:00Z", 1), event("a", "2024-01-01T10:00:00Z", 1), event("b", "2024-01-01T10:00:00Z", 2)])
+        assert once() == [("a", 1), ("b", 2)]
+        write(source, "2.json", [event("a", "2024-01-01T10:00:00Z", 1), event("a", "2024-01-01T11:00:00Z", 3), event(None, "2024-01-01T11:00:00Z", 4)])
+        assert once() == [("", 4), ("a", 1), ("a", 3), ("b", 2)]
+        write(source, "3.json", [event("b", "2024-01-01T10:00:00Z", 2), event(None, "2024-01-01T11:00:00Z", 4)])
+        assert once() == [("", 4), ("", 4), ("a", 1), ("a", 3), ("b", 2)]
+    assert "RocksDB" not in str(spark.conf.get("spark.sql.streaming.stateStore.providerClass", ""))
+
+
+PARTS = "series_id string, date date, y double"
+
+
+def day_of(k):
+    return (dt.date(2024, 1, 1) + dt.timedelta(days=k)).isoformat()
+
+
+@pytest.mark.parametrize("open_days", [0, 5, 1000])
+def test_fill_by_batches_equals_one_fill(spark, frame, tmp_path, open_days):
+    """Random batches over shared and own days, late ones too, against a fill of everything so far."""
+    rng = np.random.default_rng(open_days)
+    source, out, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
+    seen = []
+    for k in range(3):
+        batch = [(f"s{rng.integers(3)}", day_of(int(rng.integers(20 * k, 20 * k + 60))), float(rng.integers(1, 100))) for _ in range(25)]
+        if k == 2:
+            batch += [("new", day_of(3), 5.0), (None, day_of(4), 1.0), (None, day_of(9), 2.0), ("s0", None, 7.0), ("s0", day_of(5), None)]
+        frame(PARTS, batch).write.mode("append").parquet(str(source))
+        seen += [r for r in batch if r[1] and r[2] is not None]
+        run(filling.store_filled(filling.filled_changes(messages.file_stream(spark, str(source), PARTS), open_days=open_days), out, state))
+        got = sorted(tuple(r) for r in filling.read_filled(spark, out).collect() if r["series_id"])
+        want = sorted(tuple(r) for r in series.fill_gaps(frame(PARTS, [r for r in seen if r[0]]), on_duplicate="sum").collect())
+        assert [r[:2] + r[3:] for r in got] == [r[:2] + r[3:] for r in want]
+        assert [r[2] for r in got] == pytest.approx([r[2] for r in want])
+    lost = sorted((r["date"].day, r["y"], r["is_filled"]) for r in filling.read_filled(spark, out).where("series_id is null").collect())
+    assert [x[0] for x in lost] == [5, 6, 7, 8, 9, 10] and lost[0][1:] == (1.0, False) and lost[3][1] == pytest.approx(1.6)
+
+
+def test_a_batch_gives_its_own_days_only(spark, frame, tmp_path):
+    source, out, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
+
+    def batch(rows):
+        frame(PARTS, rows).write.mode("append").parquet(str(source))
+        run(filling.store_filled(filling.filled_changes(messages.file_stream(spark, str(source), PARTS), open_days=50), out, state))
+        log = spark.read.parquet(out)
+        newest = log.agg(F.max("batch")).first()[0]
+        return sorted((r["date"].isoformat(), r["y"], r["is_filled"], r["is_late"]) for r in log.where(F.col("batch") == newest).collect())
+
+    assert len(batch([("a", day_of(k), 1.0) for k in range(40)])) == 40
+    assert batch([("a", day_of(42), 4.0)]) == [(day_of(40), 2.0, True, False), (day_of(41), 3.0, True, False), (day_of(42), 4.0, False, False)]
+    assert batch([("a", day_of(41), 9.0)]) == [(day_of(40), 5.0, True, False), (day_of(41), 9.0, False, False)]  # opened again
+    assert batch([("a", day_of(7), 1.0)]) == [(day_of(7), 2.0, False, False)]
+    assert len(batch([("a", day_of(100), 1.0)])) == 58
+    assert batch([("a", day_of(7), 1.0)]) == [(day_of(7), 1.0, False, True)]  # long closed
+
+
+def test_a_gap_too_long_stops_the_stream(spark, frame, tmp_path):
+    frame(PARTS, [("a", "1900-01-01", 1.0), ("a", "2024-01-01", 1.0)]).write.parquet(str(tmp_path / "in"))
+    changes = filling.filled_changes(messages.file_stream(spark, str(tmp_path / "in"), PARTS))
+    with pytest.raises(Exception, match="gap of more than 3660 days after 1900-01-01"):
+        filling.store_filled(changes, str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()

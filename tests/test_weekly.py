@@ -178,6 +178,58 @@ def test_versions_kept_and_doubled_keys(spark, frame, tmp_path):
     assert {r["k"]: r["v"] for r in sinks.read_keyed(spark, path).collect()}["a"] == 7
 
 
+def bucket_folders(path):
+    return {f"{f.parent.name}/{f.name}": f.stat().st_mtime_ns for f in path.glob("_bucket=*/_version=*")}
+
+
+def test_a_write_leaves_other_buckets_alone(spark, frame, tmp_path):
+    path = tmp_path / "keyed"
+    rows = [(f"k{i}", i) for i in range(400)]
+    sinks.upsert_keyed(frame("k string, v int", rows), str(path), ["k"], keep=1, buckets=16)
+    before = bucket_folders(path)
+    assert len(before) == 16
+    sinks.upsert_keyed(frame("k string, v int", [("k5", -1)]), str(path), ["k"], keep=1)
+    after = bucket_folders(path)
+    assert len(after) == 16 and len(set(after.items()) & set(before.items())) == 15
+    assert {r["k"]: r["v"] for r in sinks.read_keyed(spark, str(path)).collect()} == dict(rows) | {"k5": -1}
+    sizes = spark.read.parquet(str(path)).groupBy("_bucket").count().collect()
+    assert max(r["count"] for r in sizes) < 2 * 400 / 16
+
+
+def test_a_failed_write_changes_nothing(spark, frame, tmp_path, monkeypatch):
+    path = tmp_path / "keyed"
+    table = str(path)
+
+    def current():
+        return {r["k"]: r["v"] for r in sinks.read_keyed(spark, table).collect()}
+
+    rows = {f"k{i}": i for i in range(50)}
+    sinks.upsert_keyed(frame("k string, v int", list(rows.items())), table, ["k"], buckets=4)
+    commit = sinks._commit
+    monkeypatch.setattr(sinks, "_commit", lambda *_: (_ for _ in ()).throw(OSError("stopped")))
+    with pytest.raises(OSError, match="stopped"):
+        sinks.upsert_keyed(frame("k string, v int", [("k1", -1), ("x", 0)]), table, ["k"])
+    monkeypatch.setattr(sinks, "_commit", commit)
+    assert current() == rows and sinks.versions(spark, table) == [1]
+    assert len(bucket_folders(path)) > 4  # left by the failed write
+    sinks.upsert_keyed(frame("k string, v int", [("k2", -2)]), table, ["k"], keep=1)
+    assert current() == rows | {"k2": -2} and sinks.versions(spark, table) == [2]
+    assert len(bucket_folders(path)) == 4
+    with pytest.raises(ValueError, match="written by another job"):
+        sinks._commit(spark, table, 2, {})
+    sinks.upsert_keyed(frame("k string, v int", []), table, ["k"])  # nothing new
+    assert current() == rows | {"k2": -2}
+
+
+def test_null_keys_and_old_versions(spark, frame, tmp_path):
+    table = str(tmp_path / "keyed")
+    for v in range(3):
+        sinks.upsert_keyed(frame("k string, j int, v int", [("a", None, v), ("b", 1, v)] if v != 1 else [("b", 1, v)]), table, ["k", "j"], keep=3)
+    assert sinks.versions(spark, table) == [1, 2, 3]
+    first = sinks._rows(spark, table, sinks.manifest(spark, table, 1)).collect()
+    assert sorted(r["v"] for r in first) == [0, 0]
+
+
 def test_skipped_weeks_have_a_reason(frame):
     days = frame("series_id string, week_start date, date date, ridership double", [("a", "2024-01-01", f"2024-01-0{k}", None if k > 3 else 1.0) for k in range(1, 8)] + [("b", "2024-01-01", f"2024-01-0{k}", 1.0) for k in range(1, 8)] + [("c", "2024-01-01", "2024-01-01", None)])
     got = {r["series_id"]: (r["num_days"], r["reason"]) for r in weekly.skipped_weeks(days).collect()}

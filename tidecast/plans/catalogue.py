@@ -23,7 +23,7 @@ from tidecast.operators.clean import clean_counts
 from tidecast.plans.weekly_run import quality_checks, weekly_run
 from tidecast.session import fresh_folder
 from tidecast.sources import feeds, sinks, tables, trades
-from tidecast.streaming import messages
+from tidecast.streaming import filling, messages
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -736,6 +736,18 @@ def summary_upsert_doubled(spark, sf):
     return sinks.read_keyed(spark, path).drop("version_of_row")
 
 
+@query
+def upsert_buckets(spark, sf):
+    """All customers, then one of them, then a share: each write touches the buckets of its keys only."""
+    path = fresh_folder(spark, "customers")
+    rows = table(spark, sf, "customer").select("c_custkey", cents(F.col("c_acctbal")).alias("cents"), F.lit(1).alias("run"))
+    later = [F.col("c_custkey") == 7, F.col("c_custkey") % 50 == 0]
+    sinks.upsert_keyed(rows, path, ["c_custkey"])
+    for run, chosen in enumerate(later, 2):
+        sinks.upsert_keyed(rows.where(chosen).withColumns({"cents": F.col("cents") + run, "run": F.lit(run)}), path, ["c_custkey"])
+    return sinks.read_keyed(spark, path)
+
+
 # ---- weather ---------------------------------------------------------------
 
 
@@ -951,37 +963,88 @@ def stream_latest(spark, sf):
     return messages.read_latest(spark, f"{path}/table", ["user_id"], ["ts", "event_id"])
 
 
-def _three_files(spark, sf) -> str:
-    """The events as three files, one after the other, each over the whole time."""
-    path = fresh_folder(spark, "event-files")
+def _in_three_batches(spark, sf, run: Callable[[DataFrame], None], twice: bool = False) -> None:
+    """Run a stream three times, each after a third of the events has come; every third goes over the whole time.
+
+    With ``twice`` the thirds before come again.
+    """
+    path, events = fresh_folder(spark, "event-files"), table(spark, sf, "events")
     for k in range(3):
-        table(spark, sf, "events").where(F.col("event_id") % 3 == k).coalesce(1).write.mode("append").parquet(path)
-    return path
+        part = F.col("event_id") % 3
+        events.where(part <= k if twice else part == k).write.mode("append").parquet(path)
+        run(messages.file_stream(spark, path, events.schema))
 
 
 @query
 def stream_latest_compacted(spark, sf):
     """Latest message per user over three batches, compacted, then read."""
     path = fresh_folder(spark, "latest")
-    events = messages.file_stream(spark, _three_files(spark, sf), table(spark, sf, "events").schema, per_trigger=1)
-    changes = messages.latest_changes(events, ["user_id"], ["ts", "event_id"], ["event_type", "value"])
-    finish(messages.store_latest(changes, f"{path}/table", f"{path}/state"))
+
+    def run(events):
+        changes = messages.latest_changes(events, ["user_id"], ["ts", "event_id"], ["event_type", "value"])
+        finish(messages.store_latest(changes, f"{path}/table", f"{path}/state"))
+
+    _in_three_batches(spark, sf, run)
     messages.compact_latest(spark, f"{path}/table", ["user_id"], ["ts", "event_id"])
     return messages.read_latest(spark, f"{path}/table", ["user_id"], ["ts", "event_id"])
 
 
-def _event_days(spark, sf, folder: str, **options) -> str:
-    path = fresh_folder(spark, "days")
-    events = messages.file_stream(spark, folder, table(spark, sf, "events").schema, **options)
+@query
+def stream_once(spark, sf):
+    """Messages that come again in later batches are stored once."""
+    path = fresh_folder(spark, "once")
+
+    def run(events):
+        own = messages.once(events.select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "value"), ["event_id"], "ts", "60 days")
+        started = own.writeStream.format("parquet").option("path", f"{path}/table").option("checkpointLocation", f"{path}/state")
+        finish(started.trigger(availableNow=True).start())
+
+    with messages.state_in_rocksdb(spark):
+        _in_three_batches(spark, sf, run, twice=True)
+    return spark.read.parquet(f"{path}/table")
+
+
+def _store_event_days(events: DataFrame, path: str) -> None:
     events = events.withColumnRenamed("event_type", "series_id")
     finish(messages.store_day_parts(events, F.col("ts"), ["series_id"], path, f"{path}/state", value=cents(F.col("value"))))
+
+
+def _event_days(spark, sf) -> str:
+    path = fresh_folder(spark, "days")
+    _store_event_days(event_stream(spark, sf), path)
     return path
 
 
+def _filled_in_batches(spark, sf, open_days: int) -> DataFrame:
+    """Counted days and their gap fill, both taken on after each of three batches."""
+    path = fresh_folder(spark, "days")
+
+    def run(events):
+        _store_event_days(events, path)
+        parts = messages.file_stream(spark, f"{path}/days", "series_id string, date date, n long, y long, newest timestamp, batch int")
+        finish(filling.store_filled(filling.filled_changes(parts, open_days=open_days), f"{path}/filled", f"{path}/filled-state"))
+
+    with messages.state_in_rocksdb(spark):
+        _in_three_batches(spark, sf, run)
+    return filling.read_filled(spark, f"{path}/filled")
+
+
+@query
+def stream_filled(spark, sf):
+    """Cents a day per event type, gap-filled batch by batch: each batch gives the days it changes."""
+    return _filled_in_batches(spark, sf, open_days=400)
+
+
+@query
+def stream_filled_late(spark, sf):
+    """The same with two open days only, so that most values of later batches come late."""
+    return _filled_in_batches(spark, sf, open_days=2)
+
+
 @query
 def stream_daily(spark, sf):
     """Event days per type, the open ones too, gap-filled like any daily series."""
-    days = messages.read_days(spark, _event_days(spark, sf, sf, files="events.parquet"), ["series_id"])
+    days = messages.read_days(spark, _event_days(spark, sf), ["series_id"])
     return series.fill_gaps(days.withColumn("y", F.col("y") / 100.0)).join(
         days.select("series_id", "date", "n", "is_open"), ["series_id", "date"], "left"
     )
@@ -1000,7 +1063,8 @@ def stream_closed_days(spark, sf):
 @query
 def stream_late(spark, sf):
     """Rows that came after their day was closed, over three batches: counted, and listed."""
-    path = _event_days(spark, sf, _three_files(spark, sf), per_trigger=1)
+    path = fresh_folder(spark, "days")
+    _in_three_batches(spark, sf, lambda events: _store_event_days(events, path))
     late = messages.read_late(spark, path, ["series_id"]).groupBy("series_id").agg(F.count("*").alias("n_late"))
     days = messages.read_days(spark, path, ["series_id"]).groupBy("series_id").agg(F.sum("n").alias("n"), F.sum("y").cast("long").alias("cents"))
     return days.join(late, "series_id", "left")

@@ -611,6 +611,13 @@ far_totals AS (SELECT g.series_id, g.switch, sum(coalesce(c.mae, 'infinity'::DOU
             f"""d AS (SELECT event_type AS series_id, ts::DATE AS date, count(*) AS n, sum({CENTS.format('value')})::BIGINT / 100.0::DOUBLE AS y,
   ts::DATE + INTERVAL 1 DAY > (SELECT max(ts) - INTERVAL 1 HOUR FROM events) AS is_open FROM events GROUP BY 1, 2)""",
             fill("d")),
+        "stream_once": "SELECT event_id, ts, user_id, value FROM events",
+        **{name: lines(
+            "SELECT series_id, date, y, is_filled FROM filled",
+            f"d AS (SELECT event_type AS series_id, ts::DATE AS date, sum({CENTS.format('value')})::DOUBLE AS y FROM events GROUP BY 1, 2)", fill("d"))
+            for name in ("stream_filled", "stream_filled_late")},
+        "upsert_buckets": f"""SELECT c_custkey, {CENTS.format('c_acctbal')} + CASE WHEN c_custkey % 50 = 0 THEN 3 WHEN c_custkey = 7 THEN 2 ELSE 0 END AS cents,
+  CASE WHEN c_custkey % 50 = 0 THEN 3 WHEN c_custkey = 7 THEN 2 ELSE 1 END AS run FROM customer""",
         "stream_closed_days": f"""SELECT event_type AS series_id, ts::DATE AS date, count(*) AS n, sum({CENTS.format('value')})::BIGINT / 100.0::DOUBLE AS y FROM events
   WHERE ts::DATE + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events) GROUP BY 1, 2""",
         "stream_late": f"""SELECT series_id, n, cents, CASE WHEN l > 0 THEN l END AS n_late FROM (

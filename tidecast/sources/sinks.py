@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidecast.operators.weekly import unique_rows, upsert
 
@@ -47,17 +50,64 @@ def table_or_none(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-def read_keyed(spark: SparkSession, path: str) -> DataFrame | None:
-    """Current rows of a keyed table, or None before its first write."""
-    table = table_or_none(spark, path)
-    if table is None:
-        return None
-    return table.where(F.col("version") == versions(spark, path)[-1]).drop("version")
+MANIFEST = "_manifest"
+BUCKETS = 32
 
 
 def versions(spark: SparkSession, path: str) -> list[int]:
-    """Complete versions of a keyed table, oldest first, from its folder names alone."""
-    return sorted(partition_values(spark, path, "version"))
+    """Committed versions of a keyed table, oldest first, from the names of its manifests."""
+    store, folder = _folder(spark, f"{path}/{MANIFEST}")
+    if not store.exists(folder):
+        return []
+    names = [f.getPath().getName() for f in store.listStatus(folder)]
+    return sorted(int(n.removesuffix(".json")) for n in names if n[0].isdigit() and n.endswith(".json"))
+
+
+def manifest(spark: SparkSession, path: str, version: int) -> dict:
+    """``buckets``, their number, and ``folders``, the folder that holds each bucket's rows."""
+    store, name = _folder(spark, f"{path}/{MANIFEST}/{version:010d}.json")
+    stream = store.open(name)
+    try:
+        return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
+def _commit(spark: SparkSession, path: str, version: int, content: dict) -> None:
+    """The manifest appears whole under its name, or not at all; a second writer of the version fails."""
+    store, name = _folder(spark, f"{path}/{MANIFEST}/{version:010d}.json")
+    if store.exists(name):
+        raise ValueError(f"version {version} of {path} has been written by another job")
+    draft = _folder(spark, f"{path}/{MANIFEST}/.{uuid.uuid4().hex}")[1]
+    stream = store.create(draft, False)
+    try:
+        stream.write(bytearray(json.dumps(content).encode()))
+    finally:
+        stream.close()
+    if not store.rename(draft, name):
+        raise ValueError(f"version {version} of {path} has been written by another job")
+
+
+def _folder(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
+def _rows(spark: SparkSession, path: str, content: dict, buckets: Sequence[int] | None = None) -> DataFrame | None:
+    """Rows of some buckets, or of all, as a manifest lists them; their columns are those of all files."""
+    chosen = sorted(content["folders"].items()) if buckets is None else [(str(b), content["folders"].get(str(b))) for b in buckets]
+    folders = [f"{path}/{folder}" for _, folder in chosen if folder]
+    return spark.read.schema(T.StructType.fromJson(content["schema"])).parquet(*folders) if folders else None
+
+
+def read_keyed(spark: SparkSession, path: str) -> DataFrame | None:
+    """Current rows of a keyed table, newest first if it was written so, or None before its first write."""
+    found = versions(spark, path)
+    if not found:
+        return None
+    content = manifest(spark, path, found[-1])
+    rows = _rows(spark, path, content)
+    return rows.orderBy(F.col(content["newest_first"]).desc()) if content["newest_first"] else rows
 
 
 def partition_values(spark: SparkSession, path: str, column: str) -> list[int]:
@@ -78,24 +128,55 @@ def drop_partitions(spark: SparkSession, path: str, column: str, values: Sequenc
 
 
 def upsert_keyed(
-    new: DataFrame, path: str, on: Sequence[str], newest_first: str | None = None, order: str | None = None, keep: int = 3
+    new: DataFrame,
+    path: str,
+    on: Sequence[str],
+    newest_first: str | None = None,
+    order: str | None = None,
+    keep: int = 3,
+    buckets: int = BUCKETS,
 ) -> None:
     """Replace rows with the same key, keep the others, as a new version of the table.
 
-    Versions are partition folders. The one being read is never written to, and a
-    failed write leaves no readable version behind. Of several new rows of a key the one
-    with the largest ``order`` counts; without an order column a doubled key is an error.
-    The newest ``keep`` versions stay, for readers of the one before and for going back.
+    Rows lie in ``buckets`` folders by the hash of their key (the number is set by the first
+    write). A write reads and writes only the buckets that its keys fall into, each to a folder of
+    a new name; then a manifest that lists the folders of all buckets makes the version. Without it
+    nothing has changed, so a failed write leaves the table as it was, and its folders are
+    removed by a later one. A bucket is one task, so there should be enough of them. One job may write at a
+    time; a second one fails when it commits.
+
+    Of several new rows of a key the one with the largest ``order`` counts; without an order
+    column a doubled key is an error. ``newest_first`` is the column to read the table by. The newest ``keep``
+    versions stay, for readers of the one before and for going back.
     """
     spark = new.sparkSession
-    table = table_or_none(spark, path)
-    version = 1
-    rows = unique_rows(new, on, order)
-    if table is not None:
-        last = versions(spark, path)[-1]
-        version = last + 1
-        rows = upsert(table.where(F.col("version") == last).drop("version"), new, on, order)
-    if newest_first:
-        rows = rows.orderBy(F.col(newest_first).desc())
-    rows.withColumn("version", F.lit(version)).write.mode("append").partitionBy("version").parquet(path)
-    drop_partitions(spark, path, "version", versions(spark, path)[: -max(1, keep)])
+    found = versions(spark, path)
+    content = manifest(spark, path, found[-1]) if found else {"buckets": buckets, "folders": {}}
+    version = found[-1] + 1 if found else 1
+
+    def bucket(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("_bucket", F.pmod(F.xxhash64(*on), F.lit(content["buckets"])).cast("int"))
+
+    touched = sorted(r[0] for r in bucket(new).select("_bucket").distinct().collect())
+    old = _rows(spark, path, content, touched)
+    rows = unique_rows(new, on, order) if old is None else upsert(old, new, on, order)
+    name = f"{version:010d}-{uuid.uuid4().hex[:12]}"
+    placed = bucket(rows).withColumn("_version", F.lit(name)).repartition(max(1, len(touched)), "_bucket")
+    placed.write.mode("append").partitionBy("_bucket", "_version").parquet(path)
+    folders = content["folders"] | {str(b): f"_bucket={b}/_version={name}" for b in touched}
+    now = {"buckets": content["buckets"], "folders": folders, "schema": rows.schema.jsonValue(), "newest_first": newest_first}
+    _commit(spark, path, version, now)
+    _tidy(spark, path, max(1, keep))
+
+
+def _tidy(spark: SparkSession, path: str, keep: int) -> None:
+    """Remove old manifests and the folders that none of the others lists, those of failed writes too."""
+    store, base = _folder(spark, path)
+    found = versions(spark, path)
+    used = {f for v in found[-keep:] for f in manifest(spark, path, v)["folders"].values()}
+    for version in found[:-keep]:
+        store.delete(_folder(spark, f"{path}/{MANIFEST}/{version:010d}.json")[1], False)
+    for bucket in partition_values(spark, path, "_bucket"):
+        for folder in store.listStatus(_folder(spark, f"{path}/_bucket={bucket}")[1]):
+            if f"_bucket={bucket}/{folder.getPath().getName()}" not in used:
+                store.delete(folder.getPath(), True)

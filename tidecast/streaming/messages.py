@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +37,38 @@ def parse_messages(messages: DataFrame, column: str, schema: str, keep: Sequence
     return out.select(*keep, "message", F.col("body").dropFields(corrupt).alias("body"), bad.alias("is_bad"))
 
 
+def once(messages: DataFrame, ident: Sequence[str], ts: str, delay: str = "1 hour") -> DataFrame:
+    """Messages of which a repeated delivery within ``delay`` is left out, in whichever batch it comes.
+
+    The state holds the identities of the last ``delay`` only, so a message that is older than that
+    when it comes can't be told from a repeated one and is left out too. The state belongs in the
+    RocksDB store, see ``state_in_rocksdb``. Messages without time or identity are never taken as
+    repeated.
+    """
+    told = F.col(ts).isNotNull()
+    for column in ident:
+        told = told & F.col(column).isNotNull()
+    own = messages.withColumn("_own", F.when(told, F.lit("")).otherwise(F.uuid()))
+    return own.withWatermark(ts, delay).dropDuplicatesWithinWatermark([*ident, "_own"]).drop("_own")
+
+
+@contextmanager
+def state_in_rocksdb(spark: SparkSession) -> Iterator[None]:
+    """Queries started inside keep their state on the executors' disks, and a checkpoint writes what a batch changed."""
+    wanted = {
+        "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    }
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    try:
+        for k, v in wanted.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def store_messages(parsed: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Write good and bad messages to separate partitions of one table, once each, and stop."""
     return (
