@@ -1,9 +1,9 @@
 import datetime as dt
 import json
 import math
+import statistics
 
 import numpy as np
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -27,42 +27,67 @@ def stations(frame):
 
 
 def expected(stations, station):
-    """The feature frame of one station by pandas rolling, shift and run counting."""
-    p = stations.where(F.col("station_id") == station).orderBy("date").toPandas()
-    out = pd.DataFrame({"date": p["date"]})
-    out["tmax_f"] = p["tmax"] * 9 / 5 + 32
-    out["tmin_f"] = p["tmin"] * 9 / 5 + 32
-    out["prcp_in"] = p["prcp"].fillna(0) / 25.4
-    for m in ("tmax_f", "tmin_f", "prcp_in"):
-        for k in (1, 2, 3, 7, 14):
-            out[f"{m}_l{k}"] = out[m].shift(k)
-        for n in (3, 7, 14):
-            out[f"{m}_ma{n}"] = out[m].rolling(n).mean()
-            out[f"{m}_std{n}"] = out[m].rolling(n).std()
-    wet = dry = 0
-    runs = []
-    for rain in out["prcp_in"]:
-        wet, dry = (wet + 1, 0) if rain > 0 else (0, dry + 1)
-        runs.append((wet, dry))
-    out["wet_streak"], out["dry_streak"] = zip(*runs)
-    doy = pd.to_datetime(out["date"]).dt.dayofyear
-    out["doy_sin"], out["doy_cos"] = np.sin(2 * math.pi * doy / 366), np.cos(2 * math.pi * doy / 366)
-    out["y_tmax_f"], out["y_tmin_f"] = out["tmax_f"].shift(-1), out["tmin_f"].shift(-1)
-    out["y_rain_yn"] = (out["prcp_in"].shift(-1) > 0).astype(int)
+    """Per day the features that its station's days give, by looking up each day they name."""
+    days = {r["date"]: r for r in stations.where(F.col("station_id") == station).collect()}
+    value = {
+        d: {"tmax_f": r["tmax"] * 9 / 5 + 32, "tmin_f": r["tmin"] * 9 / 5 + 32, "prcp_in": (r["prcp"] or 0.0) / 25.4} for d, r in days.items()
+    }
+    out = {}
+    for d in sorted(days):
+        row = dict(value[d])
+        before = [value.get(d - dt.timedelta(days=k)) for k in range(15)]
+        for m in ("tmax_f", "tmin_f", "prcp_in"):
+            seen = [v and v[m] for v in before]
+            row |= {f"{m}_l{k}": seen[k] for k in (1, 2, 3, 7, 14)}
+            for n in (3, 7, 14):
+                whole = None not in seen[:n]
+                row[f"{m}_ma{n}"] = statistics.mean(seen[:n]) if whole else None
+                row[f"{m}_std{n}"] = statistics.stdev(seen[:n]) if whole else None
+        kind, run = value[d]["prcp_in"] > 0, 0
+        while (back := value.get(d - dt.timedelta(days=run))) and (back["prcp_in"] > 0) == kind:
+            run += 1
+        row["wet_streak"], row["dry_streak"] = (run, 0) if kind else (0, run)
+        angle = 2 * math.pi * d.timetuple().tm_yday / 366
+        row["doy_sin"], row["doy_cos"] = math.sin(angle), math.cos(angle)
+        after = value.get(d + dt.timedelta(days=1))
+        row |= {"y_tmax_f": after and after["tmax_f"], "y_tmin_f": after and after["tmin_f"], "y_rain_yn": after and int(after["prcp_in"] > 0)}
+        out[d] = row
     return out
 
 
-def test_training_frame_matches_pandas(stations):
+def check_frame(stations, names):
     frame = weather.training_frame(weather.observations(stations))
     assert set(frame.columns) == {"station_id", "target_date", *weather.FEATURES, *weather.TARGETS, *weather.RAW}
+    found = frame.collect()
+    for station in names:
+        want = {d: row for d, row in expected(stations, station).items() if None not in row.values()}
+        got = {r["target_date"] - dt.timedelta(days=1): r for r in found if r["station_id"] == station}
+        assert set(got) == set(want)
+        for d, row in want.items():
+            assert {c: got[d][c] for c in row} == pytest.approx(row, abs=1e-9)
+    return len(found)
+
+
+def test_training_frame_matches_each_day(stations):
     assert len(weather.FEATURES) == 38
-    for station in ("s1", "s2"):
-        got = frame.where(F.col("station_id") == station).orderBy("target_date").toPandas()
-        want = expected(stations, station).dropna()
-        assert len(got) == len(want) == 40 - 14 - 1
-        assert [d - dt.timedelta(days=1) for d in got["target_date"]] == list(want["date"])
-        for c in want.columns.drop("date"):
-            np.testing.assert_allclose(got[c].astype(float), want[c].astype(float), atol=1e-9, err_msg=c)
+    assert check_frame(stations, ["s1", "s2"]) == 2 * (40 - 14 - 1)
+
+
+def test_missing_days_count_as_days(frame):
+    """Gaps of one day, of two weeks and of years, against a look-up of each day."""
+    rng = np.random.default_rng(9)
+    rows = []
+    for station, missing in (("one", {20}), ("weeks", set(range(25, 39))), ("years", set(range(30, 900))), ("many", {3, 9, 22, 41, 42, 60})):
+        for i in range(940):
+            if i not in missing and (i < 80 or i > 890):
+                day = (dt.date(2020, 1, 1) + dt.timedelta(days=i)).isoformat()
+                low = float(rng.normal(0, 5))
+                rows.append((station, day, low, low + 5, float(max(0.0, rng.normal(0, 3))), None))
+    stations = frame(STATION_DAYS, rows)
+    assert check_frame(stations, ["one", "weeks", "years", "many"]) > 150
+    streaks = {(r["station_id"], r["date"]): (r["wet_streak"], r["dry_streak"]) for r in weather.streaks(weather.observations(stations)).collect()}
+    for station in ("one", "years"):
+        assert all(streaks[station, d] == (row["wet_streak"], row["dry_streak"]) for d, row in expected(stations, station).items())
 
 
 def test_one_exchange_for_the_whole_frame(stations):
@@ -138,8 +163,7 @@ def test_weather_run_scores_tomorrow(spark, stations, frame, tmp_path):
     out = weather_run(spark, stations, str(tmp_path / "w"), "2024-03-09", "America/New_York", docs, arrays)
     rows = {r["station_id"]: r for r in out["scoring"].collect()}
     assert set(rows) == {"s1", "s2"}
-    want = expected(stations, "s1")
-    base = want[want["date"] == dt.date(2024, 3, 9)].iloc[0]
+    base = expected(stations, "s1")[dt.date(2024, 3, 9)]
     assert rows["s1"]["tmax_f_ma7"] == pytest.approx(base["tmax_f_ma7"])
     assert rows["s1"]["target_date"] == dt.date(2024, 3, 10)
     assert (rows["s1"]["nws_tmax_f"], rows["s1"]["om_tmax_f"]) == (61.5, None)

@@ -65,7 +65,7 @@ def season_columns(day: Column) -> list[Column]:
 
 
 def with_lags_and_rolling(df: DataFrame, keys: Sequence[str] = STATION) -> DataFrame:
-    """Row lags, and mean and sample deviation over full windows that include the current row.
+    """Row lags, and mean and sample deviation over full windows that include the current row; days where ``regular_days`` came before.
 
     A rolling value is arithmetic over lags, so a missing or null row makes it
     null, and each window is one pass of offset reads. The sums run over
@@ -95,31 +95,49 @@ def with_lags_and_rolling(df: DataFrame, keys: Sequence[str] = STATION) -> DataF
 
 
 def streak(holds: Column, keys: Sequence[str] = STATION) -> Column:
-    """Length of the current run of rows where ``holds`` is true, 0 elsewhere.
+    """Length of the current run of days where ``holds`` is true, 0 elsewhere.
 
-    Reads the row number ``_row`` of ``with_row``: row number minus the row number of the last row that broke the run; null
-    counts as not holding. Running windows only, so there is no second exchange
-    for run ids.
+    Reads the row number ``_row`` of ``with_row``: row number minus the row number of the last
+    row that broke the run, or of the last one before a missing day; null counts as not holding.
+    Running windows only, so there is no second exchange for run ids.
     """
-    running = Window.partitionBy(*keys).orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
-    last_break = F.max(F.when(~F.coalesce(holds, F.lit(False)), F.col("_row"))).over(running)
-    return (F.col("_row") - F.coalesce(last_break, F.lit(0))).cast("int")
+    order = Window.partitionBy(*keys).orderBy("date")
+    running = order.rowsBetween(Window.unboundedPreceding, 0)
+    broken = F.when(~F.coalesce(holds, F.lit(False)), F.col("_row")).when(F.col("_apart"), F.col("_row") - 1)
+    return (F.col("_row") - F.coalesce(F.max(broken).over(running), F.lit(0))).cast("int")
 
 
 def with_row(df: DataFrame, keys: Sequence[str] = STATION) -> DataFrame:
-    return df.withColumn("_row", F.row_number().over(Window.partitionBy(*keys).orderBy("date")))
+    """Add ``_row``, the row's number, and ``_apart``: the day before is missing."""
+    order = Window.partitionBy(*keys).orderBy("date")
+    apart = F.date_diff("date", F.lag("date").over(order)) > 1
+    return df.withColumns({"_row": F.row_number().over(order), "_apart": F.coalesce(apart, F.lit(False))})
 
 
 def streaks(df: DataFrame, rain: str = "prcp_in", keys: Sequence[str] = STATION) -> DataFrame:
-    """Add ``wet_streak`` (rain > 0) and ``dry_streak`` (all other rows, null rain included)."""
+    """Add ``wet_streak`` (rain > 0) and ``dry_streak`` (all other days, null rain included); a missing day ends both."""
     wet = F.coalesce(F.col(rain) > 0, F.lit(False))
     return (
         with_row(df, keys)
         .select("*", streak(wet, keys).alias("wet_streak"), streak(~wet, keys).alias("dry_streak"))
-        .drop("_row")
+        .drop("_row", "_apart")
     )
 
 
+def regular_days(df: DataFrame, keys: Sequence[str] = STATION) -> DataFrame:
+    """Add the missing days after each row, their measures null, and ``_observed``.
+
+    Windows over rows are windows over days then. No window reaches further than ``REACH`` rows
+    back, so a gap gets one more than that at most, however long it is.
+    """
+    gap = F.date_diff(F.lead("date").over(Window.partitionBy(*keys).orderBy("date")), "date") - 1
+    more = F.least(F.greatest(F.coalesce(gap, F.lit(0)), F.lit(0)), F.lit(REACH + 1)).alias("_more")
+    days = df.select("*", more).select(*df.columns, F.explode(F.sequence(F.lit(0), "_more")).alias("_k"))
+    own = F.col("_k") == 0
+    rest = [F.when(own, F.col(c)).alias(c) if c in MEASURES else F.col(c) for c in df.columns if c not in (*keys, "date")]
+    return days.select(*keys, F.date_add("date", F.col("_k")).alias("date"), *rest, own.alias("_observed"))
+
+
 def next_row(keys: Sequence[str] = STATION) -> Column:
     return F.lead(F.struct("date", *MEASURES)).over(Window.partitionBy(*keys).orderBy("date"))
 
@@ -142,18 +160,20 @@ def has_all_features() -> Column:
 
 
 def with_features(obs: DataFrame, keys: Sequence[str] = STATION) -> DataFrame:
-    """Features and targets, with ``_known``, the complete rows among the current and the ones a lag reaches."""
+    """Features and targets, with ``_known``, the complete days among the current and the ones a lag reaches."""
     order = Window.partitionBy(*keys).orderBy("date")
     complete = reduce(lambda a, b: a & b, [F.col(m).isNotNull() for m in MEASURES])
     known = F.count_if(complete).over(order.rowsBetween(-REACH, 0))
-    rows = streaks(obs, "prcp_in", keys).select("*", next_row(keys).alias("_next"), known.alias("_known"))
-    return with_lags_and_rolling(rows, keys).select("*", *season_columns(F.col("date")), *target_columns())
+    rows = regular_days(streaks(obs, "prcp_in", keys).select("*", next_row(keys).alias("_next")), keys)
+    wide = with_lags_and_rolling(rows.select("*", known.alias("_known")), keys).where("_observed").drop("_observed")
+    return wide.select("*", *season_columns(F.col("date")), *target_columns())
 
 
 def training_frame(obs: DataFrame, keys: Sequence[str] = STATION) -> DataFrame:
     """38 features, 3 targets and the raw measures per (station, target date); rows with a null drop out.
 
-    So does the last row before a missing day: the next row's values aren't the target day's.
+    Lags, windows and streaks count days: a row whose reach holds a missing day drops out, and so
+    does the last one before a missing day.
     """
     known_next = F.col("y_tmax_f").isNotNull() & F.col("y_tmin_f").isNotNull()
     return with_features(obs, keys).where(has_all_features() & known_next).select(
@@ -180,7 +200,7 @@ OM_COLUMNS = ("om_tmax_f", "om_tmin_f", "om_prcp_in", "om_pop_max", "om_windgust
 
 
 def newest_features(obs: DataFrame, keys: Sequence[str] = STATION) -> DataFrame:
-    """The features of each station's newest complete row.
+    """The features of each station's newest row whose reach is complete and has no missing day.
 
     Streaks and completeness are windows over the run of days; the other features are
     computed once a station, from the ``REACH`` + 1 rows that they reach.
@@ -189,7 +209,8 @@ def newest_features(obs: DataFrame, keys: Sequence[str] = STATION) -> DataFrame:
     complete = reduce(lambda a, b: a & b, [F.col(m).isNotNull() for m in MEASURES])
     known = F.count_if(complete).over(order.rowsBetween(-REACH, 0))
     rows = streaks(obs, "prcp_in", keys).select("*", F.row_number().over(order).alias("_row"), known.alias("_known"))
-    newest = F.max(F.when(has_all_features(), F.col("_row"))).over(Window.partitionBy(*keys))
+    rows = rows.withColumn("_whole", has_all_features() & (F.date_diff("date", F.lag("date", REACH).over(order)) == REACH))
+    newest = F.max(F.when(F.col("_whole"), F.col("_row"))).over(Window.partitionBy(*keys))
     near = rows.withColumn("_newest", newest).where(F.col("_row").between(F.col("_newest") - REACH, F.col("_newest")))
     fields = ["date", *RAW, *STREAKS]
     past = near.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("_past"))

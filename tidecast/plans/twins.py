@@ -268,22 +268,27 @@ def observed(src: str = "st") -> str:
 
 
 def runs(src: str, out: str, key: str = "station_id") -> str:
-    """Gaps and islands by numbered change points."""
+    """Gaps and islands by numbered change points; a missing day is one."""
     return f"""{out}_f AS (SELECT *, coalesce(prcp_in > 0, false) AS wet FROM {src}),
-{out}_c AS (SELECT *, CASE WHEN wet IS DISTINCT FROM lag(wet) OVER (PARTITION BY {key} ORDER BY date) THEN 1 ELSE 0 END AS ch FROM {out}_f),
+{out}_c AS (SELECT *, CASE WHEN wet IS DISTINCT FROM lag(wet) OVER (PARTITION BY {key} ORDER BY date)
+  OR date IS DISTINCT FROM lag(date) OVER (PARTITION BY {key} ORDER BY date) + 1 THEN 1 ELSE 0 END AS ch FROM {out}_f),
 {out}_g AS (SELECT *, sum(ch) OVER (PARTITION BY {key} ORDER BY date ROWS UNBOUNDED PRECEDING) AS g FROM {out}_c),
 {out} AS (SELECT *, CASE WHEN wet THEN row_number() OVER (PARTITION BY {key}, g ORDER BY date) ELSE 0 END::INT AS wet_streak,
   CASE WHEN NOT wet THEN row_number() OVER (PARTITION BY {key}, g ORDER BY date) ELSE 0 END::INT AS dry_streak FROM {out}_g)"""
 
 
 def weather_features() -> str:
+    """Frames over day numbers, so that a missing day counts."""
     parts = []
+
+    def frame(begin: int, end: int) -> str:
+        return f"(PARTITION BY station_id ORDER BY date - DATE '1970-01-01' RANGE BETWEEN {begin} PRECEDING AND {end} PRECEDING)"
+
     for m in ("tmax_f", "tmin_f", "prcp_in"):
-        parts += [f"lag({m}, {k}) OVER w AS {m}_l{k}" for k in (1, 2, 3, 7, 14)]
+        parts += [f"max({m}) OVER {frame(k, k)} AS {m}_l{k}" for k in (1, 2, 3, 7, 14)]
         for n in (3, 7, 14):
-            frame = f"(PARTITION BY station_id ORDER BY date ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
             for fn, tag in (("avg", "ma"), ("stddev_samp", "std")):
-                parts.append(f"CASE WHEN count({m}) OVER {frame} = {n} THEN {fn}({m}) OVER {frame} END AS {m}_{tag}{n}")
+                parts.append(f"CASE WHEN count({m}) OVER {frame(n - 1, 0)} = {n} THEN {fn}({m}) OVER {frame(n - 1, 0)} END AS {m}_{tag}{n}")
     return ",\n".join(parts)
 
 
