@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tidecast.operators import error_sums
 from tidecast.operators import evaluate as ev
 from tidecast.operators.ranking import counted_values
 from tidecast.operators import forecast as fc
@@ -12,6 +13,7 @@ from tidecast.operators import models
 from tidecast.operators import backtest as bt
 from tidecast.operators.ranking import exact_quantiles, global_position
 
+MODELS = {"single": models.seasonal_naive(), "multi": models.lag_mean((7, 14, 21)), "iterative": models.lag_mean()}
 DETAIL = (
     "series_id string, train_end date, mode string, target_date date, step int, predicted double, actual double, "
     "error double, abs_error double, squared_error double"
@@ -173,3 +175,32 @@ def test_ties_do_not_fill_one_partition(spark):
     assert sum(sizes) == 10_000 and max(sizes) <= 0.6 * sum(sizes)
     assert counted.agg(F.sum("n")).first()[0] == 100_000
     assert ev.error_distribution(rows.select(F.lit("m").alias("mode"), F.lit(1).alias("step"), F.col("v").alias("error"))).first()["median"] == 0.0
+
+
+def test_sums_of_runs_equal_the_rows(spark, tmp_path, daily):
+    """Metrics from runs added one by one, one of them repeated, against those of all rows at once."""
+    rows = daily(120).unionByName(daily(90, value=lambda i: 7.0 + (i * i) % 31, series="b"))
+    detail = bt.run(rows, MODELS).cache()
+    path = str(tmp_path / "sums")
+    ends = sorted(r[0] for r in detail.select("train_end").distinct().collect())
+    for first, last in ((0, 4), (4, 9), (9, 99), (4, 9)):
+        error_sums.store_error_sums(detail.where(F.col("train_end").isin(ends[first:last])), path)
+    sums = error_sums.read_error_sums(spark, path)
+    assert sums.count() == error_sums.error_sums(detail).count()
+
+    def same(a, b):
+        columns = sorted(a.columns)
+        assert columns == sorted(b.columns)
+        left, right = (sorted(tuple(r[c] for c in columns) for r in df.collect()) for df in (a, b))
+        assert len(left) == len(right) and all(x == pytest.approx(y) if not isinstance(x, str) else x == y for p, q in zip(left, right) for x, y in zip(p, q))
+
+    for keys in ((), ("series_id",)):
+        same(error_sums.overall_metrics(sums, keys), ev.overall_metrics(detail, keys))
+        same(error_sums.horizon_metrics(sums, keys), ev.horizon_metrics(detail, keys))
+        same(error_sums.weekday_bias(sums, keys), ev.weekday_bias(detail, keys))
+        same(error_sums.global_bias(sums, keys), ev.global_bias_of_detail(detail, keys))
+        same(error_sums.best_switch(sums, keys), ev.best_switch(detail, keys))
+        same(error_sums.switch_sweep(sums, keys), ev.switch_sweep(ev.pivot_modes(detail, ("series_id",)), keys))
+    late = error_sums.read_error_sums(spark, path, ends[-2].isoformat())
+    same(error_sums.overall_metrics(late), ev.overall_metrics(detail.where(F.col("train_end") >= ends[-2])))
+    assert "PartitionFilters: [isnotnull(train_end" in late._jdf.queryExecution().toString()

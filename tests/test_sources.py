@@ -1,3 +1,4 @@
+import datetime as dt
 import json
 
 import pytest
@@ -109,3 +110,16 @@ def test_detail_columns_order():
 def test_shared_folder_is_the_session_setting(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir", spark.sparkContext.getCheckpointDir())
     assert spark.sparkContext.getCheckpointDir() is not None
+
+
+def test_days_of_another_table_prune_the_months(spark, frame, tmp_path):
+    path = str(tmp_path / "counts")
+    days = [(dt.date(2024, 1, 1) + dt.timedelta(days=i)).isoformat() for i in range(300)]
+    sinks.write_by_month(frame("date date, mode string, count long", [(d, m, i) for i, d in enumerate(days) for m in ("Subway", "subway", "Bus")]), path)
+    wanted = frame("date date, k int", [("2024-03-05", 1), ("2024-03-05", 1), (None, 1), ("2024-06-30", 1), ("2024-08-01", 2), ("2030-01-01", 1)])
+    wanted.write.parquet(str(tmp_path / "wanted"))
+    got = tables.counts_on(spark, path, spark.read.parquet(str(tmp_path / "wanted")).where("k = 1"))
+    assert sorted((r["date"].isoformat(), r["mode"]) for r in got.collect()) == [("2024-03-05", "Subway"), ("2024-06-30", "Subway")]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan and "PushedFilters: [IsNotNull(mode), EqualTo(mode,Subway)" in plan
+    assert tables.counts_on(spark, path, wanted, None).count() == 9

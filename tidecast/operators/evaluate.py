@@ -32,6 +32,11 @@ def overall_metrics(detail: DataFrame, keys: Sequence[str] = (), modes: Sequence
         F.avg("squared_error").alias("MSE"),
         F.avg("error").alias("MeanError"),
     )
+    return all_modes(sums, keys, modes)
+
+
+def all_modes(sums: DataFrame, keys: Sequence[str], modes: Sequence[str]) -> DataFrame:
+    """The metrics of each key and mode, with a row of count 0 for each of ``modes`` that a key lacks."""
     found = F.collect_list(F.struct("mode", "count", "MAE", "MSE", "MeanError"))
     listed = F.array(*[F.lit(m) for m in modes])
     none = F.lit(None).cast("double")
@@ -112,8 +117,13 @@ def switch_sweep(
                 )
             ]
         )
-        .withColumn("switch", F.explode(F.sequence(F.lit(1), F.lit(switches))))
     )
+    return sweep_of_steps(per_step, keys, switches)
+
+
+def sweep_of_steps(per_step: DataFrame, keys: Sequence[str], switches: int) -> DataFrame:
+    """The sweep from the sums of both modes by step."""
+    per_step = per_step.withColumn("switch", F.explode(F.sequence(F.lit(1), F.lit(switches))))
 
     def chosen(name: str) -> Column:
         return F.sum(F.when(F.col("step") <= F.col("switch"), F.col(f"{name}_it")).otherwise(F.col(f"{name}_mu")))
@@ -219,6 +229,11 @@ def best_switch(detail: DataFrame, keys: Sequence[str] = (), horizon: int | str
 
     limit = F.max(horizon) if isinstance(horizon, str) else F.lit(horizon if isinstance(horizon, int) else None).cast("int")
     costs = detail.groupBy(*keys, "step").agg(limit.alias("_h"), mae(PAIR[0]).alias("it"), mae(PAIR[1]).alias("mu"))
+    return cheapest_switch(costs, keys, horizon)
+
+
+def cheapest_switch(costs: DataFrame, keys: Sequence[str], horizon: int | str | DataFrame) -> DataFrame:
+    """The switch from (keys, step, _h, it, mu), the mean absolute errors of both modes by step."""
     table = costs.groupBy(*keys).agg(
         F.max("_h").alias("_h"), F.map_from_entries(F.collect_list(F.struct("step", F.struct("it", "mu")))).alias("_costs")
     )

@@ -18,7 +18,7 @@ from tidecast.operators import backtest as bt
 from tidecast.operators import calendar as cal
 from tidecast.operators import evaluate as ev
 from tidecast.operators import forecast as fc
-from tidecast.operators import learners, models, series, weather, weekly
+from tidecast.operators import error_sums, learners, models, series, weather, weekly
 from tidecast.operators.clean import clean_counts
 from tidecast.plans.weekly_run import quality_checks, weekly_run
 from tidecast.session import fresh_folder
@@ -237,6 +237,16 @@ def actuals_on_days(spark, sf):
     return tables.actuals_on(spark, path, ["1997-05-28", "1998-10-03", "1999-01-16", "2030-01-01"])
 
 
+@query
+def counts_on_days(spark, sf):
+    """Raw counts of one mode on the days that another table names, by month partitions."""
+    path = fresh_folder(spark, "counts")
+    orders = table(spark, sf, "orders").groupBy(F.to_date("o_orderdate").alias("date"), F.col("o_orderpriority").alias("mode"))
+    sinks.write_by_month(orders.agg(F.count("*").alias("count")), path)
+    wanted = table(spark, sf, "lineitem").where(F.col("l_quantity") == 50).select(F.to_date("l_shipdate").alias("date"))
+    return tables.counts_on(spark, path, wanted.where(F.dayofmonth("date") == 13), "1-URGENT")
+
+
 @query
 def log_append(spark, sf):
     """Two appends to a CSV prediction log, read back."""
@@ -578,6 +588,45 @@ def best_switch_far(spark, sf):
     return ev.best_switch(rows.withColumn("horizon", F.lit(7)).unionByName(far), ("series_id",), "horizon")
 
 
+def _merged(spark, sf) -> DataFrame:
+    """Error sums that three backtest runs have added their cutoffs to, the first of them twice."""
+    path, rows = fresh_folder(spark, "error-sums"), detail(spark, sf)
+    for k in (0, 1, 2, 0):
+        error_sums.store_error_sums(rows.where(F.dayofmonth("train_end") % 3 == k), path)
+    return error_sums.read_error_sums(spark, path)
+
+
+@query
+def merged_overall_metrics(spark, sf):
+    return metric_digits(error_sums.overall_metrics(_merged(spark, sf)))
+
+
+@query
+def merged_horizon_metrics(spark, sf):
+    return metric_digits(error_sums.horizon_metrics(_merged(spark, sf)))
+
+
+@query
+def merged_hybrid_sweep(spark, sf):
+    return metric_digits(error_sums.switch_sweep(_merged(spark, sf)))
+
+
+@query
+def merged_global_bias(spark, sf):
+    return error_sums.global_bias(_merged(spark, sf), ("series_id",)).withColumn("bias", grid("bias", 3))
+
+
+@query
+def merged_bias_by_weekday_series(spark, sf):
+    return error_sums.weekday_bias(_merged(spark, sf), ("series_id",)).withColumn("bias", grid("bias", 3))
+
+
+@query
+def merged_best_switch_by_series(spark, sf):
+    horizon = fc.horizons(order_days(spark, sf)).select("series_id", "horizon")
+    return error_sums.best_switch(_merged(spark, sf), ("series_id",), horizon)
+
+
 def _hybrid(spark, sf, switch):
     rows = fc.forecast(fc.origins(order_days(spark, sf)), {"iterative": ITERATIVE, "multi": MULTI})
     return shown(fc.compose_hybrid(rows, switch), "predicted")
@@ -674,7 +723,8 @@ def week_summary_complete(spark, sf):
 def week_all_days(spark, sf):
     """Series whose newest week holds no value fall back to all their newest predictions."""
     log = event_log(spark, sf).withColumn("predicted", F.when(F.col("target_date") < "2024-01-29", F.col("predicted")))
-    none = event_actuals(spark, sf).where(F.col("date") < "2024-01-15")
+    actuals = event_actuals(spark, sf)
+    none = actuals.withColumn("y", F.when(F.col("date") < "2024-01-15", F.col("y")))
     numbers = weekly.weekly_numbers(weekly.week_days(log, none), allow_partial=True, log=log)
     return shown(numbers.drop("daily_breakdown"), *NUMBERS)
 

@@ -377,6 +377,8 @@ def build() -> dict[str, str]:
   o_orderpriority AS mode, CASE WHEN day(o_orderdate) = 13 THEN 'n/a' ELSE o_totalprice::VARCHAR END AS count
   FROM orders WHERE o_orderpriority = '2-HIGH'""",
         "actuals_on_days": lines("SELECT * FROM so WHERE date IN ('1997-05-28', '1998-10-03', '1999-01-16', '2030-01-01')", SO),
+        "counts_on_days": """SELECT o_orderdate::DATE AS date, '1-URGENT' AS mode, count(*) AS count FROM orders WHERE o_orderpriority = '1-URGENT'
+  AND o_orderdate::DATE IN (SELECT l_shipdate::DATE FROM lineitem WHERE l_quantity = 50 AND day(l_shipdate) = 13) GROUP BY 1""",
         "daily_series": lines("SELECT * FROM so", SO),
         "gap_fill": lines(f"SELECT series_id, date, {r('y')}, is_filled FROM filled", FILLED),
         "gap_fill_customers": lines(
@@ -668,4 +670,7 @@ days7 AS (SELECT p.series_id, p.date, coalesce(h.predicted, s.y) AS v, CASE WHEN
   FROM (SELECT series_id, max(date) AS newest_date, min(y) AS lo, max(y) AS hi FROM so GROUP BY 1) s
   LEFT JOIN (SELECT series_id, min(predicted) AS a, max(predicted) AS b, count(*) AS n FROM it GROUP BY 1) USING (series_id)""", ORIGIN, FORECASTS),
     }
+    # from sums that three runs added to, the same
+    for name in ("overall_metrics", "horizon_metrics", "hybrid_sweep", "global_bias", "bias_by_weekday_series", "best_switch_by_series"):
+        sql[f"merged_{name}"] = sql[name]
     return sql

@@ -30,6 +30,12 @@ def overwrite_table(df: DataFrame, path: str, columns: Sequence[str] | None = No
     rows.write.format(fmt).options(**options).mode("overwrite").save(path)
 
 
+def write_by_month(rows: DataFrame, path: str, date: str = "date") -> None:
+    """Replace a table of dated rows, with a folder a month for readers that look for a few days."""
+    month = F.date_format(date, "yyyy-MM")
+    rows.withColumn("month", month).repartition("month").write.mode("overwrite").partitionBy("month").parquet(path)
+
+
 def weekly_json(numbers: DataFrame, as_of: Column) -> DataFrame:
     """Weekly numbers as one JSON text column, dates as text."""
     return numbers.select(

@@ -45,6 +45,19 @@ def actuals_on(spark: SparkSession, path: str, days: Sequence[str], fmt: str = "
     return df.where(F.col("date").isin([F.lit(d).cast("date") for d in days])) if days else df.limit(0)
 
 
+def counts_on(spark: SparkSession, path: str, days: DataFrame, mode: str | None = "Subway") -> DataFrame:
+    """Counts of a mode (exact match) on the days of a table, from a ``write_by_month`` table; its columns as they are.
+
+    The days stay in Spark: their months prune the partitions while the query runs, and the mode
+    is a filter of the scan. Repeated days count once, null days nowhere.
+    """
+    df = scan(spark, path)
+    if mode is not None:
+        df = df.where(F.col("mode") == mode)
+    wanted = days.where(F.col("date").isNotNull()).select(F.date_format("date", "yyyy-MM").alias("month"), "date").distinct()
+    return df.withColumn("month", F.col("month").cast("string")).join(wanted, ["month", "date"], "left_semi").drop("month")
+
+
 def prediction_log(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     return scan(spark, path, fmt, PREDICTION_LOG, **({"header": "true"} if fmt == "csv" else {}))
 
