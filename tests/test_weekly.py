@@ -6,7 +6,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tidecast.operators import models, weekly
-from tidecast.plans.weekly_run import quality_checks, require_output, weekly_run
+from tidecast.plans.weekly_run import quality_checks, require_output, run_records, weekly_run
 from tidecast.sources import sinks
 from tidecast.sources.schemas import ACTUALS, PREDICTION_LOG
 
@@ -156,6 +156,34 @@ def test_weekly_run_with_its_defaults(spark, daily, tmp_path):
     assert {r["series_id"]: r["num_days"] for r in out["summary"].collect()} == {"a": 7, "b": 7}
 
 
+def test_a_stage_that_fails_leaves_the_table_before(spark, daily, tmp_path, monkeypatch):
+    base, rows = str(tmp_path / "run"), daily(89)
+    skip = ("forecast", "rollup")
+    weekly_run(spark, rows, base, "2024-03-30 09:00:00", MODELS, skip=skip)
+    before = {r["table"]: r.asDict() for r in run_records(spark, base).collect()}
+    assert {t: r["stage"] for t, r in before.items()} == {"series": "series", "backtest": "backtest", "bias": "calibrate", "switch": "calibrate"}
+    assert (before["series"]["n_rows"], before["bias"]["n_rows"], before["switch"]["n_rows"], before["series"]["n_nulls"]) == (89, 7, 1, 0)
+
+    def broken(detail, keys):
+        """Fails in the middle of the write: some rows come, one does not."""
+        bad = F.when(F.col("weekday") == 5, F.raise_error(F.lit("stopped in the middle")).cast("double")).otherwise(1.0)
+        return detail.sparkSession.range(0, 7, 1, 7).select(F.lit("a").alias("series_id"), F.col("id").cast("int").alias("weekday")).withColumn("bias", bad)
+
+    monkeypatch.setattr("tidecast.plans.weekly_run.weekday_bias", broken)
+    with pytest.raises(Exception, match="stopped in the middle"):
+        weekly_run(spark, rows, base, "2024-03-31 09:00:00", MODELS, skip=skip, newest=3)
+    after = {r["table"]: r.asDict() for r in run_records(spark, base).collect()}
+    assert after["bias"] == before["bias"] and after["switch"] == before["switch"]
+    assert after["backtest"]["as_of"] == "2024-03-31 09:00:00" and after["backtest"]["n_rows"] < before["backtest"]["n_rows"]
+    monkeypatch.undo()
+    out = weekly_run(spark, rows, base, "2024-03-31 10:00:00", MODELS, skip=("backtest", "calibrate"))
+    assert out["bias"].count() == 7 and out["summary"].count() == 1
+    weekly_run(spark, rows, base, "2024-03-31 11:00:00", MODELS, skip=skip)
+    assert len(list((tmp_path / "run" / "bias").glob("rows-*"))) == 2  # what failed is gone
+    with pytest.raises(ValueError, match="stage backtest has not been run"):
+        weekly_run(spark, rows, str(tmp_path / "other"), "2024-03-31 09:00:00", MODELS, skip=("backtest",))
+
+
 def test_quality_checks(frame, daily):
     predictions = frame("series_id string, predicted double", [("a", 105), ("a", 1e9)])
     row = quality_checks(daily(10).unionByName(daily(4, series="b")), predictions, "2024-01-12").orderBy("series_id").collect()

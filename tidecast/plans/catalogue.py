@@ -20,7 +20,8 @@ from tidecast.operators import evaluate as ev
 from tidecast.operators import forecast as fc
 from tidecast.operators import error_sums, learners, models, series, weather, weekly
 from tidecast.operators.clean import clean_counts
-from tidecast.plans.weekly_run import quality_checks, weekly_run
+from tidecast.plans.weather_run import weather_run
+from tidecast.plans.weekly_run import quality_checks, require_output, run_records, weekly_run
 from tidecast.session import fresh_folder
 from tidecast.sources import feeds, sinks, tables, trades
 from tidecast.streaming import filling, messages
@@ -1137,6 +1138,31 @@ def weekly_forecast_log(spark, sf):
     return out["predictions"].select("series_id", "target_date", grid("predicted", 3).alias("predicted"))
 
 
+@query
+def weekly_output(spark, sf):
+    """The summary as the output check returns it."""
+    base = fresh_folder(spark, "weekly")
+    weekly_run(spark, order_days(spark, sf), base, RUN_TIME, MODELS)
+    return require_output(spark, base)
+
+
+@query
+def weekly_records(spark, sf):
+    """What the stages of the weekly job say they wrote: a second run replaces the first one's calibration."""
+    base = fresh_folder(spark, "weekly")
+    weekly_run(spark, order_days(spark, sf), base, "2024-01-25 12:00:00", MODELS, newest=3, skip=("forecast", "rollup"))
+    weekly_run(spark, order_days(spark, sf), base, RUN_TIME, MODELS, skip=("forecast", "rollup"))
+    return run_records(spark, base)
+
+
+@query
+def weather_tables(spark, sf):
+    """The training frame as the weather job has written it."""
+    base = fresh_folder(spark, "weather")
+    frame = weather_run(spark, station_rows(spark, sf), base, "1998-07-01", "America/New_York")["training"]
+    return shown(frame, *[c for c, kind in frame.dtypes if kind == "double"])
+
+
 @query
 def output_checks(spark, sf):
     daily = order_days(spark, sf)

@@ -664,6 +664,10 @@ days7 AS (SELECT p.series_id, p.date, coalesce(h.predicted, s.y) AS v, CASE WHEN
             """sp7 AS (SELECT series_id, date_trunc('week', max(target_date))::DATE + k::INT AS date FROM hybrid, (SELECT unnest(generate_series(0, 6)) AS k) GROUP BY series_id, k),
 days7 AS (SELECT p.series_id, p.date, coalesce(h.predicted, s.y) AS v, CASE WHEN h.predicted IS NULL THEN 'actual' ELSE 'predicted' END AS tag
   FROM sp7 p LEFT JOIN hybrid h ON h.series_id = p.series_id AND h.target_date = p.date LEFT JOIN so s ON s.series_id = p.series_id AND s.date = p.date)"""),
+        "weekly_records": lines(
+            """SELECT CASE WHEN name IN ('bias', 'switch') THEN 'calibrate' ELSE name END AS stage, name AS table, '2024-02-01 12:00:00' AS as_of,
+  n::BIGINT AS n_rows, 0::BIGINT AS n_nulls FROM (SELECT 'series' AS name, (SELECT count(*) FROM so) AS n UNION ALL SELECT 'backtest', (SELECT count(*) FROM detail)
+    UNION ALL SELECT 'bias', 7 * (SELECT count(DISTINCT series_id) FROM detail) UNION ALL SELECT 'switch', (SELECT count(DISTINCT series_id) FROM detail))""", DETAIL),
         "output_checks": lines(
             """SELECT s.series_id, newest_date, (DATE '2001-08-05' - newest_date)::INT AS age_days, DATE '2001-08-05' - newest_date <= 7 AS is_fresh,
   coalesce(n, 0) AS n_predictions, coalesce(a >= lo AND b <= hi, false) AS in_range
@@ -673,4 +677,6 @@ days7 AS (SELECT p.series_id, p.date, coalesce(h.predicted, s.y) AS v, CASE WHEN
     # from sums that three runs added to, the same
     for name in ("overall_metrics", "horizon_metrics", "hybrid_sweep", "global_bias", "bias_by_weekday_series", "best_switch_by_series"):
         sql[f"merged_{name}"] = sql[name]
+    sql["weekly_output"] = sql["weekly_forecast"]
+    sql["weather_tables"] = sql["weather_frame"]
     return sql

@@ -1,7 +1,8 @@
 """The weekly forecast job: backtest, calibrate, forecast, roll up.
 
 Every stage writes its table and the next one reads it back, so a lost executor
-costs one stage at most and a skipped stage uses what an earlier run wrote.
+costs one stage at most and a skipped stage uses what an earlier run wrote. A table
+counts once its record is there, so a stage that fails in the middle leaves the one before.
 """
 
 from __future__ import annotations
@@ -19,9 +20,20 @@ from tidecast.operators.forecast import compose_hybrid, forecast, origins
 from tidecast.operators.models import HistoryModel
 from tidecast.operators.series import KEYS, between_dates, fill_gaps, one_per_day
 from tidecast.operators.weekly import skipped_weeks, summary_rows, week_days, weekly_numbers
-from tidecast.sources.sinks import append_predictions, overwrite_table, read_keyed, table_or_none, upsert_keyed, write_weekly_json
+from tidecast.sources.sinks import (
+    append_predictions,
+    committed_record,
+    read_committed,
+    read_keyed,
+    table_or_none,
+    upsert_keyed,
+    write_committed,
+    write_weekly_json,
+)
 
 STAGES = ("backtest", "calibrate", "forecast", "rollup")
+#: Tables that a run replaces, and the stage that does.
+TABLES = {"series": "series", "backtest": "backtest", "bias": "calibrate", "switch": "calibrate", "weekly": "rollup", "weekly_skipped": "rollup"}
 
 
 def _uses_learners(models: dict) -> bool:
@@ -63,36 +75,44 @@ def weekly_run(
         backtest_models = learners.BACKTEST_LEARNERS if models is learners.FORECAST_LEARNERS else models
     run_time = F.lit(as_of).cast("timestamp")
     pooled = _uses_learners(models)
-    path = {name: f"{base}/{name}" for name in ("series", "backtest", "bias", "switch", "predictions", "weekly", "weekly_skipped", "summary")}
+    path = {name: f"{base}/{name}" for name in (*TABLES, "predictions", "summary")}
+
+    def write(rows: DataFrame, name: str) -> None:
+        write_committed(rows, path[name], {"stage": TABLES[name], "as_of": as_of})
+
+    def read(name: str) -> DataFrame:
+        rows = read_committed(spark, path[name])
+        if rows is None:
+            raise ValueError(f"no table {name} under {base}: stage {TABLES[name]} has not been run")
+        return rows
 
     # Pooled learners train on every day; expression models look at known days only.
     daily = one_per_day(daily.where(F.col("y").isNotNull()), keys, order)
-    overwrite_table(fill_gaps(daily, keys, span=span) if pooled else between_dates(daily, *(span or (None, None))), path["series"])
-    days = spark.read.parquet(path["series"])
+    write(fill_gaps(daily, keys, span=span) if pooled else between_dates(daily, *(span or (None, None))), "series")
+    days = read("series")
 
     if "backtest" not in skip:
         run = learners.backtest if pooled else bt.run
-        overwrite_table(run(days, backtest_models, keys, warmup, newest), path["backtest"])
+        write(run(days, backtest_models, keys, warmup, newest), "backtest")
     if "calibrate" not in skip:
-        detail = spark.read.parquet(path["backtest"])
-        overwrite_table(weekday_bias(detail, keys), path["bias"])
+        detail = read("backtest")
+        write(weekday_bias(detail, keys), "bias")
         horizon = days.groupBy(*keys).agg(days_to_sunday(F.max("date")).alias("horizon"))
-        overwrite_table(best_switch(detail, keys, horizon), path["switch"])
+        write(best_switch(detail, keys, horizon), "switch")
     if "forecast" not in skip:
         wanted = {m: models[m] for m in ("iterative", "multi")}
         rows = learners.forecast(days, wanted, keys) if pooled else forecast(origins(days, keys), wanted, keys)
-        biases = None if bias is not None else spark.read.parquet(path["bias"])
-        chosen = switch if switch is not None else spark.read.parquet(path["switch"])
+        biases = None if bias is not None else read("bias")
+        chosen = switch if switch is not None else read("switch")
         hybrid = compose_hybrid(apply_bias(rows, biases, keys, bias), chosen, keys)
         append_predictions(hybrid, path["predictions"], run_time, keys)
     if "rollup" not in skip:
         log = spark.read.parquet(path["predictions"])
         actuals = (days.where(~F.col("is_filled")) if pooled else days).select(*keys, "date", "y")
         week = week_days(log, actuals, keys)
-        overwrite_table(skipped_weeks(week, keys), path["weekly_skipped"])
-        numbers = weekly_numbers(week, keys, allow_partial, log)
-        overwrite_table(numbers, path["weekly"])
-        numbers = spark.read.parquet(path["weekly"])
+        write(skipped_weeks(week, keys), "weekly_skipped")
+        write(weekly_numbers(week, keys, allow_partial, log), "weekly")
+        numbers = read("weekly")
         write_weekly_json(numbers, f"{base}/weekly_json", run_time)
         upsert_keyed(
             summary_rows(numbers, run_time, keys), path["summary"], [*keys, "calculation_date"], "calculation_date", keep=keep_versions
@@ -102,12 +122,19 @@ def weekly_run(
 
 def read_outputs(spark: SparkSession, base: str) -> dict[str, DataFrame]:
     """The tables a run has left under ``base``; those of skipped stages only if an earlier run wrote them."""
-    names = ("series", "backtest", "bias", "switch", "predictions", "weekly", "weekly_skipped")
-    found = {n: table_or_none(spark, f"{base}/{n}") for n in names}
+    found = {n: read_committed(spark, f"{base}/{n}") for n in TABLES}
+    found["predictions"] = table_or_none(spark, f"{base}/predictions")
     found["summary"] = read_keyed(spark, f"{base}/summary")
     return {n: df for n, df in found.items() if df is not None}
 
 
+def run_records(spark: SparkSession, base: str) -> DataFrame:
+    """(stage, table, as_of, n_rows, n_nulls): what the newest run of each stage wrote, as counted while it wrote."""
+    records = {n: committed_record(spark, f"{base}/{n}") for n in TABLES}
+    rows = [(r["stage"], n, r["as_of"], r["rows"], sum(r["nulls"].values())) for n, r in records.items() if r is not None]
+    return spark.createDataFrame(rows, "stage string, table string, as_of string, n_rows long, n_nulls long")
+
+
 def require_output(spark: SparkSession, base: str) -> DataFrame:
     """The summary table, or an error when the run left none."""
     summary = read_keyed(spark, f"{base}/summary")

@@ -7,13 +7,49 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidecast.operators.weekly import unique_rows, upsert
 
 
+def write_committed(df: DataFrame, path: str, info: dict | None = None, keep: int = 2) -> dict:
+    """Replace a table as a whole and return its record: folder, rows, nulls by column and ``info``.
+
+    The rows go to a folder of a new name; the table is what the newest record names, so a
+    write that fails leaves the one before in place. Rows and nulls are counted while they are
+    written. The newest ``keep`` records and their folders stay.
+    """
+    spark, seen, name = df.sparkSession, Observation(), f"rows-{uuid.uuid4().hex[:12]}"
+    nulls = [F.count_if(F.col(f"`{c}`").isNull()).alias(f"null_{c}") for c in df.columns]
+    df.observe(seen, F.count(F.lit(1)).alias("rows"), *nulls).write.parquet(f"{path}/{name}")
+    counted = seen.get
+    record = {"folder": name, "rows": counted["rows"], "nulls": {c: counted[f"null_{c}"] for c in df.columns}} | (info or {})
+    found = versions(spark, path)
+    _commit(spark, path, found[-1] + 1 if found else 1, record)
+    found = versions(spark, path)
+    used = {manifest(spark, path, v)["folder"] for v in found[-keep:]}
+    store, base = _folder(spark, path)
+    for version in found[:-keep]:
+        store.delete(_folder(spark, f"{path}/{MANIFEST}/{version:010d}.json")[1], False)
+    for folder in store.listStatus(base):
+        if folder.getPath().getName().startswith("rows-") and folder.getPath().getName() not in used:
+            store.delete(folder.getPath(), True)
+    return record
+
+
+def committed_record(spark: SparkSession, path: str) -> dict | None:
+    """The newest record of a ``write_committed`` table, or None before its first write."""
+    found = versions(spark, path)
+    return manifest(spark, path, found[-1]) if found else None
+
+
+def read_committed(spark: SparkSession, path: str) -> DataFrame | None:
+    record = committed_record(spark, path)
+    return None if record is None else spark.read.parquet(f"{path}/{record['folder']}")
+
+
 def append_predictions(
     predictions: DataFrame, path: str, as_of: Column, keys: Sequence[str] = ("series_id",), fmt: str = "parquet"
 ) -> None:
