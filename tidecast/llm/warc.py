@@ -26,6 +26,8 @@ LEAST_SHARED = 100
 #: Captures in a compressed index block, and bytes of an archive that one read takes at most.
 BLOCK_CAPTURES = 256
 READ_BYTES = 4 << 20
+#: Bytes of an archive that one task reads.
+STRETCH = 64 << 20
 #: Unwanted bytes that a read may take along.
 READ_GAP = 16 << 10
 LEVEL = 4
@@ -298,7 +300,10 @@ def looked_up(requests: DataFrame, parts: DataFrame, folder: str, id_type: T.Dat
 
     asked = requests.select("key", "id").distinct().mapInArrow(assign, request)
     places = asked.repartition("part").sortWithinPartitions("part", "key", "id").mapInArrow(locate, "archive string, offset long, length long")
-    found = places.repartition("archive").sortWithinPartitions("archive", "offset").mapInArrow(read, answer)
+    # a fixed number of tasks: places are narrow, and merged by their own bytes they would be read by one
+    tasks = int(requests.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = places.repartition(tasks, "archive", F.expr(f"offset div {STRETCH}"))
+    found = dealt.sortWithinPartitions("archive", "offset").mapInArrow(read, answer)
     return found.select(F.col("id").cast(id_type).alias("id"), *answer.names[1:4], F.col("refers_to").cast(id_type).alias("refers_to"), "payload")
 
 
