@@ -59,6 +59,35 @@ def test_edge_rows(make_docs):
     assert edited_fingerprints(docs.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("schema, ids", [
+    ("string", ["10", "9", None, "b"]), ("bigint", [-(1 << 63), 0, None, 4]), ("date", ["2024-01-02", "2023-12-31", None, "2024-01-01"])
+])
+def test_ids_of_any_type(spark, schema, ids):
+    """The smallest long isn't the null id, and text ids go by their bytes."""
+    texts = [f"Only here {i}. Shared by all." for i in range(4)]
+    rows = spark.createDataFrame(list(zip([None if i is None else str(i) for i in ids], texts)), "doc_id string, text string")
+    docs = rows.select(F.col("doc_id").cast(schema), "text")
+    got = {r["doc_id"] if r["doc_id"] is None else str(r["doc_id"]): r["edited_sha256"] for r in edited_fingerprints(docs).collect()}
+    order = sorted(range(4), key=lambda i: (ids[i] is not None, ids[i] or (0 if schema == "bigint" else "")))
+    for at, i in enumerate(order):
+        text, following = texts[i], texts[order[(at + 1) % 4]]
+        cut = len(text) // 4
+        assert got[None if ids[i] is None else str(ids[i])] == hashlib.sha256((text[: len(text) - cut] + following[:cut]).encode()).hexdigest()
+
+
+def test_a_group_that_fails_gets_a_larger_sketch(spark):
+    """Digests that share all cells of a group's first sketch peel in the larger one."""
+    items = [0b111 | 0b111 << 10 | 0b111 << 20 | i << 3 | i << 13 | i << 24 for i in (1, 2, 3)]
+    rows = spark.createDataFrame([(items,)], "l array<bigint>").withColumn("r", F.expr("cast(array() as array<bigint>)"))
+
+    def peel(cells, shifts):
+        left, right = (f"({fingerprints._sketch(c, cells, shifts)})" for c in ("l", "r"))
+        return fingerprints._peeled(fingerprints._minus(left, right), cells, shifts)
+
+    got = rows.select(F.expr(peel(fingerprints.CELLS_OF_GROUP, fingerprints.SHIFTS_OF_GROUP)).alias("first"), F.expr(peel(fingerprints.CELLS_AGAIN, fingerprints.SHIFTS_AGAIN)).alias("again")).first()
+    assert got["first"] is None and {x["k"] for x in got["again"]} == set(items)
+
+
 def test_one_document_is_its_own_next(make_docs):
     (row,) = edited_fingerprints(make_docs([(1, "Aa bb cc dd. Ee ff.")])).collect()
     assert row["near_next"] == 1.0

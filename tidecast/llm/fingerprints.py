@@ -14,14 +14,13 @@ LONGEST = 100
 PARAGRAPH = rf"[^.!?\n]{{1,{LONGEST}}}[.!?]*|[.!?]+"
 #: Cells of each of the three tables of a text's sketch, and where the bits of a digest's cells begin.
 CELLS, SHIFTS = 16, (0, 20, 40)
-#: Divided sketches: digests are dealt by their top bits to parts of about ``PART``, each part
-#: to ``GROUPS`` groups with a sketch each.
-PART, PART_SHIFT, MOST_PARTS = 128, 46, 1 << 18
-GROUPS, GROUP_SHIFT = 16, 32
-CELLS_OF_GROUP, SHIFTS_OF_GROUP = 8, (0, 20, 40)
+#: Divided sketches: digests are dealt by their top bits, one a step, to groups of at most about
+#: ``GROUP``, with a sketch each.
+GROUP, STEPS = 8, 30
+CELLS_OF_GROUP, SHIFTS_OF_GROUP = 8, (0, 10, 20)
+#: The larger sketch of a group whose first one doesn't peel: other bits, more cells.
+CELLS_AGAIN, SHIFTS_AGAIN = 32, (3, 13, 24)
 ROUNDS = 12
-#: The null id's place in the order; no other id may be this one.
-NULL_ID = -(1 << 63)
 
 
 def _let(value: str, name: str, body: str) -> str:
@@ -44,11 +43,26 @@ def _tables(make) -> str:
     return "named_struct(" + ", ".join(f"'{t}', {make(t, j)}" for j, t in enumerate(TABLES)) + ")"
 
 
+def _dealt(items: str, places: str) -> str:
+    """SQL of the arrays into which digests are dealt, by the bit at each place of the array ``places`` in turn."""
+    halves = "transform(array(0L, 1L), g -> filter(p, x -> (shiftrightunsigned(x, b) & 1L) = g))"
+    return f"aggregate({places}, array({items}), (held, b) -> flatten(transform(held, p -> {halves})))"
+
+
+ADD = "(a, x) -> named_struct('n', a.n + 1, 'k', a.k ^ x, 'c', a.c ^ xxhash64(x))"
+
+
+def _text_sketch(items: str) -> str:
+    """SQL of the sketch of a text's digests: for each cell the count, the keys' and the checks' XOR."""
+    bits = CELLS.bit_length() - 1
+    cells = [_dealt(items, f"sequence({shift + bits - 1}, {shift})") for shift in SHIFTS]
+    return _tables(lambda _, j: f"transform({cells[j]}, q -> aggregate(q, {NONE}, {ADD}))")
+
+
 def _sketch(items: str, cells: int, shifts: tuple[int, ...]) -> str:
-    """SQL of a sketch of an array of digests: for each cell the count, the keys' and the checks' XOR."""
-    add = "(a, x) -> named_struct('n', a.n + 1, 'k', a.k ^ x, 'c', a.c ^ xxhash64(x))"
+    """SQL of the sketch of a few digests."""
     return _tables(
-        lambda _, j: f"transform(sequence(0, {cells - 1}), i -> aggregate(filter({items}, x -> (shiftright(x, {shifts[j]}) & {cells - 1}L) = i), {NONE}, {add}))"
+        lambda _, j: f"transform(sequence(0, {cells - 1}), i -> aggregate(filter({items}, x -> (shiftright(x, {shifts[j]}) & {cells - 1}L) = i), {NONE}, {ADD}))"
     )
 
 
@@ -89,24 +103,23 @@ def _exact(left: str, right: str) -> str:
 def _difference(left: str, right: str, left_cells: str, right_cells: str) -> str:
     """SQL of the differing digests of two texts.
 
-    The sketches are subtracted and peeled. On failure the digests are dealt to parts and
-    groups of which each has a sketch of its own, so that there is room for all, with three
-    cells or more a digest; a group that fails even then is compared digest by digest.
+    The sketches are subtracted and peeled. On failure the digests are dealt to groups of
+    which each has a sketch of its own, so that there is room for all, with three cells or
+    more a digest. A group that fails gets a larger sketch, and one that fails even then is
+    compared digest by digest. The work grows with the digests times their logarithm.
     """
     first = _peeled(_minus(left_cells, right_cells), CELLS, SHIFTS)
-    parts = f"least({MOST_PARTS}L, shiftleft(1L, cast(ceil(log2(greatest(1, (size({left}) + size({right})) / {PART}))) as int)))"
-    of_part = "filter({}, x -> (shiftrightunsigned(x, " + str(PART_SHIFT) + ") & (m - 1)) = g)"
-    of_group = "filter({}, x -> (shiftright(x, " + str(GROUP_SHIFT) + f") & {GROUPS - 1}L) = h)"
 
-    less = _let(
-        _sketch("l", CELLS_OF_GROUP, SHIFTS_OF_GROUP), "v", _let(_sketch("r", CELLS_OF_GROUP, SHIFTS_OF_GROUP), "w", _minus("v", "w"))
-    )
+    def tried(cells: int, shifts: tuple[int, ...]) -> str:
+        less = _let(_sketch("l", cells, shifts), "v", _let(_sketch("r", cells, shifts), "w", _minus("v", "w")))
+        return _peeled(less, cells, shifts)
+
     nothing = "cast(array() as array<struct<k: bigint, n: int>>)"
-    tried = f"coalesce({_peeled(less, CELLS_OF_GROUP, SHIFTS_OF_GROUP)}, {_exact('l', 'r')})"
-    group = _let(of_group.format("y"), "l", _let(of_group.format("z"), "r", f"if(size(l) + size(r) = 0, {nothing}, {tried})"))
-    part = _let(of_part.format(left), "y", _let(of_part.format(right), "z", f"flatten(transform(sequence(0, {GROUPS - 1}), h -> {group}))"))
-    divided = _let(parts, "m", f"flatten(transform(sequence(0L, m - 1), g -> {part}))")
-    return f"coalesce({first}, {divided})"
+    found = f"coalesce({tried(CELLS_OF_GROUP, SHIFTS_OF_GROUP)}, {tried(CELLS_AGAIN, SHIFTS_AGAIN)}, {_exact('l', 'r')})"
+    groups = f"zip_with({_dealt(left, 'd')}, {_dealt(right, 'd')}, (l, r) -> if(size(l) + size(r) = 0, {nothing}, {found}))"
+    steps = f"cast(least({STEPS}, greatest(0, ceil(log2(greatest(1, (size({left}) + size({right})) / {GROUP}))))) as int)"
+    places = f"slice(sequence(63, {64 - STEPS}), 1, {steps})"
+    return f"coalesce({first}, {_let(places, 'd', f'flatten({groups})')})"
 
 
 def _likeness(found: Column, left: Column, right: Column) -> Column:
@@ -122,7 +135,7 @@ def compared(rows: DataFrame, left: str, right: str, out: str, left_cells: str,
 
 def sketched(rows: DataFrame, items: str, out: str) -> DataFrame:
     """Add ``out``: the sketch of a column of digests."""
-    return rows.withColumn(out, F.expr(_sketch(items, CELLS, SHIFTS)))
+    return rows.withColumn(out, F.expr(_text_sketch(items)))
 
 
 def sketch_text(cells: str) -> Column:
@@ -146,9 +159,10 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     document's. Other columns are left out, an empty table gives no rows.
 
     Ids are ordered without their texts, by a range sort. A text moves once, to its id;
-    from there its beginning and its digests go to the id before.
+    from there its beginning and its digests go to the id before. Ids may be of any type
+    that can be ordered; a struct of the id alone is the key, so that null meets null.
     """
-    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("key"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rows = docs.select(F.struct(F.col(id_col).alias("id")).alias("key"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     ids = rows.groupBy("key").agg(F.max(F.length("text")).alias("n"))
     ids = saved(global_position(saved(ids, "id-sizes"), ["key"], "at"), "id-order")
     total = max(1, ids.count())
@@ -164,7 +178,7 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     both = both.withColumn("cut", F.floor(F.col("n") / edited_part).cast("int"))
     both = both.withColumn("edited", F.expr("concat(substring(text, 1, n - cut), substring(begin, 1, cut))"))
     both = both.select(
-        F.when(F.col("key") != NULL_ID, F.col("key").cast(docs.schema[id_col].dataType)).alias("id"),
+        F.col("key.id").alias("id"),
         F.col("n").cast("long").alias("n_chars"),
         F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         digests(F.col("text")).alias("items"),
