@@ -90,13 +90,32 @@ def test_decisions_reach_aliases_and_allow_has_precedence(spark):
         8: ("allow", "default"),
         9: ("allow", "default"),
         10: ("block", "alias"),
-        None: ("allow", "default"),
+        None: ("block", "alias"),
         12: ("block", "rule"),
     }
     assert judged_urls(pages(spark, rows), RULES).count() == len(rows)
     assert judged_urls(pages(spark, rows).limit(0), RULES).collect() == []
 
 
+def test_dot_segments_and_character_references(spark):
+    paths = {
+        "/a/b/../c": "/a/c", "/a/./b": "/a/b", "/../../a": "/a", "/a/..": "/", "/a/b/.": "/a/b/", "/a//../b": "/a/b",
+        "/.../a": "/.../a", "/a/..b/.c": "/a/..b/.c", "": "", "/": "/", "/..": "/",
+    }
+    df = spark.createDataFrame([(p,) for p in [*paths, None]], "p string")
+    assert [r[0] for r in df.select(url_rules.without_dots(F.col("p"))).collect()] == [*paths.values(), None]
+    targets = {
+        "../e": "http://h/e", "../../../e?x=../y#/../z": "http://h/e?x=../y#/../z", "./": "http://h/f/", "https://o/a/../b": "https://o/b", "//o/./b": "http://o/b",
+    }
+    df = spark.createDataFrame([(t,) for t in targets], "t string")
+    assert [r[0] for r in df.select(url_rules.resolved(F.col("t"), F.lit("http://h/f/g"))).collect()] == list(targets.values())
+    pairs = {"/p?a=1&amp;b=2": "/p?a=1&b=2", "/p?a=1&#38;b=2": "/p?a=1&b=2", "/p?&amp;lt;": "/p?&lt;"}
+    df = spark.createDataFrame([(link(k),) for k in pairs], "h string")
+    assert [r[0][0] for r in df.select(link_targets(F.col("h"))).collect()] == list(pairs.values())
+    rows = [(1, "http://a.org/p?x=1&y=2", None), (2, "http://b.org/q/r/s", refresh("http://a.org/./z/../p?x=1&amp;y=2")), (3, "http://b.org/q/r/../r/s", link("http://bad.net/es/1"))]
+    assert {k: v[1:] for k, v in verdicts(spark, rows).items()} == dict.fromkeys((1, 2, 3), ("block", "alias"))
+
+
 def test_many_rules_by_join(spark, monkeypatch):
     rows = [(i, u, None) for i, u in enumerate(["http://www.example.com/en/1", "http://m.example.com/en/", "http://a.b.net/fr/", "http://x/", None, "http://example.com/", "http://example.com/"])]
     inline = verdicts(spark, rows)

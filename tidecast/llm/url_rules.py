@@ -23,6 +23,9 @@ META_TAG = r"(?i)(<meta\b[^>]*>)"
 CANONICAL = r"(?i)\brel\s*=\s*[\"']?canonical\b"
 REFRESH = r"(?i)\bhttp-equiv\s*=\s*[\"']?refresh\b"
 HREF = r"(?i)\bhref\s*=\s*[\"']?\s*([^\"'\s>]+)"
+DOTS = r"(^|/)\.\.?(/|$)"
+# The character references that urls in attributes hold, the ampersand's last.
+REFERENCES = (("&quot;|&#34;|&#[xX]22;", "\""), ("&apos;|&#39;|&#[xX]27;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;|&#38;|&#[xX]26;", "&"))
 REFRESH_URL = r"(?i)\burl\s*=\s*[\"']?\s*([^\"'\s>]+)"
 
 
@@ -42,26 +45,49 @@ def url_path(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url_rest(url), r"^[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
+def without_dots(path: Column) -> Column:
+    """The path with its ``.`` and ``..`` segments followed; those above the root are left out."""
+    none = F.array().cast("array<string>")
+    segments = F.split(path, "/")
+
+    def followed(kept: Column, part: Column) -> Column:
+        up = F.slice(kept, F.lit(1), F.greatest(F.lit(1), F.size(kept) - 1))
+        return F.when(part == ".", kept).when(part == "..", up).otherwise(F.concat(kept, F.array(part)))
+
+    # a path that ends in such a segment is that of a folder
+    ended = F.when(F.element_at(segments, -1).isin(".", ".."), F.concat(segments, F.array(F.lit("")))).otherwise(segments)
+    return F.when(path.rlike(DOTS), F.array_join(F.aggregate(ended, none, followed), "/")).otherwise(path)
+
+
 def url_node(url: Column) -> Column:
-    """What urls of one resource share: no scheme, fragment, tracking parameter or closing slash."""
+    """What urls of one resource share: no scheme, fragment, tracking parameter, dot segment or closing slash."""
     given = F.split(F.regexp_extract(url_rest(url), r"^[^?#]*\?([^#]*)", 1), "&")
     query = F.array_join(F.filter(given, lambda p: (p != "") & ~p.rlike(TRACKING)), "&")
     query = F.when(query == "", "").otherwise(F.concat(F.lit("?"), query))
-    node = F.concat(url_host(url), F.regexp_replace(url_path(url), "/+$", ""), query)
+    node = F.concat(url_host(url), F.regexp_replace(without_dots(url_path(url)), "/+$", ""), query)
     return F.when(url_rest(url).isNotNull(), node)
 
 
 def resolved(target: Column, base: Column) -> Column:
-    """An absolute url for a link target found on the page ``base``."""
+    """An absolute url, its dot segments followed, for a link target found on the page ``base``."""
     folder = F.regexp_extract(url_path(base), r"^(.*/)", 1)
     root = F.concat(F.lit("http://"), url_host(base))
-    return (
+    url = (
         F.when(F.instr(target, F.lit("://")) > 0, target)
         .when(target.startswith("//"), F.concat(F.lit("http:"), target))
         .when(target.startswith("/"), F.concat(root, target))
         .when(target.startswith("#") | target.startswith("?"), F.concat(root, url_path(base), target))
         .otherwise(F.concat(root, F.when(folder == "", F.lit("/")).otherwise(folder), target))
     )
+    before, path, after = (F.regexp_extract(url, r"(?s)^(.*?://[^/?#]*)([^?#]*)(.*)$", i) for i in (1, 2, 3))
+    return F.when(url_path(url).rlike(DOTS), F.concat(before, without_dots(path), after)).otherwise(url)
+
+
+def decoded(target: Column) -> Column:
+    """A link target with its character references resolved."""
+    for reference, character in REFERENCES:
+        target = F.regexp_replace(target, reference, character)
+    return target
 
 
 def link_targets(html: Column) -> Column:
@@ -72,7 +98,8 @@ def link_targets(html: Column) -> Column:
         F.transform(links, lambda t: F.regexp_extract(t, HREF, 1)),
         F.transform(metas, lambda t: F.regexp_extract(t, REFRESH_URL, 1)),
     )
-    return F.filter(F.coalesce(found, F.array().cast("array<string>")), lambda t: t != "")
+    found = F.transform(F.coalesce(found, F.array().cast("array<string>")), decoded)
+    return F.filter(found, lambda t: t != "")
 
 
 def _ranked(rules: Sequence[Rule]) -> list[Rule]:
