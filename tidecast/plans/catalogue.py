@@ -23,7 +23,7 @@ from tidecast.operators.clean import clean_counts
 from tidecast.plans.weather_run import weather_run
 from tidecast.plans.weekly_run import quality_checks, require_output, run_records, weekly_run
 from tidecast.session import fresh_folder
-from tidecast.sources import feeds, sinks, tables, trades
+from tidecast.sources import feeds, message_files, sinks, tables, trades
 from tidecast.streaming import filling, messages
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -1055,6 +1055,19 @@ def stream_once(spark, sf):
     return spark.read.parquet(f"{path}/table")
 
 
+@query
+def stream_segments(spark, sf):
+    """Events as JSON lines in segments, read by the message source before and after a restart."""
+    path, events = fresh_folder(spark, "segments"), table(spark, sf, "events")
+    schema = "event_id BIGINT, user_id BIGINT, event_type STRING, value DOUBLE"
+    for k in range(2):
+        some = events.where(F.col("event_id") % 2 == k).select(F.to_json(F.struct("event_id", "user_id", "event_type", "value")))
+        some.write.text(f"{path}/in/{k}")
+        parsed = messages.parse_messages(message_files.message_stream(spark, f"{path}/in"), "value", schema, ["segment", "position"])
+        finish(messages.store_messages(parsed, f"{path}/table", f"{path}/state"))
+    return spark.read.parquet(f"{path}/table").select("body.*", F.col("is_bad").cast("boolean").alias("is_bad"))
+
+
 def _store_event_days(events: DataFrame, path: str) -> None:
     events = events.withColumnRenamed("event_type", "series_id")
     finish(messages.store_day_parts(events, F.col("ts"), ["series_id"], path, f"{path}/state", value=cents(F.col("value"))))

@@ -618,6 +618,7 @@ far_totals AS (SELECT g.series_id, g.switch, sum(coalesce(c.mae, 'infinity'::DOU
             f"""d AS (SELECT event_type AS series_id, ts::DATE AS date, count(*) AS n, sum({CENTS.format('value')})::BIGINT / 100.0::DOUBLE AS y,
   ts::DATE + INTERVAL 1 DAY > (SELECT max(ts) - INTERVAL 1 HOUR FROM events) AS is_open FROM events GROUP BY 1, 2)""",
             fill("d")),
+        "stream_segments": "SELECT event_id, user_id, event_type, value, false AS is_bad FROM events",
         "stream_once": "SELECT event_id, ts, user_id, value FROM events",
         **{name: lines(
             "SELECT series_id, date, y, is_filled FROM filled",
