@@ -81,8 +81,7 @@ def test_a_group_that_fails_gets_a_larger_sketch(spark):
     rows = spark.createDataFrame([(items,)], "l array<bigint>").withColumn("r", F.expr("cast(array() as array<bigint>)"))
 
     def peel(cells, shifts):
-        left, right = (f"({fingerprints._sketch(c, cells, shifts)})" for c in ("l", "r"))
-        return fingerprints._peeled(fingerprints._minus(left, right), cells, shifts)
+        return fingerprints._peeled(fingerprints._sketch_less("l", "r", cells, shifts), cells, shifts)
 
     got = rows.select(F.expr(peel(fingerprints.CELLS_OF_GROUP, fingerprints.SHIFTS_OF_GROUP)).alias("first"), F.expr(peel(fingerprints.CELLS_AGAIN, fingerprints.SHIFTS_AGAIN)).alias("again")).first()
     assert got["first"] is None and {x["k"] for x in got["again"]} == set(items)

@@ -59,10 +59,12 @@ def _text_sketch(items: str) -> str:
     return _tables(lambda _, j: f"transform({cells[j]}, q -> aggregate(q, {NONE}, {ADD}))")
 
 
-def _sketch(items: str, cells: int, shifts: tuple[int, ...]) -> str:
-    """SQL of the sketch of a few digests."""
+def _sketch_less(left: str, right: str, cells: int, shifts: tuple[int, ...]) -> str:
+    """SQL of the sketch of a few digests less that of others: each cell takes in the first and gives off the second."""
+    of_cell = "filter({}, x -> (shiftright(x, {}) & " + str(cells - 1) + "L) = i)"
+    take = ADD.replace("a.n + 1", "a.n - 1")
     return _tables(
-        lambda _, j: f"transform(sequence(0, {cells - 1}), i -> aggregate(filter({items}, x -> (shiftright(x, {shifts[j]}) & {cells - 1}L) = i), {NONE}, {ADD}))"
+        lambda _, j: f"transform(sequence(0L, {cells - 1}L), i -> aggregate({of_cell.format(right, shifts[j])}, aggregate({of_cell.format(left, shifts[j])}, {NONE}, {ADD}), {take}))"
     )
 
 
@@ -111,8 +113,7 @@ def _difference(left: str, right: str, left_cells: str, right_cells: str) -> str
     first = _peeled(_minus(left_cells, right_cells), CELLS, SHIFTS)
 
     def tried(cells: int, shifts: tuple[int, ...]) -> str:
-        less = _let(_sketch("l", cells, shifts), "v", _let(_sketch("r", cells, shifts), "w", _minus("v", "w")))
-        return _peeled(less, cells, shifts)
+        return _peeled(_sketch_less("l", "r", cells, shifts), cells, shifts)
 
     nothing = "cast(array() as array<struct<k: bigint, n: int>>)"
     found = f"coalesce({tried(CELLS_OF_GROUP, SHIFTS_OF_GROUP)}, {tried(CELLS_AGAIN, SHIFTS_AGAIN)}, {_exact('l', 'r')})"
