@@ -1,6 +1,8 @@
 import hashlib
 import re
+import time
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from llm.conftest import rows_of
@@ -43,6 +45,80 @@ def test_literals_by_name_and_through_constants():
     assert name_score("tokenCount") < 0.5 < name_score("clientSecret")
 
 
+#: A text and the literals that the lexer finds in it, in order.
+LITERALS = [
+    ('passphrase = "correct horse battery staple"', ["correct horse battery staple"]),
+    ('DB_PASS="hunter2secret9"', ["hunter2secret9"]),
+    ('accesskey: "Zx81qLm077aB"', ["Zx81qLm077aB"]),
+    ('authorization: "Bearer Zx81qLm077aB"', ["Zx81qLm077aB"]),
+    ('Authorization: Bearer Zx81qLm077aB\n', ["Zx81qLm077aB"]),
+    ('<password>hunter2secret9</password>', ["hunter2secret9"]),
+    ('pwd = """Zx81qLm077aB"""', ["Zx81qLm077aB"]),
+    ('{"credentials": {"value": "Zx81qLm077aB"}}', ["Zx81qLm077aB"]),
+    ('creds = ["Zx81qLm077aB", "77aBZx81qLm0"]', ["Zx81qLm077aB","77aBZx81qLm0"]),
+    ('pwd = f("Zx81qLm077aB")', ["Zx81qLm077aB"]),
+    ('password = os.getenv("DB_PASSWORD_2")', []),
+    ('pwd = config["db"]["PASSWORD_9x"]', []),
+    ('os.environ["DB_PASS"] = "hunter2secret9"', ["hunter2secret9"]),
+    ('os.environ.setdefault("DB_PASS", "hunter2secret9")', ["hunter2secret9"]),
+    ("define('DB_PASS', 'hunter2secret9');", ["hunter2secret9"]),
+    ('user.setPassword("hunter2secret9")', ["hunter2secret9"]),
+    ('<add key="ApiPwd" value="hunter2secret9"/>', ["hunter2secret9"]),
+    ('<user name="bob" pwd="hunter2secret9">', ["hunter2secret9"]),
+    ('<credentials><value>hunter2secret9</value></credentials>', ["hunter2secret9"]),
+    ('credentials:\n  value: hunter2secret9\n  user: bob.smith99\nother: hunter2secret8\n', ["hunter2secret9"]),
+    ('passwords:\n  - hunter2secret9\n  - "77aBZx81qLm0"\nnames:\n  - hunter2secret8\n', ["hunter2secret9","77aBZx81qLm0"]),
+    ('passwords:\n- hunter2secret9\n- abcdef12345\n', ["hunter2secret9","abcdef12345"]),
+    ('[credentials]\nvalue = hunter2secret9\n[other]\nvalue = hunter2secret8\n', ["hunter2secret9"]),
+    ('mysql --pwd hunter2secret9 -u bob', ["hunter2secret9"]),
+    ('DBX="Zx81qLm077"\nPGPWD=$DBX\n', ["Zx81qLm077"]),
+    ('DBX="Zx81qLm077"\nPGPWD="${DBX}"\n', ["Zx81qLm077"]),
+    ('A_X = "Zx81qLm077"\ncreds = [A_X, "no"]', ["Zx81qLm077"]),
+    ('A_X = "Zx81qLm077"\npwd = encode(A_X)', ["Zx81qLm077"]),
+    ('pwd = b"Zx81qLm077"', ["Zx81qLm077"]),
+    ("pwd = b'Zx81qLm077'", ["Zx81qLm077"]),
+    ('"password": "Enter your password"', []),
+    ('{"auth": {"username": "bob.smith99"}}', []),
+    ('turnkey = "Zx81qLm077"', []),
+    ('compass = "Zx81qLm077"', []),
+    ('bypass: "Zx81qLm077"', []),
+    ('if pwd == "Zx81qLm077": pass', []),
+    ("conn = 'db_pwd=Zx81qLm077;host=x'", ["Zx81qLm077"]),
+    ('he said 5" tall, db_pwd = "Zx81qLm077" ok', ["Zx81qLm077"]),
+    ('The key is: the door (password) was open, said "Martha Washington".', []),
+    ('pwd = (\n  "Zx81qLm0"\n  "77aB_cd3"\n)', ["Zx81qLm0","77aB_cd3"]),
+    ('let pwd = `Zx81qLm077`;', ["Zx81qLm077"]),
+    ('{"credentials": [{"value": "Zx81qLm077aB", "host": "db1.example.com"}], "v": "Zx81qLm077aC"}', ["Zx81qLm077aB"]),
+    ('login(user="bob_smith1", pwd="Zx81qLm077")', ["Zx81qLm077"]),
+    ('tokens = ["strawberry", "blueberry"]', []),
+    ('creds = {\n  "db": "Zx81qLm077",\n  "ftp": "Yx81qLm077" }\nx = "Vx81qLm077"', ["Zx81qLm077","Yx81qLm077"]),
+    ("pwd = '''Zx81qLm\n077aB'''", ["Zx81qLm\n077aB"]),
+    ("private_key: |\n  -----BEGIN PRIVATE KEY-----\n  MIIabc\n\n  -----END PRIVATE KEY-----\nnext: 1\n", ["-----BEGIN PRIVATE KEY-----\n  MIIabc\n\n  -----END PRIVATE KEY-----"]),
+]
+
+
+@pytest.mark.parametrize("text, want", LITERALS, ids=range(len(LITERALS)))
+def test_names_and_literals(text, want):
+    assert [text[start:end] for _, start, end in literal_spans(text)] == want
+    moved = "Some words, then more.\n" + text
+    assert [moved[start:end] for _, start, end in literal_spans(moved)] == want
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["pwd", "credentials", "value", ":", "=", " ", '"', "'", '"""', "\n", "  ", "- ", "[", "]", "{", "}", "(", ")", "<pwd>", "</pwd>", "<", "|", "\\", ",", "+", "$", "Zx81qLm077", "é"]), max_size=40).map("".join))
+def test_any_text_gives_spans_inside_it(text):
+    base, every = find_spans(text)
+    assert set(base) <= set(every)
+    assert all(0 <= start < end <= len(text) for _, start, end in every)
+
+
+@pytest.mark.parametrize("piece", ["a='", "key: [", "x=\"k='", 'pw="""', "<key>", "password", 'key="\\', "[key]\n", "key: |\n", "key: {(", "\n- key: "])
+def test_long_texts_take_linear_time(piece):
+    start = time.monotonic()
+    find_spans("pwd: " + piece * 50_000)
+    assert time.monotonic() - start < 20
+
+
 def test_a_literal_inside_a_base_span_is_not_added():
     base, every = find_spans('password = "Zx81qLm077"')
     assert base == every and len(base) == 1

@@ -7,11 +7,14 @@ import math
 import re
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from .name_literals import Pairs, read_pairs
+
 Span = tuple[str, int, int]
 """(kind, start, end): code points, end exclusive."""
 
@@ -35,26 +38,69 @@ PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 
 #: How much a part of a name speaks for a secret.
 SENSITIVE = {
-    "password": 1.0, "passwd": 1.0, "passphrase": 1.0, "pwd": 0.9, "secret": 1.0, "credential": 0.9, "credentials": 0.9,
-    "token": 0.9, "apikey": 1.0, "auth": 0.6, "bearer": 0.8, "private": 0.5, "access": 0.5, "signing": 0.6, "encryption": 0.6,
-    "key": 0.4, "salt": 0.6, "jwt": 0.8, "pin": 0.6,
+    "password": 1.0, "passwd": 1.0, "passphrase": 1.0, "passcode": 1.0, "pass": 0.8, "pwd": 0.9, "pw": 0.6, "secret": 1.0,
+    "credential": 0.9, "cred": 0.9, "token": 0.9, "apikey": 1.0, "auth": 0.6, "authorization": 0.8, "bearer": 0.8, "private": 0.5,
+    "access": 0.5, "signing": 0.6, "encryption": 0.6, "key": 0.4, "salt": 0.6, "jwt": 0.8, "pin": 0.6,
 }
+#: Plurals that hold secrets; other plurals are mostly counts and word lists.
+PLURAL = frozenset("password passwd passphrase passcode secret credential cred apikey".split())
+#: Words that stand beside sensitive ones in lower-case compounds.
+BESIDE = "admin api app aws client cloud db git ldap mail master my mysql pg postgres redis root service sign smtp ssh sql user web".split()
+COMPOUND = re.compile("(?>" + "|".join(sorted([*SENSITIVE, *BESIDE], key=len, reverse=True)) + ")")
+#: What a name must hold to be sensitive, up to the sign that follows it.
+GATE = re.compile(
+    "(?:pass|pwd|pw|secret|cred|token|key|auth|bearer|private|access|signing|encryption|salt|jwt|pin)"
+    r"""[\w.$-]*+["'`\])]*[\x20\t]*+(?:[:=(>,\]]|value|default|content|(?<=[\w-][\x20\t])[^\s])"""
+)
 #: Parts that make a name one about a secret, not of one.
 ABOUT = frozenset("count length size limit hint label field name url uri path type policy min max expiry ttl id index file public error message".split())
-PLACEHOLDER = re.compile(r"(?i)^(?:x+|\*+|\.+|-+|changeme|change_me|example|sample|test|none|null|true|false|todo|your[-_ ].*|<.*>|\$\{.*\}|\$\(.*\)|%.*%)$")
+#: Names that take nothing from the secrets they stand among.
+APART = ABOUT | frozenset("user username login email mail host hostname port server database region domain description comment version date time created updated kind enabled role scope format encoding algorithm title note text".split())
+PLACEHOLDER = re.compile(r"(?i)^(?:x+|\*+|\.+|-+|changeme|change_me|example|sample|test|none|null|true|false|todo|your[-_ ].*|<.*>|\$\{.*\}|\$\(.*\)|%.*%|\{\{.*\}\})$")
+#: Words of a sentence on secrets; a passphrase is words without them.
+SENTENCE = frozenset("a an and are be can enter for from incorrect invalid is it must new no not of old or please reset the this to use wrong you your".split())
+SCHEME = re.compile(r"(?i)(?:bearer|basic|digest)\x20+(?=\S)")
+REFERENCE = re.compile(r"\$\{?([A-Za-z_][\w.]*+)\}?$")
+PEM = "-----BEGIN "
+#: From this score of a name on, a quoted literal may hold several words.
+STRONG = 0.9
 THRESHOLD = 0.5
 
 
+def name_parts(name: str) -> list[str]:
+    """Lower-case words of a name, lower-case compounds of known words taken apart."""
+    parts = []
+    for part in PARTS.findall(name):
+        part = part.lower()
+        words = [part] if part in SENSITIVE else COMPOUND.findall(part)
+        plural = part[-1] == "s" and len(words) > 0 and words[-1] in PLURAL
+        parts += words if sum(map(len, words)) + plural == len(part) else [part]
+    return parts
+
+
+@lru_cache(4096)
 def name_score(name: str) -> float:
     """How sensitive a target name is, 0 to 1."""
-    parts = [p.lower() for p in PARTS.findall(name)]
+    parts = name_parts(name)
     score = min(1.0, sum(SENSITIVE.get(p, 0.0) for p in parts))
     return score * 0.3 if parts and parts[-1] in ABOUT else score
 
 
-def literal_score(text: str, quoted: bool) -> float:
-    """How much a literal looks like a secret value, 0 to 1."""
-    if len(text) < 6 or PLACEHOLDER.match(text) or any(c.isspace() for c in text):
+def stands_apart(name: str) -> bool:
+    parts = name_parts(name)
+    return bool(parts) and parts[-1] in APART
+
+
+def literal_score(text: str, quoted: bool, strong: bool = False) -> float:
+    """How much a literal looks like a secret value, 0 to 1; several words only under a ``strong`` name."""
+    if text.startswith(PEM):
+        return 1.0 if "PRIVATE KEY" in text[:60] else 0.0
+    if len(text) < 6 or PLACEHOLDER.match(text):
+        return 0.0
+    words = text.split()
+    if len(words) > 1 and not (quoted and strong):
+        return 0.0
+    if len(words) > 1 and any(w.strip(".,:;!?").lower() in SENTENCE or w.strip(".,:;!?").lower() in SENSITIVE for w in words):
         return 0.0
     counts = [text.count(c) for c in set(text)]
     entropy = -sum(n / len(text) * math.log2(n / len(text)) for n in counts)
@@ -71,48 +117,78 @@ def base_spans(text: str) -> list[Span]:
     return ordered(found)
 
 
-def literal_spans(text: str) -> list[Span]:
-    """Literals whose target names, also those that a constant reaches, are sensitive.
-
-    The text is read into name and value pairs. A value that is itself a name passes its
-    literals on to the new name; names that lead to each other count together.
-    """
-    literals: dict[str, list[tuple[int, int, bool]]] = defaultdict(list)
-    uses: dict[str, set[str]] = defaultdict(set)  # constant -> names it is assigned to
-    for m in PAIR.finditer(text):
+def flat_pairs(text: str, pairs: Pairs) -> None:
+    """Names directly before their value, wherever they stand, also inside strings and comments."""
+    at = 0
+    while m := PAIR.search(text, at):
         name, value = m[1], m[2]
         quoted = value[0] in "\"'`"
-        literals[name].append((m.start(2) + quoted, m.end(2) - quoted, quoted))
+        at = m.start(2) + 1 if quoted else m.end(2)
+        pairs.literals[name].add((m.start(2) + quoted, m.end(2) - quoted, quoted))
         if quoted:
             more = MORE.match(text, m.end())
             while more:
-                literals[name].append((more.start(1) + 1, more.end(1) - 1, True))
+                pairs.literals[name].add((more.start(1) + 1, more.end(1) - 1, True))
                 more = MORE.match(text, more.end())
         else:
-            uses[value].add(name)
-    if not literals:
+            pairs.uses[value].add(name)
+
+
+def bare_start(text: str, start: int, end: int) -> int:
+    """Where a literal begins after the scheme of a header."""
+    scheme = SCHEME.match(text, start, end)
+    return scheme.end() if scheme else start
+
+
+def literal_spans(text: str) -> list[Span]:
+    """Literals whose target names, also those that a constant reaches, are sensitive.
+
+    The text is read into names and literals, by plain pairs and by its structure: calls,
+    lists, nested keys, blocks by indent, sections, elements and attributes. A value that is
+    itself a name, or a reference to one, passes its literals on to the new name; names that
+    lead to each other count together.
+    """
+    if not GATE.search(text.lower()):
         return []
-    score = {name: s for name in literals if (s := name_score(name))}
-    todo = list(score)
+    pairs = Pairs()
+    flat_pairs(text, pairs)
+    read_pairs(text, pairs, name_score, stands_apart)
+    literals = pairs.literals
+    score = {name: s for name in literals if (s := pairs.scores.get(name) or name_score(name))}
+    for name, spans in list(literals.items()):
+        for start, end, _ in spans:
+            if end - start <= 200 and (reference := REFERENCE.match(text[start:end])):
+                pairs.uses[reference[1]].add(name)
+    score |= {name: s for name, s in pairs.scores.items() if s}
     sources: dict[str, list[str]] = defaultdict(list)
-    for constant, names in uses.items():
+    for constant, names in pairs.uses.items():
         if constant in literals:
             for name in names:
                 sources[name].append(constant)
+    todo = list(score)
     while todo:
         name = todo.pop()
         for constant in sources.get(name, ()):
             if score.get(constant, 0.0) < score[name]:
                 score[constant] = score[name]
                 todo.append(constant)
-    return ordered(
-        {
-            ("literal", start, end)
-            for name, s in score.items()
-            for start, end, quoted in literals[name]
-            if s * literal_score(text[start:end], quoted) >= THRESHOLD and not (not quoted and text[start:end] in literals)
-        }
-    )
+    found = {
+        ("literal", start, end)
+        for name, s in score.items()
+        for first, end, quoted in literals.get(name, ())
+        for start in (bare_start(text, first, end),)
+        if s * literal_score(text[start:end], quoted, s >= STRONG) >= THRESHOLD and not (not quoted and text[start:end] in literals)
+    }
+    return outermost(ordered(found))
+
+
+def outermost(spans: list[Span]) -> list[Span]:
+    """Spans that no other one holds."""
+    out: list[Span] = []
+    for span in sorted(spans, key=lambda x: (x[1], -x[2])):
+        if not out or span[2] > out[-1][2]:
+            out.append(span)
+    return out
 
 
 def ordered(spans: Iterable[Span]) -> list[Span]:
