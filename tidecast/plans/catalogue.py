@@ -23,7 +23,7 @@ from tidecast.operators.clean import clean_counts
 from tidecast.plans.weather_run import weather_run
 from tidecast.plans.weekly_run import quality_checks, require_output, run_records, weekly_run
 from tidecast.session import fresh_folder
-from tidecast.sources import feeds, message_files, sinks, tables, trades
+from tidecast.sources import feeds, listing_pages, message_files, sinks, tables, trades
 from tidecast.streaming import filling, messages
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -974,6 +974,25 @@ def trades_all_pages(spark, sf):
     return trades.paged_listing(event_trades(spark, sf), PAGE)
 
 
+def _saved_pages(spark: SparkSession, sf: str) -> str:
+    path = fresh_folder(spark, "pages")
+    listing_pages.write_pages(event_trades(spark, sf), path, PAGE)
+    return path
+
+
+@query
+def trades_saved_pages(spark, sf):
+    """The whole listing, read back from its page documents."""
+    return listing_pages.saved_listing(spark, _saved_pages(spark, sf))
+
+
+@query
+def trades_saved_filtered(spark, sf):
+    """Ticker and times are decided by the source, which leaves out whole ranges of pages."""
+    rows = listing_pages.saved_listing(spark, _saved_pages(spark, sf), ["trade_id", "ticker", "ts"])
+    return trades.filtered_trades(rows, "click", 1704100000, 1706500000)
+
+
 def _texts(events: DataFrame) -> DataFrame:
     """Message texts; those of error events are cut short and so unreadable."""
     text = F.when(F.col("event_type") == "error", F.expr("left(props, 4)")).otherwise(F.col("props"))

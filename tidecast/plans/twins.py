@@ -609,6 +609,10 @@ far_totals AS (SELECT g.series_id, g.switch, sum(coalesce(c.mae, 'infinity'::DOU
         "trades_all_pages": lines(
             """SELECT trade_id, ticker, ts, (n - 1) // 100 AS page, ((n - 1) % 100)::INT AS place
   FROM (SELECT *, row_number() OVER (ORDER BY ts, trade_id) AS n FROM tr)""", TRADES),
+        "trades_saved_pages": lines(
+            """SELECT trade_id, ticker, ts, (n - 1) // 100 AS page, ((n - 1) % 100)::INT AS place
+  FROM (SELECT *, row_number() OVER (ORDER BY ts, trade_id) AS n FROM tr)""", TRADES),
+        "trades_saved_filtered": lines("SELECT * FROM tr WHERE ticker = 'click' AND ts BETWEEN 1704100000 AND 1706500000", TRADES),
         "event_json": MESSAGES,
         "stream_messages": MESSAGES,
         "stream_latest": "SELECT user_id, ts, event_id, event_type, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1",
