@@ -6,7 +6,7 @@ import pytest
 from llm.conftest import rows_of
 
 from tidecast.llm import decontamination
-from tidecast.llm.decontamination import benchmark_hits, cut_words, without_benchmark, words_of
+from tidecast.llm.decontamination import benchmark_hits, cut_words, phrases, search_shard, without_benchmark, words_of
 from tidecast.llm.fm_index import FMIndex, suffix_order
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -107,6 +107,35 @@ def test_blocks_are_cut_on_the_given_text(make_docs, spark, corpus, monkeypatch)
     assert rows_of(out) == whole
 
 
+def test_one_index_a_shard_over_all_its_words(monkeypatch):
+    built = []
+
+    class Counted(FMIndex):
+        def __init__(self, symbols, sigma):
+            built.append(symbols)
+            super().__init__(symbols, sigma)
+
+    monkeypatch.setattr(decontamination, "FMIndex", Counted)
+    texts = [words_of(f"some words before k{i} k{i + 1} k{i + 2} and after") for i in range(30)] + [[]]
+    blocks = [phrases([(str(b), f"k{b} k{b + 1} k{b + 2}")], 3) for b in range(20)]
+    spans, items = search_shard(blocks, texts)
+    assert len(built) == 1
+    assert int((built[0] > 0).sum()) == sum(map(len, texts))
+    assert [s for s in spans] == [[(3, 6)]] * 20 + [[]] * 11
+    assert items == [[str(b)] for b in range(20)] + [[]] * 11
+
+
+def test_order_of_repeated_texts():
+    rng = np.random.default_rng(5)
+    for sigma in (2, 3, 50, 3_000_000):
+        run = rng.integers(1, sigma, 60)
+        text = np.concatenate([x for k in range(8) for x in (run[: 60 - k % 3], [0])])
+        separators = np.cumsum(text == 0)
+        key = [(0, int(separators[i])) if c == 0 else (1, int(c)) for i, c in enumerate(text)]
+        assert suffix_order(text).tolist() == sorted(range(len(text)), key=lambda i: key[i:])
+    assert suffix_order(np.zeros(0, np.int64)).tolist() == []
+
+
 def test_words_and_cuts():
     assert words_of("Ab-9é É_x") == ["ab", "9é".encode(), "É".encode(), "x"] or words_of("Ab-9é É_x") == [w.encode() for w in ("ab", "9é", "É", "x")]
     assert cut_words("a b c d e", [(1, 3)]) == "a \n d e"

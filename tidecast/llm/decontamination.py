@@ -2,25 +2,30 @@
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import saved
+from tidecast.sources.message_files import opened
+
+from .common import saved_at
 from .fm_index import FMIndex
 
-#: Bytes of benchmark text whose phrases go to the executors at a time; a larger benchmark takes several passes.
+#: Bytes of benchmark text that are searched at a time; a larger benchmark is a table of blocks.
 BLOCK_BYTES = 4 << 20
 #: A shard is indexed when it holds so many words.
-SHARD_WORDS = 1 << 22
-PAIR_BITS = 22
+SHARD_WORDS = 1 << 20
 
 # Lower-cases A-Z and turns ASCII bytes that belong to no word into spaces.
 FOLD = bytes(
@@ -37,107 +42,134 @@ def words_of(text: str) -> list[bytes]:
 class Phrases:
     """Distinct windows of a block of benchmark items."""
 
-    vocabulary: dict[bytes, int]  # from 1
+    vocabulary: list[bytes]
     by_length: dict[int, tuple[np.ndarray, np.ndarray]]  # length -> (windows, number of the group of items)
     groups: list[list[str]]  # items that share a window
-    pairs: np.ndarray  # hashed neighbours in windows
-    least: int  # shortest window
-
-    def pair_places(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        return ((a.astype(np.uint64) * np.uint64(0x9E3779B1) + b.astype(np.uint64) * np.uint64(0x85EBCA77)) >> np.uint64(7)) & np.uint64((1 << PAIR_BITS) - 1)
 
 
-def phrases(items: list[tuple[str | None, str | None]], window: int) -> Phrases:
+def phrases(items: Iterable[tuple[str | None, str | None]], window: int) -> Phrases:
     """Windows of ``window`` words; an item with fewer words, but some, is one window."""
     vocabulary: dict[bytes, int] = {}
     owners: dict[tuple[int, ...], set[str]] = defaultdict(set)
     for item, text in items:
-        ids = [vocabulary.setdefault(w, len(vocabulary) + 1) for w in words_of(text or "")]
+        ids = [vocabulary.setdefault(w, len(vocabulary)) for w in words_of(text or "")]
         for i in range(max(1, len(ids) - window + 1)) if ids else ():
             owners[tuple(ids[i : i + window])].update(() if item is None else (item,))
     groups: dict[frozenset[str], int] = {}
     lengths: dict[int, list[tuple[tuple[int, ...], int]]] = defaultdict(list)
     for key, own in owners.items():
         lengths[len(key)].append((key, groups.setdefault(frozenset(own), len(groups))))
-    by_length = {n: (np.array([k for k, _ in v], np.int64), np.array([g for _, g in v], np.int64)) for n, v in lengths.items()}
-    out = Phrases(vocabulary, by_length, [sorted(g) for g in groups], np.zeros(1 << PAIR_BITS, bool), min(by_length, default=0))
-    for windows, _ in by_length.values():
-        out.pairs[out.pair_places(windows[:, :-1].ravel(), windows[:, 1:].ravel())] = True
-    return out
+    by_length = {n: (np.array([k for k, _ in v], np.int32), np.array([g for _, g in v], np.int64)) for n, v in lengths.items()}
+    return Phrases(list(vocabulary), by_length, [sorted(g) for g in groups])
 
 
-def search_shard(own: Phrases, texts: list[np.ndarray]) -> tuple[list[list[tuple[int, int]]], list[list[str]]]:
-    """Per text (an array of vocabulary numbers, 0: none) the merged word ranges of all occurrences, and the items.
+def parts(block: Phrases) -> tuple:
+    return block.vocabulary, block.by_length, block.groups
 
-    Runs of words that can't hold a phrase, as some neighbours stand in no window, become
-    one separator; the rest is the shard's indexed sequence.
-    """
+
+@dataclass
+class Blocks:
+    """The benchmark's phrases for tasks: one block that is broadcast, or the files of a table of blocks."""
+
+    shared: Broadcast | None
+    path: str
+    shard_words: int
+
+    def each(self) -> Iterator[Phrases]:
+        if self.shared is not None:
+            yield Phrases(*self.shared.value)
+            return
+        system, folder = opened(self.path)
+        for info in sorted(system.get_file_info(fs.FileSelector(folder)), key=lambda f: f.path):
+            if info.path.endswith(".parquet"):
+                with system.open_input_file(info.path) as file:
+                    for batch in pq.ParquetFile(file).iter_batches(1, columns=["phrases"]):
+                        yield Phrases(*pickle.loads(batch.column(0)[0].as_py()))
+
+
+class Shard:
+    """An index of all words of some texts, over the words' own numbers."""
+
+    def __init__(self, texts: list[list[bytes]]):
+        self.numbers: dict[bytes, int] = {}
+        numbers = self.numbers
+        self.base = np.cumsum([0] + [len(t) + 1 for t in texts])
+        symbols = np.zeros(self.base[-1], np.int64)
+        for t, at in zip(texts, self.base.tolist()):
+            symbols[at : at + len(t)] = [numbers.setdefault(w, len(numbers) + 1) for w in t]
+        self.index = FMIndex(symbols, len(numbers) + 1)
+
+    def occurrences(self, block: Phrases) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(first word, word after the last, number of the group of items) of every window's occurrences."""
+        own = np.array([self.numbers.get(w, 0) for w in block.vocabulary], np.int64)
+        firsts, lasts, groups = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for length, (windows, group) in block.by_length.items():
+            here = own[windows]
+            known = np.flatnonzero((here > 0).all(1))
+            of, position = self.index.occurrences(here[known])
+            firsts.append(position)
+            lasts.append(position + length)
+            groups.append(group[known][of])
+        return np.concatenate(firsts), np.concatenate(lasts), np.concatenate(groups)
+
+
+def search_shard(blocks: Iterable[Phrases], texts: list[list[bytes]]) -> tuple[list[list[tuple[int, int]]], list[list[str]]]:
+    """Per text the merged word ranges of all occurrences, and the items; one index, whatever the blocks."""
     spans: list[list[tuple[int, int]]] = [[] for _ in texts]
-    found: list[list[str]] = [[] for _ in texts]
-    ids = np.concatenate([x for t in texts for x in (t, np.zeros(1, np.int64))]) if texts else np.zeros(0, np.int64)
-    if not own.by_length or not len(ids):
-        return spans, found
-    known = ids > 0
-    joins = np.zeros(len(ids), bool)  # to the word before
-    joins[1:] = known[1:] & known[:-1] & own.pairs[own.pair_places(ids[:-1], ids[1:])]
-    starts = np.flatnonzero(known & ~joins)
-    ends = np.flatnonzero(known & ~np.append(joins[1:], False)) + 1
-    long = ends - starts >= own.least
-    starts, ends = starts[long], ends[long]
-    if not len(starts):
-        return spans, found
-    sizes = ends - starts + 1  # with a separator
-    at = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(starts, sizes)
-    symbols = ids[at]
-    symbols[np.cumsum(sizes) - 1] = 0
-    index = FMIndex(symbols, len(own.vocabulary) + 1)
-
-    firsts, lasts, groups = [], [], []
-    for length, (windows, group) in own.by_length.items():
-        of, position = index.occurrences(windows)
-        firsts.append(at[position])
-        lasts.append(at[position] + length)
-        groups.append(group[of])
-    first, last, group = np.concatenate(firsts), np.concatenate(lasts), np.concatenate(groups)
-    if not len(first):
-        return spans, found
-
-    edge = np.bincount(first, minlength=len(ids) + 1) - np.bincount(last, minlength=len(ids) + 1)
+    items: list[set[str]] = [set() for _ in texts]
+    shard = Shard(texts)
+    size = int(shard.base[-1])
+    edge = np.zeros(size + 1, np.int64)
+    for block in blocks:
+        first, last, group = shard.occurrences(block)
+        edge += np.bincount(first, minlength=size + 1) - np.bincount(last, minlength=size + 1)
+        text = np.searchsorted(shard.base, first, "right") - 1
+        for key in np.unique(text * len(block.groups) + group).tolist():
+            items[key // len(block.groups)].update(block.groups[key % len(block.groups)])
     hit = np.concatenate([[False], np.cumsum(edge)[:-1] > 0, [False]])
     begins, stops = np.flatnonzero(hit[1:] & ~hit[:-1]), np.flatnonzero(~hit[1:] & hit[:-1])
-    base = np.cumsum([0] + [len(t) + 1 for t in texts])
-    for text, begin, stop in zip((np.searchsorted(base, begins, "right") - 1).tolist(), begins.tolist(), stops.tolist()):
-        spans[text].append((begin - int(base[text]), stop - int(base[text])))
-    text = np.searchsorted(base, first, "right") - 1
-    for key in np.unique(text * len(own.groups) + group).tolist():
-        found[key // len(own.groups)] += own.groups[key % len(own.groups)]
-    return spans, [sorted(set(x)) for x in found]
+    for text, begin, stop in zip((np.searchsorted(shard.base, begins, "right") - 1).tolist(), begins.tolist(), stops.tolist()):
+        spans[text].append((begin - int(shard.base[text]), stop - int(shard.base[text])))
+    return spans, [sorted(x) for x in items]
+
+
+def search(texts: Iterable[str | None], blocks: Blocks) -> Iterator[tuple[int, list[tuple[int, int]], list[str]]]:
+    """(words, ranges, items) of every text; texts are gathered to shards of a number of words."""
+    shard: list[list[bytes]] = []
+    held = 0
 
+    def found() -> Iterator[tuple[int, list[tuple[int, int]], list[str]]]:
+        yield from zip(map(len, shard), *search_shard(blocks.each(), shard))
 
-def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    out: list[tuple[int, int]] = []
-    for start, end in sorted(ranges):
-        if out and start <= out[-1][1]:
-            out[-1] = (out[-1][0], max(out[-1][1], end))
-        else:
-            out.append((start, end))
-    return out
+    for text in texts:
+        shard.append(words_of(text or ""))
+        held += len(shard[-1])
+        if held >= blocks.shard_words:
+            yield from found()
+            shard, held = [], 0
+    if shard:
+        yield from found()
 
 
 RANGES = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
 PA_RANGES = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
 
-def blocks_of(benchmark: DataFrame, window: int, item_col: str, text_col: str) -> Iterator[Phrases]:
-    """The benchmark's windows in blocks that fit the driver and the executors."""
+def blocks_of(benchmark: DataFrame, window: int, item_col: str, text_col: str) -> Blocks:
+    """The benchmark's windows in blocks of bounded text; equal items count once."""
     items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).cast("string").alias("text"))
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = -(-size // BLOCK_BYTES) or 1
-    if blocks > 1:
-        items = saved(items.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(blocks))), "benchmark")
-    for b in range(blocks):
-        rows = (items.where(F.col("block") == b) if blocks > 1 else items).select("item", "text").collect()
-        yield phrases([(r["item"], r["text"]) for r in rows], window)
+    count = -(-size // BLOCK_BYTES) or 1
+    if count == 1:
+        rows = [(r["item"], r["text"]) for r in items.collect()]
+        return Blocks(benchmark.sparkSession.sparkContext.broadcast(parts(phrases(rows, window))), "", SHARD_WORDS)
+
+    def block(rows: pa.Table) -> pa.Table:
+        found = phrases(zip(rows["item"].to_pylist(), rows["text"].to_pylist()), window)
+        return pa.table({"phrases": pa.array([pickle.dumps(parts(found))], pa.binary())})
+
+    numbered = items.distinct().withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(count)))
+    return Blocks(None, saved_at(numbered.groupBy("block").applyInArrow(block, "phrases binary"), "benchmark")[1], SHARD_WORDS)
 
 
 def benchmark_hits(
@@ -159,57 +191,26 @@ def benchmark_hits(
     give rows without hits or no rows.
 
     A map over the rows without an exchange: each task gathers texts to a shard of bounded
-    size, indexes it, and searches all windows of the block. A benchmark beyond
-    ``BLOCK_BYTES`` takes a pass for each of its blocks.
+    size, indexes all its words once, and searches all windows. A benchmark beyond
+    ``BLOCK_BYTES`` is a table of blocks, which tasks read one after another.
     """
-    first = [T.StructField("id", docs.schema[id_col].dataType), T.StructField("text", T.StringType())]
+    first = [T.StructField("id", docs.schema[id_col].dataType)]
     found = [T.StructField("n_words", T.LongType()), T.StructField("spans", RANGES), T.StructField("items", T.ArrayType(T.StringType()))]
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    for number, block in enumerate(blocks_of(benchmark, window, item_col, item_text_col)):
-        rows = rows.mapInArrow(_pass(rows, block, number > 0), T.StructType(first + found))
-    return rows.select(F.col("id").alias(id_col), "n_words", "spans", "items")
-
+    blocks = blocks_of(benchmark, window, item_col, item_text_col)
 
-def _pass(rows: DataFrame, block: Phrases, again: bool):
-    shared = rows.sparkSession.sparkContext.broadcast((block.vocabulary, block.by_length, block.groups, block.pairs, block.least))
-
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Phrases(*shared.value)
+    def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            counts: list[int] = []
-            spans: list[list[tuple[int, int]]] = []
-            items: list[list[str]] = []
-            shard: list[np.ndarray] = []
-            held = 0
-            number = own.vocabulary.get
-            for text in texts:
-                words = words_of(text or "")
-                counts.append(len(words))
-                ids = np.fromiter((number(w, 0) for w in words), np.int64, len(words))
-                held += len(ids)
-                shard.append(ids)
-                if held >= SHARD_WORDS:
-                    more = search_shard(own, shard)
-                    spans, items, shard, held = spans + more[0], items + more[1], [], 0
-            more = search_shard(own, shard)
-            spans, items = spans + more[0], items + more[1]
-            if again:
-                before = [[(r["start"], r["end"]) for r in x] for x in batch.column(3).to_pylist()]
-                spans = [merged(a + b) for a, b in zip(before, spans)]
-                items = [sorted(set(a) | set(b)) for a, b in zip(batch.column(4).to_pylist(), items)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    batch.column(1),
-                    pa.array(counts, pa.int64()),
-                    pa.array([[{"start": a, "end": b} for a, b in x] for x in spans], PA_RANGES),
-                    pa.array(items, pa.list_(pa.string())),
-                ],
-                names=["id", "text", "n_words", "spans", "items"],
-            )
-
-    return search
+            results = list(search(batch.column(1).to_pylist(), blocks))
+            columns = [
+                batch.column(0),
+                pa.array([n for n, _, _ in results], pa.int64()),
+                pa.array([[{"start": a, "end": b} for a, b in x] for _, x, _ in results], PA_RANGES),
+                pa.array([x for _, _, x in results], pa.list_(pa.string())),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "n_words", "spans", "items"])
+
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    return rows.mapInArrow(hits, T.StructType(first + found)).select(F.col("id").alias(id_col), "n_words", "spans", "items")
 
 
 def cut_words(text: str, ranges: list[tuple[int, int]], mark: str = "\n") -> str:
@@ -236,53 +237,21 @@ def without_benchmark(
     A cut leaves a line break. Rows are all kept, null texts stay null, the column of text
     lengths follows the new text if there is one, other columns pass through whatever
     their names. The word ranges of all blocks of a benchmark are gathered on the text as
-    given; the last block's pass cuts them at once.
+    given, then cut at once.
     """
     names = docs.columns
     text_at, chars_at = names.index(text_col), names.index(chars_col) if chars_col in names else None
-    held = next(f"spans_{i}" for i in range(len(names) + 1) if f"spans_{i}" not in {n.lower() for n in names})
-    gathered = T.StructType([*docs.schema.fields, T.StructField(held, RANGES)])
-    rows, number, blocks = docs, 0, blocks_of(benchmark, window, item_col, item_text_col)
-    block = next(blocks)
-    while block is not None:
-        after = next(blocks, None)
-        schema = docs.schema if after is None else gathered
-        rows = rows.mapInArrow(_cut(rows, block, text_at, chars_at, held, number > 0, after is None), schema)
-        block, number = after, number + 1
-    return rows
-
-
-def _cut(docs: DataFrame, block: Phrases, text_at: int, chars_at: int | None, held_col: str, again: bool, last: bool):
-    """Adds the block's ranges to those of the blocks before it, the last column; the last block cuts instead."""
-    shared = docs.sparkSession.sparkContext.broadcast((block.vocabulary, block.by_length, block.groups, block.pairs, block.least))
+    blocks = blocks_of(benchmark, window, item_col, item_text_col)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Phrases(*shared.value)
-        number = own.vocabulary.get
         for batch in batches:
-            columns, fields = list(batch.columns), list(batch.schema)
+            columns = list(batch.columns)
             texts = columns[text_at].to_pylist()
-            ids = [np.array([number(w, 0) for w in words_of(t or "")], np.int64) for t in texts]
-            spans: list[list[tuple[int, int]]] = []
-            begin, held = 0, 0
-            for i, x in enumerate(ids):
-                held += len(x)
-                if held >= SHARD_WORDS or i == len(ids) - 1:
-                    spans += search_shard(own, ids[begin : i + 1])[0]
-                    begin, held = i + 1, 0
-            if again:
-                before = [[(r["start"], r["end"]) for r in x] for x in columns.pop().to_pylist()]
-                spans = [merged(a + b) for a, b in zip(before, spans)]
-                fields.pop()
-            if last:
-                new = [cut_words(t, s) if s else t for t, s in zip(texts, spans)]
-                columns[text_at] = pa.array(new, columns[text_at].type)
-                if chars_at is not None:
-                    given = columns[chars_at].to_pylist()
-                    columns[chars_at] = pa.array([len(t) if s else g for g, t, s in zip(given, new, spans)], columns[chars_at].type)
-            else:
-                columns.append(pa.array([[{"start": a, "end": b} for a, b in x] for x in spans], PA_RANGES))
-                fields.append(pa.field(held_col, PA_RANGES))
-            yield pa.RecordBatch.from_arrays(columns, schema=pa.schema(fields))
-
-    return cut
+            new = [cut_words(t, spans) if spans else t for t, (_, spans, _) in zip(texts, search(texts, blocks))]
+            columns[text_at] = pa.array(new, columns[text_at].type)
+            if chars_at is not None:
+                given = columns[chars_at].to_pylist()
+                columns[chars_at] = pa.array([g if t is o else len(t) for g, t, o in zip(given, new, texts)], columns[chars_at].type)
+            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
+
+    return docs.mapInArrow(cut, docs.schema)

@@ -6,24 +6,50 @@ import numpy as np
 
 
 def suffix_order(symbols: np.ndarray) -> np.ndarray:
-    """Suffix array by prefix doubling. Zeros are separators, each smaller than the next one."""
+    """Suffix array by prefix doubling. Zeros are separators, each smaller than the next one.
+
+    A rank is the first place of a suffix's group; after the first sort, by three symbols or two,
+    only suffixes that still share a group are sorted again.
+    """
     n = len(symbols)
     zeros = symbols == 0
-    rank = np.where(zeros, np.cumsum(zeros) - 1, symbols.astype(np.int64) + int(zeros.sum()))
-    step = 1
-    while True:
-        following = np.zeros(n, np.int64)
-        following[: max(0, n - step)] = rank[step:] + 1
-        key = rank * (int(rank.max(initial=0)) + n + 2) + following
-        order = np.argsort(key, kind="stable")
-        apart = np.empty(n, bool)
-        apart[:1] = True
-        apart[1:] = key[order[1:]] != key[order[:-1]]
-        rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(apart) - 1
-        if apart.all():
-            return order
+    rank = np.where(zeros, np.cumsum(zeros) - 1, symbols.astype(np.int64) + int(zeros.sum())) + 1
+    bits = int(rank.max(initial=1)).bit_length()
+    step = 3 if bits <= 20 else 2
+    key = rank.copy()
+    for k in range(1, step):
+        key <<= bits
+        key[: max(0, n - k)] |= rank[k:]
+    order = np.argsort(key)
+    places = np.arange(n)
+    groups = _starts(key[order], places)
+    rank[order] = groups
+    active = _shared(groups)
+    while len(active):
+        suffixes = order[active]
+        after = suffixes + step
+        following = np.where(after < n, rank[np.minimum(after, n - 1)] + 1, 0)
+        key = rank[suffixes] * (n + 1) + following
+        sort = np.argsort(key)
+        order[active] = suffixes[sort]
+        groups = _starts(key[sort], active)
+        rank[order[active]] = groups
+        active = active[_shared(groups)]
         step *= 2
+    return order
+
+
+def _starts(keys: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """For each of the sorted keys the place of the first equal one."""
+    first = np.ones(len(keys), bool)
+    first[1:] = keys[1:] != keys[:-1]
+    return places[np.flatnonzero(first)][np.cumsum(first) - 1]
+
+
+def _shared(groups: np.ndarray) -> np.ndarray:
+    """Where a group has more than one member."""
+    same = groups[1:] == groups[:-1]
+    return np.flatnonzero(np.append(same, False) | np.append(False, same)) if len(groups) else np.zeros(0, np.int64)
 
 
 class WaveletMatrix:
@@ -66,13 +92,15 @@ class FMIndex:
         self.positions = order[kept]
 
     def ranges(self, patterns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Suffix ranges of the rows of ``patterns``, by backward search."""
+        """Suffix ranges of the rows of ``patterns``, by backward search; those without any drop out on the way."""
         low = np.zeros(len(patterns), np.int64)
         high = np.full(len(patterns), self.size, np.int64)
+        todo = np.arange(len(patterns))
         for j in range(patterns.shape[1] - 1, -1, -1):
-            c = patterns[:, j]
-            low = self.before[c] + self.matrix.rank(c, low)
-            high = self.before[c] + self.matrix.rank(c, high)
+            c = patterns[todo, j]
+            low[todo] = self.before[c] + self.matrix.rank(c, low[todo])
+            high[todo] = self.before[c] + self.matrix.rank(c, high[todo])
+            todo = todo[low[todo] < high[todo]]
         return low, high
 
     def locate(self, rows: np.ndarray) -> np.ndarray:
