@@ -249,6 +249,25 @@ def test_a_failed_write_changes_nothing(spark, frame, tmp_path, monkeypatch):
     assert current() == rows | {"k2": -2}
 
 
+def test_new_rows_are_worked_out_once_a_write(spark, frame, tmp_path):
+    """Buckets, anti-join and write read the same rows, though making them twice gives others."""
+    path, made = tmp_path / "keyed", spark.sparkContext.accumulator(0)
+
+    def counted(row):
+        made.add(1)
+        return row
+
+    def rows(n):
+        seen = spark.createDataFrame(spark.sparkContext.parallelize([(i,) for i in range(n)], 2).map(counted), "v long")
+        return seen.select(F.expr("uuid()").alias("k"), "v")
+
+    for n in (40, 25):
+        sinks.upsert_keyed(rows(n), str(path), ["k"])
+    assert made.value == 65
+    assert sinks.read_keyed(spark, str(path)).count() == 65
+    assert not list(path.glob("_staged*"))
+
+
 def test_null_keys_and_old_versions(spark, frame, tmp_path):
     table = str(tmp_path / "keyed")
     for v in range(3):

@@ -221,7 +221,11 @@ def unique_rows(rows: DataFrame, on: Sequence[str], order: str | None = None) ->
 
 def upsert(old: DataFrame, new: DataFrame, on: Sequence[str], order: str | None = None) -> DataFrame:
     """Rows of ``old`` whose key is not in ``new``, plus ``new``, whose keys are made unique by ``unique_rows``."""
-    new = unique_rows(new, on, order)
+    return replaced(old, unique_rows(new, on, order), on)
+
+
+def replaced(old: DataFrame, new: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Rows of ``old`` whose key is not in ``new``, plus ``new``, whose keys are unique."""
     return old.join(new.select(*on), [*on], "left_anti").unionByName(new)
 
 

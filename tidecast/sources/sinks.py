@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidecast.operators.weekly import unique_rows, upsert
+from tidecast.operators.weekly import replaced, unique_rows
 
 
 def write_committed(df: DataFrame, path: str, info: dict | None = None, keep: int = 2) -> dict:
@@ -92,7 +92,7 @@ def table_or_none(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-MANIFEST = "_manifest"
+MANIFEST, STAGED = "_manifest", "_staged"
 BUCKETS = 32
 
 
@@ -185,7 +185,8 @@ def upsert_keyed(
     a new name; then a manifest that lists the folders of all buckets makes the version. Without it
     nothing has changed, so a failed write leaves the table as it was, and its folders are
     removed by a later one. A bucket is one task, so there should be enough of them. One job may write at a
-    time; a second one fails when it commits.
+    time; a second one fails when it commits. The new rows are worked out once: made unique they go
+    to a hidden folder of the table, from which the three steps of the write read them.
 
     Of several new rows of a key the one with the largest ``order`` counts; without an order
     column a doubled key is an error. ``newest_first`` is the column to read the table by. The newest ``keep``
@@ -199,10 +200,13 @@ def upsert_keyed(
     def bucket(rows: DataFrame) -> DataFrame:
         return rows.withColumn("_bucket", F.pmod(F.xxhash64(*on), F.lit(content["buckets"])).cast("int"))
 
-    touched = sorted(r[0] for r in bucket(new).select("_bucket").distinct().collect())
-    old = _rows(spark, path, content, touched)
-    rows = unique_rows(new, on, order) if old is None else upsert(old, new, on, order)
     name = f"{version:010d}-{uuid.uuid4().hex[:12]}"
+    unique = unique_rows(new, on, order)
+    unique.write.parquet(f"{path}/{STAGED}/{name}")
+    staged = spark.read.schema(unique.schema).parquet(f"{path}/{STAGED}/{name}")
+    touched = sorted(r[0] for r in bucket(staged).select("_bucket").distinct().collect())
+    old = _rows(spark, path, content, touched)
+    rows = staged if old is None else replaced(old, staged, on)
     placed = bucket(rows).withColumn("_version", F.lit(name)).repartition(max(1, len(touched)), "_bucket")
     placed.write.mode("append").partitionBy("_bucket", "_version").parquet(path)
     folders = content["folders"] | {str(b): f"_bucket={b}/_version={name}" for b in touched}
@@ -212,8 +216,9 @@ def upsert_keyed(
 
 
 def _tidy(spark: SparkSession, path: str, keep: int) -> None:
-    """Remove old manifests and the folders that none of the others lists, those of failed writes too."""
+    """Remove old manifests, the folders that none of the others lists, those of failed writes too, and staged rows."""
     store, base = _folder(spark, path)
+    store.delete(_folder(spark, f"{path}/{STAGED}")[1], True)
     found = versions(spark, path)
     used = {f for v in found[-keep:] for f in manifest(spark, path, v)["folders"].values()}
     for version in found[:-keep]:
