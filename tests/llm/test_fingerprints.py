@@ -87,6 +87,18 @@ def test_a_group_that_fails_gets_a_larger_sketch(spark):
     assert got["first"] is None and {x["k"] for x in got["again"]} == set(items)
 
 
+def test_a_group_lists_its_filled_cells_only(spark):
+    """Peeling tries no cell without digests, and digests that both sides have leave none."""
+    left, right = [1 << 62 | 3, -5, 7 << 20 | 1 << 10, 12345678901], [-5, 101]
+    rows = spark.createDataFrame([(left, right), (left, left), ([], [])], "l array<bigint>, r array<bigint>")
+    sketch = fingerprints._sketch_less("l", "r", fingerprints.CELLS_OF_GROUP, fingerprints.SHIFTS_OF_GROUP)
+    found = fingerprints._peeled(sketch, fingerprints.CELLS_OF_GROUP, fingerprints.SHIFTS_OF_GROUP)
+    got, same, empty = rows.select(F.expr(sketch).alias("s"), F.expr(found).alias("found")).collect()
+    assert all(1 <= len(t) <= 4 for t in got["s"]) and not any([*same["s"], *empty["s"]])
+    assert {(d["k"], d["n"]) for d in got["found"]} == {(k, 1) for k in left if k != -5} | {(101, -1)}
+    assert same["found"] == empty["found"] == []
+
+
 def test_one_document_is_its_own_next(make_docs):
     (row,) = edited_fingerprints(make_docs([(1, "Aa bb cc dd. Ee ff.")])).collect()
     assert row["near_next"] == 1.0

@@ -24,8 +24,8 @@ ROUNDS = 12
 
 
 def _let(value: str, name: str, body: str) -> str:
-    """SQL that computes ``value`` once and uses it by name."""
-    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
+    """SQL that computes ``value`` once and uses it by name; ``transform`` would copy the result, cell by cell."""
+    return f"aggregate(cast(array() as array<int>), {value}, (kept, _) -> kept, {name} -> {body})"
 
 
 def digests(text: Column) -> Column:
@@ -43,57 +43,80 @@ def _tables(make) -> str:
     return "named_struct(" + ", ".join(f"'{t}', {make(t, j)}" for j, t in enumerate(TABLES)) + ")"
 
 
-def _dealt(items: str, places: str) -> str:
-    """SQL of the arrays into which digests are dealt, by the bit at each place of the array ``places`` in turn."""
-    halves = "transform(array(0L, 1L), g -> filter(p, x -> (shiftrightunsigned(x, b) & 1L) = g))"
-    return f"aggregate({places}, array({items}), (held, b) -> flatten(transform(held, p -> {halves})))"
+def _dealt(items: str, bits: str) -> str:
+    """SQL of the arrays into which digests are dealt, by each bit of the array ``bits``, longs with one bit set, in turn."""
+    halves = "array(filter(p, x -> (x & b) = 0L), filter(p, x -> (x & b) <> 0L))"
+    return f"aggregate({bits}, array({items}), (held, b) -> flatten(transform(held, p -> {halves})))"
 
 
+def _own(key: str, cells: int, shift: int) -> str:
+    """SQL of the bits of a digest that choose its cell, left in their place: the cell's ``i`` in a list of filled cells."""
+    return f"({key} & {(cells - 1) << shift}L)"
+
+
+FILLED = "c -> c.n <> 0 or c.k <> 0 or c.c <> 0"
 ADD = "(a, x) -> named_struct('n', a.n + 1, 'k', a.k ^ x, 'c', a.c ^ xxhash64(x))"
 
 
 def _text_sketch(items: str) -> str:
     """SQL of the sketch of a text's digests: for each cell the count, the keys' and the checks' XOR."""
-    bits = CELLS.bit_length() - 1
-    cells = [_dealt(items, f"sequence({shift + bits - 1}, {shift})") for shift in SHIFTS]
+    bits = range(CELLS.bit_length() - 2, -1, -1)
+    cells = [_dealt(items, "array(" + ", ".join(f"{1 << shift + bit}L" for bit in bits) + ")") for shift in SHIFTS]
     return _tables(lambda _, j: f"transform({cells[j]}, q -> aggregate(q, {NONE}, {ADD}))")
 
 
 def _sketch_less(left: str, right: str, cells: int, shifts: tuple[int, ...]) -> str:
-    """SQL of the sketch of a few digests less that of others: each cell takes in the first and gives off the second."""
-    of_cell = "filter({}, x -> (shiftright(x, {}) & " + str(cells - 1) + "L) = i)"
-    take = ADD.replace("a.n + 1", "a.n - 1")
-    return _tables(
-        lambda _, j: f"transform(sequence(0L, {cells - 1}L), i -> aggregate({of_cell.format(right, shifts[j])}, aggregate({of_cell.format(left, shifts[j])}, {NONE}, {ADD}), {take}))"
-    )
+    """SQL of the sketch of a few digests less that of others: each cell takes in the first and gives off the second.
+
+    Only the filled cells are listed; ``flatten`` joins arrays with less work than ``concat``.
+    """
+    signed = "transform({}, x -> named_struct('n', {}, 'k', x, 'c', xxhash64(x)))"
+    add = "(a, x) -> named_struct('i', a.i, 'n', a.n + x.n, 'k', a.k ^ x.k, 'c', a.c ^ x.c)"
+
+    def table(_: str, j: int) -> str:
+        own = _own("x.k", cells, shifts[j])
+        cell = f"aggregate(filter(z, x -> {own} = i), named_struct('i', i, 'n', 0, 'k', 0L, 'c', 0L), {add})"
+        return f"filter(transform(array_distinct(transform(z, x -> {own})), i -> {cell}), {FILLED})"
+
+    return _let(f"flatten(array({signed.format(left, 1)}, {signed.format(right, -1)}))", "z", _tables(table))
 
 
 def _minus(left: str, right: str) -> str:
-    """SQL of one sketch less another, cell by cell."""
+    """SQL of one text's sketch less another's, cell by cell; only the filled cells are listed."""
     less = "(a, b) -> named_struct('n', a.n - b.n, 'k', a.k ^ b.k, 'c', a.c ^ b.c)"
-    return _tables(lambda t, _: f"zip_with({left}.{t}, {right}.{t}, {less})")
+    placed = "(c, i) -> named_struct('i', shiftleft(cast(i as bigint), {}), 'n', c.n, 'k', c.k, 'c', c.c)"
+    return _tables(lambda t, j: f"filter(transform(zip_with({left}.{t}, {right}.{t}, {less}), {placed.format(SHIFTS[j])}), {FILLED})")
 
 
 def _peeled(cells: str, size: int, shifts: tuple[int, ...]) -> str:
     """SQL of the differing digests (k, n: +1 left, -1 right) of a subtracted sketch; null if it doesn't peel.
 
-    Every round takes the cells with one digest, whose check fits its key, and takes those
-    digests out of all their cells; a round without any is the last.
+    Every round takes the cells with one digest, whose check fits its key, each digest from the
+    first table that has it so, and takes those digests out of all their cells. A cell left empty
+    leaves the list; a round without any digest is the last.
     """
-    one = "c -> abs(c.n) = 1 and xxhash64(c.k) = c.c"
-    pure = "array_distinct(transform(concat(" + ", ".join(f"filter(s.{t}, {one})" for t in TABLES) + "), c -> named_struct('k', c.k, 'n', c.n)))"
+    one = "abs(c.n) = 1 and xxhash64(c.k) = c.c"
+
+    def pure(body: str) -> str:
+        first, second, third = (f"filter(s.{t}, c -> {one}{{}})" for t in TABLES)
+        new = " and not exists({}, q -> q.k = c.k)"
+        every = f"flatten(array(f, g, {third.format(new.format('f') + new.format('g'))}))"
+        return _let(first.format(""), "f", _let(second.format(new.format("f")), "g", _let(every, "p", body)))
 
     def taken(t: str, j: int) -> str:
-        less = "(a, q) -> named_struct('n', a.n - q.n, 'k', a.k ^ q.k, 'c', a.c ^ xxhash64(q.k))"
-        return f"transform(s.{t}, (c, i) -> aggregate(filter(p, q -> (shiftright(q.k, {shifts[j]}) & {size - 1}L) = i), c, {less}))"
+        less = "(a, q) -> named_struct('i', a.i, 'n', a.n - q.n, 'k', a.k ^ q.k, 'c', a.c ^ q.c)"
+        own = _own("q.k", size, shifts[j])
+        cell = f"if(array_contains(h, c.i), aggregate(filter(p, q -> {own} = c.i), c, {less}), c)"
+        return _let(f"transform(p, q -> {own})", "h", f"filter(transform(s.{t}, c -> {cell}), {FILLED})")
 
     def state(make, found: str, done: str) -> str:
         return "named_struct(" + ", ".join(f"'{t}', {make(t, j)}" for j, t in enumerate(TABLES)) + f", 'found', {found}, 'done', {done})"
 
-    step = _let(pure, "p", f"if(size(p) = 0, {state(lambda t, _: f's.{t}', 's.found', 'true')}, {state(taken, 'concat(s.found, p)', 'false')})")
-    start = _let(cells, "z", state(lambda t, _: f"z.{t}", "cast(array() as array<struct<k: bigint, n: int>>)", "false"))
-    left = " or ".join(f"exists(s.{t}, c -> c.n <> 0 or c.k <> 0 or c.c <> 0)" for t in TABLES)
-    return f"aggregate(sequence(1, {ROUNDS}), {start}, (s, r) -> if(s.done, s, {step}), s -> if({left}, null, s.found))"
+    step = pure(f"if(size(p) = 0, {state(lambda t, _: f's.{t}', 's.found', 'true')}, {state(taken, 'flatten(array(s.found, p))', 'false')})")
+    start = _let(cells, "z", state(lambda t, _: f"z.{t}", "cast(array() as array<struct<i: bigint, n: int, k: bigint, c: bigint>>)", "false"))
+    left = " or ".join(f"size(s.{t}) > 0" for t in TABLES)
+    found = "transform(s.found, q -> named_struct('k', q.k, 'n', q.n))"
+    return f"aggregate(sequence(1, {ROUNDS}), {start}, (s, r) -> if(s.done, s, {step}), s -> if({left}, null, {found}))"
 
 
 def _exact(left: str, right: str) -> str:
@@ -119,8 +142,8 @@ def _difference(left: str, right: str, left_cells: str, right_cells: str) -> str
     found = f"coalesce({tried(CELLS_OF_GROUP, SHIFTS_OF_GROUP)}, {tried(CELLS_AGAIN, SHIFTS_AGAIN)}, {_exact('l', 'r')})"
     groups = f"zip_with({_dealt(left, 'd')}, {_dealt(right, 'd')}, (l, r) -> if(size(l) + size(r) = 0, {nothing}, {found}))"
     steps = f"cast(least({STEPS}, greatest(0, ceil(log2(greatest(1, (size({left}) + size({right})) / {GROUP}))))) as int)"
-    places = f"slice(sequence(63, {64 - STEPS}), 1, {steps})"
-    return f"coalesce({first}, {_let(places, 'd', f'flatten({groups})')})"
+    bits = f"transform(slice(sequence(63, {64 - STEPS}), 1, {steps}), b -> shiftleft(1L, b))"
+    return f"coalesce({first}, {_let(bits, 'd', f'flatten({groups})')})"
 
 
 def _likeness(found: Column, left: Column, right: Column) -> Column:
