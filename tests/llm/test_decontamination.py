@@ -1,5 +1,6 @@
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -125,6 +126,40 @@ def test_one_index_a_shard_over_all_its_words(monkeypatch):
     assert items == [[str(b)] for b in range(20)] + [[]] * 11
 
 
+def test_memory_of_a_shard_by_its_words():
+    # the tasks of an executor each hold a shard beside its heap
+    rng = random.Random(11)
+    words = [f"word{i}" for i in range(20_000)]
+    passage = " ".join(words[:12])
+    texts = [" ".join(rng.choices(words, k=400)) for _ in range(500)] + [passage]
+
+    class Given:
+        shard_words = 1 << 20
+
+        def each(self):
+            yield phrases([("7", passage)], 10)
+
+    list(decontamination.search(iter(texts[:5]), Given()))
+    tracemalloc.start()
+    results = list(decontamination.search(iter(texts), Given()))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert results[-1] == (12, [(0, 12)], ["7"]) and [n for n, _, _ in results[:500]] == [400] * 500
+    assert peak < 80 * 200_000
+
+
+def test_batches_are_cut_a_few_texts_at_a_time(make_docs, spark, corpus, monkeypatch):
+    docs, items = corpus
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    frame = make_docs([*docs, (70, None), (71, "")], clashing=True).repartition(1)
+    whole = rows_of(without_benchmark(frame, bench))
+    monkeypatch.setattr(decontamination, "TEXTS_HELD", 7)
+    monkeypatch.setattr(decontamination, "WINDOWS_HELD", 3)
+    monkeypatch.setattr(decontamination, "SHARD_WORDS", 100)
+    assert rows_of(without_benchmark(frame, bench)) == whole
+    assert flat(benchmark_hits(frame, bench)) == brute([*docs, (70, None), (71, "")], items, 10)
+
+
 def test_order_of_repeated_texts():
     rng = np.random.default_rng(5)
     for sigma in (2, 3, 50, 3_000_000):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pickle
 import re
+from array import array
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -26,6 +27,9 @@ from .fm_index import FMIndex
 BLOCK_BYTES = 4 << 20
 #: A shard is indexed when it holds so many words.
 SHARD_WORDS = 1 << 20
+#: Texts that are taken out of a batch, and windows that are looked up, at a time.
+TEXTS_HELD = 256
+WINDOWS_HELD = 1 << 16
 
 # Lower-cases A-Z and turns ASCII bytes that belong to no word into spaces.
 FOLD = bytes(
@@ -88,67 +92,85 @@ class Blocks:
 
 
 class Shard:
-    """An index of all words of some texts, over the words' own numbers."""
+    """All words of some texts by the words' own numbers; a word's bytes are held once, whatever its occurrences."""
 
-    def __init__(self, texts: list[list[bytes]]):
+    def __init__(self, texts: Iterable[list[bytes]] = ()):
         self.numbers: dict[bytes, int] = {}
+        self.symbols = array("i")
+        self.base = array("q", [0])
+        for words in texts:
+            self.add(words)
+
+    def add(self, words: list[bytes]) -> None:
         numbers = self.numbers
-        self.base = np.cumsum([0] + [len(t) + 1 for t in texts])
-        symbols = np.zeros(self.base[-1], np.int64)
-        for t, at in zip(texts, self.base.tolist()):
-            symbols[at : at + len(t)] = [numbers.setdefault(w, len(numbers) + 1) for w in t]
-        self.index = FMIndex(symbols, len(numbers) + 1)
-
-    def occurrences(self, block: Phrases) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(first word, word after the last, number of the group of items) of every window's occurrences."""
-        own = np.array([self.numbers.get(w, 0) for w in block.vocabulary], np.int64)
-        firsts, lasts, groups = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        self.symbols.fromlist([numbers.setdefault(w, len(numbers) + 1) for w in words])
+        self.symbols.append(0)
+        self.base.append(len(self.symbols))
+
+    def words(self) -> int:
+        return len(self.symbols) - len(self.base) + 1
+
+    def index(self) -> FMIndex:
+        return FMIndex(np.frombuffer(self.symbols, np.intc), len(self.numbers) + 1)
+
+    def occurrences(self, index: FMIndex, block: Phrases) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(first word, word after the last, number of the group of items) of every window's occurrences, in runs of windows."""
+        own = np.fromiter((self.numbers.get(w, 0) for w in block.vocabulary), np.int32, len(block.vocabulary))
         for length, (windows, group) in block.by_length.items():
-            here = own[windows]
-            known = np.flatnonzero((here > 0).all(1))
-            of, position = self.index.occurrences(here[known])
-            firsts.append(position)
-            lasts.append(position + length)
-            groups.append(group[known][of])
-        return np.concatenate(firsts), np.concatenate(lasts), np.concatenate(groups)
+            for at in range(0, len(windows), WINDOWS_HELD):
+                here = own[windows[at : at + WINDOWS_HELD]]
+                known = np.flatnonzero((here > 0).all(1))
+                of, position = index.occurrences(here[known])
+                yield position, position + length, group[known[of] + at]
 
 
-def search_shard(blocks: Iterable[Phrases], texts: list[list[bytes]]) -> tuple[list[list[tuple[int, int]]], list[list[str]]]:
+def search_shard(blocks: Iterable[Phrases], texts: Shard | Iterable[list[bytes]]) -> tuple[list[list[tuple[int, int]]], list[list[str]]]:
     """Per text the merged word ranges of all occurrences, and the items; one index, whatever the blocks."""
-    spans: list[list[tuple[int, int]]] = [[] for _ in texts]
-    items: list[set[str]] = [set() for _ in texts]
-    shard = Shard(texts)
-    size = int(shard.base[-1])
-    edge = np.zeros(size + 1, np.int64)
+    shard = texts if isinstance(texts, Shard) else Shard(texts)
+    base = np.frombuffer(shard.base, np.int64)
+    spans: list[list[tuple[int, int]]] = [[] for _ in base[1:]]
+    items: list[set[str]] = [set() for _ in base[1:]]
+    edge = np.zeros(int(base[-1]) + 1, np.int32)
+    index = shard.index()
     for block in blocks:
-        first, last, group = shard.occurrences(block)
-        edge += np.bincount(first, minlength=size + 1) - np.bincount(last, minlength=size + 1)
-        text = np.searchsorted(shard.base, first, "right") - 1
-        for key in np.unique(text * len(block.groups) + group).tolist():
-            items[key // len(block.groups)].update(block.groups[key % len(block.groups)])
-    hit = np.concatenate([[False], np.cumsum(edge)[:-1] > 0, [False]])
+        for first, last, group in shard.occurrences(index, block):
+            np.add.at(edge, first, 1)
+            np.subtract.at(edge, last, 1)
+            text = np.searchsorted(base, first, "right") - 1
+            for key in np.unique(text * len(block.groups) + group).tolist():
+                items[key // len(block.groups)].update(block.groups[key % len(block.groups)])
+    hit = np.concatenate([[False], np.cumsum(edge, dtype=np.int32)[:-1] > 0, [False]])
     begins, stops = np.flatnonzero(hit[1:] & ~hit[:-1]), np.flatnonzero(~hit[1:] & hit[:-1])
-    for text, begin, stop in zip((np.searchsorted(shard.base, begins, "right") - 1).tolist(), begins.tolist(), stops.tolist()):
-        spans[text].append((begin - int(shard.base[text]), stop - int(shard.base[text])))
+    for text, begin, stop in zip((np.searchsorted(base, begins, "right") - 1).tolist(), begins.tolist(), stops.tolist()):
+        spans[text].append((begin - int(base[text]), stop - int(base[text])))
     return spans, [sorted(x) for x in items]
 
 
 def search(texts: Iterable[str | None], blocks: Blocks) -> Iterator[tuple[int, list[tuple[int, int]], list[str]]]:
-    """(words, ranges, items) of every text; texts are gathered to shards of a number of words."""
-    shard: list[list[bytes]] = []
-    held = 0
+    """(words, ranges, items) of every text; texts are gathered to shards of a number of words.
+
+    Of a shard only its words' numbers are held, and nothing when its results are handed on.
+    """
+    shard = Shard()
 
     def found() -> Iterator[tuple[int, list[tuple[int, int]], list[str]]]:
-        yield from zip(map(len, shard), *search_shard(blocks.each(), shard))
+        counts = (np.diff(np.frombuffer(shard.base, np.int64)) - 1).tolist()
+        return zip(counts, *search_shard(blocks.each(), shard))
 
     for text in texts:
-        shard.append(words_of(text or ""))
-        held += len(shard[-1])
-        if held >= blocks.shard_words:
-            yield from found()
-            shard, held = [], 0
-    if shard:
-        yield from found()
+        shard.add(words_of(text or ""))
+        if shard.words() >= blocks.shard_words:
+            results, shard = found(), Shard()
+            yield from results
+    if len(shard.base) > 1:
+        results, shard = found(), Shard()
+        yield from results
+
+
+def texts_in(column: pa.Array) -> Iterator[str | None]:
+    """The texts of a batch, a few at a time."""
+    for at in range(0, len(column), TEXTS_HELD):
+        yield from column.slice(at, TEXTS_HELD).to_pylist()
 
 
 RANGES = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
@@ -200,7 +222,7 @@ def benchmark_hits(
 
     def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            results = list(search(batch.column(1).to_pylist(), blocks))
+            results = list(search(texts_in(batch.column(1)), blocks))
             columns = [
                 batch.column(0),
                 pa.array([n for n, _, _ in results], pa.int64()),
@@ -245,13 +267,15 @@ def without_benchmark(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = list(batch.columns)
-            texts = columns[text_at].to_pylist()
-            new = [cut_words(t, spans) if spans else t for t, (_, spans, _) in zip(texts, search(texts, blocks))]
-            columns[text_at] = pa.array(new, columns[text_at].type)
-            if chars_at is not None:
-                given = columns[chars_at].to_pylist()
-                columns[chars_at] = pa.array([g if t is o else len(t) for g, t, o in zip(given, new, texts)], columns[chars_at].type)
-            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
+            found = search(texts_in(batch.column(text_at)), blocks)
+            for at in range(0, batch.num_rows, TEXTS_HELD):
+                columns = list(batch.slice(at, TEXTS_HELD).columns)
+                texts = columns[text_at].to_pylist()
+                new = [cut_words(t, spans) if spans else t for t, (_, spans, _) in zip(texts, found)]
+                columns[text_at] = pa.array(new, columns[text_at].type)
+                if chars_at is not None:
+                    given = columns[chars_at].to_pylist()
+                    columns[chars_at] = pa.array([g if t is o else len(t) for g, t, o in zip(given, new, texts)], columns[chars_at].type)
+                yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
     return docs.mapInArrow(cut, docs.schema)

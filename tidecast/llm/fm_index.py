@@ -9,27 +9,31 @@ def suffix_order(symbols: np.ndarray) -> np.ndarray:
     """Suffix array by prefix doubling. Zeros are separators, each smaller than the next one.
 
     A rank is the first place of a suffix's group; after the first sort, by three symbols or two,
-    only suffixes that still share a group are sorted again.
+    only suffixes that still share a group are sorted again. Places and ranks are of 32 bits.
     """
     n = len(symbols)
     zeros = symbols == 0
-    rank = np.where(zeros, np.cumsum(zeros) - 1, symbols.astype(np.int64) + int(zeros.sum())) + 1
+    rank = symbols.astype(np.int32)
+    rank += np.int32(np.count_nonzero(zeros) + 1)
+    rank[zeros] = np.arange(1, np.count_nonzero(zeros) + 1)
     bits = int(rank.max(initial=1)).bit_length()
     step = 3 if bits <= 20 else 2
-    key = rank.copy()
+    key = rank.astype(np.int64)
     for k in range(1, step):
         key <<= bits
         key[: max(0, n - k)] |= rank[k:]
-    order = np.argsort(key)
-    places = np.arange(n)
-    groups = _starts(key[order], places)
+    order = np.argsort(key).astype(np.int32)
+    key = key[order]
+    groups = _starts(key, np.arange(n, dtype=np.int32))
+    del key
     rank[order] = groups
     active = _shared(groups)
+    del groups
     while len(active):
         suffixes = order[active]
-        after = suffixes + step
-        following = np.where(after < n, rank[np.minimum(after, n - 1)] + 1, 0)
-        key = rank[suffixes] * (n + 1) + following
+        key = rank[suffixes].astype(np.int64) * (n + 1)
+        inside = np.flatnonzero(suffixes < n - step)
+        key[inside] += rank[suffixes[inside] + step] + 1
         sort = np.argsort(key)
         order[active] = suffixes[sort]
         groups = _starts(key[sort], active)
@@ -43,13 +47,31 @@ def _starts(keys: np.ndarray, places: np.ndarray) -> np.ndarray:
     """For each of the sorted keys the place of the first equal one."""
     first = np.ones(len(keys), bool)
     first[1:] = keys[1:] != keys[:-1]
-    return places[np.flatnonzero(first)][np.cumsum(first) - 1]
+    group = np.cumsum(first, dtype=np.int32)
+    group -= 1
+    return places[first][group]
 
 
 def _shared(groups: np.ndarray) -> np.ndarray:
     """Where a group has more than one member."""
     same = groups[1:] == groups[:-1]
-    return np.flatnonzero(np.append(same, False) | np.append(False, same)) if len(groups) else np.zeros(0, np.int64)
+    return np.flatnonzero(np.append(same, False) | np.append(False, same)).astype(np.int32) if len(groups) else np.zeros(0, np.int32)
+
+
+class BitRank:
+    """Ones before a place: bits in words of 64, and the ones before each word."""
+
+    def __init__(self, bits: np.ndarray):
+        self.words = np.zeros(len(bits) // 64 + 1, "<u8")
+        packed = np.packbits(bits, bitorder="little")
+        self.words.view(np.uint8)[: len(packed)] = packed
+        ones = np.bitwise_count(self.words)
+        self.counts = np.cumsum(ones, dtype=np.int32) - ones
+
+    def __call__(self, at: np.ndarray) -> np.ndarray:
+        word = at >> 6
+        below = (np.uint64(1) << (at & 63).astype(np.uint64)) - np.uint64(1)
+        return self.counts[word] + np.bitwise_count(self.words[word] & below)
 
 
 class WaveletMatrix:
@@ -57,14 +79,14 @@ class WaveletMatrix:
 
     def __init__(self, symbols: np.ndarray, sigma: int):
         self.levels = max(1, int(sigma - 1).bit_length())
-        self.ones: list[np.ndarray] = []
+        self.ones: list[BitRank] = []
         self.zeros: list[int] = []
         at = symbols
         for level in range(self.levels - 1, -1, -1):
-            bit = (at >> level) & 1
-            self.ones.append(np.concatenate([[0], np.cumsum(bit)]).astype(np.int32))
-            self.zeros.append(int(len(at) - bit.sum()))
-            at = np.concatenate([at[bit == 0], at[bit == 1]])
+            bit = ((at >> level) & 1).astype(bool)
+            self.ones.append(BitRank(bit))
+            self.zeros.append(int(len(at) - np.count_nonzero(bit)))
+            at = np.concatenate([at[~bit], at[bit]])
 
     def rank(self, symbol: np.ndarray, end: np.ndarray) -> np.ndarray:
         """How often each symbol stands before its ``end``."""
@@ -72,8 +94,10 @@ class WaveletMatrix:
         for k, level in enumerate(range(self.levels - 1, -1, -1)):
             bit = (symbol >> level) & 1
             ones, zeros = self.ones[k], self.zeros[k]
-            start = np.where(bit == 1, zeros + ones[start], start - ones[start])
-            end = np.where(bit == 1, zeros + ones[end], end - ones[end])
+            before = ones(start)
+            start = np.where(bit == 1, zeros + before, start - before)
+            before = ones(end)
+            end = np.where(bit == 1, zeros + before, end - before)
         return end - start
 
 
@@ -88,7 +112,7 @@ class FMIndex:
         self.matrix = WaveletMatrix(self.last, sigma)
         kept = (order % sample == 0) | (self.last == 0)
         self.kept = kept
-        self.kept_at = np.concatenate([[0], np.cumsum(kept)])
+        self.kept_before = BitRank(kept)
         self.positions = order[kept]
 
     def ranges(self, patterns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -113,7 +137,7 @@ class FMIndex:
             rows[todo] = self.before[c] + self.matrix.rank(c, rows[todo])
             steps[todo] += 1
             todo = todo[~self.kept[rows[todo]]]
-        return self.positions[self.kept_at[rows]] + steps
+        return self.positions[self.kept_before(rows)] + steps
 
     def occurrences(self, patterns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(pattern number, position) of every occurrence."""
