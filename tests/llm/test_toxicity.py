@@ -1,9 +1,12 @@
+import random
+import tracemalloc
+
 import numpy as np
 import pytest
 
 from tidecast.llm import queries
 from tidecast.llm.common import table
-from tidecast.llm.toxicity import Swaps, fit_weights, learned_model, present, toxicity, without_toxic
+from tidecast.llm.toxicity import Chosen, Swaps, fit_weights, learned_model, present, toxicity, without_toxic
 
 
 @pytest.fixture(scope="module")
@@ -72,3 +75,16 @@ def test_swaps_and_counts():
     assert own.of("the manual") == []
     of, found = present(["abcd abcd", "abcd"])
     assert len(set(found[of == 0].tolist()) - set(found[of == 1].tolist())) > 0
+
+
+def test_memory_of_features_by_their_texts():
+    rng = random.Random(3)
+    texts = [" ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(150)) for _ in range(1000)]
+    chosen = Chosen(np.arange(0, 1 << 20, 256))
+    alone = [present([t], chosen)[1].tolist() for t in texts[:300:50]]
+    tracemalloc.start()
+    of, found = present(texts, chosen)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [found[of == i].tolist() for i in range(0, 300, 50)] == alone
+    assert peak < 45 * sum(map(len, texts))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import chunks, discard, letters, saved_at
+from .common import chunks, discard, few_rows, letters, saved_at
 
 #: Bounds of the fit: labelled rows, and features kept of the hashed ones.
 FIT_ROWS = 20_000
@@ -22,6 +22,8 @@ LEAST_CHI = 12.0
 HASH_BITS = 20
 SIZES = (4, 5, 6)
 LEVELS = (1, 2, 4)
+#: Code points whose n-grams are held at a time, of whole texts.
+CHARS_HELD = 1 << 18
 LIMIT = 0.7
 
 #: Identity terms by group; a swap takes the next term of the group.
@@ -88,7 +90,7 @@ def present(texts: Sequence[str], chosen: Chosen | None = None) -> tuple[np.ndar
     With ``chosen`` only its features, as their places.
     """
     parts: list[np.ndarray] = []
-    for first, some in chunks(texts):
+    for first, some in chunks(texts, CHARS_HELD):
         found, of = features(some)
         if chosen is not None:
             of, found = of[chosen.wanted[found]], found[chosen.wanted[found]]
@@ -197,7 +199,7 @@ def learned_model(
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.zeros((2, 1 << HASH_BITS), np.int64)
-        for batch in batches:
+        for batch in few_rows(batches):
             of, found = present(batch.column(1).to_pylist())
             label = np.array(batch.column(0).to_pylist(), np.int64)[of]
             for y in (0, 1):
@@ -223,7 +225,7 @@ def learned_model(
                 out[i].add(f)
             return out
 
-        for batch in batches:
+        for batch in few_rows(batches):
             given = batch.column(1).to_pylist()
             base = sets(given)
             variants = [(i, v) for i, text in enumerate(given) for v in swaps.of(text)]
@@ -265,7 +267,7 @@ def toxicity(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = _model(shared.value)
-        for batch in batches:
+        for batch in few_rows(batches):
             texts = [t or "" for t in batch.column(1).to_pylist()]
             values = np.zeros(len(texts)) if own is None else own.scores(texts)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values), pa.array((values >= limit).astype(np.int32))], names=schema.names)
@@ -280,7 +282,7 @@ def without_toxic(docs: DataFrame, model: Model | None, text_col: str = "text",
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = _model(shared.value)
-        for batch in batches:
+        for batch in few_rows(batches):
             if own is None:
                 yield batch
             else:
